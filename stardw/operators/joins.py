@@ -1,0 +1,28 @@
+"""Join helpers.
+
+Broadcast is used only behind a size check: ``bounded_broadcast`` counts at
+most ``max_rows + 1`` rows of a cheap source that bounds the side's row count
+(``limit`` stops the scan early), broadcasts when the bound holds and leaves
+the join to the planner (sort-merge / AQE runtime conversion) otherwise.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension row here is a handful of narrow columns (< 100 bytes), so one
+# million rows keeps a broadcast under ~100 MB per executor.
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(side: DataFrame, bound_source: DataFrame | None = None,
+                      max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Mark ``side`` for broadcast if ``bound_source`` (default: ``side``
+    itself), whose row count bounds ``side``'s, has at most ``max_rows`` rows."""
+    src = side if bound_source is None else bound_source
+    return F.broadcast(side) if row_count_at_most(src, max_rows) else side
