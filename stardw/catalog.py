@@ -133,3 +133,88 @@ def q_fact_daily(spark, sf_dir):
 # reports and audits register themselves on import
 reports.register_all(register, warehouse)
 audit.register_all(register, warehouse)
+
+
+# ============================================================ sources / sinks round trips
+
+def _null_cells(df: DataFrame) -> DataFrame:
+    flags = [F.when(F.col(c).isNull(), 1).otherwise(0) for c in df.columns]
+    total = flags[0]
+    for f in flags[1:]:
+        total = total + f
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(total), F.lit(0)).cast("long").alias("null_cells"))
+
+
+def _csv_roundtrip_sql() -> str:
+    from stardw.sources.raw import RAW_SCHEMAS
+    parts = []
+    for name, schema in RAW_SCHEMAS.items():
+        flags = " + ".join(f"(CASE WHEN {f.name} IS NULL THEN 1 ELSE 0 END)" for f in schema.fields)
+        parts.append(f"SELECT '{name}' AS table_name, CAST(count(*) AS BIGINT) AS rows, "
+                     f"CAST(coalesce(sum({flags}), 0) AS BIGINT) AS null_cells FROM fx_{name}")
+    return O.with_fixtures(" UNION ALL ".join(parts))
+
+
+@register("csv_source_roundtrip", _csv_roundtrip_sql())
+def q_csv_roundtrip(spark, sf_dir):
+    """Write the raw tables as header CSV with a null token, read them
+    back by name with token clean-up and try_cast; rows and NULL cells must
+    survive unchanged."""
+    from pyspark.sql import types as T
+    from stardw.session import scratch_dir
+    from stardw.sources.csv import read_raw_csv, write_csv_table
+    apply_runtime_conf(spark)
+    raw = FX.fixture_tables(spark, sf_dir)
+    base = scratch_dir(spark, "csv")
+    for name, df in raw.as_dict().items():
+        write_csv_table(df, f"{base}/{name}.csv")
+    back = read_raw_csv(spark, base, id_type=T.LongType())
+    parts = [_null_cells(df).select(F.lit(name).alias("table_name"), "rows", "null_cells")
+             for name, df in back.as_dict().items()]
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
+
+
+@register("fact_without_reviews", O.with_warehouse(
+    "SELECT * REPLACE (CAST(NULL AS SMALLINT) AS review_score) FROM w_fact"))
+def q_fact_without_reviews(spark, sf_dir):
+    """The reviews source is absent -> typed empty table -> the fact
+    still builds, with NULL review scores."""
+    import dataclasses
+    from stardw.session import scratch_dir
+    from stardw.sources.csv import read_optional
+    apply_runtime_conf(spark)
+    raw = FX.fixture_tables(spark, sf_dir)
+    missing = f"{scratch_dir(spark, 'absent')}/reviews.csv"
+    raw = dataclasses.replace(raw, reviews=read_optional(spark, missing, "reviews", raw.reviews.schema))
+    return Warehouse(raw, FIXTURE_PARAMS).fact_order_item
+
+
+@register("warehouse_roundtrip", O.with_warehouse("SELECT * FROM w_fact"))
+def q_warehouse_roundtrip(spark, sf_dir):
+    """C7 + S3/S4/S7/S10: full load to storage, fact read back."""
+    from stardw.plans.load import load_warehouse
+    from stardw.session import scratch_dir
+    apply_runtime_conf(spark)
+    stored = load_warehouse(FX.fixture_tables(spark, sf_dir), FIXTURE_PARAMS, scratch_dir(spark, "warehouse"))
+    return stored.fact_order_item
+
+
+@register("fact_stream_append", O.with_warehouse("SELECT * FROM w_fact"))
+def q_fact_stream_append(spark, sf_dir):
+    """S5 over a stream: the fact rows are staged twice; the streaming
+    insert-ignore sink must store each key exactly once."""
+    from stardw.session import scratch_dir
+    from stardw.sources.warehouse_io import read_table
+    from stardw.streaming.append import fact_appender
+    w = warehouse(spark, sf_dir)
+    base = scratch_dir(spark, "stream")
+    fact = w.fact_order_item
+    for copy in ("a", "b"):
+        fact.write.mode("append").parquet(f"{base}/staging")
+    q = fact_appender(spark, f"{base}/staging", fact.schema, f"{base}/warehouse", f"{base}/progress",
+                      files_per_batch=4)
+    q.awaitTermination()
+    return read_table(spark, f"{base}/warehouse", "fact_order_item")

@@ -54,11 +54,24 @@ class Warehouse:
 
     @property
     def fact_daily_seller_category(self) -> DataFrame:
-        return self._summary[0]
+        stored = self.__dict__.get("_stored_summary")
+        return stored if stored is not None else self._summary[0]
 
     @property
     def dim_product_category(self) -> DataFrame:
-        return self._summary[1]
+        stored = self.__dict__.get("_stored_category")
+        return stored if stored is not None else self._summary[1]
+
+    def use(self, table: str, df: DataFrame) -> "Warehouse":
+        """Replace a table by an already built one (e.g. read back from
+        storage); later tables are built from it."""
+        if table == "fact_daily_seller_category":
+            self.__dict__["_stored_summary"] = df
+        elif table == "dim_product_category":
+            self.__dict__["_stored_category"] = df
+        else:
+            self.__dict__[table] = df
+        return self
 
     def tables(self) -> dict[str, DataFrame]:
         return {

@@ -65,3 +65,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     scratch = tempfile.mkdtemp(prefix="stardw-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir()
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint directory (never a
+    machine-local temp folder on a cluster)."""
+    import uuid
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
