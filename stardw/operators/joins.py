@@ -17,7 +17,13 @@ DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    """``count(df) <= max_rows``, reading at most ``max_rows + 1`` rows.  The
+    answer is remembered on the DataFrame object (a source is often checked
+    by several joins of one plan)."""
+    memo = df.__dict__.setdefault("_stardw_rows_at_most", {})
+    if max_rows not in memo:
+        memo[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+    return memo[max_rows]
 
 
 def bounded_broadcast(side: DataFrame, bound_source: DataFrame | None = None,

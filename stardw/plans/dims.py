@@ -83,7 +83,7 @@ def build_dim_customer(customers: DataFrame, orders: DataFrame, p: Params) -> Da
         X.sim_signup_date(key, "first_order", p).alias("customer_signup_date"),
         X.customer_segment("order_count").alias("customer_segment"),
     )
-    keyed = dense_key(attrs, ["customer_unique_id"], "sk_customer")
+    keyed = dense_key(attrs, ["customer_unique_id"], "sk_customer", bound_source=customers)
     return keyed.select("sk_customer", *[c for c in attrs.columns])
 
 
@@ -147,7 +147,7 @@ def build_dim_seller(sellers: DataFrame, items: DataFrame, products: DataFrame,
         X.seller_tier("total_revenue", p).alias("seller_tier"),
         X.sim_seller_join_date(F.col("seller_id"), p).alias("seller_join_date"),
     )
-    keyed = dense_key(attrs, ["seller_id"], "sk_seller")
+    keyed = dense_key(attrs, ["seller_id"], "sk_seller", bound_source=sellers)
     return keyed.select("sk_seller", *attrs.columns)
 
 
@@ -179,5 +179,5 @@ def build_dim_product(products: DataFrame, items: DataFrame, translation: DataFr
         F.round(lp * X._dec(p.cost_ratio), 2).cast("decimal(10,2)").alias("unit_cost"),
         X.is_premium(lp, p).alias("is_premium"),
     )
-    keyed = dense_key(attrs, ["product_id"], "sk_product")
+    keyed = dense_key(attrs, ["product_id"], "sk_product", bound_source=products)
     return keyed.select("sk_product", *attrs.columns)

@@ -8,6 +8,8 @@ is shuffled at most once:
   orders side, which is smaller than the lines;
 * the seller and product keys are attached to the lines with broadcast joins
   when their row count is proven small, shuffle joins otherwise;
+* repeated line keys are dropped first (insert-ignore, one partial-aggregating
+  shuffle on the full line key);
 * lines ⋈ keyed orders on order_id is the one big shuffle join (AQE splits a
   hot order if one holds a large share of lines).
 
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 from stardw.functions import exprs as X
 from stardw.operators.joins import bounded_broadcast
-from stardw.operators.keys import dense_key
+from stardw.operators.keys import dense_key, keep_first
 from stardw.operators.lineage import materialize
 
 FACT_COLUMNS = [
@@ -56,10 +58,17 @@ def customer_key_lookup(customers: DataFrame, dim_customer: DataFrame) -> DataFr
             .groupBy("customer_id").agg(F.min("sk_customer").alias("sk_customer")))
 
 
+ORDER_COLS = ["customer_id", "order_purchase_timestamp",
+              "order_delivered_customer_date", "order_estimated_delivery_date"]
+LINE_KEYS = ["order_id", "order_item_id"]
+LINE_ORDER = ["product_id", "seller_id", "price", "freight_value"]
+
+
 def keyed_orders(orders: DataFrame, customers: DataFrame, reviews: DataFrame,
                  dim_customer: DataFrame) -> DataFrame:
-    o = orders.select("order_id", "customer_id", "order_purchase_timestamp",
-                      "order_delivered_customer_date", "order_estimated_delivery_date")
+    # one row per order_id (a repeated order would repeat its lines); the
+    # aggregate's output is already partitioned by order_id for the join
+    o = keep_first(orders.select("order_id", *ORDER_COLS), ["order_id"], ORDER_COLS)
     return (o.join(customer_key_lookup(customers, dim_customer), "customer_id", "left")
             .join(best_review(reviews), "order_id", "left"))
 
@@ -74,7 +83,11 @@ def build_fact_order_item(orders: DataFrame, items: DataFrame, customers: DataFr
     seller_sk = bounded_broadcast(dim_seller.select("seller_id", "sk_seller"), bound_source=sellers)
     product_sk = bounded_broadcast(dim_product.select("product_id", "sk_product", "unit_cost"),
                                    bound_source=products)
-    lines = (items.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value")
+    # S5 insert-ignore on the fact key: the first line by a stated order wins.
+    # Shuffled on (order_id, order_item_id), so even an order holding a third
+    # of all lines spreads over many tasks.
+    unique_lines = keep_first(items.select(*LINE_KEYS, *LINE_ORDER), LINE_KEYS, LINE_ORDER)
+    lines = (unique_lines
              .join(product_sk, "product_id", "left")
              .join(seller_sk, "seller_id", "left"))
     f = lines.join(keyed_orders(orders, customers, reviews, dim_customer), "order_id", "left")
@@ -103,10 +116,11 @@ def build_fact_order_item(orders: DataFrame, items: DataFrame, customers: DataFr
     return out.na.drop("any", subset=REQUIRED_KEYS)
 
 
-def category_ids(categories: DataFrame) -> DataFrame:
-    """K2: 1-based ids of the distinct category names in code-point order."""
+def category_ids(categories: DataFrame, bound_source: DataFrame | None = None) -> DataFrame:
+    """K2: 1-based ids of the distinct category names in code-point order
+    (at most one per product: the product table bounds their number)."""
     distinct = categories.select("product_category").distinct()
-    return dense_key(distinct, ["product_category"], "sk_product_category")
+    return dense_key(distinct, ["product_category"], "sk_product_category", bound_source=bound_source)
 
 
 def daily_summary_by_name(fact: DataFrame, dim_product: DataFrame, products: DataFrame) -> DataFrame:
@@ -136,8 +150,8 @@ def build_fact_daily_seller_category(fact: DataFrame, dim_product: DataFrame,
     already-aggregated rows, not to the order lines."""
     # materialized once: both the category ids and the final rows read it
     by_name = materialize(daily_summary_by_name(fact, dim_product, products))
-    cat_map = category_ids(by_name)
-    summary = (by_name.join(bounded_broadcast(cat_map), "product_category")
+    cat_map = category_ids(by_name, bound_source=products)
+    summary = (by_name.join(bounded_broadcast(cat_map, bound_source=products), "product_category")
                .withColumnRenamed("sk_date_purchase", "sk_date")
                .select(*SUMMARY_COLUMNS))
     return summary, cat_map.select("sk_product_category", "product_category")

@@ -10,8 +10,12 @@ full refresh (S4).
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import DataFrame
 
+from stardw.operators.lineage import materialize
+
 from stardw.params import Params
 from stardw.plans.audit import row_count_audit
 from stardw.plans.warehouse import Warehouse
@@ -25,6 +29,9 @@ def load_warehouse(raw: RawTables, params: Params, base: str) -> Warehouse:
     """Build and write every table under ``base``; returns a Warehouse whose
     tables read the written files."""
     spark = raw.orders.sparkSession
+    # the de-duplicated order lines feed the seller, product and fact builds:
+    # materialize them once instead of de-duplicating three times
+    raw = dataclasses.replace(raw, items=materialize(raw.items))
     w = Warehouse(raw, params)
     for t in DIMENSIONS:
         write_table(getattr(w, t), base, t)
