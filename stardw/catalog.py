@@ -52,6 +52,18 @@ def q_dim_date(spark, sf_dir):
     return warehouse(spark, sf_dir).dim_date
 
 
+@register("order_date_set", O.with_fixtures("""
+SELECT DISTINCT d AS date FROM (
+  SELECT CAST(order_purchase_timestamp AS DATE) AS d FROM fx_orders
+  UNION ALL SELECT CAST(order_approved_at AS DATE) FROM fx_orders
+  UNION ALL SELECT CAST(order_delivered_customer_date AS DATE) FROM fx_orders
+  UNION ALL SELECT CAST(order_estimated_delivery_date AS DATE) FROM fx_orders) x
+WHERE d IS NOT NULL"""))
+def q_order_date_set(spark, sf_dir):
+    apply_runtime_conf(spark)
+    return dims.order_dates(FX.fixture_orders(spark, sf_dir))
+
+
 @register("dim_customer", O.with_warehouse("SELECT * FROM w_dim_customer"))
 def q_dim_customer(spark, sf_dir):
     return warehouse(spark, sf_dir).dim_customer

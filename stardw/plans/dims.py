@@ -45,6 +45,14 @@ def build_dim_date(orders: DataFrame) -> DataFrame:
     )
 
 
+def order_dates(orders: DataFrame) -> DataFrame:
+    """U1 + A8: the set of calendar dates referenced by any of the four order
+    timestamps (one array explode per row, then a partial-aggregating
+    distinct)."""
+    return (orders.select(F.explode(F.array(*[F.to_date(c) for c in ORDER_DATE_COLUMNS])).alias("date"))
+            .where(F.col("date").isNotNull()).distinct())
+
+
 # ------------------------------------------------------------------ C2
 
 def customer_profile(customers: DataFrame, orders: DataFrame) -> DataFrame:

@@ -69,7 +69,10 @@ def keyed_orders(orders: DataFrame, customers: DataFrame, reviews: DataFrame,
     # one row per order_id (a repeated order would repeat its lines); the
     # aggregate's output is already partitioned by order_id for the join
     o = keep_first(orders.select("order_id", *ORDER_COLS), ["order_id"], ORDER_COLS)
-    return (o.join(customer_key_lookup(customers, dim_customer), "customer_id", "left")
+    # one lookup row per customer_id: broadcast when the customer table is
+    # proven small, otherwise orders are shuffled by customer_id once
+    lookup = bounded_broadcast(customer_key_lookup(customers, dim_customer), bound_source=customers)
+    return (o.join(lookup, "customer_id", "left")
             .join(best_review(reviews), "order_id", "left"))
 
 
