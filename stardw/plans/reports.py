@@ -322,8 +322,9 @@ def report_daily_group_quarter(w: Warehouse) -> DataFrame:
     """Daily revenue and on-time rate of one category group in one
     quarter, answered from the daily summary (not the order lines)."""
     p = w.params
-    cats = F.broadcast(w.dim_product_category  # one row per distinct category
-                       .where(X.category_group("product_category") == p.focus_group))
+    cats = bounded_broadcast(  # at most one category per product
+        w.dim_product_category.where(X.category_group("product_category") == p.focus_group),
+        bound_source=w.raw.products)
     days = _dim_date(w, "date", "year", "quarter", role="sk_date") \
         .where((F.col("year") == p.focus_year) & (F.col("quarter") == p.focus_quarter))
     s = w.fact_daily_seller_category.join(cats, "sk_product_category").join(days, "sk_date")

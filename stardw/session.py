@@ -41,6 +41,21 @@ def build_session(master: str | None = None, app: str = "stardw",
     return spark
 
 
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run sized from the input volume: enough shuffle
+    partitions that each holds ~``target_partition_bytes`` before AQE
+    coalesces small ones, scan splits of the same size, and AQE skew handling
+    for partitions several times the median."""
+    parts = max(200, int(input_bytes // target_partition_bytes) + 1)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def apply_runtime_conf(spark: SparkSession) -> None:
     for k, v in RUNTIME_CONF.items():
         spark.conf.set(k, v)

@@ -1,8 +1,9 @@
 """Warehouse tables on shared storage.
 
 * ``write_table`` — full refresh (``overwrite``) with the fixed column order;
-  the order-line fact is range-partitioned and sorted on the purchase date
-  key so that date-sliced reads skip files and row groups by min/max stats.
+  the facts are range-partitioned and sorted on their unique key led by the
+  date key, so date-sliced reads skip files and row groups by min/max stats
+  and no single day (however hot) funnels into one writer task.
 * ``append_ignore`` — insert-ignore append: rows whose key already exists
   (in the batch or in the table) are dropped, the first by a stated order is
   kept.  The existing-key probe reads only the key columns, restricted to the
@@ -24,10 +25,13 @@ from stardw import schemas as S
 from stardw.operators.keys import keep_first
 from stardw.operators.lineage import materialize
 
+# Range keys are the table's full unique key (leading with the date), so a
+# hot day — or a hot seller on a hot day — still splits over many tasks.
 SORT_KEYS = {
-    "fact_order_item": ["sk_date_purchase", "sk_seller"],
-    "fact_daily_seller_category": ["sk_date", "sk_seller"],
+    "fact_order_item": ["sk_date_purchase", "sk_seller", "order_id", "order_item_id"],
+    "fact_daily_seller_category": ["sk_date", "sk_seller", "sk_product_category"],
 }
+MAX_RECORDS_PER_FILE = 5_000_000
 
 
 def table_path(base: str, table: str) -> str:
@@ -38,13 +42,13 @@ def _layout(df: DataFrame, table: str) -> DataFrame:
     out = df.select(*S.column_order(table))
     keys = SORT_KEYS.get(table)
     if keys:
-        out = out.repartitionByRange(keys[0]).sortWithinPartitions(*keys)
+        out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
     return out
 
 
 def write_table(df: DataFrame, base: str, table: str, mode: str = "overwrite") -> str:
     path = table_path(base, table)
-    _layout(df, table).write.mode(mode).parquet(path)
+    _layout(df, table).write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
     return path
 
 
@@ -81,5 +85,6 @@ def append_ignore(batch: DataFrame, base: str, table: str, keys: Sequence[str],
             probe = probe.where(F.col(date_col).between(lo, hi))
         fresh = fresh.join(probe.select(*keys), list(keys), "left_anti")
     fresh = materialize(fresh)
-    _layout(fresh, table).write.mode("append").parquet(table_path(base, table))
+    (_layout(fresh, table).write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+     .parquet(table_path(base, table)))
     return fresh
