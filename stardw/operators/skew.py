@@ -1,0 +1,84 @@
+"""Skew-safe N:1 joins.
+
+A join key may hold a large share of the rows (one order with a third of all
+lines, one best-selling product, one dominant seller).  A plain shuffle join
+sends all rows of a key to one task.  ``salted_join`` spreads them instead:
+
+1. exact row counts per key of a *base* table (partial aggregation: one row
+   per key and map task before the shuffle); keys with at least ``hot_rows``
+   rows are hot and get ``ceil(rows / hot_rows)`` salts;
+2. the hot-key table is bounded — at most ``rows / hot_rows`` keys and
+   ``2 * rows / hot_rows`` salts in total — and is broadcast;
+3. each large-side row of a hot key gets a deterministic salt (a hash of the
+   row) in ``[0, salts)``, every other row salt 0; the dimension row of a hot
+   key is replicated once per salt;
+4. one shuffle join on (key, salt): a hot key is spread over ``salts``
+   tasks of about ``hot_rows`` rows each.  No rows are dropped or capped.
+
+Hot keys are counted on a base table given by the caller (e.g. the order
+lines before any dimension join), so a chain of joins keeps a linear plan.
+AQE's skew-join split stays enabled as a second line of defence.
+
+``star_join`` is the entry point for fact-to-dimension joins: a broadcast
+behind a row-count check when the dimension is small, the salted shuffle
+join otherwise.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from stardw.operators import joins
+from stardw.operators.joins import row_count_at_most
+
+# Target rows per task for one hot key; keys with at least this many rows on
+# the large side are salted.
+HOT_KEY_ROWS = 1_000_000
+
+_SALTS, _SALT = "__salts", "__salt"
+
+
+def hot_key_salts(base: DataFrame, on: Sequence[str], hot_rows: int | None = None) -> DataFrame:
+    """Keys of ``base`` holding at least ``hot_rows`` rows, with their salt
+    count ``ceil(rows / hot_rows)``."""
+    hot_rows = HOT_KEY_ROWS if hot_rows is None else hot_rows
+    counts = base.where(F.col(on[0]).isNotNull()).groupBy(*on).agg(F.count(F.lit(1)).alias("__rows"))
+    return (counts.where(F.col("__rows") >= hot_rows)
+            .select(*on, F.ceil(F.col("__rows") / F.lit(hot_rows)).cast("int").alias(_SALTS)))
+
+
+def salted_join(large: DataFrame, small: DataFrame, on: Sequence[str], how: str,
+                salts: DataFrame) -> DataFrame:
+    """N:1 join of ``large`` with ``small`` (unique on ``on``) in which the
+    rows of each key listed in ``salts`` are spread over that many tasks."""
+    on = list(on)
+    hot = F.broadcast(salts)  # bounded: see hot_key_salts
+    row_hash = F.xxhash64(*[F.col(c) for c in large.columns])
+    big = (large.join(hot, on, "left")
+           .withColumn(_SALT, F.when(F.col(_SALTS).isNull(), F.lit(0))
+                       .otherwise(F.pmod(row_hash, F.col(_SALTS))).cast("int"))
+           .drop(_SALTS))
+    replicas = F.when(F.col(_SALTS).isNull(), F.array(F.lit(0))) \
+        .otherwise(F.sequence(F.lit(0), F.col(_SALTS) - 1))
+    dim = small.join(hot, on, "left").withColumn(_SALT, F.explode(replicas)).drop(_SALTS)
+    return big.join(dim, [*on, _SALT], how).drop(_SALT)
+
+
+def star_join(large: DataFrame, dim: DataFrame, on: Sequence[str] | str, how: str = "left",
+              bound_source: DataFrame | None = None, hot_base: DataFrame | None = None,
+              max_broadcast_rows: int | None = None, hot_rows: int | None = None) -> DataFrame:
+    """Fact-to-dimension (N:1) join: broadcast when ``bound_source`` (default
+    ``dim``) proves the dimension small, otherwise a salted shuffle join whose
+    hot keys are counted on ``hot_base`` (default ``large``; pass the base
+    table when ``large`` is itself a chain of joins)."""
+    on = [on] if isinstance(on, str) else list(on)
+    if max_broadcast_rows is None:
+        max_broadcast_rows = joins.DEFAULT_MAX_BROADCAST_ROWS
+    src = dim if bound_source is None else bound_source
+    if row_count_at_most(src, max_broadcast_rows):
+        return large.join(F.broadcast(dim), on, how)
+    base = large if hot_base is None else hot_base
+    return salted_join(large, dim, on, how, hot_key_salts(base, on, hot_rows))

@@ -6,12 +6,14 @@ is shuffled at most once:
 * orders are keyed with the customer surrogate (orders ⋈ customer-key lookup
   on customer_id) and the best review (pre-aggregated per order) — all on the
   orders side, which is smaller than the lines;
-* the seller and product keys are attached to the lines with broadcast joins
-  when their row count is proven small, shuffle joins otherwise;
 * repeated line keys are dropped first (insert-ignore, one partial-aggregating
   shuffle on the full line key);
-* lines ⋈ keyed orders on order_id is the one big shuffle join (AQE splits a
-  hot order if one holds a large share of lines).
+* the seller and product keys are attached to the lines with broadcast joins
+  when their row count is proven small, shuffle joins otherwise;
+* lines ⋈ keyed orders on order_id is the one big shuffle join.
+Every fact-to-dimension join is a ``star_join``: a hot key (an order, product
+or customer holding a large share of rows) is joined map-side against its
+single dimension row instead of being shuffled into one task.
 
 Left joins followed by the mandatory-key filter are rewritten to inner joins
 by Catalyst (EliminateOuterJoin).
@@ -26,6 +28,7 @@ from stardw.functions import exprs as X
 from stardw.operators.joins import bounded_broadcast
 from stardw.operators.keys import dense_key, keep_first
 from stardw.operators.lineage import materialize
+from stardw.operators.skew import star_join
 
 FACT_COLUMNS = [
     "order_id", "order_item_id", "sk_date_purchase", "sk_date_delivered",
@@ -70,10 +73,12 @@ def keyed_orders(orders: DataFrame, customers: DataFrame, reviews: DataFrame,
     # aggregate's output is already partitioned by order_id for the join
     o = keep_first(orders.select("order_id", *ORDER_COLS), ["order_id"], ORDER_COLS)
     # one lookup row per customer_id: broadcast when the customer table is
-    # proven small, otherwise orders are shuffled by customer_id once
-    lookup = bounded_broadcast(customer_key_lookup(customers, dim_customer), bound_source=customers)
-    return (o.join(lookup, "customer_id", "left")
-            .join(best_review(reviews), "order_id", "left"))
+    # proven small, otherwise a shuffle join that keeps a hot customer's
+    # orders map-side
+    keyed = star_join(o, customer_key_lookup(customers, dim_customer), "customer_id", "left",
+                      bound_source=customers)
+    # both sides hold one row per order_id: no hot key can exist here
+    return keyed.join(best_review(reviews), "order_id", "left")
 
 
 def build_fact_order_item(orders: DataFrame, items: DataFrame, customers: DataFrame,
@@ -83,17 +88,17 @@ def build_fact_order_item(orders: DataFrame, items: DataFrame, customers: DataFr
     """One row per (order_id, order_item_id) with date / customer / seller /
     product keys and measures.  ``sellers`` / ``products`` are the raw tables:
     they bound the dimension sizes for the broadcast check."""
-    seller_sk = bounded_broadcast(dim_seller.select("seller_id", "sk_seller"), bound_source=sellers)
-    product_sk = bounded_broadcast(dim_product.select("product_id", "sk_product", "unit_cost"),
-                                   bound_source=products)
     # S5 insert-ignore on the fact key: the first line by a stated order wins.
     # Shuffled on (order_id, order_item_id), so even an order holding a third
     # of all lines spreads over many tasks.
     unique_lines = keep_first(items.select(*LINE_KEYS, *LINE_ORDER), LINE_KEYS, LINE_ORDER)
-    lines = (unique_lines
-             .join(product_sk, "product_id", "left")
-             .join(seller_sk, "seller_id", "left"))
-    f = lines.join(keyed_orders(orders, customers, reviews, dim_customer), "order_id", "left")
+    # hot keys of every join below are counted on the de-duplicated lines
+    lines = star_join(unique_lines, dim_product.select("product_id", "sk_product", "unit_cost"),
+                      "product_id", "left", bound_source=products, hot_base=unique_lines)
+    lines = star_join(lines, dim_seller.select("seller_id", "sk_seller"), "seller_id", "left",
+                      bound_source=sellers, hot_base=unique_lines)
+    f = star_join(lines, keyed_orders(orders, customers, reviews, dim_customer), "order_id", "left",
+                  bound_source=orders, hot_base=unique_lines)
 
     purchase = F.col("order_purchase_timestamp")
     delivered = F.col("order_delivered_customer_date")
@@ -130,8 +135,8 @@ def daily_summary_by_name(fact: DataFrame, dim_product: DataFrame, products: Dat
     """A7 on (purchase date, seller, category name): one partial+final hash
     aggregate; the exact distinct order count is Spark's two-level distinct
     aggregation (no per-group lists)."""
-    cat = bounded_broadcast(dim_product.select("sk_product", "product_category"), bound_source=products)
-    f = (fact.join(cat, "sk_product", "left")
+    f = (star_join(fact, dim_product.select("sk_product", "product_category"), "sk_product", "left",
+                   bound_source=products)
          .withColumn("product_category", F.coalesce("product_category", F.lit("Unknown"))))
     return f.groupBy("sk_date_purchase", "sk_seller", "product_category").agg(
         F.count_distinct("order_id").cast("int").alias("orders_count"),

@@ -2,9 +2,9 @@
 
 Every report is a star join of the order-line fact (or the daily summary) to
 the dimensions it needs, then one group-by.  Dimension sides are broadcast
-only behind a row-count check on their raw source (``bounded_broadcast``) or
-when their size is bounded by construction (the date dimension: one row per
-calendar day).  Ratios are exact half-up decimals computed from integral sums
+only behind a row-count check on their raw source, beyond it the join is a
+salted shuffle join with hot keys counted on the fact (``star_join``); the date dimension is broadcast
+directly, its size is bounded by construction (one row per calendar day).  Ratios are exact half-up decimals computed from integral sums
 (``half_up_ratio``), never averages of doubles.  Thresholds the source leaves
 open are ``Params`` fields.
 """
@@ -19,22 +19,26 @@ from pyspark.sql import functions as F
 from stardw import oracle as O
 from stardw.functions import exprs as X
 from stardw.operators.joins import bounded_broadcast
+from stardw.operators.skew import star_join
 from stardw.params import FIXTURE_PARAMS, Params
 from stardw.plans.warehouse import Warehouse
 
 
 # ------------------------------------------------------------------ star joins
 
-def _dim_seller(w: Warehouse, *cols: str) -> DataFrame:
-    return bounded_broadcast(w.dim_seller.select("sk_seller", *cols), bound_source=w.raw.sellers)
+def _join_seller(df: DataFrame, w: Warehouse, *cols: str, how: str = "inner") -> DataFrame:
+    return star_join(df, w.dim_seller.select("sk_seller", *cols), "sk_seller", how,
+                     bound_source=w.raw.sellers, hot_base=w.fact_order_item)
 
 
-def _dim_product(w: Warehouse, *cols: str) -> DataFrame:
-    return bounded_broadcast(w.dim_product.select("sk_product", *cols), bound_source=w.raw.products)
+def _join_product(df: DataFrame, w: Warehouse, *cols: str, how: str = "inner") -> DataFrame:
+    return star_join(df, w.dim_product.select("sk_product", *cols), "sk_product", how,
+                     bound_source=w.raw.products, hot_base=w.fact_order_item)
 
 
-def _dim_customer(w: Warehouse, *cols: str) -> DataFrame:
-    return bounded_broadcast(w.dim_customer.select("sk_customer", *cols), bound_source=w.raw.customers)
+def _join_customer(df: DataFrame, w: Warehouse, *cols: str, how: str = "inner") -> DataFrame:
+    return star_join(df, w.dim_customer.select("sk_customer", *cols), "sk_customer", how,
+                     bound_source=w.raw.customers, hot_base=w.fact_order_item)
 
 
 def _dim_date(w: Warehouse, *cols: str, role: str = "sk_date_purchase") -> DataFrame:
@@ -44,9 +48,8 @@ def _dim_date(w: Warehouse, *cols: str, role: str = "sk_date_purchase") -> DataF
 
 def category_tier_lines(w: Warehouse) -> DataFrame:
     """Fact ⋈ product (category, group) ⋈ seller (tier)."""
-    return (w.fact_order_item
-            .join(_dim_product(w, "product_category", "product_category_group"), "sk_product")
-            .join(_dim_seller(w, "seller_tier"), "sk_seller")
+    lines = _join_product(w.fact_order_item, w, "product_category", "product_category_group")
+    return (_join_seller(lines, w, "seller_tier")
             .withColumn("product_category", F.coalesce("product_category", F.lit("Unknown"))))
 
 
@@ -139,7 +142,7 @@ GROUP BY ROLLUP (product_category, seller_tier)"""
 
 def report_tier_value(w: Warehouse) -> DataFrame:
     """Totals per tier and means per seller (denominator: sellers with sales)."""
-    lines = w.fact_order_item.join(_dim_seller(w, "seller_tier"), "sk_seller")
+    lines = _join_seller(w.fact_order_item, w, "seller_tier")
     agg = lines.groupBy("seller_tier").agg(
         F.count_distinct("sk_seller").alias("sellers"),
         F.count(F.lit(1)).alias("items"),
@@ -181,7 +184,7 @@ def seller_scatter(w: Warehouse) -> DataFrame:
     per = w.fact_order_item.groupBy("sk_seller").agg(
         F.sum("revenue").cast("decimal(18,2)").alias("revenue"),
         F.sum("review_score").alias("_ss"), F.count("review_score").alias("reviews"))
-    return (per.join(_dim_seller(w, "seller_id", "seller_tier"), "sk_seller")
+    return (_join_seller(per, w, "seller_id", "seller_tier")
             .select("sk_seller", "seller_id", "seller_tier", "revenue", "reviews",
                     X.half_up_ratio("_ss", "reviews", 6).alias("mean_review"),
                     F.when(F.col("revenue") > 0, F.round(F.log10(F.col("revenue").cast("double")), 6))
@@ -221,7 +224,7 @@ def report_tier_moves(w: Warehouse) -> DataFrame:
     below the Bronze mean -> "demote".  Tier benchmarks are scalar subqueries
     (one small aggregate each, no join fan-out)."""
     sc = seller_scatter(w)
-    tiers = (w.fact_order_item.join(_dim_seller(w, "seller_tier"), "sk_seller")
+    tiers = (_join_seller(w.fact_order_item, w, "seller_tier")
              .groupBy("seller_tier")
              .agg(X.half_up_ratio(F.sum(X.cents("revenue")), F.count_distinct("sk_seller") * 100, 2)
                   .alias("rev_per_seller"), mean_review()))
@@ -258,7 +261,7 @@ w_moves AS (
 # ------------------------------------------------------------------ R5 / R6
 
 def _seller_region_lines(w: Warehouse) -> DataFrame:
-    return w.fact_order_item.join(_dim_seller(w, "seller_region"), "sk_seller")
+    return _join_seller(w.fact_order_item, w, "seller_region")
 
 
 def report_region_review(w: Warehouse) -> DataFrame:
@@ -303,8 +306,8 @@ FROM w_lines GROUP BY seller_region"""
 def report_monthly_tier_revenue(w: Warehouse) -> DataFrame:
     """Monthly revenue by tier; R8: a month is flagged incomplete when its
     last day lies after the latest purchase date (scalar subquery)."""
-    lines = (w.fact_order_item.join(_dim_date(w, "year", "month"), "sk_date_purchase")
-             .join(_dim_seller(w, "seller_tier"), "sk_seller"))
+    lines = _join_seller(w.fact_order_item.join(_dim_date(w, "year", "month"), "sk_date_purchase"),
+                         w, "seller_tier")
     last_key = w.fact_order_item.agg(F.max("sk_date_purchase")).scalar()
     agg = lines.groupBy("year", "month", "seller_tier").agg(
         F.sum("revenue").cast("decimal(18,2)").alias("revenue"),
@@ -396,9 +399,7 @@ w_per_cat AS (
 # ------------------------------------------------------------------ R15 / R16
 
 def _region_pair_lines(w: Warehouse) -> DataFrame:
-    return (w.fact_order_item
-            .join(_dim_customer(w, "customer_region"), "sk_customer")
-            .join(_dim_seller(w, "seller_region"), "sk_seller"))
+    return _join_seller(_join_customer(w.fact_order_item, w, "customer_region"), w, "seller_region")
 
 
 def _pivot_regions(pairs: DataFrame, value: str, regions: list[str]) -> DataFrame:
@@ -437,7 +438,7 @@ SELECT customer_region, {cols} FROM w_cells GROUP BY customer_region"""
 def audit_cost_basis(w: Warehouse) -> DataFrame:
     """Lines with negative gross profit / sold below the product's list
     price, per category."""
-    lines = w.fact_order_item.join(_dim_product(w, "product_category", "list_price"), "sk_product") \
+    lines = _join_product(w.fact_order_item, w, "product_category", "list_price") \
         .withColumn("product_category", F.coalesce("product_category", F.lit("Unknown")))
     return lines.groupBy("product_category").agg(
         F.count(F.lit(1)).alias("items"),
@@ -463,7 +464,7 @@ def audit_tier_basis(w: Warehouse) -> DataFrame:
     per = w.fact_order_item.groupBy("sk_seller").agg(
         F.sum("price").cast("decimal(18,2)").alias("price_sum"),
         F.sum("revenue").cast("decimal(18,2)").alias("revenue_sum"))
-    return (per.join(_dim_seller(w, "seller_id", "seller_tier"), "sk_seller")
+    return (_join_seller(per, w, "seller_id", "seller_tier")
             .select("sk_seller", "seller_id", "seller_tier", "price_sum", "revenue_sum",
                     X.seller_tier("price_sum", p).alias("tier_by_price"),
                     X.seller_tier("revenue_sum", p).alias("tier_by_revenue"))
