@@ -65,7 +65,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory, configuring it from
     ``spark.checkpoint.dir`` when the context has none yet.  A private scratch
     folder is created only for local-mode sessions that name none."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect client: the server owns the context
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server")
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
