@@ -88,3 +88,13 @@ def append_ignore(batch: DataFrame, base: str, table: str, keys: Sequence[str],
     (_layout(fresh, table).write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
      .parquet(table_path(base, table)))
     return fresh
+
+
+def write_jdbc(df: DataFrame, table: str, url: str, target: str, properties: dict[str, str],
+               mode: str = "append", batch_size: int = 2000) -> None:
+    """Append a warehouse table to a database table through Spark's JDBC
+    writer, in the fixed column order, ``batch_size`` rows per insert batch.
+    Each task writes its partition in its own transaction; key conflicts are
+    left to the target's constraints."""
+    (df.select(*S.column_order(table)).write.mode(mode).option("batchsize", batch_size)
+     .jdbc(url, target, properties=properties))
