@@ -28,7 +28,7 @@ SINGLE_TASK_MAX_ROWS = 1_000_000
 
 def dense_key(df: DataFrame, order_cols: Sequence[str], out_col: str,
               key_type: str = "int", bound_source: DataFrame | None = None,
-              single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
+              single_task_max_rows: int | None = None) -> DataFrame:
     """Number the rows of ``df`` 1..n in ``order_cols`` order (ties must not
     exist: order by a unique key).
 
@@ -44,6 +44,8 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], out_col: str,
     counts into offsets, and add them back with a broadcast join whose size
     is bounded by the number of partitions.
     """
+    if single_task_max_rows is None:
+        single_task_max_rows = SINGLE_TASK_MAX_ROWS
     if bound_source is not None and row_count_at_most(bound_source, single_task_max_rows):
         return df.withColumn(out_col, F.row_number().over(W.orderBy(*order_cols)).cast(key_type))
     ensure_checkpoint_dir(df.sparkSession)
