@@ -110,6 +110,16 @@ def date_key(c: ColumnOrName) -> Column:
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 
+def month_name(c: ColumnOrName) -> Column:
+    """English month name, whatever the JVM locale."""
+    return F.element_at(F.array(*[F.lit(m) for m in L.MONTH_NAMES]), F.month(_c(c)))
+
+
+def weekday_name(c: ColumnOrName) -> Column:
+    """English weekday name (Monday = weekday 0), whatever the JVM locale."""
+    return F.element_at(F.array(*[F.lit(d) for d in L.WEEKDAY_NAMES]), F.weekday(_c(c)) + 1)
+
+
 def elapsed_days(start: ColumnOrName, end: ColumnOrName) -> Column:
     """floor of elapsed time / 24 h (negative spans floor down); NULL if either is NULL."""
     secs = F.timestamp_diff("SECOND", _c(start), _c(end))

@@ -37,10 +37,10 @@ def build_dim_date(orders: DataFrame) -> DataFrame:
         d.alias("date"),
         F.dayofmonth(d).cast("smallint").alias("day"),
         F.month(d).cast("smallint").alias("month"),
-        F.date_format(d, "MMMM").alias("month_name"),
+        X.month_name(d).alias("month_name"),
         F.quarter(d).cast("smallint").alias("quarter"),
         F.year(d).cast("smallint").alias("year"),
-        F.date_format(d, "EEEE").alias("day_of_week"),
+        X.weekday_name(d).alias("day_of_week"),
         (F.weekday(d) >= 5).alias("is_weekend"),
     )
 
