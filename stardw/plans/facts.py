@@ -92,13 +92,17 @@ def build_fact_order_item(orders: DataFrame, items: DataFrame, customers: DataFr
     # Shuffled on (order_id, order_item_id), so even an order holding a third
     # of all lines spreads over many tasks.
     unique_lines = keep_first(items.select(*LINE_KEYS, *LINE_ORDER), LINE_KEYS, LINE_ORDER)
-    # hot keys of every join below are counted on the de-duplicated lines
+    # Hot keys of the joins below are counted on the raw lines: a plain scan
+    # with partial aggregation, independent of the de-duplication shuffle.
+    # Raw counts bound the de-duplicated ones, so every hot key is salted
+    # (salting a key that is no longer hot is harmless).
+    raw_lines = items.select("order_id", "product_id", "seller_id")
     lines = star_join(unique_lines, dim_product.select("product_id", "sk_product", "unit_cost"),
-                      "product_id", "left", bound_source=products, hot_base=unique_lines)
+                      "product_id", "left", bound_source=products, hot_base=raw_lines)
     lines = star_join(lines, dim_seller.select("seller_id", "sk_seller"), "seller_id", "left",
-                      bound_source=sellers, hot_base=unique_lines)
+                      bound_source=sellers, hot_base=raw_lines)
     f = star_join(lines, keyed_orders(orders, customers, reviews, dim_customer), "order_id", "left",
-                  bound_source=orders, hot_base=unique_lines)
+                  bound_source=orders, hot_base=raw_lines)
 
     purchase = F.col("order_purchase_timestamp")
     delivered = F.col("order_delivered_customer_date")
