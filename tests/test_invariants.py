@@ -62,3 +62,15 @@ def test_distributed_dense_keys_give_the_same_dimensions(spark):
     finally:
         keys.SINGLE_TASK_MAX_ROWS = saved
     assert single == distributed
+
+
+def test_date_spine_is_gap_free_and_covers_every_fact_date(spark):
+    from pyspark.sql import functions as F
+    w = warehouse(spark, SF_SMALL)
+    r = w.dim_date.agg(F.count(F.lit(1)).alias("n"), F.min("date").alias("lo"), F.max("date").alias("hi"),
+                       F.count_distinct("date").alias("d")).first()
+    assert r["n"] == r["d"] == (r["hi"] - r["lo"]).days + 1
+    keys = {row[0] for row in w.dim_date.select("sk_date").collect()}
+    for col in ("sk_date_purchase", "sk_date_delivered", "sk_date_estimated_delivery"):
+        used = {row[0] for row in w.fact_order_item.select(col).distinct().collect() if row[0] is not None}
+        assert used <= keys, col
