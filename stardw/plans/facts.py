@@ -125,7 +125,13 @@ def build_fact_order_item(orders: DataFrame, items: DataFrame, customers: DataFr
         X.on_time_flag(delivered, estimated).alias("is_on_time"),
         F.col("review_score").cast("smallint"),
     )
-    return out.na.drop("any", subset=REQUIRED_KEYS)
+    # P4 as one IS NOT NULL conjunct per key (not na.drop's single
+    # AtLeastNNonNulls predicate): each conjunct references one join side,
+    # so Catalyst's EliminateOuterJoin turns the left joins into inner joins
+    required = F.col(REQUIRED_KEYS[0]).isNotNull()
+    for k in REQUIRED_KEYS[1:]:
+        required = required & F.col(k).isNotNull()
+    return out.where(required)
 
 
 def category_ids(categories: DataFrame, bound_source: DataFrame | None = None) -> DataFrame:
