@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stardw.functions import exprs as X
-from stardw.operators.aggregates import date_bounds, deterministic_mode, first_non_null_by
+from stardw.operators.aggregates import date_bounds, first_non_null_by
 from stardw.operators.joins import bounded_broadcast
 from stardw.operators.keys import dense_key
 from stardw.params import Params
@@ -123,21 +123,26 @@ def seller_stats(items: DataFrame, products: DataFrame, translation: DataFrame)
     "Unknown"), item count and price sum.
 
     Lines are first reduced to (seller, product) pairs, so the join with the
-    product categories sees one row per pair, not per line."""
+    product categories sees one row per pair, not per line; then one
+    (seller, category) aggregation feeds both the mode and the totals in a
+    single per-seller aggregation (``min(struct(-count, category))`` over the
+    non-NULL categories is the deterministic mode)."""
     pairs = (items.where(F.col("seller_id").isNotNull())
              .groupBy("seller_id", "product_id")
              .agg(F.count(F.lit(1)).alias("n_rows"),
                   F.count("order_item_id").alias("n_items"),
                   F.sum("price").alias("price_sum")))
     cats = product_categories(products, translation)
-    pairs_cat = pairs.join(cats, "product_id", "left")
-    mode = deterministic_mode(pairs_cat, ["seller_id"], "product_category", "mode_category",
-                              weight="n_rows")
-    totals = pairs_cat.groupBy("seller_id").agg(F.sum("n_items").alias("total_items"),
-                                               F.sum("price_sum").alias("total_revenue"))
-    return (totals.join(mode, "seller_id", "left")
-            .select("seller_id", "total_items", "total_revenue",
-                    F.coalesce("mode_category", F.lit("Unknown")).alias("seller_main_category")))
+    per_cat = (pairs.join(cats, "product_id", "left")
+               .groupBy("seller_id", "product_category")
+               .agg(F.sum("n_rows").alias("n_rows"), F.sum("n_items").alias("n_items"),
+                    F.sum("price_sum").alias("price_sum")))
+    cat = F.col("product_category")
+    best = F.min(F.when(cat.isNotNull(), F.struct((-F.col("n_rows")).alias("neg_n"), cat.alias("v"))))
+    return per_cat.groupBy("seller_id").agg(
+        F.sum("n_items").alias("total_items"),
+        F.sum("price_sum").alias("total_revenue"),
+        F.coalesce(best.getField("v"), F.lit("Unknown")).alias("seller_main_category"))
 
 
 def build_dim_seller(sellers: DataFrame, items: DataFrame, products: DataFrame,
