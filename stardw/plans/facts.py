@@ -1,22 +1,22 @@
 """Fact plans.
 
-Join layout of the order-line fact, chosen so the largest table (order lines)
-is shuffled at most once:
-
-* orders are keyed with the customer surrogate (orders ⋈ customer-key lookup
-  on customer_id) and the best review (pre-aggregated per order) — all on the
-  orders side, which is smaller than the lines;
-* repeated line keys are dropped first (insert-ignore, one partial-aggregating
-  shuffle on the full line key);
-* the seller and product keys are attached to the lines with broadcast joins
-  when their row count is proven small, shuffle joins otherwise;
-* lines ⋈ keyed orders on order_id is the one big shuffle join.
-Every fact-to-dimension join is a ``star_join``: a hot key (an order, product
-or customer holding a large share of rows) is joined map-side against its
-single dimension row instead of being shuffled into one task.
-
-Left joins followed by the mandatory-key filter are rewritten to inner joins
-by Catalyst (EliminateOuterJoin).
+Join layout of the order-line fact, chosen to keep the shuffles of the
+largest table (order lines) few:
+
+* repeated line keys are dropped first (insert-ignore: one partial-
+  aggregating shuffle on the full line key);
+* orders are keyed with the customer surrogate and the best review
+  (pre-aggregated per order) on the orders side, which is smaller than the
+  lines;
+* the product, seller and keyed-order columns are attached with broadcast
+  joins when the raw source proves the side small, otherwise with shuffle
+  joins — lines ⋈ keyed orders on order_id is then the one big join shuffle.
+Every fact-to-dimension join is a ``star_join``: beyond the broadcast bound,
+a hot key (an order, product, seller or customer holding a large share of
+the rows) is salted over many tasks instead of landing in one.
+
+The mandatory-key filter is one IS NOT NULL conjunct per key, so Catalyst
+rewrites the left joins to inner joins (EliminateOuterJoin).
 """
 
 from __future__ import annotations
@@ -53,9 +53,8 @@ def best_review(reviews: DataFrame) -> DataFrame:
 
 
 def customer_key_lookup(customers: DataFrame, dim_customer: DataFrame) -> DataFrame:
-    """customer_id -> customer_unique_id -> sk_customer.  The final
-    group-by keeps one key per customer_id (its output is already partitioned
-    by customer_id, which the orders join reuses)."""
+    """customer_id -> customer_unique_id -> sk_customer; the final
+    group-by keeps one key per customer_id."""
     return (customers.select("customer_id", "customer_unique_id")
             .join(dim_customer.select("customer_unique_id", "sk_customer"), "customer_unique_id")
             .groupBy("customer_id").agg(F.min("sk_customer").alias("sk_customer")))
@@ -73,8 +72,7 @@ def keyed_orders(orders: DataFrame, customers: DataFrame, reviews: DataFrame,
     # aggregate's output is already partitioned by order_id for the join
     o = keep_first(orders.select("order_id", *ORDER_COLS), ["order_id"], ORDER_COLS)
     # one lookup row per customer_id: broadcast when the customer table is
-    # proven small, otherwise a shuffle join that keeps a hot customer's
-    # orders map-side
+    # proven small, otherwise a shuffle join that salts a hot customer's orders
     keyed = star_join(o, customer_key_lookup(customers, dim_customer), "customer_id", "left",
                       bound_source=customers)
     # both sides hold one row per order_id: no hot key can exist here
