@@ -46,9 +46,7 @@ def _parent(w: Warehouse, table: str, col: str) -> DataFrame:
     keys = w.tables()[table].select(F.col(col).alias("__pk")).withColumn("__hit", F.lit(True))
     bound = {"dim_seller": w.raw.sellers, "dim_product": w.raw.products,
              "dim_customer": w.raw.customers}.get(table)
-    if table == "dim_date":
-        return F.broadcast(keys)  # one row per calendar day
-    return bounded_broadcast(keys, bound_source=bound)
+    return bounded_broadcast(keys, bound_source=bound if bound is not None else w.tables()[table])
 
 
 def fk_audit(w: Warehouse) -> DataFrame:

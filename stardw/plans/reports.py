@@ -3,8 +3,8 @@
 Every report is a star join of the order-line fact (or the daily summary) to
 the dimensions it needs, then one group-by.  Dimension sides are broadcast
 only behind a row-count check on their raw source, beyond it the join is a
-salted shuffle join with hot keys counted on the fact (``star_join``); the date dimension is broadcast
-directly, its size is bounded by construction (one row per calendar day).  Ratios are exact half-up decimals computed from integral sums
+salted shuffle join with hot keys counted on the fact (``star_join``).
+Ratios are exact half-up decimals computed from integral sums
 (``half_up_ratio``), never averages of doubles.  Thresholds the source leaves
 open are ``Params`` fields.
 """
@@ -42,8 +42,11 @@ def _join_customer(df: DataFrame, w: Warehouse, *cols: str, how: str = "inner")
 
 
 def _dim_date(w: Warehouse, *cols: str, role: str = "sk_date_purchase") -> DataFrame:
-    # one row per calendar day of the order history: bounded by time, not volume
-    return F.broadcast(w.dim_date.select(F.col("sk_date").alias(role), *cols))
+    """The date dimension in one role.  One row per calendar day of the order
+    history — bounded by time, not volume — and still behind the row-count
+    check (a corrupt far-off date would stretch the calendar)."""
+    return bounded_broadcast(w.dim_date.select(F.col("sk_date").alias(role), *cols),
+                             bound_source=w.dim_date)
 
 
 def category_tier_lines(w: Warehouse) -> DataFrame:
@@ -486,17 +489,14 @@ SELECT *, tier_by_price <> tier_by_revenue AS tier_changes FROM (
 def role_playing_dates(w: Warehouse) -> DataFrame:
     """The date dimension in three roles (purchase: inner; delivered and
     estimated: left, the keys are nullable)."""
-    dd = w.dim_date
+    purchase = _dim_date(w, F.col("year").alias("purchase_year"))
+    delivered = _dim_date(w, F.col("date").alias("delivered_date"),
+                          F.col("is_weekend").alias("delivered_weekend"), role="sk_date_delivered")
+    estimated = _dim_date(w, F.col("date").alias("estimated_date"), role="sk_date_estimated_delivery")
     f = (w.fact_order_item
-         .join(F.broadcast(dd.select(F.col("sk_date").alias("sk_date_purchase"),
-                                     F.col("year").alias("purchase_year"))), "sk_date_purchase")
-         .join(F.broadcast(dd.select(F.col("sk_date").alias("sk_date_delivered"),
-                                     F.col("date").alias("delivered_date"),
-                                     F.col("is_weekend").alias("delivered_weekend"))),
-               "sk_date_delivered", "left")
-         .join(F.broadcast(dd.select(F.col("sk_date").alias("sk_date_estimated_delivery"),
-                                     F.col("date").alias("estimated_date"))),
-               "sk_date_estimated_delivery", "left"))
+         .join(purchase, "sk_date_purchase")
+         .join(delivered, "sk_date_delivered", "left")
+         .join(estimated, "sk_date_estimated_delivery", "left"))
     return f.groupBy("purchase_year").agg(
         F.count(F.lit(1)).alias("items"),
         F.count("delivered_date").alias("delivered_items"),
