@@ -98,3 +98,20 @@ def write_jdbc(df: DataFrame, table: str, url: str, target: str, properties: dic
     left to the target's constraints."""
     (df.select(*S.column_order(table)).write.mode(mode).option("batchsize", batch_size)
      .jdbc(url, target, properties=properties))
+
+
+TABLES = ["dim_date", "dim_customer", "dim_seller", "dim_product", "fact_order_item",
+          "fact_daily_seller_category", "dim_product_category"]
+
+
+def register_catalog(spark: SparkSession, base: str, database: str = "stardw") -> list[str]:
+    """Expose the stored warehouse as external parquet tables of a
+    catalog database (``CREATE TABLE ... USING parquet LOCATION``), so the
+    star schema can be queried with plain Spark SQL."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    names = []
+    for t in TABLES:
+        name = f"{database}.{t}"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{table_path(base, t)}'")
+        names.append(name)
+    return names

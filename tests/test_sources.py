@@ -60,3 +60,20 @@ def test_write_read_and_append_ignore(spark):
     final = read_table(spark, base, "fact_order_item")
     assert final.count() == 4
     assert final.where("order_id = 'o1' AND order_item_id = 2").first()["sk_seller"] == 6  # existing row kept
+
+
+def test_register_catalog_and_query_with_sql(spark):
+    from stardw.params import FIXTURE_PARAMS
+    from stardw.plans.load import load_warehouse
+    from stardw.sources import fixtures as FX
+    from stardw.sources.warehouse_io import register_catalog
+    from conftest import SF_SMALL
+    base = scratch_dir(spark, "catalog")
+    wh = load_warehouse(FX.fixture_tables(spark, SF_SMALL), FIXTURE_PARAMS, base)
+    names = register_catalog(spark, base, database="stardw_test")
+    assert len(names) == 7
+    by_tier = spark.sql("""
+        SELECT s.seller_tier, count(*) AS items, sum(f.revenue) AS revenue
+        FROM stardw_test.fact_order_item f JOIN stardw_test.dim_seller s ON f.sk_seller = s.sk_seller
+        GROUP BY s.seller_tier""").collect()
+    assert sum(r["items"] for r in by_tier) == wh.fact_order_item.count()
