@@ -86,3 +86,18 @@ def test_mode_is_most_frequent_then_smallest(spark, rows):
         if c:
             want[g] = min(c, key=lambda v: (-c[v], v))
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.integers(0, 99)), min_size=1, max_size=80),
+       st.lists(st.integers(0, 8), unique=True, max_size=8),
+       st.integers(1, 12), st.sampled_from(["left", "inner"]))
+def test_salted_join_equals_plain_join(spark, facts, dim_keys, hot_rows, how):
+    from stardw.operators.skew import hot_key_salts, salted_join
+    large = spark.createDataFrame(facts, "k int, v int")
+    small = spark.createDataFrame([(k, f"d{k}") for k in dim_keys] or [(None, None)], "k int, name string")
+    small = small.where("k IS NOT NULL")
+    want = sorted((tuple(r) for r in large.join(small, "k", how).collect()), key=str)
+    got = sorted((tuple(r) for r in salted_join(large, small, ["k"], how,
+                                                hot_key_salts(large, ["k"], hot_rows)).collect()), key=str)
+    assert got == want
