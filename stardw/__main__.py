@@ -15,7 +15,7 @@ import argparse
 from stardw.params import DEFAULT_PARAMS
 from stardw.plans.audit import row_count_audit
 from stardw.plans.load import load_warehouse
-from stardw.session import apply_runtime_conf, build_session
+from stardw.session import apply_runtime_conf, build_session, scale_conf
 from stardw.sources.csv import read_raw_csv
 from stardw.sources.warehouse_io import write_jdbc
 
@@ -29,10 +29,15 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--jdbc-table-prefix", default="")
     ap.add_argument("--jdbc-user")
     ap.add_argument("--jdbc-password")
+    ap.add_argument("--input-gb", type=float,
+                    help="raw input volume: sizes shuffle partitions, scan splits and skew thresholds")
     args = ap.parse_args(argv)
 
     spark = build_session()
     apply_runtime_conf(spark)
+    if args.input_gb:
+        for k, v in scale_conf(int(args.input_gb * (1 << 30))).items():
+            spark.conf.set(k, v)
     files = dict(kv.split("=", 1) for kv in args.file)
     wh = load_warehouse(read_raw_csv(spark, args.raw_dir, files), DEFAULT_PARAMS, args.warehouse)
     if args.jdbc_url:
