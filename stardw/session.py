@@ -41,12 +41,18 @@ def build_session(master: str | None = None, app: str = "stardw",
     return spark
 
 
-def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Settings for a cluster run sized from the input volume: enough shuffle
-    partitions that each holds ~``target_partition_bytes`` before AQE
-    coalesces small ones, scan splits of the same size, and AQE skew handling
-    for partitions several times the median."""
-    parts = max(200, int(input_bytes // target_partition_bytes) + 1)
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
+               shuffle_fraction: float = 0.25, max_partitions: int = 100_000) -> dict[str, str]:
+    """Settings for a cluster run sized from the raw input volume.
+
+    Shuffles move a fraction of the raw bytes (projected columns, map-side
+    partial aggregation), so the partition count targets
+    ``input * shuffle_fraction / target_partition_bytes`` — each partition
+    fits executor memory, AQE coalesces small ones and splits skewed ones —
+    bounded to keep map-output tracking (maps x reducers) manageable.  Scan
+    splits use the same target size."""
+    parts = int(input_bytes * shuffle_fraction // target_partition_bytes) + 1
+    parts = min(max(200, parts), max_partitions)
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
