@@ -1,8 +1,8 @@
 """Command line: the whole load (C7) from raw CSV files to warehouse tables,
 then the row count of every stored table (S8).
 
-    spark-submit stardw/__main__.py --raw-dir s3://bucket/raw --warehouse s3://bucket/dw \\
-        [--file customers=customers_dataset.csv ...] [--jdbc-url URL --jdbc-table-prefix schema.]
+    python -m stardw --raw-dir DIR --warehouse DIR [--file customers=customers_dataset.csv ...]
+        [--input-gb N] [--jdbc-url URL --jdbc-table-prefix schema.]
 
 With ``--jdbc-url`` the stored tables are also appended to a database
 (dimensions first, then facts), 2,000 rows per insert batch.
