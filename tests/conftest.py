@@ -11,8 +11,9 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from stardw.session import build_session
-    s = build_session("local[8]", app="stardw-tests", shuffle_partitions=8)
+    s = build_session("local[8]", app="stardw-tests", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("spark-warehouse"))})
     yield s
     s.stop()
