@@ -21,6 +21,7 @@ from stardw.functions import exprs as X
 from stardw.operators.joins import bounded_broadcast
 from stardw.operators.skew import star_join
 from stardw.params import FIXTURE_PARAMS, Params
+from stardw.plans.slicers import date_key_range, sliced
 from stardw.plans.warehouse import Warehouse
 
 
@@ -109,22 +110,16 @@ def report_category_tier_matrix(w: Warehouse) -> DataFrame:
     return category_tier_matrix(category_tier_lines(w))
 
 
-def date_key_range(col: str, lo, hi) -> Column:
-    """A calendar period as a range on a YYYYMMDD smart key.  The key is
-    order-preserving, so the predicate is pushed into the parquet scan and,
-    on the date-sorted fact layout, skips files and row groups."""
-    return F.col(col).between(int(lo.strftime("%Y%m%d")), int(hi.strftime("%Y%m%d")))
+def report_filtered_matrix(w: Warehouse) -> DataFrame:
+    """R2: R1 under the time-period and category-group slicers (see
+    ``slicers``: the period is a key range pushed into the fact scan, the
+    groups a semi-join with the product dimension)."""
+    return report_category_tier_matrix(sliced(w))
 
 
-def report_filtered_matrix(w: Warehouse) -> DataFrame:
-    """R2: R1 under the time-period and category-group slicers.  The period
-    is a key-range predicate on the fact itself (pushed down), the group
-    filter reaches the fact through the product dimension."""
-    p = w.params
-    lines = (category_tier_lines(w)
-             .where(date_key_range("sk_date_purchase", p.period_from, p.period_to))
-             .where(F.col("product_category_group").isin(list(p.slicer_groups))))
-    return category_tier_matrix(lines)
+def report_sliced_tier_value(w: Warehouse) -> DataFrame:
+    """R2 cascading to R3: tier totals and per-seller means under the slicers."""
+    return report_tier_value(sliced(w))
 
 
 def _slicer_sql(p: Params) -> str:
@@ -158,14 +153,18 @@ def report_tier_value(w: Warehouse) -> DataFrame:
         X.half_up_ratio("_gc", F.col("sellers") * 100, 2).alias("gross_profit_per_seller"))
 
 
-TIER_VALUE_SQL = f"""
+def _tier_value_sql(where: str = "TRUE") -> str:
+    return f"""
 SELECT seller_tier, sellers, items, revenue, gross_profit,
        {O.ratio_sql('rc', 'sellers * 100', 2)} AS revenue_per_seller,
        {O.ratio_sql('gc', 'sellers * 100', 2)} AS gross_profit_per_seller
 FROM (SELECT seller_tier, CAST(count(DISTINCT sk_seller) AS BIGINT) AS sellers, CAST(count(*) AS BIGINT) AS items,
              CAST(sum(revenue) AS DECIMAL(18,2)) AS revenue, CAST(sum(gross_profit) AS DECIMAL(18,2)) AS gross_profit,
              sum(CAST(revenue * 100 AS BIGINT)) AS rc, sum(CAST(gross_profit * 100 AS BIGINT)) AS gc
-      FROM w_lines GROUP BY seller_tier) t"""
+      FROM w_lines WHERE {where} GROUP BY seller_tier) t"""
+
+
+TIER_VALUE_SQL = _tier_value_sql()
 
 
 def report_sellers_per_tier(w: Warehouse) -> DataFrame:
@@ -533,6 +532,8 @@ def register_all(register, warehouse) -> None:
     register("report_filtered_matrix", O.with_warehouse(_matrix_sql(_slicer_sql(p)), p, lines))(
         wh(report_filtered_matrix))
     register("report_tier_value", O.with_warehouse(TIER_VALUE_SQL, p, lines))(wh(report_tier_value))
+    register("report_sliced_tier_value", O.with_warehouse(_tier_value_sql(_slicer_sql(p)), p, lines))(
+        wh(report_sliced_tier_value))
     register("report_sellers_per_tier", O.with_warehouse(SELLERS_PER_TIER_SQL, p))(wh(report_sellers_per_tier))
     register("report_seller_scatter", O.with_warehouse(f"SELECT {SCATTER_COLS} FROM w_scatter", p, scat))(
         wh(seller_scatter))

@@ -74,3 +74,31 @@ def test_date_spine_is_gap_free_and_covers_every_fact_date(spark):
     for col in ("sk_date_purchase", "sk_date_delivered", "sk_date_estimated_delivery"):
         used = {row[0] for row in w.fact_order_item.select(col).distinct().collect() if row[0] is not None}
         assert used <= keys, col
+
+
+def test_slicers_cascade_and_push_down(spark):
+    import contextlib
+    import datetime as dt
+    import io
+
+    from pyspark.sql import functions as F
+
+    from stardw.params import FIXTURE_PARAMS
+    from stardw.plans.load import load_warehouse
+    from stardw.plans.slicers import slice_warehouse
+    from stardw.session import scratch_dir
+    from stardw.sources import fixtures as FX
+
+    stored = load_warehouse(FX.fixture_tables(spark, SF_SMALL), FIXTURE_PARAMS, scratch_dir(spark, "slicers"))
+    v = slice_warehouse(stored, dt.date(1996, 1, 1), dt.date(1997, 6, 30), ["Electronics", "Fashion"])
+    fact_rev = v.fact_order_item.agg(F.sum("revenue")).first()[0]
+    summ_rev = v.fact_daily_seller_category.agg(F.sum("revenue_total")).first()[0]
+    assert fact_rev == summ_rev and fact_rev > 0
+    full = stored.fact_order_item.agg(F.sum("revenue")).first()[0]
+    assert fact_rev < full
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        v.fact_order_item.explain("formatted")
+    plan = buf.getvalue()
+    assert "GreaterThanOrEqual(sk_date_purchase,19960101)" in plan
+    assert "LessThanOrEqual(sk_date_purchase,19970630)" in plan
