@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,28 +30,71 @@ def date_key_range(col: str, lo: dt.date, hi: dt.date) -> Column:
     return F.col(col).between(int(lo.strftime("%Y%m%d")), int(hi.strftime("%Y%m%d")))
 
 
+class SlicedWarehouse(Warehouse):
+    """Lazy sliced view: dimensions are the base warehouse's, facts are
+    filtered on first access (a report that reads only the order-line fact
+    never builds the summary)."""
+
+    def __init__(self, base: Warehouse, lo: dt.date | None, hi: dt.date | None,
+                 groups: Sequence[str] | None):
+        super().__init__(base.raw, base.params)
+        self.base, self.lo, self.hi, self.groups = base, lo, hi, list(groups or [])
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return self.base.dim_date
+
+    @cached_property
+    def dim_customer(self) -> DataFrame:
+        return self.base.dim_customer
+
+    @cached_property
+    def dim_seller(self) -> DataFrame:
+        return self.base.dim_seller
+
+    @cached_property
+    def dim_product(self) -> DataFrame:
+        return self.base.dim_product
+
+    @property
+    def dim_product_category(self) -> DataFrame:
+        return self.base.dim_product_category
+
+    def _period(self, col: str) -> Column | None:
+        if self.lo is None and self.hi is None:
+            return None
+        return date_key_range(col, self.lo or dt.date(1, 1, 1), self.hi or dt.date(9999, 12, 31))
+
+    @cached_property
+    def fact_order_item(self) -> DataFrame:
+        fact = self.base.fact_order_item
+        period = self._period("sk_date_purchase")
+        if period is not None:
+            fact = fact.where(period)
+        if self.groups:
+            products = (self.base.dim_product.where(F.col("product_category_group").isin(self.groups))
+                        .select("sk_product"))
+            fact = fact.join(bounded_broadcast(products, bound_source=self.raw.products), "sk_product",
+                             "left_semi")
+        return fact
+
+    @property
+    def fact_daily_seller_category(self) -> DataFrame:
+        summary = self.base.fact_daily_seller_category
+        period = self._period("sk_date")
+        if period is not None:
+            summary = summary.where(period)
+        if self.groups:
+            cats = (self.base.dim_product_category
+                    .where(X.category_group("product_category").isin(self.groups)).select("sk_product_category"))
+            summary = summary.join(bounded_broadcast(cats, bound_source=self.raw.products),
+                                   "sk_product_category", "left_semi")
+        return summary
+
+
 def slice_warehouse(w: Warehouse, period_from: dt.date | None = None, period_to: dt.date | None = None,
                     groups: Sequence[str] | None = None) -> Warehouse:
-    fact = w.fact_order_item
-    summary = w.fact_daily_seller_category
-    if period_from is not None or period_to is not None:
-        lo = period_from or dt.date(1, 1, 1)
-        hi = period_to or dt.date(9999, 12, 31)
-        fact = fact.where(date_key_range("sk_date_purchase", lo, hi))
-        summary = summary.where(date_key_range("sk_date", lo, hi))
-    if groups:
-        products = w.dim_product.where(F.col("product_category_group").isin(list(groups))).select("sk_product")
-        fact = fact.join(bounded_broadcast(products, bound_source=w.raw.products), "sk_product", "left_semi")
-        cats = (w.dim_product_category
-                .where(X.category_group("product_category").isin(list(groups))).select("sk_product_category"))
-        summary = summary.join(bounded_broadcast(cats, bound_source=w.raw.products), "sk_product_category",
-                               "left_semi")
-    view = Warehouse(w.raw, w.params)
-    for t in ("dim_date", "dim_customer", "dim_seller", "dim_product", "dim_product_category"):
-        view.use(t, w.tables()[t])
-    view.use("fact_order_item", fact)
-    view.use("fact_daily_seller_category", summary)
-    return view
+    return SlicedWarehouse(w, period_from, period_to, groups)
 
 
 def sliced(w: Warehouse) -> Warehouse:
