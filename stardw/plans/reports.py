@@ -283,7 +283,7 @@ FROM w_lines GROUP BY seller_region"""
 def report_region_on_time(w: Warehouse) -> DataFrame:
     """On-time rate by seller region, on both bases (D12): among flagged
     lines (delivered with an estimate) and among delivered lines, plus the
-    delivered share that explains the survivorship bias."""
+    delivered and flagged shares that explain the survivorship bias."""
     return _seller_region_lines(w).groupBy("seller_region").agg(
         F.count(F.lit(1)).alias("items"),
         F.count("sk_date_delivered").alias("delivered_items"),
@@ -291,7 +291,8 @@ def report_region_on_time(w: Warehouse) -> DataFrame:
         on_time_rate(),
         X.half_up_ratio(F.count_if(F.col("is_on_time") == 1), F.count("sk_date_delivered"), 6)
         .alias("on_time_rate_delivered"),
-        X.half_up_ratio(F.count("sk_date_delivered"), F.count(F.lit(1)), 6).alias("delivered_share"))
+        X.half_up_ratio(F.count("sk_date_delivered"), F.count(F.lit(1)), 6).alias("delivered_share"),
+        X.half_up_ratio(F.count("is_on_time"), F.count(F.lit(1)), 6).alias("flagged_share"))
 
 
 REGION_ON_TIME_SQL = f"""
@@ -299,7 +300,8 @@ SELECT seller_region, CAST(count(*) AS BIGINT) AS items, CAST(count(sk_date_deli
        CAST(count(*) FILTER (WHERE is_on_time = 1) AS BIGINT) AS on_time_items,
        {O.ratio_sql('count(*) FILTER (WHERE is_on_time = 1)', 'count(is_on_time)', 6)} AS on_time_rate,
        {O.ratio_sql('count(*) FILTER (WHERE is_on_time = 1)', 'count(sk_date_delivered)', 6)} AS on_time_rate_delivered,
-       {O.ratio_sql('count(sk_date_delivered)', 'count(*)', 6)} AS delivered_share
+       {O.ratio_sql('count(sk_date_delivered)', 'count(*)', 6)} AS delivered_share,
+       {O.ratio_sql('count(is_on_time)', 'count(*)', 6)} AS flagged_share
 FROM w_lines GROUP BY seller_region"""
 
 

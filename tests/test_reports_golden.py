@@ -62,7 +62,7 @@ def test_region_on_time(wh):
     se = got["Southeast"]
     assert (se["items"], se["delivered_items"], se["on_time_items"]) == (4, 3, 1)
     assert se["on_time_rate"] == D("0.333333") and se["on_time_rate_delivered"] == D("0.333333")
-    assert se["delivered_share"] == D("0.750000")
+    assert se["delivered_share"] == D("0.750000") and se["flagged_share"] == D("0.750000")
     assert got["Other"]["on_time_rate"] == D("1.000000")
 
 
