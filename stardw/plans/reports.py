@@ -427,6 +427,24 @@ def report_delivery_matrix(w: Warehouse) -> DataFrame:
     return _pivot_regions(cells, "v", list(w.params.regions))
 
 
+def report_region_pairs(w: Warehouse) -> DataFrame:
+    """R15 / R16 in long form: one row per (customer region, seller region)."""
+    return _region_pair_lines(w).groupBy("customer_region", "seller_region").agg(
+        F.count(F.lit(1)).alias("lines"),
+        X.half_up_ratio(F.sum(X.cents("freight_value")), F.count("freight_value") * 100, 2).alias("mean_freight"),
+        F.count("delivery_days").alias("delivered_lines"),
+        X.half_up_ratio(F.sum("delivery_days"), F.count("delivery_days"), 6).alias("mean_delivery_days"))
+
+
+REGION_PAIRS_SQL = f"""
+SELECT c.customer_region, l.seller_region, CAST(count(*) AS BIGINT) AS lines,
+       {O.ratio_sql('sum(CAST(l.freight_value * 100 AS BIGINT))', 'count(l.freight_value) * 100', 2)} AS mean_freight,
+       CAST(count(l.delivery_days) AS BIGINT) AS delivered_lines,
+       {O.ratio_sql('sum(l.delivery_days)', 'count(l.delivery_days)', 6)} AS mean_delivery_days
+FROM w_lines l JOIN w_dim_customer c ON l.sk_customer = c.sk_customer
+GROUP BY c.customer_region, l.seller_region"""
+
+
 def _matrix_pivot_sql(value_sql: str, p: Params) -> str:
     cols = ", ".join(f'max(CASE WHEN seller_region = {O._q(r)} THEN v END) AS "{r}"' for r in p.regions)
     return f"""
@@ -564,6 +582,7 @@ def register_all(register, warehouse) -> None:
         ))(wh(report_freight_matrix))
     register("report_delivery_matrix", O.with_warehouse("", p, lines + _matrix_pivot_sql(
         O.ratio_sql("sum(l.delivery_days)", "count(l.delivery_days)", 6), p)))(wh(report_delivery_matrix))
+    register("report_region_pairs", O.with_warehouse(REGION_PAIRS_SQL, p, lines))(wh(report_region_pairs))
     register("audit_cost_basis", O.with_warehouse(COST_BASIS_SQL, p, lines))(wh(audit_cost_basis))
     register("audit_tier_basis", O.with_warehouse(_tier_basis_sql(p), p, lines))(wh(audit_tier_basis))
     register("role_playing_dates", O.with_warehouse(ROLE_DATES_SQL, p))(wh(role_playing_dates))
