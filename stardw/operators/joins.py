@@ -26,9 +26,18 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return memo[max_rows]
 
 
+def max_broadcast_rows(df: DataFrame) -> int:
+    """The broadcast row bound: session conf ``stardw.broadcast.maxRows``,
+    else ``DEFAULT_MAX_BROADCAST_ROWS``."""
+    from stardw.session import CONF_MAX_BROADCAST_ROWS, conf_int
+    return conf_int(df.sparkSession, CONF_MAX_BROADCAST_ROWS, DEFAULT_MAX_BROADCAST_ROWS)
+
+
 def bounded_broadcast(side: DataFrame, bound_source: DataFrame | None = None,
-                      max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                      max_rows: int | None = None) -> DataFrame:
     """Mark ``side`` for broadcast if ``bound_source`` (default: ``side``
     itself), whose row count bounds ``side``'s, has at most ``max_rows`` rows."""
     src = side if bound_source is None else bound_source
+    if max_rows is None:
+        max_rows = max_broadcast_rows(src)
     return F.broadcast(side) if row_count_at_most(src, max_rows) else side

@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stardw.operators.joins import row_count_at_most
-from stardw.session import ensure_checkpoint_dir
+from stardw.session import CONF_SINGLE_TASK_KEY_ROWS, conf_int, ensure_checkpoint_dir
 
 _PART, _POS, _OFF, _CNT = "__part", "__pos", "__off", "__cnt"
 
@@ -45,7 +45,7 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], out_col: str,
     is bounded by the number of partitions.
     """
     if single_task_max_rows is None:
-        single_task_max_rows = SINGLE_TASK_MAX_ROWS
+        single_task_max_rows = conf_int(df.sparkSession, CONF_SINGLE_TASK_KEY_ROWS, SINGLE_TASK_MAX_ROWS)
     if bound_source is not None and row_count_at_most(bound_source, single_task_max_rows):
         return df.withColumn(out_col, F.row_number().over(W.orderBy(*order_cols)).cast(key_type))
     ensure_checkpoint_dir(df.sparkSession)

@@ -44,7 +44,9 @@ _SALTS, _SALT = "__salts", "__salt"
 def hot_key_salts(base: DataFrame, on: Sequence[str], hot_rows: int | None = None) -> DataFrame:
     """Keys of ``base`` holding at least ``hot_rows`` rows, with their salt
     count ``ceil(rows / hot_rows)``."""
-    hot_rows = HOT_KEY_ROWS if hot_rows is None else hot_rows
+    if hot_rows is None:
+        from stardw.session import CONF_HOT_KEY_ROWS, conf_int
+        hot_rows = conf_int(base.sparkSession, CONF_HOT_KEY_ROWS, HOT_KEY_ROWS)
     counts = base.where(F.col(on[0]).isNotNull()).groupBy(*on).agg(F.count(F.lit(1)).alias("__rows"))
     return (counts.where(F.col("__rows") >= hot_rows)
             .select(*on, F.ceil(F.col("__rows") / F.lit(hot_rows)).cast("int").alias(_SALTS)))
@@ -75,9 +77,9 @@ def star_join(large: DataFrame, dim: DataFrame, on: Sequence[str] | str, how: st
     hot keys are counted on ``hot_base`` (default ``large``; pass the base
     table when ``large`` is itself a chain of joins)."""
     on = [on] if isinstance(on, str) else list(on)
-    if max_broadcast_rows is None:
-        max_broadcast_rows = joins.DEFAULT_MAX_BROADCAST_ROWS
     src = dim if bound_source is None else bound_source
+    if max_broadcast_rows is None:
+        max_broadcast_rows = joins.max_broadcast_rows(src)
     if row_count_at_most(src, max_broadcast_rows):
         return large.join(F.broadcast(dim), on, how)
     base = large if hot_base is None else hot_base

@@ -24,6 +24,22 @@ RUNTIME_CONF = {
 }
 
 
+# Session confs that tune the library without code changes (defaults: the
+# module constants in operators/joins.py, operators/skew.py, operators/keys.py).
+CONF_MAX_BROADCAST_ROWS = "stardw.broadcast.maxRows"
+CONF_HOT_KEY_ROWS = "stardw.skew.hotKeyRows"
+CONF_SINGLE_TASK_KEY_ROWS = "stardw.keys.singleTaskMaxRows"
+
+
+def conf_int(spark: SparkSession, key: str, default: int) -> int:
+    """An integer session conf, or ``default`` when unset."""
+    try:
+        value = spark.conf.get(key, None)
+    except Exception:  # noqa: BLE001 - some session types reject unknown keys
+        value = None
+    return default if value in (None, "") else int(value)
+
+
 def build_session(master: str | None = None, app: str = "stardw",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
