@@ -3,13 +3,14 @@ the order lines.  The shuffle-join path (dimension broadcast disabled, every
 key with >= 50 rows treated as hot) must give exactly the broadcast path's
 results."""
 
+import contextlib
 import dataclasses
+import io
 
 import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stardw.operators import joins, skew
 from stardw.params import FIXTURE_PARAMS
 from stardw.plans import reports
 from stardw.plans.warehouse import Warehouse
@@ -47,12 +48,18 @@ def snapshot(spark, raw):
 def both_paths(spark):
     raw = skewed_raw(spark)
     normal = snapshot(spark, raw)
-    saved = (joins.DEFAULT_MAX_BROADCAST_ROWS, skew.HOT_KEY_ROWS)
-    joins.DEFAULT_MAX_BROADCAST_ROWS, skew.HOT_KEY_ROWS = 0, 50
+    # no dimension is broadcastable, every key with >= 50 rows is salted
+    spark.conf.set("stardw.broadcast.maxRows", "0")
+    spark.conf.set("stardw.skew.hotKeyRows", "50")
     try:
         forced = snapshot(spark, dataclasses.replace(raw))
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            Warehouse(dataclasses.replace(raw), FIXTURE_PARAMS).fact_order_item.explain()
+        assert "__salt" in buf.getvalue()   # the salted shuffle join was planned
     finally:
-        joins.DEFAULT_MAX_BROADCAST_ROWS, skew.HOT_KEY_ROWS = saved
+        spark.conf.unset("stardw.broadcast.maxRows")
+        spark.conf.unset("stardw.skew.hotKeyRows")
     return raw, normal, forced
 
 
