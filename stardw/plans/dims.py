@@ -99,7 +99,9 @@ def build_dim_customer(customers: DataFrame, orders: DataFrame, p: Params) -> Da
 
 def translation_lookup(translation: DataFrame) -> DataFrame:
     """Category translation with duplicate source names resolved as "last
-    row wins" (row position = scan order)."""
+    row wins" (row position = scan order: the row order of a single file;
+    across several files Spark orders splits by size, so the winner among
+    duplicates in different files is unspecified)."""
     pos = translation.withColumn("__pos", F.monotonically_increasing_id())
     return (pos.where(F.col("product_category_name").isNotNull())
             .groupBy("product_category_name")
