@@ -35,7 +35,7 @@ def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**k and BASE**-k (mod 2**64) for k < n."""
     if len(_powers["p"]) < n:
         size = max(n, BLOCK_BYTES + 1)
@@ -86,7 +86,7 @@ class Words:
         self.row = np.searchsorted(offsets, self.start, "right") - 1
         #: first[r]..first[r + 1]: the words of row r
         self.first = np.searchsorted(self.start, offsets)
-        p, inv = _power_tables(len(raw) + 1)
+        p, inv = power_tables(len(raw) + 1)
         v = (_LOWER_LUT[raw] if lower else raw).astype(np.uint64) + np.uint64(1)
         total = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum(v * p[:len(raw)], out=total[1:])

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from stardw.llm.bpe import bpe_decode, bpe_encode
 from stardw.llm.common import table
 from stardw.llm.exact_dedup import exact_groups
 
@@ -14,7 +16,14 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = bpe_decode(bpe_encode(table(spark, sf_dir, "documents")))
+    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_bpe": op3_bpe,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
