@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step works on; a longer text is a step of its own.
 BLOCK_BYTES = 1 << 20
@@ -90,8 +91,13 @@ class Words:
         v = (_LOWER_LUT[raw] if lower else raw).astype(np.uint64) + np.uint64(1)
         total = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum(v * p[:len(raw)], out=total[1:])
-        h = (total[self.end] - total[self.start]) * inv[self.start]
-        self.hash = mix64(h ^ (self.end - self.start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        self._total, self._inv = total, inv
+        self.hash = self.span_hash(self.start, self.end)
+
+    def span_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of byte spans of the block."""
+        h = (self._total[end] - self._total[start]) * self._inv[start]
+        return mix64(h ^ (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
 def gram_hash(h: np.ndarray, n: int) -> np.ndarray:
@@ -105,3 +111,8 @@ def gram_hash(h: np.ndarray, n: int) -> np.ndarray:
         out = out * np.uint64(0xF1357AEA2E62A9C5) + h[k:k + m]
         out ^= out >> np.uint64(29)
     return mix64(out, n)
+
+
+def crc32_of_id(id_col):
+    """crc32 of the id as text (a column)."""
+    return F.crc32(id_col.cast("string").cast("binary"))

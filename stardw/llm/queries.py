@@ -8,14 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stardw.llm.bpe import bpe_decode, bpe_encode
-from stardw.llm.common import table
+from stardw.llm.common import crc32_of_id, table
 from stardw.llm.exact_dedup import exact_groups
+from stardw.llm.language_id import fit_language_model, identify_language
+from stardw.llm.quality import fit_quality_model, score_quality
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = F.coalesce(crc32_of_id(F.col("doc_id")) % 4 == 2, F.lit(False))
+    return score_quality(docs, fit_quality_model(docs, labels, ~held)).withColumn("held_out", held)
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(crc32_of_id(F.col("doc_id")) % 5 == 0, F.lit(False))
+    model = fit_language_model(docs, ~held)
+    return identify_language(docs, model, reject=False).withColumn("held_out", held)
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = bpe_decode(bpe_encode(table(spark, sf_dir, "documents")))
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
@@ -23,8 +38,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op3_bpe": op3_bpe,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_quality": op10_quality,
 }
 
 _NORM = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
