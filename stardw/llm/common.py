@@ -73,7 +73,7 @@ class Words:
     each belongs to, and 64-bit hashes (equal words, equal hashes)."""
 
     def __init__(self, raw: np.ndarray, offsets: np.ndarray, lower: bool = False):
-        self.raw, self.rows = raw, len(offsets) - 1
+        self.raw, self.offsets = raw, offsets
         sep = _SEP_LUT[raw]
         edge = np.zeros(len(raw) + 1, bool)
         edge[offsets] = True

@@ -11,7 +11,17 @@ from stardw.llm.bpe import bpe_decode, bpe_encode
 from stardw.llm.common import crc32_of_id, table
 from stardw.llm.exact_dedup import exact_groups
 from stardw.llm.language_id import fit_language_model, identify_language
+from stardw.llm.ngram_jaccard import jaccard_components
 from stardw.llm.quality import fit_quality_model, score_quality
+from stardw.llm.substring_dedup import substring_dedup
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), percent=90, words=3)
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +50,8 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op3_bpe": op3_bpe,
+    "op7_substring_dedup": op7_substring_dedup,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality": op10_quality,
 }
