@@ -70,11 +70,12 @@ def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
 
 class Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a block of texts: byte spans, the text
-    each belongs to, and 64-bit hashes (equal words, equal hashes)."""
+    each belongs to, and 64-bit hashes (equal words, equal hashes).  ``sep``:
+    for each byte, whether it separates words."""
 
-    def __init__(self, raw: np.ndarray, offsets: np.ndarray, lower: bool = False):
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray, lower: bool = False, sep: np.ndarray = _SEP_LUT):
         self.raw, self.offsets = raw, offsets
-        sep = _SEP_LUT[raw]
+        sep = sep[raw]
         edge = np.zeros(len(raw) + 1, bool)
         edge[offsets] = True
         before = np.ones(len(raw), bool)

@@ -9,11 +9,21 @@ from pyspark.sql import functions as F
 
 from stardw.llm.bpe import bpe_decode, bpe_encode
 from stardw.llm.common import crc32_of_id, table
+from stardw.llm.decontamination import contamination
 from stardw.llm.exact_dedup import exact_groups
 from stardw.llm.language_id import fit_language_model, identify_language
 from stardw.llm.ngram_jaccard import jaccard_components
 from stardw.llm.quality import fit_quality_model, score_quality
 from stardw.llm.substring_dedup import substring_dedup
+from stardw.llm.warc import read_archives, write_archives
+from stardw.session import scratch_dir
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "warc")
+    archives = write_archives(table(spark, sf_dir, "pages"), path)
+    return read_archives(spark, archives, path, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +51,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(docs, model, reject=False).withColumn("held_out", held)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = bpe_decode(bpe_encode(table(spark, sf_dir, "documents")))
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
@@ -49,7 +63,9 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_decontamination": op2_decontamination,
     "op3_bpe": op3_bpe,
+    "op4_warc": op4_warc,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_exact_dedup": op9_exact_dedup,
@@ -67,4 +83,16 @@ g AS (SELECT doc_id, norm, max(doc_id) OVER (PARTITION BY norm) AS keep_id,
              row_number() OVER (PARTITION BY norm, doc_id) AS k FROM n)
 SELECT doc_id, keep_id, group_size,
        doc_id IS NOT DISTINCT FROM keep_id AND k = 1 AS kept, sha256(norm) AS text_sha256 FROM g""",
+    # base32 of the SHA-1: its bits in groups of five
+    "op4_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes,
+             array_to_string([lpad(bin(strpos('0123456789abcdef', c) - 1), 4, '0') FOR c IN string_split(sha1(html), '')], '') AS bits,
+             min(page_id) OVER (PARTITION BY html) AS first_id FROM p)
+SELECT page_id, payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + 16 * substr(bits, 5 * k + 1, 1)::INT + 8 * substr(bits, 5 * k + 2, 1)::INT + 4 * substr(bits, 5 * k + 3, 1)::INT
+           + 2 * substr(bits, 5 * k + 4, 1)::INT + substr(bits, 5 * k + 5, 1)::INT, 1) FOR k IN range(0, 32)], '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM d""",
 }
