@@ -12,6 +12,7 @@ from stardw.llm.common import crc32_of_id, table
 from stardw.llm.decontamination import contamination
 from stardw.llm.exact_dedup import exact_groups
 from stardw.llm.language_id import fit_language_model, identify_language
+from stardw.llm.line_dedup import repeated_lines
 from stardw.llm.ngram_jaccard import jaccard_components
 from stardw.llm.quality import fit_quality_model, score_quality
 from stardw.llm.substring_dedup import substring_dedup
@@ -26,6 +27,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_lines(table(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_bpe": op3_bpe,
     "op4_warc": op4_warc,
+    "op5_line_dedup": op5_line_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_exact_dedup": op9_exact_dedup,
