@@ -39,3 +39,14 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .select(F.col("id").alias("doc_id"), "keep_id", "group_size",
                     (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("k") == 1)).alias("kept"),
                     F.col("sha").alias("text_sha256")))
+
+
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max") -> DataFrame:
+    """The rows of ``docs`` that `exact_groups` keeps, all columns kept; of
+    rows that repeat an id and its text one stays."""
+    key, sha = (next(x for k in range(9) if (x := f"{name}{'_' * k}") not in docs.columns) for name in ("kept_key", "kept_sha"))
+    kept = exact_groups(docs, id_col, text_col, keep).where("kept").select(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(key), F.col("text_sha256").alias(sha))
+    rows = (docs.withColumn(key, F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+            .withColumn(sha, F.sha2(F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER, LOWER).cast("binary"), 256)))
+    return rows.join(kept, [key, sha], "left_semi").dropDuplicates([key, sha]).select(*docs.columns)

@@ -365,3 +365,11 @@ def jaccard_components(docs: DataFrame, percent: int = 80, words: int = 5, lower
     return (sig.join(root, ["c", "c2"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n") > 0, F.col("root")), F.col("doc_id"))).alias("component_id")))
+
+
+def without_near_copies(docs: DataFrame, percent: int = 80, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of its component, all
+    columns kept; rows with a null id stay."""
+    gone = (jaccard_components(docs, percent, words, id_col=id_col, text_col=text_col).where("component_id <> doc_id")
+            .select(F.col("doc_id").alias(id_col)).distinct())
+    return docs.join(gone, id_col, "left_anti").select(*docs.columns)

@@ -11,6 +11,7 @@ from stardw.llm.bpe import bpe_decode, bpe_encode
 from stardw.llm.common import crc32_of_id, table
 from stardw.llm.decontamination import contamination
 from stardw.llm.exact_dedup import exact_groups
+from stardw.llm.html_text import extract_text
 from stardw.llm.language_id import fit_language_model, identify_language
 from stardw.llm.line_dedup import repeated_lines
 from stardw.llm.ngram_jaccard import jaccard_components
@@ -31,6 +32,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_lines(table(spark, sf_dir, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op4_warc": op4_warc,
     "op5_line_dedup": op5_line_dedup,
+    "op6_html_extraction": op6_html_extraction,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_exact_dedup": op9_exact_dedup,
