@@ -11,7 +11,7 @@ from stardw.session import scratch_dir
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared scratch folder and read back."""
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -259,7 +259,7 @@ def _staged(docs: DataFrame, k: int, m: int, id_col: str, text_col: str) -> tupl
     return staged, marks
 
 
-def substring_dedup(docs: DataFrame, k: int = 50, m: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def substring_dedup(docs: DataFrame, k: int = 50, m: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_words, n_removed, kept, kept_sha256`` for every row.
 
     Every word (``[^\\x20\\x09-\\x0D]+``) covered by a ``k``-word window whose
