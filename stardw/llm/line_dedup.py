@@ -19,11 +19,12 @@ from stardw.llm.components import stored
 TAU, MIN_CHARS = 2, 20
 #: Letters whose counts (modulo 8) are compared before a pair is verified.
 LETTERS = "etaoinsrhldu"
+_BLANK = " \\t\\r\\u000b\\u000c"
 
 
 def _segment(length: Column, i: int, tau: int) -> tuple[Column, Column]:
     """First character (from 1) and size of segment i (from 1) of a line."""
-    base, extra = F.floor(length / (tau + 1)).cast("int"), (length % (tau + 1)).cast("int")
+    base, extra = F.call_function("div", length, F.lit(tau + 1)).cast("int"), length % (tau + 1)
     plain = tau + 1 - extra  # so many segments have the base size, the rest one more
     start = F.lit(1) + F.lit(i - 1) * base + F.greatest(F.lit(0), F.lit(i - 1) - plain)
     return start.cast("int"), (base + (F.lit(i) > plain).cast("int")).cast("int")
@@ -38,7 +39,8 @@ def _index_keys(line: Column, length: Column, tau: int) -> Column:
 
 
 def _probe_keys(line: Column, length: Column, tau: int, min_chars: int) -> Column:
-    """(key, characters shorter) for every place where an indexed line's segment can stand."""
+    """A key for every place where an indexed line's segment can stand, first
+    those of lines of the same length (null where none of that length is indexed)."""
     keys = []
     for shorter in range(tau + 1):
         indexed = (length - shorter).cast("int")
@@ -46,10 +48,15 @@ def _probe_keys(line: Column, length: Column, tau: int, min_chars: int) -> Colum
             start, size = _segment(indexed, i, tau)
             for shift in range(max(1 - i, shorter - (tau + 1 - i)), min(i - 1, shorter + tau + 1 - i) + 1):
                 key = F.xxhash64(F.lit(i), indexed, F.substr(line, start + shift, size))
-                keys.append(F.struct(F.when(indexed >= min_chars, key).alias("key"), F.lit(shorter).alias("shorter")))
+                keys.append(F.when(indexed >= min_chars, key))
     return F.array(*keys)
 
 
+def _same_length(tau: int) -> int:
+    """So many of the probe keys are for lines of the same length."""
+    return sum(min(i - 1, tau + 1 - i) - max(1 - i, -(tau + 1 - i)) + 1 for i in range(1, tau + 2))
+
+
 def _letters(line: Column) -> Column:
     """Counts of LETTERS, modulo 8, three bits each."""
     out = F.lit(0).cast("long")
@@ -98,44 +105,59 @@ def repeated_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS,
     a character) of a line that first occurs earlier and both have
     ``min_chars`` characters or more; earlier means a smaller (id, number).
     Lines of white space only stay.  A null text has no lines, an empty one a
-    single empty line.  Rows with a null id keep all lines and repeat none;
-    rows that share an id are one document, whose lines of one number count as
-    one place; other columns are ignored; an empty table gives no rows.
+    single empty line.  Rows with a null id keep all lines and repeat none.
+    Rows that share an id are one document: equal lines of one number in them
+    are one place, and a number that goes is listed for each of them that has
+    such a line.  Other columns are ignored; an empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    known = rows.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    lines = (known.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where("trim(BOTH ' \t\r\x0b\x0c' FROM line) <> ''")
-             .select("doc_id", "line_no", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("line"), "line").alias("h2")))
+    known = rows.where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("th", F.xxhash64("text"))
+    # the lines of a text that count, in order, as (number, line)
+    solid = f"filter(transform(split(text, '\\n'), (x, i) -> struct(i AS line_no, x AS line)), s -> trim(BOTH '{_BLANK}' FROM s.line) <> '')"
+    lines = (known.select("doc_id", "th", F.explode(F.expr(solid)).alias("s"))
+             .select("doc_id", "th", "s.line_no", F.xxhash64("s.line").alias("h1"), F.xxhash64(F.lit("line"), "s.line").alias("h2")))
     firsts = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
     placed = stored(lines.join(firsts, ["h1", "h2"]).select(
-        "doc_id", "line_no", (F.struct("doc_id", "line_no") == F.col("first")).alias("is_first")).distinct(), "lines-placed")
-    first_numbers = placed.where("is_first").groupBy("doc_id").agg(F.collect_list("line_no").alias("numbers"))  # a text's own lines
-    own = (known.join(first_numbers, "doc_id")
-           .select("doc_id", F.explode(F.expr("transform(numbers, n -> struct(n AS line_no, get(split(text, '\\n'), n) AS line))")).alias("x"))
-           .select("doc_id", "x.line_no", "x.line", F.length("x.line").alias("chars")).where(F.col("chars") >= min_chars)
+        "doc_id", "th", "line_no", (F.struct("doc_id", "line_no") == F.col("first")).alias("is_first")).distinct(), "lines-placed")
+
+    def picked(chosen: DataFrame) -> DataFrame:
+        """(doc_id, line_no, line) of the flagged lines: the flags of a text's
+        solid lines, in order, are laid beside the lines."""
+        flags = chosen.groupBy("doc_id", "th").agg(F.array_sort(F.collect_list(F.struct("line_no", "flag"))).alias("flags"))  # a text's own lines
+        beside = f"filter(zip_with({solid}, flags, (s, f) -> struct(s.line_no AS line_no, s.line AS line, f.flag AS flag)), s -> s.flag)"
+        return (known.join(flags, ["doc_id", "th"]).select("doc_id", F.explode(F.expr(beside)).alias("s"))
+                .select("doc_id", "s.line_no", "s.line"))
+    own = (picked(placed.withColumnRenamed("is_first", "flag")).withColumn("chars", F.length("line")).where(F.col("chars") >= min_chars)
            .withColumn("letters", _letters(F.col("line"))))
-    index = own.select(F.col("doc_id").alias("a_doc"), F.col("line_no").alias("a_line"), F.col("letters").alias("a_letters"),
-                       F.explode(_index_keys(F.col("line"), F.col("chars"), tau)).alias("key"))
+    # the arrays are columns of their own, so that what their parts share is computed once
+    index = (own.select(F.col("doc_id").alias("a_doc"), F.col("line_no").alias("a_line"), F.col("letters").alias("a_letters"),
+                        _index_keys(F.col("line"), F.col("chars"), tau).alias("keys"))
+             .select("a_doc", "a_line", "a_letters", F.explode("keys").alias("key")))
     probe = (own.select(F.col("doc_id").alias("b_doc"), F.col("line_no").alias("b_line"), F.col("letters").alias("b_letters"),
-                        F.explode(_probe_keys(F.col("line"), F.col("chars"), tau, min_chars)).alias("x"))
-             .select("b_doc", "b_line", "b_letters", "x.key", "x.shorter").where("key IS NOT NULL"))
+                        _probe_keys(F.col("line"), F.col("chars"), tau, min_chars).alias("keys"))
+             .select("b_doc", "b_line", "b_letters", F.posexplode("keys").alias("k", "key")).where("key IS NOT NULL")
+             .select("b_doc", "b_line", "b_letters", "key", (F.col("k") >= _same_length(tau)).alias("shorter")))
     other = "(a_doc < b_doc OR (a_doc = b_doc AND a_line < b_line))"
-    pairs = stored(index.join(probe, "key").where(F.expr(f"{other} OR (shorter > 0 AND NOT (a_doc = b_doc AND a_line = b_line))")
+    pairs = stored(index.join(probe, "key").where(F.expr(f"{other} OR (shorter AND NOT (a_doc = b_doc AND a_line = b_line))")
                                                   & (_letter_difference(F.col("a_letters"), F.col("b_letters")) <= 2 * tau))
                    .select("a_doc", "a_line", "b_doc", "b_line").distinct(), "lines-pairs")
     wanted = pairs.select(F.col("a_doc").alias("doc_id"), F.col("a_line").alias("line_no")).union(pairs.select("b_doc", "b_line")).distinct()
-    texts = stored(known.join(wanted.groupBy("doc_id").agg(F.collect_list("line_no").alias("numbers")), "doc_id")
-                   .select("doc_id", F.explode(F.expr("transform(numbers, n -> struct(n AS line_no, split(get(split(text, '\\n'), n), '') AS chars))")).alias("x"))
-                   .select("doc_id", "x.line_no", "x.chars").where("chars IS NOT NULL"), "lines-texts")
+    chosen = placed.join(wanted.withColumn("w", F.lit(True)), ["doc_id", "line_no"], "left").select(
+        "doc_id", "th", "line_no", (F.col("is_first") & F.col("w").isNotNull()).alias("flag"))
+    some = chosen.where("flag").select("doc_id", "th").distinct()
+    texts = stored(picked(chosen.join(some, ["doc_id", "th"], "left_semi")).select("doc_id", "line_no", F.split("line", "").alias("chars")),
+                   "lines-texts")
     a = texts.select(F.col("doc_id").alias("a_doc"), F.col("line_no").alias("a_line"), F.col("chars").alias("a"))
     b = texts.select(F.col("doc_id").alias("b_doc"), F.col("line_no").alias("b_line"), F.col("chars").alias("b"))
     near = pairs.join(a, ["a_doc", "a_line"]).join(b, ["b_doc", "b_line"]).where(within_edits("a", "b", tau))
     later = near.select(F.expr(f"CASE WHEN {other} THEN struct(b_doc AS doc_id, b_line AS line_no) ELSE struct(a_doc AS doc_id, a_line AS line_no) END").alias("x"))
-    gone = (placed.where("NOT is_first").select("doc_id", "line_no").union(later.select("x.doc_id", "x.line_no")).distinct()
-            .groupBy("doc_id").agg(F.array_sort(F.collect_list("line_no")).alias("removed")))
-    counted = rows.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).alias("n_lines"))
-    return counted.join(gone, "doc_id", "left").select(
-        "doc_id", "n_lines", F.expr("filter(coalesce(removed, array()), x -> x < n_lines)").alias("removed")).select(
+    dropped = placed.where("is_first").join(later.select("x.doc_id", "x.line_no").distinct(), ["doc_id", "line_no"], "left_semi")
+    gone = (placed.where("NOT is_first").select("doc_id", "th", "line_no").union(dropped.select("doc_id", "th", "line_no")).distinct()
+            .groupBy("doc_id", "th").agg(F.array_sort(F.collect_list("line_no")).alias("removed")))
+    counted = rows.select("doc_id", F.xxhash64("text").alias("th"),
+                          F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).alias("n_lines"))
+    return counted.join(gone, ["doc_id", "th"], "left").select(
+        "doc_id", "n_lines", F.coalesce("removed", F.array().cast("array<int>")).alias("removed")).select(
         "doc_id", "n_lines", F.size("removed").alias("n_removed"), "removed")
 
 
