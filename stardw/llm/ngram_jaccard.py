@@ -3,10 +3,11 @@
 A document's set holds its distinct word n-grams.  Sets of a size band are
 folded into a bit sketch: each element flips one bit, so the Hamming distance
 of two sketches never exceeds the symmetric difference of the sets.  A pair at
-or above the threshold differs in at most ``d`` elements (fixed per band), so
-of ``d + 1 + slack`` sketch segments at least ``slack + 1`` are equal; a set
-whose segments with fewer than ``LOW`` elements number at most ``slack`` need
-not index those.  Segments meet in an equi-join; within one, pairs whose whole
+or above the threshold differs in at most ``d`` elements, so of ``d + 1 +
+spare`` sketch segments at least ``spare + 1`` hold the same elements.  A set
+need not index the segments that say little - with less than ``low`` n-grams
+that are not common - if they number at most ``spare``: whatever the list of
+common n-grams, a pair keeps a shared segment.  Segments meet in an equi-join; within one, pairs whose whole
 sketches differ in more than ``d`` bits go.  What is left connected forms
 candidate groups, and there every pair is verified on the exact sets, group by
 group and in blocks of bounded size.  Only spanning links leave a task.
@@ -24,7 +25,11 @@ from pyspark.sql import functions as F
 from stardw.llm.common import Words, blocks, gram_hash, mix64, text_buffer
 from stardw.llm.components import connected_components, stored
 
-SEGMENT_BITS, SKETCH_WORDS, LOW = 1024, 8, 2
+SEGMENT_BITS, SKETCH_WORDS = 1024, 8
+#: An n-gram is common if so many documents hold it, counted where a part of
+#: the corpus holds it LOCAL_DOCS times; the list keeps the most common ones
+#: (it steers what is indexed, never what links).
+COMMON_DOCS, LOCAL_DOCS, COMMON_MAX = 8, 3, 1 << 20
 #: Rows of one segment whose sketches are compared with each other; a larger one
 #: becomes one candidate group unseen (verification sees all of it).
 RUN_ROWS = 4096
@@ -38,18 +43,25 @@ class Bands:
 
     def __init__(self, percent: int):
         self.percent = percent
+        # elements per segment are few where the threshold is low: then more
+        # segments, narrower bands and less asked of a segment
+        dense = (100 + percent) >= 16 * (100 - percent)
+        self.slack, self.low = (0.12, 3) if dense else (0.5, 2)
         self.tops = [1]
         while self.tops[-1] < 1 << 40:
-            self.tops.append(max(self.tops[-1] + 1, self.tops[-1] * 10000 // percent**2))
-        self.slack = 0.12 if (100 + percent) >= 16 * (100 - percent) else 0.25
+            wide = self.tops[-1] * 10000 // percent**2 if dense else self.tops[-1] * 100 // percent
+            self.tops.append(max(self.tops[-1] + 1, wide))
 
     def of(self, n: int) -> list[tuple[int, int, int]]:
-        """(band, d, segments) for each band in which a set of n elements may have a partner."""
+        """(band, segments, spare) for each band in which a set of n elements
+        may have a partner; none where only equal sets link."""
         lo, hi = np.searchsorted(self.tops, [n, n * 100 // self.percent])
         out = []
         for b in range(lo, hi + 1):
-            d = (100 - self.percent) * 2 * self.tops[b] // (100 + self.percent)
-            out.append((b, d, d + 1 + max(1, int((d + 1) * self.slack))))
+            d = self.most(self.tops[b], self.tops[b])
+            if d:
+                segments = d + 1 + max(1, int((d + 1) * self.slack))
+                out.append((b, segments, segments - self.most(n, self.tops[b]) - 1))
         return out
 
     def most(self, a, b):
@@ -76,12 +88,12 @@ def shingle_sets(batch: pa.RecordBatch, words: int, lower: bool) -> Iterator[tup
             yield lo + r, h, int(c), int(mix64(h, 13).sum(dtype=np.uint64).astype(np.int64))
 
 
-def segment_keys(h: np.ndarray, bands: Bands) -> np.ndarray:
-    """Join keys of a set: one per indexed segment of its sketch in each band."""
+def segment_keys(h: np.ndarray, bands: Bands, rare: np.ndarray | None = None) -> np.ndarray:
+    """Join keys of a set: one per indexed segment of its sketch in each band.
+    ``rare``: whether each element is no common n-gram (default: all are)."""
     out = []
-    for band, d, segments in bands.of(len(h)):
-        if d == 0:  # only equal sets link, and those are one class already
-            continue
+    rare = np.ones(len(h), bool) if rare is None else rare
+    for band, segments, spare in bands.of(len(h)):
         x = mix64(h, 20 + band)
         seg = ((x >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)
         bit = np.sort(seg * np.uint64(SEGMENT_BITS) + (x & np.uint64(SEGMENT_BITS - 1)))
@@ -91,8 +103,9 @@ def segment_keys(h: np.ndarray, bands: Bands) -> np.ndarray:
         at = np.searchsorted(odd, np.arange(segments + 1, dtype=np.uint64) * np.uint64(SEGMENT_BITS))
         number = np.arange(segments, dtype=np.uint64) + np.uint64((band * 1_000_003 + 7) << 24)
         key = mix64(total[at[1:]] - total[at[:-1]] + mix64(number, 2), 3)
-        low = np.diff(at) < LOW
-        out.append(key[~low] if low.sum() <= segments - d - 1 else key)
+        empty = np.diff(at) == 0
+        low = empty | (np.bincount(seg[rare].astype(np.int64), minlength=segments) < bands.low)
+        out.append(key[~low] if low.sum() <= spare else key[~empty] if empty.sum() <= spare else key)
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -113,9 +126,50 @@ def _signatures(words: int, lower: bool):
     return run
 
 
-def _keys(words: int, lower: bool, percent: int):
+def _local_counts(words: int, lower: bool):
+    """N-grams that LOCAL_DOCS documents of a part of the corpus hold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(percent)
+        for batch in batches:
+            held, n = [], 0
+            for r, h, _, _ in shingle_sets(batch, words, lower):
+                held.append(h)
+                n += len(h)
+                if n > 2_000_000 or r == batch.num_rows - 1:
+                    value, count = np.unique(np.concatenate(held), return_counts=True)
+                    often = count >= LOCAL_DOCS
+                    if often.any():
+                        yield pa.RecordBatch.from_arrays([pa.array(value[often].astype(np.int64)), pa.array(count[often])], ["gram", "n"])
+                    held, n = [], 0
+    return run
+
+
+def common_grams(rows: DataFrame, words: int, lower: bool) -> np.ndarray:
+    """Hashes of the most common n-grams, sorted: at most COMMON_MAX (8 MB)."""
+    counts = rows.select("text").mapInArrow(_local_counts(words, lower), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    top = counts.where(F.col("n") >= COMMON_DOCS).orderBy(F.desc("n"), "gram").limit(COMMON_MAX).select("gram")
+    return np.sort(top.toArrow().column("gram").to_numpy().astype(np.uint64))
+
+
+class Common:
+    """Membership in a sorted list of hashes."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = hashes
+        self.maybe = np.zeros(1 << 24, bool)
+        self.maybe[hashes >> np.uint64(40)] = True
+
+    def rare(self, h: np.ndarray) -> np.ndarray:
+        out = ~self.maybe[h >> np.uint64(40)]
+        k = np.flatnonzero(~out)
+        if len(k):
+            at = np.minimum(np.searchsorted(self.hashes, h[k]), len(self.hashes) - 1)
+            out[k] = self.hashes[at] != h[k]
+        return out
+
+
+def _keys(words: int, lower: bool, percent: int, listed):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands, common = Bands(percent), Common(listed.value)
 
         def out(keys, classes):
             key = np.concatenate(keys)
@@ -127,7 +181,7 @@ def _keys(words: int, lower: bool, percent: int):
                 if c in seen:  # a copy in this batch has the same keys
                     continue
                 seen.add(c)
-                k = segment_keys(h, bands)
+                k = segment_keys(h, bands, common.rare(h))
                 if len(k):
                     keys.append(k)
                     classes.append(c)
@@ -194,8 +248,23 @@ def _near(percent: int):
     bands = Bands(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a_out, b_out = [], []
+        a_out, b_out, twos = [], [], []
+
+        def compared(pairs):
+            """The pairs (n, c and sketch of two rows each) that are near."""
+            n, c, s = (np.concatenate([x[k] for x in pairs]).reshape(-1, 2) for k in (0, 1, 2))
+            bits = np.frombuffer(b"".join(s.ravel()), np.uint64).reshape(len(n), 2, SKETCH_WORDS)
+            far = np.bitwise_count(bits[:, 0] ^ bits[:, 1]).sum(axis=1, dtype=np.int64)
+            ok = (n.min(axis=1) * 100 >= percent * n.max(axis=1)) & (far <= bands.most(n[:, 0], n[:, 1]))
+            return c[ok, 1], c[ok, 0]
         for (key, c, n, s), parted in _runs(batches, ["run", "c", "n", "sketch"]):
+            if len(c) == 2 and not parted and not key[0] & 1:
+                twos.append((n, c, s))
+                if len(twos) > 5000:
+                    a, b = compared(twos)
+                    twos = []
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                continue
             if parted or key[0] & 1:
                 a_out.append(c[1:])
                 b_out.append(np.full(len(c) - 1, c[0]))
@@ -217,6 +286,10 @@ def _near(percent: int):
             if len(a_out) > 5000:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a_out)), pa.array(np.concatenate(b_out))], ["a", "b"])
                 a_out, b_out = [], []
+        if twos:
+            a, b = compared(twos)
+            a_out.append(a)
+            b_out.append(b)
         if a_out:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a_out)), pa.array(np.concatenate(b_out))], ["a", "b"])
     return run
@@ -343,7 +416,9 @@ def jaccard_components(docs: DataFrame, percent: int = 80, words: int = 5, lower
     sig = stored(rows.mapInArrow(_signatures(words, lower), "doc_id long, n long, c long, c2 long, sketch binary"), "jaccard-sig")
     classes = stored(sig.where("n > 0 AND doc_id IS NOT NULL").groupBy("c", "c2").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n")),
                      "jaccard-classes")
-    keys = rows.where("doc_id IS NOT NULL").mapInArrow(_keys(words, lower, percent), "key long, c long")
+    known = rows.where("doc_id IS NOT NULL")
+    listed = docs.sparkSession.sparkContext.broadcast(common_grams(known, words, lower))
+    keys = known.mapInArrow(_keys(words, lower, percent, listed), "key long, c long")
     shared = (keys.repartition("key").sortWithinPartitions("key", "c").mapInArrow(_shared, "run long, c long").distinct())
     sketches = sig.where("n > 0").groupBy("c").agg(F.min("n").alias("n"), F.min("sketch").alias("sketch"))
     near = (shared.join(sketches, "c").select("run", "c", "n", "sketch").repartition("run").sortWithinPartitions("run", "c")
