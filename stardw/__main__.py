@@ -11,11 +11,12 @@ With ``--jdbc-url`` the stored tables are also appended to a database
 from __future__ import annotations
 
 import argparse
+import os
 
 from stardw.params import DEFAULT_PARAMS
 from stardw.plans.audit import row_count_audit
 from stardw.plans.load import load_warehouse
-from stardw.session import apply_runtime_conf, build_session, scale_conf
+from stardw.session import build_session, scale_conf
 from stardw.sources.csv import read_raw_csv
 from stardw.sources.warehouse_io import write_jdbc
 
@@ -28,20 +29,20 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--jdbc-url")
     ap.add_argument("--jdbc-table-prefix", default="")
     ap.add_argument("--jdbc-user")
-    ap.add_argument("--jdbc-password")
+    # the password is read from the environment, not from the command line
+    ap.add_argument("--jdbc-password-env", default="STARDW_JDBC_PASSWORD", help="variable that holds the password")
     ap.add_argument("--input-gb", type=float,
                     help="raw input volume: sizes shuffle partitions, scan splits and skew thresholds")
     args = ap.parse_args(argv)
 
     spark = build_session()
-    apply_runtime_conf(spark)
     if args.input_gb:
         for k, v in scale_conf(int(args.input_gb * (1 << 30))).items():
             spark.conf.set(k, v)
     files = dict(kv.split("=", 1) for kv in args.file)
     wh = load_warehouse(read_raw_csv(spark, args.raw_dir, files), DEFAULT_PARAMS, args.warehouse)
     if args.jdbc_url:
-        props = {k: v for k, v in {"user": args.jdbc_user, "password": args.jdbc_password}.items() if v}
+        props = {k: v for k, v in {"user": args.jdbc_user, "password": os.environ.get(args.jdbc_password_env)}.items() if v}
         for name, df in wh.tables().items():
             write_jdbc(df, name, args.jdbc_url, args.jdbc_table_prefix + name, props)
     for r in row_count_audit(wh).collect():

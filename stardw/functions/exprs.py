@@ -100,8 +100,11 @@ def age_group(age: ColumnOrName) -> Column:
 # ---------------------------------------------------------------- time
 
 def lenient_timestamp(c: ColumnOrName) -> Column:
-    """parse, unparsable -> NULL (never raises under ANSI mode)."""
-    return _c(c).try_cast("timestamp_ntz")
+    """parse; unparsable, or beyond the range of 64-bit nanoseconds around
+    1970 (which the source's parser gives up on) -> NULL."""
+    t = _c(c).try_cast("timestamp_ntz")
+    lo, hi = (F.lit(x).cast("timestamp_ntz") for x in L.TIMESTAMP_RANGE)
+    return F.when(t.between(lo, hi), t)
 
 
 def date_key(c: ColumnOrName) -> Column:
@@ -122,8 +125,9 @@ def weekday_name(c: ColumnOrName) -> Column:
 
 def elapsed_days(start: ColumnOrName, end: ColumnOrName) -> Column:
     """floor of elapsed time / 24 h (negative spans floor down); NULL if either is NULL."""
-    secs = F.timestamp_diff("SECOND", _c(start), _c(end))
-    return F.floor(secs / F.lit(86400.0)).cast("int")
+    micros = F.timestamp_diff("MICROSECOND", _c(start), _c(end))
+    day = F.lit(86_400_000_000)
+    return ((micros - F.pmod(micros, day)) / day).cast("int")
 
 
 def on_time_flag(delivered: ColumnOrName, estimated: ColumnOrName) -> Column:
@@ -163,11 +167,6 @@ def _int_div(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
 
 
-def round_money(c: ColumnOrName) -> Column:
-    """round to cents, half-up, as DECIMAL(10,2)."""
-    return F.round(_c(c), 2).cast("decimal(10,2)")
-
-
 # ---------------------------------------------------------------- simulated attributes
 
 def sim_hash(key: ColumnOrName, seed: int, part: int) -> Column:

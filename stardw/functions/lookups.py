@@ -58,3 +58,7 @@ CSV_NULL_TOKENS = [
 MONTH_NAMES = ["January", "February", "March", "April", "May", "June", "July",
                "August", "September", "October", "November", "December"]
 WEEKDAY_NAMES = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+
+# FIXED VALUES: first and last time (whole microseconds) of a 64-bit count of
+# nanoseconds around 1970.
+TIMESTAMP_RANGE = ("1677-09-21 00:12:43.145225", "2262-04-11 23:47:16.854775")

@@ -1,7 +1,7 @@
-"""Deterministic aggregates (A1, A2, A5).
+"""Deterministic aggregates (A1, A5).
 
-Spark's ``first`` depends on row order and plain ``mode`` breaks ties by hash
-order; both are replaced by order-independent formulations.
+Spark's ``first`` depends on row order; it is replaced by an order-independent
+formulation (the deterministic mode, A2, is part of ``dims.seller_stats``).
 """
 
 from __future__ import annotations
@@ -19,24 +19,6 @@ def first_non_null_by(value: str, order: str) -> Column:
     return F.min_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(order)))
 
 
-def deterministic_mode(df: DataFrame, group_cols: Sequence[str], value: str,
-                       out_col: str, weight: str | None = None) -> DataFrame:
-    """A2/T5: most frequent non-NULL ``value`` per group; ties -> the smallest
-    value.  Groups whose values are all NULL are absent from the result.
-    ``weight`` names a pre-computed count column (input already reduced).
-
-    Two partial-aggregating group-bys: (group, value) counts first, so a seller
-    with a third of all lines is reduced map-side; then the best (count, value)
-    pair per group via ``min(struct(-count, value))``.
-    """
-    w = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    counted = (df.where(F.col(value).isNotNull())
-               .groupBy(*group_cols, value).agg(w.alias("__n")))
-    best = F.min(F.struct((-F.col("__n")).alias("neg_n"), F.col(value).alias("v")))
-    return counted.groupBy(*group_cols).agg(best.alias("__best")) \
-        .select(*group_cols, F.col("__best.v").alias(out_col))
-
-
 def date_bounds(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A5: one-row (lo, hi) over several date/timestamp columns in one pass
     (``least``/``greatest`` skip NULLs)."""

@@ -15,44 +15,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stardw.operators.joins import row_count_at_most
-from stardw.session import CONF_SINGLE_TASK_KEY_ROWS, conf_int, ensure_checkpoint_dir
+from stardw.operators.lineage import materialize
 
 _PART, _POS, _OFF, _CNT = "__part", "__pos", "__off", "__cnt"
 
 
-# A checked row count up to this bound lets the numbering run as one ordered
-# window in a single task (deterministic, no sampling pass, no checkpoint).
-SINGLE_TASK_MAX_ROWS = 1_000_000
-
-
-def dense_key(df: DataFrame, order_cols: Sequence[str], out_col: str,
-              key_type: str = "int", bound_source: DataFrame | None = None,
-              single_task_max_rows: int | None = None) -> DataFrame:
+def dense_key(df: DataFrame, order_cols: Sequence[str], out_col: str, key_type: str = "long") -> DataFrame:
     """Number the rows of ``df`` 1..n in ``order_cols`` order (ties must not
     exist: order by a unique key).
 
-    When ``bound_source`` (a cheap table whose row count bounds ``df``'s) has
-    at most ``single_task_max_rows`` rows, the numbering is a plain
-    ``row_number()`` over the global order: one task, deterministic, so it is
-    recomputed identically after a failure.
-
-    Otherwise: range-partition + sort (one shuffle, spread over all tasks),
-    tag each row with (partition, position-in-partition), cut lineage with a
-    reliable checkpoint so the tags are stable on re-execution or executor
-    loss, count rows per partition (one tiny row per partition), turn the
-    counts into offsets, and add them back with a broadcast join whose size
-    is bounded by the number of partitions.
+    Range-partition + sort (one shuffle, spread over all tasks), tag each row
+    with (partition, position-in-partition), cut lineage with a reliable
+    checkpoint so the tags are stable on re-execution or executor loss, count
+    rows per partition (one tiny row per partition), turn the counts into
+    offsets, and add them back with a broadcast join whose size is bounded by
+    the number of partitions.
     """
-    if single_task_max_rows is None:
-        single_task_max_rows = conf_int(df.sparkSession, CONF_SINGLE_TASK_KEY_ROWS, SINGLE_TASK_MAX_ROWS)
-    if bound_source is not None and row_count_at_most(bound_source, single_task_max_rows):
-        return df.withColumn(out_col, F.row_number().over(W.orderBy(*order_cols)).cast(key_type))
-    ensure_checkpoint_dir(df.sparkSession)
     ordered = (df.orderBy(*order_cols)
                .withColumn(_PART, F.spark_partition_id())
                .withColumn(_POS, F.monotonically_increasing_id()))
-    ordered = ordered.checkpoint(eager=True)
+    ordered = materialize(ordered)
     counts = ordered.groupBy(_PART).agg(F.count(F.lit(1)).alias(_CNT))
     # one row per partition: the window below runs over (#partitions) rows
     offsets = counts.select(

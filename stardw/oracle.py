@@ -13,7 +13,7 @@ from decimal import Decimal
 
 from stardw.functions import lookups as L
 from stardw.params import FIXTURE_PARAMS, Params
-from stardw.sources.fixtures import FIXTURE_NATION_STATE, FIXTURE_TRANSLATION
+from stardw.sources.fixtures import FIXTURE_NATION_STATE, FIXTURE_TRANSLATION, IDLE, UNKNOWN, UNKNOWN_ORDER
 
 
 def _values(rows, fmt) -> str:
@@ -26,8 +26,9 @@ def _q(s: str) -> str:
 
 FIXTURE_CTES = f"""
 fx_translation AS (
-  SELECT * FROM (VALUES {_values(FIXTURE_TRANSLATION, lambda r: f"({_q(r[0])},{_q(r[1])})")})
-  AS t(product_category_name, product_category_name_english)),
+  SELECT product_category_name, arg_max(product_category_name_english, pos) AS product_category_name_english
+  FROM (VALUES {_values(enumerate(FIXTURE_TRANSLATION), lambda r: f"({r[0]},{_q(r[1][0])},{_q(r[1][1])})")})
+  AS t(pos, product_category_name, product_category_name_english) GROUP BY product_category_name),
 fx_state AS (
   SELECT * FROM (VALUES {_values(FIXTURE_NATION_STATE, lambda r: f"({r[0]},{_q(r[1])})")}) AS t(nk, state)),
 fx_customers AS (
@@ -37,26 +38,46 @@ fx_customers AS (
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN fx_state ON c_nationkey = nk),
 fx_sellers AS (
   SELECT s_suppkey AS seller_id, lower(n_name) AS seller_city, state AS seller_state
-  FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN fx_state ON s_nationkey = nk),
+  FROM (SELECT s_suppkey, s_nationkey FROM supplier UNION ALL
+        SELECT s_suppkey + {IDLE}, s_nationkey FROM supplier WHERE s_suppkey % 10 = 0) s
+       LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN fx_state ON s_nationkey = nk),
 fx_products AS (
-  SELECT p_partkey AS product_id, CASE WHEN p_size = 50 THEN NULL ELSE p_brand END AS product_category_name FROM part),
-fx_orders AS (
-  SELECT o_orderkey AS order_id, o_custkey AS customer_id,
-         o_orderdate + INTERVAL '1' SECOND * CAST(o_orderkey * 7919 % 86400 AS INT) AS order_purchase_timestamp,
+  SELECT p_partkey AS product_id, CASE WHEN p_size = 50 THEN NULL ELSE p_brand END AS product_category_name
+  FROM (SELECT p_partkey, p_size, p_brand FROM part UNION ALL
+        SELECT p_partkey + {IDLE}, p_size, p_brand FROM part WHERE p_partkey % 20 = 0) p),
+fx_base_orders AS (
+  SELECT o_orderkey AS order_id,
+         CASE WHEN o_orderkey % 71 = 5 THEN NULL WHEN o_orderkey % 67 = 5 THEN o_custkey + {UNKNOWN} ELSE o_custkey END AS customer_id,
+         CASE WHEN o_orderkey % 61 = 5 THEN NULL
+              ELSE o_orderdate + INTERVAL '1' SECOND * CAST(o_orderkey * 7919 % 86400 AS INT) END AS order_purchase_timestamp,
          o_orderdate + INTERVAL '1' DAY AS order_approved_at,
          CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderdate + INTERVAL '1' DAY * CAST(o_orderkey % 40 AS INT)
               + INTERVAL '1' SECOND * CAST(o_orderkey * 104729 % 86400 AS INT) END AS order_delivered_customer_date,
          CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE o_orderdate + INTERVAL '25' DAY END AS order_estimated_delivery_date
   FROM orders),
-fx_item_lines AS (
-  SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS product_id, l_suppkey AS seller_id,
+fx_orders AS (
+  SELECT * FROM fx_base_orders
+  UNION ALL SELECT * REPLACE (NULL AS customer_id, NULL AS order_purchase_timestamp) FROM fx_base_orders WHERE order_id % 19 = 3
+  UNION ALL SELECT * REPLACE (order_purchase_timestamp + INTERVAL '1' DAY AS order_purchase_timestamp)
+            FROM fx_base_orders WHERE order_id % 23 = 3),
+fx_base_items AS (
+  SELECT l_orderkey AS order_id, l_linenumber AS order_item_id,
+         CASE WHEN l_orderkey % 97 = 5 THEN NULL WHEN l_orderkey % 89 = 5 THEN l_partkey + {UNKNOWN} ELSE l_partkey END AS product_id,
+         CASE WHEN l_orderkey % 103 = 5 THEN NULL WHEN l_orderkey % 101 = 5 THEN l_suppkey + {UNKNOWN} ELSE l_suppkey END AS seller_id,
          CAST(l_extendedprice AS DECIMAL(10,2)) AS price, CAST(l_quantity AS DECIMAL(10,2)) AS freight_value
   FROM lineitem),
 fx_items AS (
+  SELECT * FROM fx_base_items
+  UNION ALL SELECT * REPLACE (NULL AS product_id) FROM fx_base_items WHERE order_id % 17 = 3
+  UNION ALL SELECT * REPLACE (seller_id + {UNKNOWN} AS seller_id) FROM fx_base_items WHERE order_id % 13 = 3
+  UNION ALL SELECT * REPLACE (order_id + {UNKNOWN_ORDER} AS order_id) FROM fx_base_items
+            WHERE order_id % 83 = 3 AND order_item_id = 1),
+fx_first_items AS (
   SELECT order_id, order_item_id, product_id, seller_id, price, freight_value FROM (
     SELECT *, row_number() OVER (PARTITION BY order_id, order_item_id
-                                 ORDER BY product_id, seller_id, price, freight_value) AS rn
-    FROM fx_item_lines) x WHERE rn = 1),
+                                 ORDER BY product_id NULLS FIRST, seller_id NULLS FIRST, price NULLS FIRST,
+                                          freight_value NULLS FIRST) AS rn
+    FROM fx_items) x WHERE rn = 1),
 fx_reviews AS (
   SELECT o_orderkey AS order_id, CAST(1 + o_orderkey % 5 AS INT) AS review_score FROM orders WHERE o_orderkey % 7 <> 0
   UNION ALL
@@ -152,7 +173,7 @@ w_cust_attr AS (
   SELECT *, CAST(18 + {hash_sql('customer_unique_id', p.seed, 0)} % 53 AS SMALLINT) AS customer_age
   FROM w_cust_profile),
 w_dim_customer AS (
-  SELECT CAST(row_number() OVER (ORDER BY customer_unique_id) AS INTEGER) AS sk_customer,
+  SELECT CAST(row_number() OVER (ORDER BY customer_unique_id) AS BIGINT) AS sk_customer,
          customer_unique_id, customer_city, customer_state,
          {region_sql('customer_state')} AS customer_region,
          customer_age,
@@ -177,7 +198,7 @@ w_seller_stats AS (
   SELECT seller_id, count(order_item_id) AS total_items, sum(price) AS total_revenue
   FROM fx_items WHERE seller_id IS NOT NULL GROUP BY seller_id),
 w_dim_seller AS (
-  SELECT CAST(row_number() OVER (ORDER BY s.seller_id) AS INTEGER) AS sk_seller,
+  SELECT CAST(row_number() OVER (ORDER BY s.seller_id) AS BIGINT) AS sk_seller,
          s.seller_id, s.seller_city, s.seller_state,
          {region_sql('s.seller_state')} AS seller_region,
          CASE WHEN st.seller_id IS NULL THEN NULL ELSE coalesce(m.mode_category, 'Unknown') END AS seller_main_category,
@@ -193,7 +214,7 @@ w_list_price AS (
               AS DECIMAL(10,2)) AS list_price
   FROM fx_items WHERE product_id IS NOT NULL AND price IS NOT NULL GROUP BY product_id),
 w_dim_product AS (
-  SELECT CAST(row_number() OVER (ORDER BY pc.product_id) AS INTEGER) AS sk_product,
+  SELECT CAST(row_number() OVER (ORDER BY pc.product_id) AS BIGINT) AS sk_product,
          pc.product_id, pc.product_category,
          {group_sql('pc.product_category')} AS product_category_group,
          lp.list_price,
@@ -209,28 +230,38 @@ w_cust_sk AS (
   SELECT c.customer_id, min(d.sk_customer) AS sk_customer
   FROM fx_customers c JOIN w_dim_customer d ON c.customer_unique_id = d.customer_unique_id
   GROUP BY c.customer_id),
+w_valid_orders AS (
+  SELECT * FROM (
+    SELECT o.*, cs.sk_customer, row_number() OVER (
+             PARTITION BY o.order_id ORDER BY o.customer_id, o.order_purchase_timestamp,
+             o.order_delivered_customer_date NULLS FIRST, o.order_estimated_delivery_date NULLS FIRST) AS rn
+    FROM fx_orders o JOIN w_cust_sk cs ON o.customer_id = cs.customer_id
+    WHERE o.order_id IS NOT NULL AND o.order_purchase_timestamp IS NOT NULL) x WHERE rn = 1),
+w_valid_lines AS (
+  SELECT * FROM (
+    SELECT i.*, dp.sk_product, dp.unit_cost, ds.sk_seller, row_number() OVER (
+             PARTITION BY i.order_id, i.order_item_id
+             ORDER BY i.product_id, i.seller_id, i.price NULLS FIRST, i.freight_value NULLS FIRST) AS rn
+    FROM fx_items i JOIN w_dim_product dp ON i.product_id = dp.product_id
+         JOIN w_dim_seller ds ON i.seller_id = ds.seller_id
+    WHERE i.order_id IS NOT NULL AND i.order_item_id IS NOT NULL) x WHERE rn = 1),
 w_fact AS (
   SELECT i.order_id, CAST(i.order_item_id AS SMALLINT) AS order_item_id,
          {datekey_sql('o.order_purchase_timestamp')} AS sk_date_purchase,
          {datekey_sql('o.order_delivered_customer_date')} AS sk_date_delivered,
          {datekey_sql('o.order_estimated_delivery_date')} AS sk_date_estimated_delivery,
-         cs.sk_customer, ds.sk_seller, dp.sk_product,
+         o.sk_customer, i.sk_seller, i.sk_product,
          i.price, i.freight_value,
          CAST(i.price + i.freight_value AS DECIMAL(10,2)) AS revenue,
-         CAST(i.price - coalesce(dp.unit_cost, 0) AS DECIMAL(10,2)) AS gross_profit,
-         dp.unit_cost,
-         CAST(floor(date_diff('second', o.order_purchase_timestamp, o.order_delivered_customer_date) / 86400.0) AS SMALLINT) AS delivery_days,
+         CAST(i.price - coalesce(i.unit_cost, 0) AS DECIMAL(10,2)) AS gross_profit,
+         i.unit_cost,
+         CAST(floor(date_diff('microsecond', o.order_purchase_timestamp, o.order_delivered_customer_date) / 86400000000.0) AS SMALLINT) AS delivery_days,
          CAST(CASE WHEN o.order_delivered_customer_date IS NULL OR o.order_estimated_delivery_date IS NULL THEN NULL
                    WHEN o.order_delivered_customer_date <= o.order_estimated_delivery_date THEN 1 ELSE 0 END AS SMALLINT) AS is_on_time,
          CAST(r.review_score AS SMALLINT) AS review_score
-  FROM fx_items i
-       LEFT JOIN fx_orders o ON i.order_id = o.order_id
-       LEFT JOIN w_best_review r ON i.order_id = r.order_id
-       LEFT JOIN w_cust_sk cs ON o.customer_id = cs.customer_id
-       LEFT JOIN w_dim_seller ds ON i.seller_id = ds.seller_id
-       LEFT JOIN w_dim_product dp ON i.product_id = dp.product_id
-  WHERE i.order_id IS NOT NULL AND i.order_item_id IS NOT NULL AND o.order_purchase_timestamp IS NOT NULL
-        AND cs.sk_customer IS NOT NULL AND ds.sk_seller IS NOT NULL AND dp.sk_product IS NOT NULL),
+  FROM w_valid_lines i
+       JOIN w_valid_orders o ON i.order_id = o.order_id
+       LEFT JOIN w_best_review r ON i.order_id = r.order_id),
 w_fact_cat AS (
   SELECT f.*, coalesce(dp.product_category, 'Unknown') AS product_category
   FROM w_fact f LEFT JOIN w_dim_product dp ON f.sk_product = dp.sk_product),

@@ -38,6 +38,7 @@ class Params:
     period_from: _dt.date = _dt.date(1996, 1, 1)
     period_to: _dt.date = _dt.date(1998, 12, 31)
     slicer_groups: tuple[str, ...] = ("Electronics", "Home & Garden", "Fashion")
+    slicer_categories: tuple[str, ...] = ("audio", "bed_bath_table", "toys", "health_beauty")
     focus_group: str = "Electronics"
     focus_year: int = 1997
     focus_quarter: int = 4
@@ -60,11 +61,11 @@ FIXTURE_PARAMS = Params(
     band_mid=Decimal("55000"),
     band_premium=Decimal("65000"),
     premium_min=Decimal("65000"),
-    size_small=440,
-    size_medium=470,
-    tier_bronze=Decimal("23000000"),
-    tier_silver=Decimal("24500000"),
-    risk_min_revenue=Decimal("25500000"),
-    risk_max_review=Decimal("3.0"),
-    growth_min_review=Decimal("3.05"),
+    size_small=610,
+    size_medium=640,
+    tier_bronze=Decimal("32000000"),
+    tier_silver=Decimal("33800000"),
+    risk_min_revenue=Decimal("22800000"),
+    risk_max_review=Decimal("3.1"),
+    growth_min_review=Decimal("3.1"),
 )

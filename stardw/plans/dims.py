@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from stardw.functions import exprs as X
 from stardw.operators.aggregates import date_bounds, first_non_null_by
-from stardw.operators.joins import bounded_broadcast
 from stardw.operators.keys import dense_key
 from stardw.params import Params
 
@@ -91,7 +90,7 @@ def build_dim_customer(customers: DataFrame, orders: DataFrame, p: Params) -> Da
         X.sim_signup_date(key, "first_order", p).alias("customer_signup_date"),
         X.customer_segment("order_count").alias("customer_segment"),
     )
-    keyed = dense_key(attrs, ["customer_unique_id"], "sk_customer", bound_source=customers)
+    keyed = dense_key(attrs, ["customer_unique_id"], "sk_customer")
     return keyed.select("sk_customer", *[c for c in attrs.columns])
 
 
@@ -110,9 +109,8 @@ def translation_lookup(translation: DataFrame) -> DataFrame:
 
 def product_categories(products: DataFrame, translation: DataFrame) -> DataFrame:
     """product_id -> English category (untranslated names pass through)."""
-    lookup = bounded_broadcast(translation_lookup(translation), bound_source=translation)
     return (products.select("product_id", "product_category_name")
-            .join(lookup, "product_category_name", "left")
+            .join(translation_lookup(translation), "product_category_name", "left")
             .select("product_id",
                     F.coalesce("product_category_name_english", "product_category_name")
                     .alias("product_category")))
@@ -162,7 +160,7 @@ def build_dim_seller(sellers: DataFrame, items: DataFrame, products: DataFrame,
         X.seller_tier("total_revenue", p).alias("seller_tier"),
         X.sim_seller_join_date(F.col("seller_id"), p).alias("seller_join_date"),
     )
-    keyed = dense_key(attrs, ["seller_id"], "sk_seller", bound_source=sellers)
+    keyed = dense_key(attrs, ["seller_id"], "sk_seller")
     return keyed.select("sk_seller", *attrs.columns)
 
 
@@ -194,5 +192,5 @@ def build_dim_product(products: DataFrame, items: DataFrame, translation: DataFr
         F.round(lp * X._dec(p.cost_ratio), 2).cast("decimal(10,2)").alias("unit_cost"),
         X.is_premium(lp, p).alias("is_premium"),
     )
-    keyed = dense_key(attrs, ["product_id"], "sk_product", bound_source=products)
+    keyed = dense_key(attrs, ["product_id"], "sk_product")
     return keyed.select("sk_product", *attrs.columns)

@@ -3,20 +3,14 @@
 Join layout of the order-line fact, chosen to keep the shuffles of the
 largest table (order lines) few:
 
-* repeated line keys are dropped first (insert-ignore: one partial-
-  aggregating shuffle on the full line key);
+* lines and orders are first restricted to resolvable keys (non-null and
+  matched in the dimensions); only then are repeats dropped, so an invalid
+  copy never displaces a valid one;
 * orders are keyed with the customer surrogate and the best review
   (pre-aggregated per order) on the orders side, which is smaller than the
-  lines;
-* the product, seller and keyed-order columns are attached with broadcast
-  joins when the raw source proves the side small, otherwise with shuffle
-  joins — lines ⋈ keyed orders on order_id is then the one big join shuffle.
-Every fact-to-dimension join is a ``star_join``: beyond the broadcast bound,
-a hot key (an order, product, seller or customer holding a large share of
-the rows) is salted over many tasks instead of landing in one.
-
-The mandatory-key filter is one IS NOT NULL conjunct per key, so Catalyst
-rewrites the left joins to inner joins (EliminateOuterJoin).
+  lines; lines ⋈ keyed orders on order_id is the one big join shuffle.
+Every fact-to-dimension join is a plain equi-join: Spark broadcasts a side by
+its measured bytes and splits a hot key's partition at run time.
 """
 
 from __future__ import annotations
@@ -25,17 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stardw.functions import exprs as X
-from stardw.operators.joins import bounded_broadcast
 from stardw.operators.keys import dense_key, keep_first
-from stardw.operators.lineage import materialize
-from stardw.operators.skew import star_join
-
-FACT_COLUMNS = [
-    "order_id", "order_item_id", "sk_date_purchase", "sk_date_delivered",
-    "sk_date_estimated_delivery", "sk_customer", "sk_seller", "sk_product",
-    "price", "freight_value", "revenue", "gross_profit", "unit_cost",
-    "delivery_days", "is_on_time", "review_score",
-]
+from stardw.operators.lineage import staged
 
 SUMMARY_COLUMNS = [
     "sk_date", "sk_seller", "sk_product_category", "orders_count", "items_count",
@@ -43,9 +28,6 @@ SUMMARY_COLUMNS = [
     "delivered_items", "review_score_sum", "reviews_count",
 ]
 
-REQUIRED_KEYS = ["order_id", "order_item_id", "sk_date_purchase", "sk_customer", "sk_seller", "sk_product"]
-
-
 def best_review(reviews: DataFrame) -> DataFrame:
     """Best (= highest) score per order; partial aggregation map-side."""
     return (reviews.where(F.col("order_id").isNotNull())
@@ -68,52 +50,43 @@ LINE_ORDER = ["product_id", "seller_id", "price", "freight_value"]
 
 def keyed_orders(orders: DataFrame, customers: DataFrame, reviews: DataFrame,
                  dim_customer: DataFrame) -> DataFrame:
-    # one row per order_id (a repeated order would repeat its lines); the
-    # aggregate's output is already partitioned by order_id for the join
-    o = keep_first(orders.select("order_id", *ORDER_COLS), ["order_id"], ORDER_COLS)
-    # one lookup row per customer_id: broadcast when the customer table is
-    # proven small, otherwise a shuffle join that salts a hot customer's orders
-    keyed = star_join(o, customer_key_lookup(customers, dim_customer), "customer_id", "left",
-                      bound_source=customers)
-    # both sides hold one row per order_id: no hot key can exist here
-    return keyed.join(best_review(reviews), "order_id", "left")
+    """One row per resolvable order (purchase time and known customer), with
+    its customer key and best review; of repeats the first by ORDER_COLS."""
+    valid = (orders.select("order_id", *ORDER_COLS)
+             .where("order_id IS NOT NULL AND order_purchase_timestamp IS NOT NULL")
+             .join(customer_key_lookup(customers, dim_customer), "customer_id"))
+    first = keep_first(valid, ["order_id"], ORDER_COLS)
+    return first.join(best_review(reviews), "order_id", "left")
 
 
 def build_fact_order_item(orders: DataFrame, items: DataFrame, customers: DataFrame,
-                          reviews: DataFrame, sellers: DataFrame, products: DataFrame,
-                          dim_customer: DataFrame, dim_seller: DataFrame,
+                          reviews: DataFrame, dim_customer: DataFrame, dim_seller: DataFrame,
                           dim_product: DataFrame) -> DataFrame:
     """One row per (order_id, order_item_id) with date / customer / seller /
-    product keys and measures.  ``sellers`` / ``products`` are the raw tables:
-    they bound the dimension sizes for the broadcast check."""
-    # S5 insert-ignore on the fact key: the first line by a stated order wins.
-    # Shuffled on (order_id, order_item_id), so even an order holding a third
-    # of all lines spreads over many tasks.
-    unique_lines = keep_first(items.select(*LINE_KEYS, *LINE_ORDER), LINE_KEYS, LINE_ORDER)
-    # Hot keys of the joins below are counted on the raw lines: a plain scan
-    # with partial aggregation, independent of the de-duplication shuffle.
-    # Raw counts bound the de-duplicated ones, so every hot key is salted
-    # (salting a key that is no longer hot is harmless).
-    raw_lines = items.select("order_id", "product_id", "seller_id")
-    lines = star_join(unique_lines, dim_product.select("product_id", "sk_product", "unit_cost"),
-                      "product_id", "left", bound_source=products, hot_base=raw_lines)
-    lines = star_join(lines, dim_seller.select("seller_id", "sk_seller"), "seller_id", "left",
-                      bound_source=sellers, hot_base=raw_lines)
-    f = star_join(lines, keyed_orders(orders, customers, reviews, dim_customer), "order_id", "left",
-                  bound_source=orders, hot_base=raw_lines)
+    product keys and measures.
+
+    P4 before S5: lines with an unknown or missing key go first, then of the
+    lines of one key the first by LINE_ORDER stays (insert-ignore)."""
+    lines = (items.select(*LINE_KEYS, *LINE_ORDER).where("order_id IS NOT NULL AND order_item_id IS NOT NULL")
+             .join(dim_product.select("product_id", "sk_product", "unit_cost"), "product_id")
+             .join(dim_seller.select("seller_id", "sk_seller"), "seller_id"))
+    # shuffled on (order_id, order_item_id), so even an order holding a third
+    # of all lines spreads over many tasks
+    lines = keep_first(lines, LINE_KEYS, LINE_ORDER)
+    f = lines.join(keyed_orders(orders, customers, reviews, dim_customer), "order_id")
 
     purchase = F.col("order_purchase_timestamp")
     delivered = F.col("order_delivered_customer_date")
     estimated = F.col("order_estimated_delivery_date")
-    out = f.select(
+    return f.select(
         F.col("order_id"),
         F.col("order_item_id").cast("smallint").alias("order_item_id"),
         X.date_key(purchase).alias("sk_date_purchase"),
         X.date_key(delivered).alias("sk_date_delivered"),
         X.date_key(estimated).alias("sk_date_estimated_delivery"),
-        F.col("sk_customer").cast("int"),
-        F.col("sk_seller").cast("int"),
-        F.col("sk_product").cast("int"),
+        "sk_customer",
+        "sk_seller",
+        "sk_product",
         F.col("price").cast("decimal(10,2)"),
         F.col("freight_value").cast("decimal(10,2)"),
         (F.col("price") + F.col("freight_value")).cast("decimal(10,2)").alias("revenue"),
@@ -123,28 +96,18 @@ def build_fact_order_item(orders: DataFrame, items: DataFrame, customers: DataFr
         X.on_time_flag(delivered, estimated).alias("is_on_time"),
         F.col("review_score").cast("smallint"),
     )
-    # P4 as one IS NOT NULL conjunct per key (not na.drop's single
-    # AtLeastNNonNulls predicate): each conjunct references one join side,
-    # so Catalyst's EliminateOuterJoin turns the left joins into inner joins
-    required = F.col(REQUIRED_KEYS[0]).isNotNull()
-    for k in REQUIRED_KEYS[1:]:
-        required = required & F.col(k).isNotNull()
-    return out.where(required)
 
 
-def category_ids(categories: DataFrame, bound_source: DataFrame | None = None) -> DataFrame:
-    """K2: 1-based ids of the distinct category names in code-point order
-    (at most one per product: the product table bounds their number)."""
-    distinct = categories.select("product_category").distinct()
-    return dense_key(distinct, ["product_category"], "sk_product_category", bound_source=bound_source)
+def category_ids(by_name: DataFrame) -> DataFrame:
+    """K2: 1-based ids of the distinct category names in code-point order."""
+    return dense_key(by_name.select("product_category").distinct(), ["product_category"], "sk_product_category", "int")
 
 
-def daily_summary_by_name(fact: DataFrame, dim_product: DataFrame, products: DataFrame) -> DataFrame:
+def daily_summary_by_name(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     """A7 on (purchase date, seller, category name): one partial+final hash
     aggregate; the exact distinct order count is Spark's two-level distinct
     aggregation (no per-group lists)."""
-    f = (star_join(fact, dim_product.select("sk_product", "product_category"), "sk_product", "left",
-                   bound_source=products)
+    f = (fact.join(dim_product.select("sk_product", "product_category"), "sk_product", "left")
          .withColumn("product_category", F.coalesce("product_category", F.lit("Unknown"))))
     return f.groupBy("sk_date_purchase", "sk_seller", "product_category").agg(
         F.count_distinct("order_id").cast("int").alias("orders_count"),
@@ -159,15 +122,15 @@ def daily_summary_by_name(fact: DataFrame, dim_product: DataFrame, products: Dat
     )
 
 
-def build_fact_daily_seller_category(fact: DataFrame, dim_product: DataFrame,
-                                     products: DataFrame) -> tuple[DataFrame, DataFrame]:
+def build_fact_daily_seller_category(fact: DataFrame, dim_product: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The daily seller x category summary and the category map
     (persisted as ``dim_product_category``).  Category ids are attached to the
-    already-aggregated rows, not to the order lines."""
-    # materialized once: both the category ids and the final rows read it
-    by_name = materialize(daily_summary_by_name(fact, dim_product, products))
-    cat_map = category_ids(by_name, bound_source=products)
-    summary = (by_name.join(bounded_broadcast(cat_map, bound_source=products), "product_category")
+    already-aggregated rows, not to the order lines.  Both the summary and the
+    map are small written tables, so the planner knows the map's bytes: the
+    few dozen names are broadcast, whatever the number of products."""
+    by_name, _ = staged(daily_summary_by_name(fact, dim_product), "summary-by-name")
+    cat_map, _ = staged(category_ids(by_name).select("sk_product_category", "product_category"), "category-map")
+    summary = (by_name.join(cat_map, "product_category")
                .withColumnRenamed("sk_date_purchase", "sk_date")
                .select(*SUMMARY_COLUMNS))
-    return summary, cat_map.select("sk_product_category", "product_category")
+    return summary, cat_map

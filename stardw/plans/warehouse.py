@@ -44,13 +44,11 @@ class Warehouse:
     def fact_order_item(self) -> DataFrame:
         r = self.raw
         return facts.build_fact_order_item(
-            r.orders, r.items, r.customers, r.reviews, r.sellers, r.products,
-            self.dim_customer, self.dim_seller, self.dim_product)
+            r.orders, r.items, r.customers, r.reviews, self.dim_customer, self.dim_seller, self.dim_product)
 
     @cached_property
     def _summary(self) -> tuple[DataFrame, DataFrame]:
-        return facts.build_fact_daily_seller_category(self.fact_order_item, self.dim_product,
-                                                      self.raw.products)
+        return facts.build_fact_daily_seller_category(self.fact_order_item, self.dim_product)
 
     @property
     def fact_daily_seller_category(self) -> DataFrame:

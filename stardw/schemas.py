@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 NATURAL = None  # type follows the source
 
+# FIXED VALUES: table names, columns, types, lengths and NOT NULL of the source's
+# table definitions (surrogate keys are 64-bit here).
 TABLES: dict[str, list[tuple[str, T.DataType | None, bool, int | None]]] = {
     "dim_date": [
         ("sk_date", T.IntegerType(), True, None),
@@ -24,7 +26,7 @@ TABLES: dict[str, list[tuple[str, T.DataType | None, bool, int | None]]] = {
         ("is_weekend", T.BooleanType(), True, None),
     ],
     "dim_customer": [
-        ("sk_customer", T.IntegerType(), True, None),
+        ("sk_customer", T.LongType(), True, None),
         ("customer_unique_id", NATURAL, True, 32),
         ("customer_city", T.StringType(), False, 50),
         ("customer_state", T.StringType(), False, 2),
@@ -36,7 +38,7 @@ TABLES: dict[str, list[tuple[str, T.DataType | None, bool, int | None]]] = {
         ("customer_segment", T.StringType(), False, 10),
     ],
     "dim_seller": [
-        ("sk_seller", T.IntegerType(), True, None),
+        ("sk_seller", T.LongType(), True, None),
         ("seller_id", NATURAL, True, 32),
         ("seller_city", T.StringType(), False, 50),
         ("seller_state", T.StringType(), False, 2),
@@ -47,7 +49,7 @@ TABLES: dict[str, list[tuple[str, T.DataType | None, bool, int | None]]] = {
         ("seller_join_date", T.DateType(), False, None),
     ],
     "dim_product": [
-        ("sk_product", T.IntegerType(), True, None),
+        ("sk_product", T.LongType(), True, None),
         ("product_id", NATURAL, True, 32),
         ("product_category", T.StringType(), False, 50),
         ("product_category_group", T.StringType(), False, 30),
@@ -62,9 +64,9 @@ TABLES: dict[str, list[tuple[str, T.DataType | None, bool, int | None]]] = {
         ("sk_date_purchase", T.IntegerType(), True, None),
         ("sk_date_delivered", T.IntegerType(), False, None),
         ("sk_date_estimated_delivery", T.IntegerType(), False, None),
-        ("sk_customer", T.IntegerType(), True, None),
-        ("sk_seller", T.IntegerType(), True, None),
-        ("sk_product", T.IntegerType(), True, None),
+        ("sk_customer", T.LongType(), True, None),
+        ("sk_seller", T.LongType(), True, None),
+        ("sk_product", T.LongType(), True, None),
         ("price", T.DecimalType(10, 2), True, None),
         ("freight_value", T.DecimalType(10, 2), True, None),
         ("revenue", T.DecimalType(10, 2), True, None),
@@ -76,7 +78,7 @@ TABLES: dict[str, list[tuple[str, T.DataType | None, bool, int | None]]] = {
     ],
     "fact_daily_seller_category": [
         ("sk_date", T.IntegerType(), True, None),
-        ("sk_seller", T.IntegerType(), True, None),
+        ("sk_seller", T.LongType(), True, None),
         ("sk_product_category", T.IntegerType(), True, None),
         ("orders_count", T.IntegerType(), False, None),
         ("items_count", T.IntegerType(), False, None),
@@ -123,7 +125,3 @@ FOREIGN_KEYS = [
 def column_order(table: str) -> list[str]:
     return [c for c, *_ in TABLES[table]]
 
-
-def struct_type(table: str, natural: T.DataType = T.StringType()) -> T.StructType:
-    return T.StructType([T.StructField(c, t if t is not None else natural, not nn)
-                         for c, t, nn, _ in TABLES[table]])

@@ -14,32 +14,19 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Runtime SQL settings the plans are designed for.  They are all safe to set
-# on an existing session (no static confs).
-RUNTIME_CONF = {
+# Settings of sessions built here.  Queries never change the settings of a
+# session they are given: time columns carry no zone, and adaptive execution
+# is on by default.  Checkpoints that nothing refers to any more are removed
+# by Spark's cleaner (give the same setting to spark-submit on a cluster).
+SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
-# Session confs that tune the library without code changes (defaults: the
-# module constants in operators/joins.py, operators/skew.py, operators/keys.py).
-CONF_MAX_BROADCAST_ROWS = "stardw.broadcast.maxRows"
-CONF_HOT_KEY_ROWS = "stardw.skew.hotKeyRows"
-CONF_SINGLE_TASK_KEY_ROWS = "stardw.keys.singleTaskMaxRows"
-
-
-def conf_int(spark: SparkSession, key: str, default: int) -> int:
-    """An integer session conf, or ``default`` when unset."""
-    try:
-        value = spark.conf.get(key, None)
-    except Exception:  # noqa: BLE001 - some session types reject unknown keys
-        value = None
-    return default if value in (None, "") else int(value)
-
-
 def build_session(master: str | None = None, app: str = "stardw",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -50,7 +37,7 @@ def build_session(master: str | None = None, app: str = "stardw",
         b = b.master(master)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for k, v in {**RUNTIME_CONF, **(extra or {})}.items():
+    for k, v in {**SESSION_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -58,17 +45,17 @@ def build_session(master: str | None = None, app: str = "stardw",
 
 
 def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
-               shuffle_fraction: float = 0.25, max_partitions: int = 100_000) -> dict[str, str]:
+               shuffle_fraction: float = 0.25) -> dict[str, str]:
     """Settings for a cluster run sized from the raw input volume.
 
     Shuffles move a fraction of the raw bytes (projected columns, map-side
     partial aggregation), so the partition count targets
     ``input * shuffle_fraction / target_partition_bytes`` — each partition
-    fits executor memory, AQE coalesces small ones and splits skewed ones —
-    bounded to keep map-output tracking (maps x reducers) manageable.  Scan
-    splits use the same target size."""
+    fits executor memory, AQE coalesces small ones and splits skewed ones.
+    The count grows with the input; to track fewer map outputs, raise the
+    target size.  Scan splits use the same target size."""
     parts = int(input_bytes * shuffle_fraction // target_partition_bytes) + 1
-    parts = min(max(200, parts), max_partitions)
+    parts = max(200, parts)
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
@@ -78,11 +65,6 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
     }
 
 
-def apply_runtime_conf(spark: SparkSession) -> None:
-    for k, v in RUNTIME_CONF.items():
-        spark.conf.set(k, v)
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory, configuring it from
     ``spark.checkpoint.dir`` when the context has none yet.  A private scratch

@@ -4,7 +4,10 @@
   selected **by name** and converted with ``try_cast`` to the fixed raw types,
   so an unparsable value becomes NULL instead of failing the job.
 * Null tokens a pandas reader treats as missing (``NA``, ``None``, ``n/a``,
-  ``NaN``, empty, ...) are mapped to NULL before the cast.
+  ``NaN``, empty, ...) are mapped to NULL before the cast, exactly as written:
+  a token with blanks around it is text.
+* A whole number in float form (``5.0``) is that number; times beyond the
+  range of 64-bit nanoseconds are NULL.
 * A missing file gives a typed empty table (later joins still resolve); a
   missing column gives a typed NULL column.
 * ``multiLine`` (quoted newlines) is enabled per table, only where free text
@@ -20,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stardw.functions.exprs import lenient_timestamp
 from stardw.functions.lookups import CSV_NULL_TOKENS
 from stardw.sources.raw import RAW_SCHEMAS, RawTables
 
@@ -30,8 +34,17 @@ MULTILINE_TABLES = {"reviews"}
 
 
 def clean_null_tokens(c: Column) -> Column:
-    trimmed = F.trim(c)
-    return F.when(trimmed.isin(CSV_NULL_TOKENS) | c.isNull(), F.lit(None)).otherwise(c)
+    return F.when(~c.isin(CSV_NULL_TOKENS), c)
+
+
+def typed(c: Column, kind: T.DataType) -> Column:
+    """A cleaned CSV string as ``kind``; NULL where it is none."""
+    if isinstance(kind, T.IntegralType):
+        number = F.trim(c).try_cast("decimal(38,10)")
+        return F.when(number == F.floor(number), F.floor(number)).try_cast(kind)
+    if isinstance(kind, T.TimestampNTZType):
+        return lenient_timestamp(c)
+    return c.try_cast(kind)
 
 
 def _natural_schema(name: str, id_type: T.DataType | None) -> T.StructType:
@@ -48,12 +61,14 @@ def typed_empty(spark: SparkSession, name: str, schema: T.StructType | None = No
 
 
 def read_csv_table(spark: SparkSession, path: str, name: str,
-                   schema: T.StructType | None = None) -> DataFrame | None:
-    """One raw table from a header CSV (file or folder); None if absent."""
+                   schema: T.StructType | None = None, multi_line: bool | None = None) -> DataFrame | None:
+    """One raw table from a header CSV (file or folder); None if absent.
+    ``multi_line``: whether fields hold line breaks (then each file is one task)."""
     schema = schema or RAW_SCHEMAS[name]
-    reader = (spark.read.option("header", True).option("escape", '"')
-              .option("mode", "PERMISSIVE"))
-    if name in MULTILINE_TABLES:
+    # no blank is trimmed, and an empty field stays "" until the tokens are cleaned
+    reader = (spark.read.option("header", True).option("escape", '"').option("mode", "PERMISSIVE")
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    if name in MULTILINE_TABLES if multi_line is None else multi_line:
         reader = reader.option("multiLine", True)
     try:
         df = reader.csv(path)
@@ -65,7 +80,7 @@ def read_csv_table(spark: SparkSession, path: str, name: str,
     cols = []
     for f in schema.fields:
         if f.name in present:
-            cols.append(clean_null_tokens(F.col(f.name)).try_cast(f.dataType).alias(f.name))
+            cols.append(typed(clean_null_tokens(F.col(f.name)), f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     return df.select(*cols)
@@ -92,6 +107,7 @@ def read_raw_csv(spark: SparkSession, csv_dir: str, files: dict[str, str] | None
 
 
 def write_csv_table(df: DataFrame, path: str, null_token: str = "NA") -> None:
-    """Header CSV with an explicit null token (used for round trips)."""
-    (df.write.mode("overwrite").option("header", True).option("escape", '"')
-     .option("nullValue", null_token).csv(path))
+    """Header CSV with an explicit null token (used for round trips); values
+    keep their blanks and line breaks."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"').option("nullValue", null_token)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))

@@ -12,12 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stardw.operators.joins import bounded_broadcast
 from stardw.operators.keys import keep_first
 from stardw.sources.raw import RawTables
 
-# FIXED VALUES (fixture definition): brand -> English category name.
+# FIXED VALUES (fixture definition): brand -> English category name; of repeated
+# brands the last counts.
 FIXTURE_TRANSLATION = [
+    ("Brand#3", "audio_old"), ("Brand#7", "bags_old"),
     ("Brand#1", "electronics"), ("Brand#2", "computers_accessories"), ("Brand#3", "audio"),
     ("Brand#4", "bed_bath_table"), ("Brand#5", "garden_tools"), ("Brand#6", "home_appliances"),
     ("Brand#7", "fashion_bags"), ("Brand#8", "luggage"), ("Brand#9", "health_beauty"),
@@ -35,6 +36,11 @@ FIXTURE_NATION_STATE = [
     (16, "ES"), (17, "PR"), (18, "SC"), (19, "RS"), (20, "SP"), (21, "RJ"), (22, "SP"), (23, "ZZ"),
 ]
 
+# Ids added to those of the tables: entities without sales, and ids that no
+# table holds.
+IDLE, UNKNOWN = 50_000_000, 100_000_000
+UNKNOWN_ORDER = 900_000_000
+
 _BASE_COLUMNS = {
     "customer": ["c_custkey", "c_nationkey"],
     "supplier": ["s_suppkey", "s_nationkey"],
@@ -56,8 +62,7 @@ def _state_of(nationkey: str):
 
 
 def _nation_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # 25 rows by the TPC-H spec; broadcast behind the row-count check anyway
-    return bounded_broadcast(read_base(spark, sf_dir, "nation"), max_rows=10_000)
+    return read_base(spark, sf_dir, "nation")
 
 
 def _secs(c):
@@ -75,48 +80,76 @@ def fixture_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixture_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth supplier has a twin without sales."""
     s = read_base(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    s = s.unionByName(s.where(k % 10 == 0).withColumn("s_suppkey", k + IDLE))
     return (s.join(_nation_names(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"), "left")
-            .select(F.col("s_suppkey").alias("seller_id"), F.lower("n_name").alias("seller_city"),
+            .select(k.alias("seller_id"), F.lower("n_name").alias("seller_city"),
                     _state_of("s_nationkey").alias("seller_state")))
 
 
 def fixture_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every twentieth part has an unsold twin."""
     p = read_base(spark, sf_dir, "part")
-    return p.select(F.col("p_partkey").alias("product_id"),
+    k = F.col("p_partkey")
+    p = p.unionByName(p.where(k % 20 == 0).withColumn("p_partkey", k + IDLE))
+    return p.select(k.alias("product_id"),
                     F.when(F.col("p_size") == 50, F.lit(None)).otherwise(F.col("p_brand"))
                     .alias("product_category_name"))
 
 
 def fixture_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some orders lack the purchase time or a known customer; some appear
+    twice, the other copy without purchase time and customer or a day later."""
     o = read_base(spark, sf_dir, "orders")
     k, d = F.col("o_orderkey"), F.col("o_orderdate")
-    purchase = F.timestamp_add("SECOND", _secs(k * 7919 % 86400), d)
+    purchase = F.when(k % 61 == 5, F.lit(None)).otherwise(F.timestamp_add("SECOND", _secs(k * 7919 % 86400), d))
+    customer = (F.when(k % 71 == 5, F.lit(None)).when(k % 67 == 5, F.col("o_custkey") + UNKNOWN)
+                .otherwise(F.col("o_custkey")))
     approved = F.timestamp_add("DAY", F.lit(1), d)
     delivered = F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(
         F.timestamp_add("SECOND", _secs(k * 104729 % 86400),
                         F.timestamp_add("DAY", _secs(k % 40), d)))
     estimated = F.when(k % 50 == 0, F.lit(None)).otherwise(F.timestamp_add("DAY", F.lit(25), d))
-    return o.select(k.alias("order_id"), F.col("o_custkey").alias("customer_id"),
-                    purchase.alias("order_purchase_timestamp"),
+    base = o.select(k.alias("order_id"), customer.cast("long").alias("customer_id"),
+                    purchase.cast("timestamp_ntz").alias("order_purchase_timestamp"),
                     approved.alias("order_approved_at"),
                     delivered.cast("timestamp_ntz").alias("order_delivered_customer_date"),
                     estimated.cast("timestamp_ntz").alias("order_estimated_delivery_date"))
+    invalid = (base.where(F.col("order_id") % 19 == 3)
+               .withColumn("customer_id", F.lit(None).cast("long"))
+               .withColumn("order_purchase_timestamp", F.lit(None).cast("timestamp_ntz")))
+    later = (base.where(F.col("order_id") % 23 == 3)
+             .withColumn("order_purchase_timestamp", F.timestamp_add("DAY", F.lit(1), F.col("order_purchase_timestamp"))))
+    return base.unionByName(invalid).unionByName(later)
 
 
-def fixture_item_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines before de-duplication: (order_id, order_item_id) repeats."""
+def fixture_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as a source delivers them: (order_id, order_item_id)
+    repeats; products and sellers are missing or unknown on some lines, and
+    some valid lines have an invalid copy; some orders are unknown."""
     li = read_base(spark, sf_dir, "lineitem")
-    return li.select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("order_item_id"),
-                     F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("seller_id"),
+    k = F.col("l_orderkey")
+    product = (F.when(k % 97 == 5, F.lit(None)).when(k % 89 == 5, F.col("l_partkey") + UNKNOWN)
+               .otherwise(F.col("l_partkey")))
+    seller = (F.when(k % 103 == 5, F.lit(None)).when(k % 101 == 5, F.col("l_suppkey") + UNKNOWN)
+              .otherwise(F.col("l_suppkey")))
+    base = li.select(k.alias("order_id"), F.col("l_linenumber").alias("order_item_id"),
+                     product.cast("long").alias("product_id"), seller.cast("long").alias("seller_id"),
                      F.col("l_extendedprice").cast("decimal(10,2)").alias("price"),
                      F.col("l_quantity").cast("decimal(10,2)").alias("freight_value"))
+    o = F.col("order_id")
+    no_product = base.where(o % 17 == 3).withColumn("product_id", F.lit(None).cast("long"))
+    no_seller = base.where(o % 13 == 3).withColumn("seller_id", F.col("seller_id") + UNKNOWN)
+    no_order = base.where((o % 83 == 3) & (F.col("order_item_id") == 1)).withColumn("order_id", o + UNKNOWN_ORDER)
+    return base.unionByName(no_product).unionByName(no_seller).unionByName(no_order)
 
 
-def fixture_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fixture_first_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Insert-ignore on (order_id, order_item_id), first row by
     (product_id, seller_id, price, freight_value)."""
-    return keep_first(fixture_item_lines(spark, sf_dir), ["order_id", "order_item_id"],
+    return keep_first(fixture_items(spark, sf_dir), ["order_id", "order_item_id"],
                       ["product_id", "seller_id", "price", "freight_value"])
 
 

@@ -6,8 +6,7 @@
   and no single day (however hot) funnels into one writer task.
 * ``append_ignore`` — insert-ignore append: rows whose key already exists
   (in the batch or in the table) are dropped, the first by a stated order is
-  kept.  The existing-key probe reads only the key columns, restricted to the
-  batch's purchase-date range when the key determines the date.
+  kept.  The existing-key probe reads the key columns only.
 * ``read_table`` — read back (natural key -> surrogate key lookups).
 Writes go through Spark's file commit protocol: a lost executor's task is
 re-run and its partial output discarded.
@@ -39,7 +38,9 @@ def table_path(base: str, table: str) -> str:
 
 
 def _layout(df: DataFrame, table: str) -> DataFrame:
-    out = df.select(*S.column_order(table))
+    """Declared columns, order and types (S9); natural ids keep the source's type."""
+    types = {c: t for c, t, *_ in S.TABLES[table]}
+    out = df.select(*[F.col(c) if types[c] is None else F.col(c).cast(types[c]).alias(c) for c in S.column_order(table)])
     keys = SORT_KEYS.get(table)
     if keys:
         out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
@@ -57,33 +58,32 @@ def read_table(spark: SparkSession, base: str, table: str) -> DataFrame:
 
 
 def _existing(spark: SparkSession, base: str, table: str) -> DataFrame | None:
+    """The stored table; None if there is no such path (a table that is there
+    but cannot be read is an error)."""
     try:
-        return read_table(spark, base, table)
-    except AnalysisException:
-        return None
+        found = spark.read.parquet(table_path(base, table))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return found.select(*S.column_order(table))
 
 
 def append_ignore(batch: DataFrame, base: str, table: str, keys: Sequence[str],
-                  order_cols: Sequence[str], date_col: str | None = None) -> DataFrame:
+                  order_cols: Sequence[str]) -> DataFrame:
     """S5 against existing rows; returns the rows actually appended
     (materialized before the write, so reading them later does not re-probe
-    the grown table).
-
-    ``date_col``: a column functionally determined by the key (e.g. the
-    purchase date of an order line); the probe of the existing table is
-    then limited to the batch's date range, which the fact's date-sorted
-    layout turns into file / row-group skipping."""
+    the grown table).  A row with a NULL key part is an error."""
     spark = batch.sparkSession
-    fresh = keep_first(batch, list(keys), list(order_cols))
     existing = _existing(spark, base, table)
+    complete = F.lit(True)
+    for k in keys:
+        complete = complete & F.col(k).isNotNull()
+    checked = batch.withColumn(keys[0], F.when(complete, F.col(keys[0])).otherwise(
+        F.raise_error(F.lit(f"{table}: a key column of {list(keys)} is NULL")).cast(batch.schema[keys[0]].dataType)))
+    fresh = keep_first(checked, list(keys), list(order_cols))
     if existing is not None:
-        probe = existing
-        if date_col:
-            lo, hi = fresh.agg(F.min(date_col), F.max(date_col)).first()
-            if lo is None:
-                return fresh.limit(0)
-            probe = probe.where(F.col(date_col).between(lo, hi))
-        fresh = fresh.join(probe.select(*keys), list(keys), "left_anti")
+        fresh = fresh.join(existing.select(*keys), list(keys), "left_anti")
     fresh = materialize(fresh)
     (_layout(fresh, table).write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
      .parquet(table_path(base, table)))

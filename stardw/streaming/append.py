@@ -29,8 +29,7 @@ def fact_appender(spark: SparkSession, staging_dir: str, schema: T.StructType, w
     stream = reader.parquet(staging_dir)
 
     def sink(batch: DataFrame, _batch_id: int) -> None:
-        append_ignore(batch, warehouse_dir, "fact_order_item", FACT_KEYS, FACT_ORDER,
-                      date_col="sk_date_purchase")
+        append_ignore(batch, warehouse_dir, "fact_order_item", FACT_KEYS, FACT_ORDER)
 
     writer = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
