@@ -5,17 +5,17 @@ the fixture derivation) so its work grows with them."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stardw import oracle as O
-from stardw.operators.keys import keep_first
 from stardw.params import FIXTURE_PARAMS, Params
 from stardw.plans import audit, dims, facts, reports
 from stardw.plans.warehouse import Warehouse
-from stardw.session import apply_runtime_conf
 from stardw.sources import fixtures as FX
+from stardw.sources.raw import RAW_SCHEMAS
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -33,7 +33,6 @@ def register(name: str, sql: str | None = None):
 
 
 def warehouse(spark: SparkSession, sf_dir: str, p: Params = FIXTURE_PARAMS) -> Warehouse:
-    apply_runtime_conf(spark)
     return Warehouse(FX.fixture_tables(spark, sf_dir), p)
 
 
@@ -60,7 +59,6 @@ SELECT DISTINCT d AS date FROM (
   UNION ALL SELECT CAST(order_estimated_delivery_date AS DATE) FROM fx_orders) x
 WHERE d IS NOT NULL"""))
 def q_order_date_set(spark, sf_dir):
-    apply_runtime_conf(spark)
     return dims.order_dates(FX.fixture_orders(spark, sf_dir))
 
 
@@ -109,10 +107,9 @@ def q_category_group_map(spark, sf_dir):
     return warehouse(spark, sf_dir).dim_product.select("product_category", "product_category_group").distinct()
 
 
-@register("line_dedup", O.with_fixtures("SELECT * FROM fx_items"))
+@register("line_dedup", O.with_fixtures("SELECT * FROM fx_first_items"))
 def q_line_dedup(spark, sf_dir):
-    return keep_first(FX.fixture_item_lines(spark, sf_dir), ["order_id", "order_item_id"],
-                      ["product_id", "seller_id", "price", "freight_value"])
+    return FX.fixture_first_items(spark, sf_dir)
 
 
 @register("best_review", O.with_warehouse("SELECT order_id, CAST(review_score AS INTEGER) AS review_score FROM w_best_review"))
@@ -149,44 +146,60 @@ audit.register_all(register, warehouse)
 
 # ============================================================ sources / sinks round trips
 
-def _null_cells(df: DataFrame) -> DataFrame:
-    flags = [F.when(F.col(c).isNull(), 1).otherwise(0) for c in df.columns]
-    total = flags[0]
-    for f in flags[1:]:
-        total = total + f
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(total), F.lit(0)).cast("long").alias("null_cells"))
+# What the CSV round trip must carry beside the fixture's own values: free text
+# with blanks, quotes, separators and line breaks, null tokens with and without
+# blanks around them, whole numbers in float form, times out of range.
+_ODD_TEXT = ["plain", " blanks ", "two\nlines", 'a "quote", b', " NA ", "  ", "NA", "n/a", "None", "nan", "-1.#IND", ""]
 
 
 def _csv_roundtrip_sql() -> str:
-    from stardw.sources.raw import RAW_SCHEMAS
-    parts = []
-    for name, schema in RAW_SCHEMAS.items():
-        flags = " + ".join(f"(CASE WHEN {f.name} IS NULL THEN 1 ELSE 0 END)" for f in schema.fields)
-        parts.append(f"SELECT '{name}' AS table_name, CAST(count(*) AS BIGINT) AS rows, "
-                     f"CAST(coalesce(sum({flags}), 0) AS BIGINT) AS null_cells FROM fx_{name}")
-    return O.with_fixtures(" UNION ALL ".join(parts))
+    tokens = {"NA", "n/a", "None", "nan", "-1.#IND", ""}
+    text = " ".join(f"WHEN {k} THEN {'NULL' if t in tokens else O._q(t)}" for k, t in enumerate(_ODD_TEXT))
+    return O.with_fixtures(f"""
+SELECT 'orders' AS table_name, order_id AS id, CAST(order_purchase_timestamp AS VARCHAR) AS a,
+       CAST(order_estimated_delivery_date AS VARCHAR) AS b, CAST(customer_id AS VARCHAR) AS c FROM fx_orders
+UNION ALL SELECT 'items', order_id, CAST(price AS VARCHAR), CAST(order_item_id AS VARCHAR), CAST(seller_id AS VARCHAR) FROM fx_items
+UNION ALL SELECT 'products', product_id, product_category_name, NULL, NULL FROM fx_products
+UNION ALL SELECT 'reviews', order_id, CAST(review_score AS VARCHAR), NULL, NULL FROM fx_reviews
+UNION ALL SELECT 'sellers', seller_id, seller_city, seller_state, NULL FROM fx_sellers
+UNION ALL SELECT 'customers', customer_id, customer_unique_id, customer_city, CASE customer_id % {len(_ODD_TEXT)} {text} END
+          FROM fx_customers""")
 
 
 @register("csv_source_roundtrip", _csv_roundtrip_sql())
 def q_csv_roundtrip(spark, sf_dir):
     """Write the raw tables as header CSV with a null token, read them
-    back by name with token clean-up and try_cast; rows and NULL cells must
-    survive unchanged."""
+    back by name with token clean-up and lenient casts; every value must
+    survive.  Item numbers and scores are written as ``5.0``, some estimates
+    lie beyond the range of times (and must read as NULL), and the customers'
+    state holds odd texts."""
     from pyspark.sql import types as T
     from stardw.session import scratch_dir
-    from stardw.sources.csv import read_raw_csv, write_csv_table
-    apply_runtime_conf(spark)
-    raw = FX.fixture_tables(spark, sf_dir)
+    from stardw.sources.csv import read_csv_table, read_raw_csv, write_csv_table
+    raw = FX.fixture_tables(spark, sf_dir).as_dict()
+    odd = F.element_at(F.array(*[F.lit(t) for t in _ODD_TEXT]), (F.col("customer_id") % len(_ODD_TEXT)).cast("int") + 1)
+    raw["customers"] = raw["customers"].withColumn("customer_state", odd)
+    raw["items"] = raw["items"].withColumn("order_item_id", F.concat(F.col("order_item_id").cast("string"), F.lit(".0")))
+    raw["reviews"] = raw["reviews"].withColumn("review_score", F.concat(F.col("review_score").cast("string"), F.lit(".0")))
+    late = "order_estimated_delivery_date"
+    raw["orders"] = raw["orders"].withColumn(late, F.coalesce(F.col(late).cast("string"), F.lit("9999-12-31 00:00:00")))
     base = scratch_dir(spark, "csv")
-    for name, df in raw.as_dict().items():
+    for name, df in raw.items():
         write_csv_table(df, f"{base}/{name}.csv")
-    back = read_raw_csv(spark, base, id_type=T.LongType())
-    parts = [_null_cells(df).select(F.lit(name).alias("table_name"), "rows", "null_cells")
-             for name, df in back.as_dict().items()]
-    out = parts[0]
-    for p_ in parts[1:]:
-        out = out.unionByName(p_)
-    return out
+    back = read_raw_csv(spark, base, id_type=T.LongType()).as_dict()
+    back["customers"] = read_csv_table(spark, f"{base}/customers.csv", "customers", T.StructType(
+        [T.StructField(f.name, T.LongType() if f.name == "customer_id" else f.dataType) for f in RAW_SCHEMAS["customers"].fields]),
+        multi_line=True)
+
+    def row(name: str, key: str, *cols: str) -> DataFrame:
+        values = [F.col(c).cast("string") for c in cols] + [F.lit(None).cast("string")] * (3 - len(cols))
+        return back[name].select(F.lit(name).alias("table_name"), F.col(key).alias("id"),
+                                 *[v.alias(x) for v, x in zip(values, "abc", strict=True)])
+    return reduce(DataFrame.unionByName, [
+        row("orders", "order_id", "order_purchase_timestamp", late, "customer_id"),
+        row("items", "order_id", "price", "order_item_id", "seller_id"), row("products", "product_id", "product_category_name"),
+        row("reviews", "order_id", "review_score"), row("sellers", "seller_id", "seller_city", "seller_state"),
+        row("customers", "customer_id", "customer_unique_id", "customer_city", "customer_state")])
 
 
 @register("fact_without_reviews", O.with_warehouse(
@@ -197,7 +210,6 @@ def q_fact_without_reviews(spark, sf_dir):
     import dataclasses
     from stardw.session import scratch_dir
     from stardw.sources.csv import read_optional
-    apply_runtime_conf(spark)
     raw = FX.fixture_tables(spark, sf_dir)
     missing = f"{scratch_dir(spark, 'absent')}/reviews.csv"
     raw = dataclasses.replace(raw, reviews=read_optional(spark, missing, "reviews", raw.reviews.schema))
@@ -209,7 +221,6 @@ def q_warehouse_roundtrip(spark, sf_dir):
     """C7 + S3/S4/S7/S10: full load to storage, fact read back."""
     from stardw.plans.load import load_warehouse
     from stardw.session import scratch_dir
-    apply_runtime_conf(spark)
     stored = load_warehouse(FX.fixture_tables(spark, sf_dir), FIXTURE_PARAMS, scratch_dir(spark, "warehouse"))
     return stored.fact_order_item
 

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from stardw import oracle as O
 from stardw import schemas as S
-from stardw.operators.joins import bounded_broadcast
 from stardw.params import FIXTURE_PARAMS
 from stardw.plans.warehouse import Warehouse
 
@@ -42,27 +41,30 @@ ROW_COUNT_SQL = " UNION ALL ".join(
 
 # ------------------------------------------------------------------ J16
 
-def _parent(w: Warehouse, table: str, col: str) -> DataFrame:
-    keys = w.tables()[table].select(F.col(col).alias("__pk")).withColumn("__hit", F.lit(True))
-    bound = {"dim_seller": w.raw.sellers, "dim_product": w.raw.products,
-             "dim_customer": w.raw.customers}.get(table)
-    return bounded_broadcast(keys, bound_source=bound if bound is not None else w.tables()[table])
+def _unpivoted(w: Warehouse, side: int) -> DataFrame:
+    """(fk_name, value, n) of the child (side 0) or parent (side 1) columns of
+    all foreign keys: each table is read once and reduced to its distinct values."""
+    by_table: dict[str, list[tuple[str, str]]] = {}
+    for name, *ends in S.FOREIGN_KEYS:
+        table, col = ends[2 * side:2 * side + 2]
+        by_table.setdefault(table, []).append((name, col))
+    out = []
+    for table, keys in by_table.items():
+        pairs = F.array(*[F.struct(F.lit(n).alias("fk_name"), F.col(c).cast("long").alias("value")) for n, c in keys])
+        out.append(w.tables()[table].select(F.explode(pairs).alias("k")).select("k.fk_name", "k.value").where("value IS NOT NULL"))
+    return _union(out).groupBy("fk_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def fk_audit(w: Warehouse) -> DataFrame:
-    """Non-NULL foreign keys without a parent row (must be 0).  FK values are
-    counted first (partial aggregation: a value on a third of the rows becomes
-    one row per map task), so the join sees one row per distinct value."""
-    out = []
-    for name, child, ccol, parent, pcol in S.FOREIGN_KEYS:
-        c = (w.tables()[child].where(F.col(ccol).isNotNull())
-             .groupBy(F.col(ccol).alias("__fk")).agg(F.count(F.lit(1)).alias("__n")))
-        j = c.join(_parent(w, parent, pcol), F.col("__fk") == F.col("__pk"), "left")
-        out.append(j.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("checked"),
-                         F.coalesce(F.sum(F.when(F.col("__hit").isNull(), F.col("__n"))), F.lit(0))
-                         .cast("long").alias("orphans"))
-                   .select(F.lit(name).alias("fk_name"), "checked", "orphans"))
-    return _union(out)
+    """Non-NULL foreign keys without a parent row (must be 0).  Values are
+    counted first (a value on a third of the rows becomes one row per map
+    task), so the join sees one row per distinct value of each key."""
+    names = w.dim_date.sparkSession.createDataFrame([(n,) for n, *_ in S.FOREIGN_KEYS], "fk_name string")
+    parents = _unpivoted(w, 1).select("fk_name", "value", F.lit(True).alias("hit"))
+    found = (_unpivoted(w, 0).join(parents, ["fk_name", "value"], "left").groupBy("fk_name")
+             .agg(F.sum("n").alias("checked"), F.sum(F.when(F.col("hit").isNull(), F.col("n"))).alias("orphans")))
+    return names.join(found, "fk_name", "left").select(
+        "fk_name", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("checked", "orphans")])
 
 
 FK_SQL = " UNION ALL ".join(
@@ -158,9 +160,9 @@ def summary_consistency(w: Warehouse) -> DataFrame:
     on_time <= delivered <= items or reviews <= items."""
     f = w.fact_order_item.agg(
         F.count(F.lit(1)).alias("items"),
-        F.sum("revenue").cast("decimal(18,2)").alias("revenue"),
-        F.sum("freight_value").cast("decimal(18,2)").alias("freight"),
-        F.sum("gross_profit").cast("decimal(18,2)").alias("gross_profit"),
+        F.sum("revenue").cast("decimal(28,2)").alias("revenue"),
+        F.sum("freight_value").cast("decimal(28,2)").alias("freight"),
+        F.sum("gross_profit").cast("decimal(28,2)").alias("gross_profit"),
         F.coalesce(F.sum("review_score"), F.lit(0)).cast("long").alias("review_score_sum"),
         F.lit(0).cast("long").alias("violations"))
     s = w.fact_daily_seller_category
@@ -169,9 +171,9 @@ def summary_consistency(w: Warehouse) -> DataFrame:
            | (F.col("reviews_count") > F.col("items_count")))
     sm = s.agg(
         F.sum("items_count").cast("long").alias("items"),
-        F.sum("revenue_total").cast("decimal(18,2)").alias("revenue"),
-        F.sum("freight_total").cast("decimal(18,2)").alias("freight"),
-        F.sum("gross_profit_total").cast("decimal(18,2)").alias("gross_profit"),
+        F.sum("revenue_total").cast("decimal(28,2)").alias("revenue"),
+        F.sum("freight_total").cast("decimal(28,2)").alias("freight"),
+        F.sum("gross_profit_total").cast("decimal(28,2)").alias("gross_profit"),
         F.coalesce(F.sum("review_score_sum"), F.lit(0)).cast("long").alias("review_score_sum"),
         F.count_if(bad).alias("violations"))
     return (f.select(F.lit("fact_order_item").alias("source"), "*")
@@ -179,13 +181,13 @@ def summary_consistency(w: Warehouse) -> DataFrame:
 
 
 SUMMARY_CONSISTENCY_SQL = """
-SELECT 'fact_order_item' AS source, CAST(count(*) AS BIGINT) AS items, CAST(sum(revenue) AS DECIMAL(18,2)) AS revenue,
-       CAST(sum(freight_value) AS DECIMAL(18,2)) AS freight, CAST(sum(gross_profit) AS DECIMAL(18,2)) AS gross_profit,
+SELECT 'fact_order_item' AS source, CAST(count(*) AS BIGINT) AS items, CAST(sum(revenue) AS DECIMAL(28,2)) AS revenue,
+       CAST(sum(freight_value) AS DECIMAL(28,2)) AS freight, CAST(sum(gross_profit) AS DECIMAL(28,2)) AS gross_profit,
        CAST(coalesce(sum(review_score), 0) AS BIGINT) AS review_score_sum, CAST(0 AS BIGINT) AS violations
 FROM w_fact
 UNION ALL
-SELECT 'fact_daily_seller_category', CAST(sum(items_count) AS BIGINT), CAST(sum(revenue_total) AS DECIMAL(18,2)),
-       CAST(sum(freight_total) AS DECIMAL(18,2)), CAST(sum(gross_profit_total) AS DECIMAL(18,2)),
+SELECT 'fact_daily_seller_category', CAST(sum(items_count) AS BIGINT), CAST(sum(revenue_total) AS DECIMAL(28,2)),
+       CAST(sum(freight_total) AS DECIMAL(28,2)), CAST(sum(gross_profit_total) AS DECIMAL(28,2)),
        CAST(coalesce(sum(review_score_sum), 0) AS BIGINT),
        CAST(count(*) FILTER (WHERE on_time_deliveries > delivered_items OR delivered_items > items_count
                                    OR reviews_count > items_count) AS BIGINT)

@@ -1,9 +1,10 @@
 """Report queries over the warehouse.
 
-Every report is a star join of the order-line fact (or the daily summary) to
-the dimensions it needs, then one group-by.  Dimension sides are broadcast
-only behind a row-count check on their raw source, beyond it the join is a
-salted shuffle join with hot keys counted on the fact (``star_join``).
+Every report first reduces the fact to the keys its groups need (partial
+aggregation, then one shuffle of narrow rows), then attaches the dimension
+attributes to the reduced rows and groups again; sums and counts add up, so
+ratios are taken last.  Joins are plain equi-joins: Spark broadcasts a side by
+its bytes and splits hot keys at run time.
 Ratios are exact half-up decimals computed from integral sums
 (``half_up_ratio``), never averages of doubles.  Thresholds the source leaves
 open are ``Params`` fields.
@@ -13,77 +14,88 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stardw import oracle as O
 from stardw.functions import exprs as X
-from stardw.operators.joins import bounded_broadcast
-from stardw.operators.skew import star_join
 from stardw.params import FIXTURE_PARAMS, Params
-from stardw.plans.slicers import date_key_range, sliced
+from stardw.plans.slicers import date_key_range, item_sliced, sliced
 from stardw.plans.warehouse import Warehouse
 
 
 # ------------------------------------------------------------------ star joins
 
-def _join_seller(df: DataFrame, w: Warehouse, *cols: str, how: str = "inner") -> DataFrame:
-    return star_join(df, w.dim_seller.select("sk_seller", *cols), "sk_seller", how,
-                     bound_source=w.raw.sellers, hot_base=w.fact_order_item)
+def _join_seller(df: DataFrame, w: Warehouse, *cols: str) -> DataFrame:
+    return df.join(w.dim_seller.select("sk_seller", *cols), "sk_seller")
 
 
-def _join_product(df: DataFrame, w: Warehouse, *cols: str, how: str = "inner") -> DataFrame:
-    return star_join(df, w.dim_product.select("sk_product", *cols), "sk_product", how,
-                     bound_source=w.raw.products, hot_base=w.fact_order_item)
+def _join_customer(df: DataFrame, w: Warehouse, *cols: str) -> DataFrame:
+    return df.join(w.dim_customer.select("sk_customer", *cols), "sk_customer")
 
 
-def _join_customer(df: DataFrame, w: Warehouse, *cols: str, how: str = "inner") -> DataFrame:
-    return star_join(df, w.dim_customer.select("sk_customer", *cols), "sk_customer", how,
-                     bound_source=w.raw.customers, hot_base=w.fact_order_item)
+def _categorised(w: Warehouse, *cols: str) -> DataFrame:
+    """The order lines with their product's category (missing: Unknown)."""
+    return (w.fact_order_item.join(w.dim_product.select("sk_product", "product_category", *cols), "sk_product")
+            .withColumn("product_category", F.coalesce("product_category", F.lit("Unknown"))))
 
 
 def _dim_date(w: Warehouse, *cols: str, role: str = "sk_date_purchase") -> DataFrame:
-    """The date dimension in one role.  One row per calendar day of the order
-    history — bounded by time, not volume — and still behind the row-count
-    check (a corrupt far-off date would stretch the calendar)."""
-    return bounded_broadcast(w.dim_date.select(F.col("sk_date").alias(role), *cols),
-                             bound_source=w.dim_date)
+    """The date dimension in one role (one row per calendar day)."""
+    return w.dim_date.select(F.col("sk_date").alias(role), *cols)
 
 
-def category_tier_lines(w: Warehouse) -> DataFrame:
-    """Fact ⋈ product (category, group) ⋈ seller (tier)."""
-    lines = _join_product(w.fact_order_item, w, "product_category", "product_category_group")
-    return (_join_seller(lines, w, "seller_tier")
-            .withColumn("product_category", F.coalesce("product_category", F.lit("Unknown"))))
+# ------------------------------------------------------------------ measures (A10)
 
+# Additive parts of the measures: summed over lines first, over groups later.
+PARTS = ["items", "revenue_sum", "profit_sum", "score_sum", "reviews", "on_time", "flagged", "delivered"]
 
-# ------------------------------------------------------------------ measures (A10)
 
-def margin_pct() -> Column:
-    return X.half_up_ratio(F.sum(X.cents("gross_profit")) * 100, F.sum(X.cents("revenue")), 6).alias("margin_pct")
+def line_parts() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("items"),
+        F.sum("revenue").cast("decimal(28,2)").alias("revenue_sum"),
+        F.sum("gross_profit").cast("decimal(28,2)").alias("profit_sum"),
+        F.sum("review_score").alias("score_sum"),
+        F.count("review_score").alias("reviews"),
+        F.count_if(F.col("is_on_time") == 1).alias("on_time"),
+        F.count("is_on_time").alias("flagged"),
+        F.count("sk_date_delivered").alias("delivered"),
+    ]
+
+
+def added_parts() -> list[Column]:
+    """PARTS of groups of groups."""
+    return [(F.sum(c).cast("decimal(28,2)") if c in ("revenue_sum", "profit_sum") else F.sum(c)).alias(c) for c in PARTS]
+
+
+def _cents(c: str) -> Column:
+    return (F.col(c) * 100).cast("decimal(38,0)")
+
+
+def margin_pct(profit: Column | None = None, revenue: Column | None = None) -> Column:
+    profit = _cents("profit_sum") if profit is None else profit
+    revenue = _cents("revenue_sum") if revenue is None else revenue
+    return X.half_up_ratio(profit * 100, revenue, 6).alias("margin_pct")
 
 
 def mean_review() -> Column:
-    return X.half_up_ratio(F.sum("review_score"), F.count("review_score"), 6).alias("mean_review")
+    return X.half_up_ratio("score_sum", "reviews", 6).alias("mean_review")
 
 
 def on_time_rate() -> Column:
-    return X.half_up_ratio(F.count_if(F.col("is_on_time") == 1), F.count("is_on_time"), 6).alias("on_time_rate")
+    return X.half_up_ratio("on_time", "flagged", 6).alias("on_time_rate")
 
 
 def matrix_measures() -> list[Column]:
-    return [
-        F.sum("revenue").cast("decimal(18,2)").alias("revenue"),
-        F.sum("gross_profit").cast("decimal(18,2)").alias("gross_profit"),
-        margin_pct(), mean_review(), on_time_rate(),
-        F.count(F.lit(1)).alias("items"),
-    ]
+    return [F.col("revenue_sum").alias("revenue"), F.col("profit_sum").alias("gross_profit"),
+            margin_pct(), mean_review(), on_time_rate(), F.col("items")]
 
 
 MATRIX_MEASURES_SQL = f"""
-  CAST(sum(revenue) AS DECIMAL(18,2)) AS revenue,
-  CAST(sum(gross_profit) AS DECIMAL(18,2)) AS gross_profit,
-  {O.ratio_sql('sum(CAST(gross_profit * 100 AS BIGINT)) * 100', 'sum(CAST(revenue * 100 AS BIGINT))', 6)} AS margin_pct,
+  CAST(sum(revenue) AS DECIMAL(28,2)) AS revenue,
+  CAST(sum(gross_profit) AS DECIMAL(28,2)) AS gross_profit,
+  {O.ratio_sql('CAST(sum(CAST(gross_profit * 100 AS BIGINT)) AS HUGEINT) * 100', 'sum(CAST(revenue * 100 AS BIGINT))', 6)} AS margin_pct,
   {O.ratio_sql('sum(review_score)', 'count(review_score)', 6)} AS mean_review,
   {O.ratio_sql('count(*) FILTER (WHERE is_on_time = 1)', 'count(is_on_time)', 6)} AS on_time_rate,
   CAST(count(*) AS BIGINT) AS items"""
@@ -98,16 +110,19 @@ w_lines AS (
 
 # ------------------------------------------------------------------ R1 / R2
 
-def category_tier_matrix(lines: DataFrame) -> DataFrame:
-    """A11 + A10: category -> tier hierarchy with subtotals (ROLLUP);
-    ``level`` is grouping_id (0 detail, 1 category subtotal, 3 grand total)."""
-    return (lines.rollup("product_category", "seller_tier")
-            .agg(F.grouping_id().cast("int").alias("level"), *matrix_measures()))
+def category_tier_cells(w: Warehouse) -> DataFrame:
+    """J15 reduced: PARTS per (category, seller tier)."""
+    per = _categorised(w).groupBy("product_category", "sk_seller").agg(*line_parts())
+    return _join_seller(per, w, "seller_tier").groupBy("product_category", "seller_tier").agg(*added_parts())
 
 
 def report_category_tier_matrix(w: Warehouse) -> DataFrame:
-    """R1."""
-    return category_tier_matrix(category_tier_lines(w))
+    """A11 + A10: category -> tier hierarchy with subtotals; the ROLLUP
+    expands the few cells, not the lines.  ``level`` is grouping_id (0 detail,
+    1 category subtotal, 3 grand total)."""
+    return (category_tier_cells(w).rollup("product_category", "seller_tier")
+            .agg(F.grouping_id().cast("int").alias("level"), *added_parts())
+            .select("product_category", "seller_tier", "level", *matrix_measures()))
 
 
 def report_filtered_matrix(w: Warehouse) -> DataFrame:
@@ -122,12 +137,33 @@ def report_sliced_tier_value(w: Warehouse) -> DataFrame:
     return report_tier_value(sliced(w))
 
 
+def report_item_category_matrix(w: Warehouse) -> DataFrame:
+    """R2 with the period and item-category slicers, on R1."""
+    return report_category_tier_matrix(item_sliced(w))
+
+
+def report_item_category_tier_value(w: Warehouse) -> DataFrame:
+    """R2 with the period and item-category slicers, on R3."""
+    return report_tier_value(item_sliced(w))
+
+
+def report_item_category_scatter(w: Warehouse) -> DataFrame:
+    """R2 with the period and item-category slicers, on R4."""
+    return seller_scatter(item_sliced(w))
+
+
 def _slicer_sql(p: Params) -> str:
     groups = ",".join(O._q(g) for g in p.slicer_groups)
     return (f"product_category_group IN ({groups}) AND sk_date_purchase IN "
             f"(SELECT sk_date FROM w_dim_date WHERE date BETWEEN DATE '{p.period_from}' AND DATE '{p.period_to}')")
 
 
+def _item_slicer_sql(p: Params) -> str:
+    names = ",".join(O._q(c) for c in p.slicer_categories)
+    return (f"product_category IN ({names}) AND sk_date_purchase IN "
+            f"(SELECT sk_date FROM w_dim_date WHERE date BETWEEN DATE '{p.period_from}' AND DATE '{p.period_to}')")
+
+
 def _matrix_sql(where: str = "TRUE") -> str:
     return f"""
 SELECT product_category, seller_tier, CAST(GROUPING(product_category, seller_tier) AS INTEGER) AS level,
@@ -140,17 +176,12 @@ GROUP BY ROLLUP (product_category, seller_tier)"""
 
 def report_tier_value(w: Warehouse) -> DataFrame:
     """Totals per tier and means per seller (denominator: sellers with sales)."""
-    lines = _join_seller(w.fact_order_item, w, "seller_tier")
-    agg = lines.groupBy("seller_tier").agg(
-        F.count_distinct("sk_seller").alias("sellers"),
-        F.count(F.lit(1)).alias("items"),
-        F.sum("revenue").cast("decimal(18,2)").alias("revenue"),
-        F.sum("gross_profit").cast("decimal(18,2)").alias("gross_profit"),
-        F.sum(X.cents("revenue")).alias("_rc"), F.sum(X.cents("gross_profit")).alias("_gc"))
+    per = w.fact_order_item.groupBy("sk_seller").agg(*line_parts())
+    agg = _join_seller(per, w, "seller_tier").groupBy("seller_tier").agg(F.count(F.lit(1)).alias("sellers"), *added_parts())
     return agg.select(
-        "seller_tier", "sellers", "items", "revenue", "gross_profit",
-        X.half_up_ratio("_rc", F.col("sellers") * 100, 2).alias("revenue_per_seller"),
-        X.half_up_ratio("_gc", F.col("sellers") * 100, 2).alias("gross_profit_per_seller"))
+        "seller_tier", "sellers", "items", F.col("revenue_sum").alias("revenue"), F.col("profit_sum").alias("gross_profit"),
+        X.half_up_ratio(_cents("revenue_sum"), F.col("sellers") * 100, 2).alias("revenue_per_seller"),
+        X.half_up_ratio(_cents("profit_sum"), F.col("sellers") * 100, 2).alias("gross_profit_per_seller"))
 
 
 def _tier_value_sql(where: str = "TRUE") -> str:
@@ -159,7 +190,7 @@ SELECT seller_tier, sellers, items, revenue, gross_profit,
        {O.ratio_sql('rc', 'sellers * 100', 2)} AS revenue_per_seller,
        {O.ratio_sql('gc', 'sellers * 100', 2)} AS gross_profit_per_seller
 FROM (SELECT seller_tier, CAST(count(DISTINCT sk_seller) AS BIGINT) AS sellers, CAST(count(*) AS BIGINT) AS items,
-             CAST(sum(revenue) AS DECIMAL(18,2)) AS revenue, CAST(sum(gross_profit) AS DECIMAL(18,2)) AS gross_profit,
+             CAST(sum(revenue) AS DECIMAL(28,2)) AS revenue, CAST(sum(gross_profit) AS DECIMAL(28,2)) AS gross_profit,
              sum(CAST(revenue * 100 AS BIGINT)) AS rc, sum(CAST(gross_profit * 100 AS BIGINT)) AS gc
       FROM w_lines WHERE {where} GROUP BY seller_tier) t"""
 
@@ -184,7 +215,7 @@ FROM w_dim_seller GROUP BY seller_tier"""
 def seller_scatter(w: Warehouse) -> DataFrame:
     """R4 + F13: one row per seller with sales."""
     per = w.fact_order_item.groupBy("sk_seller").agg(
-        F.sum("revenue").cast("decimal(18,2)").alias("revenue"),
+        F.sum("revenue").cast("decimal(28,2)").alias("revenue"),
         F.sum("review_score").alias("_ss"), F.count("review_score").alias("reviews"))
     return (_join_seller(per, w, "seller_id", "seller_tier")
             .select("sk_seller", "seller_id", "seller_tier", "revenue", "reviews",
@@ -193,15 +224,18 @@ def seller_scatter(w: Warehouse) -> DataFrame:
                     .cast("decimal(18,6)").alias("log10_revenue")))
 
 
-SCATTER_CTE = f"""
-w_scatter AS (
-  SELECT f.sk_seller, s.seller_id, s.seller_tier, CAST(sum(f.revenue) AS DECIMAL(18,2)) AS revenue,
-         CAST(count(f.review_score) AS BIGINT) AS reviews,
-         {O.ratio_sql('sum(f.review_score)', 'count(f.review_score)', 6)} AS mean_review,
-         CAST(CASE WHEN sum(f.revenue) > 0 THEN round(log10(CAST(sum(f.revenue) AS DOUBLE)), 6) END AS DECIMAL(18,6)) AS log10_revenue,
-         sum(f.review_score) AS score_sum
-  FROM w_fact f JOIN w_dim_seller s ON f.sk_seller = s.sk_seller
-  GROUP BY f.sk_seller, s.seller_id, s.seller_tier)"""
+def _scatter_cte(name: str = "w_scatter", where: str = "TRUE") -> str:
+    return f"""
+{name} AS (
+  SELECT sk_seller, seller_id, seller_tier, CAST(sum(revenue) AS DECIMAL(28,2)) AS revenue,
+         CAST(count(review_score) AS BIGINT) AS reviews,
+         {O.ratio_sql('sum(review_score)', 'count(review_score)', 6)} AS mean_review,
+         CAST(CASE WHEN sum(revenue) > 0 THEN round(log10(CAST(sum(revenue) AS DOUBLE)), 6) END AS DECIMAL(18,6)) AS log10_revenue
+  FROM w_lines WHERE {where}
+  GROUP BY sk_seller, seller_id, seller_tier)"""
+
+
+SCATTER_CTE = _scatter_cte()
 
 SCATTER_COLS = "sk_seller, seller_id, seller_tier, revenue, reviews, mean_review, log10_revenue"
 
@@ -223,22 +257,24 @@ def report_growth_sellers(w: Warehouse) -> DataFrame:
 def report_tier_moves(w: Warehouse) -> DataFrame:
     """Silver sellers at Gold level (revenue >= Gold revenue per seller and
     review >= Gold mean review) -> "promote"; Gold sellers with a review at or
-    below the Bronze mean -> "demote".  Tier benchmarks are scalar subqueries
-    (one small aggregate each, no join fan-out)."""
-    sc = seller_scatter(w)
-    tiers = (_join_seller(w.fact_order_item, w, "seller_tier")
-             .groupBy("seller_tier")
-             .agg(X.half_up_ratio(F.sum(X.cents("revenue")), F.count_distinct("sk_seller") * 100, 2)
-                  .alias("rev_per_seller"), mean_review()))
-
-    def bench(tier: str, col: str) -> Column:
-        return tiers.where(F.col("seller_tier") == tier).select(col).scalar()
-
-    move = (F.when((F.col("seller_tier") == "Silver")
-                   & (F.col("revenue") >= bench("Gold", "rev_per_seller"))
-                   & (F.col("mean_review") >= bench("Gold", "mean_review")), "promote")
-            .when((F.col("seller_tier") == "Gold")
-                  & (F.col("mean_review") <= bench("Bronze", "mean_review")), "demote"))
+    below the Bronze mean -> "demote".  The three benchmarks come as one row
+    from the per-seller rows the report itself starts from."""
+    per = w.fact_order_item.groupBy("sk_seller").agg(*line_parts())
+    sellers = _join_seller(per, w, "seller_id", "seller_tier")
+    tier = F.col("seller_tier")
+
+    def total(name: str, value: str) -> Column:
+        return F.sum(F.when(tier == name, F.col(value)))
+    bench = sellers.agg(
+        X.half_up_ratio((total("Gold", "revenue_sum") * 100).cast("decimal(38,0)"), F.count_if(tier == "Gold") * 100, 2).alias("gold_revenue"),
+        X.half_up_ratio(total("Gold", "score_sum"), total("Gold", "reviews"), 6).alias("gold_review"),
+        X.half_up_ratio(total("Bronze", "score_sum"), total("Bronze", "reviews"), 6).alias("bronze_review"))
+    # one row, added to each seller (a scalar subquery evaluated once)
+    sc = sellers.select("sk_seller", "seller_id", "seller_tier", F.col("revenue_sum").alias("revenue"), mean_review(),
+                        bench.select(F.struct("*")).scalar().alias("b"))
+    move = (F.when((tier == "Silver") & (F.col("revenue") >= F.col("b.gold_revenue"))
+                   & (F.col("mean_review") >= F.col("b.gold_review")), "promote")
+            .when((tier == "Gold") & (F.col("mean_review") <= F.col("b.bronze_review")), "demote"))
     return sc.select("sk_seller", "seller_id", "seller_tier", "revenue", "mean_review",
                      move.alias("move")).where(F.col("move").isNotNull())
 
@@ -262,15 +298,15 @@ w_moves AS (
 
 # ------------------------------------------------------------------ R5 / R6
 
-def _seller_region_lines(w: Warehouse) -> DataFrame:
-    return _join_seller(w.fact_order_item, w, "seller_region")
+def _seller_region_parts(w: Warehouse) -> DataFrame:
+    per = w.fact_order_item.groupBy("sk_seller").agg(*line_parts())
+    return (_join_seller(per, w, "seller_region").groupBy("seller_region")
+            .agg(F.count(F.lit(1)).alias("sellers"), *added_parts()))
 
 
 def report_region_review(w: Warehouse) -> DataFrame:
     """Mean review by seller region."""
-    return _seller_region_lines(w).groupBy("seller_region").agg(
-        F.count_distinct("sk_seller").alias("sellers"), F.count(F.lit(1)).alias("items"),
-        F.count("review_score").alias("reviews"), mean_review())
+    return _seller_region_parts(w).select("seller_region", "sellers", "items", "reviews", mean_review())
 
 
 REGION_REVIEW_SQL = f"""
@@ -284,15 +320,12 @@ def report_region_on_time(w: Warehouse) -> DataFrame:
     """On-time rate by seller region, on both bases (D12): among flagged
     lines (delivered with an estimate) and among delivered lines, plus the
     delivered and flagged shares that explain the survivorship bias."""
-    return _seller_region_lines(w).groupBy("seller_region").agg(
-        F.count(F.lit(1)).alias("items"),
-        F.count("sk_date_delivered").alias("delivered_items"),
-        F.count_if(F.col("is_on_time") == 1).alias("on_time_items"),
+    return _seller_region_parts(w).select(
+        "seller_region", "items", F.col("delivered").alias("delivered_items"), F.col("on_time").alias("on_time_items"),
         on_time_rate(),
-        X.half_up_ratio(F.count_if(F.col("is_on_time") == 1), F.count("sk_date_delivered"), 6)
-        .alias("on_time_rate_delivered"),
-        X.half_up_ratio(F.count("sk_date_delivered"), F.count(F.lit(1)), 6).alias("delivered_share"),
-        X.half_up_ratio(F.count("is_on_time"), F.count(F.lit(1)), 6).alias("flagged_share"))
+        X.half_up_ratio("on_time", "delivered", 6).alias("on_time_rate_delivered"),
+        X.half_up_ratio("delivered", "items", 6).alias("delivered_share"),
+        X.half_up_ratio("flagged", "items", 6).alias("flagged_share"))
 
 
 REGION_ON_TIME_SQL = f"""
@@ -310,20 +343,19 @@ FROM w_lines GROUP BY seller_region"""
 def report_monthly_tier_revenue(w: Warehouse) -> DataFrame:
     """Monthly revenue by tier; R8: a month is flagged incomplete when its
     last day lies after the latest purchase date (scalar subquery)."""
-    lines = _join_seller(w.fact_order_item.join(_dim_date(w, "year", "month"), "sk_date_purchase"),
-                         w, "seller_tier")
+    per = w.fact_order_item.groupBy("sk_date_purchase", "sk_seller").agg(*line_parts())
     last_key = w.fact_order_item.agg(F.max("sk_date_purchase")).scalar()
-    agg = lines.groupBy("year", "month", "seller_tier").agg(
-        F.sum("revenue").cast("decimal(18,2)").alias("revenue"),
-        F.sum("gross_profit").cast("decimal(18,2)").alias("gross_profit"),
-        F.count(F.lit(1)).alias("items"))
+    days = per.join(_dim_date(w, "year", "month"), "sk_date_purchase")
+    agg = (_join_seller(days, w, "seller_tier").groupBy("year", "month", "seller_tier").agg(*added_parts())
+           .select("year", "month", "seller_tier", F.col("revenue_sum").alias("revenue"),
+                   F.col("profit_sum").alias("gross_profit"), "items"))
     month_end = X.date_key(F.last_day(F.make_date("year", "month", F.lit(1))))
     return agg.withColumn("is_incomplete_month", month_end > last_key)
 
 
 MONTHLY_SQL = """
-SELECT d.year, d.month, l.seller_tier, CAST(sum(l.revenue) AS DECIMAL(18,2)) AS revenue,
-       CAST(sum(l.gross_profit) AS DECIMAL(18,2)) AS gross_profit, CAST(count(*) AS BIGINT) AS items,
+SELECT d.year, d.month, l.seller_tier, CAST(sum(l.revenue) AS DECIMAL(28,2)) AS revenue,
+       CAST(sum(l.gross_profit) AS DECIMAL(28,2)) AS gross_profit, CAST(count(*) AS BIGINT) AS items,
        CAST(strftime(last_day(make_date(d.year, d.month, 1)), '%Y%m%d') AS INTEGER)
          > (SELECT max(sk_date_purchase) FROM w_fact) AS is_incomplete_month
 FROM w_lines l JOIN w_dim_date d ON l.sk_date_purchase = d.sk_date
@@ -336,9 +368,7 @@ def report_daily_group_quarter(w: Warehouse) -> DataFrame:
     """Daily revenue and on-time rate of one category group in one
     quarter, answered from the daily summary (not the order lines)."""
     p = w.params
-    cats = bounded_broadcast(  # at most one category per product
-        w.dim_product_category.where(X.category_group("product_category") == p.focus_group),
-        bound_source=w.raw.products)
+    cats = w.dim_product_category.where(X.category_group("product_category") == p.focus_group)
     q_start = _dt.date(p.focus_year, 3 * p.focus_quarter - 2, 1)
     q_end = (_dt.date(p.focus_year + (p.focus_quarter == 4), (3 * p.focus_quarter) % 12 + 1, 1)
              - _dt.timedelta(days=1))
@@ -346,7 +376,7 @@ def report_daily_group_quarter(w: Warehouse) -> DataFrame:
     s = (w.fact_daily_seller_category.where(date_key_range("sk_date", q_start, q_end))
          .join(cats, "sk_product_category").join(days, "sk_date"))
     return s.groupBy("date").agg(
-        F.sum("revenue_total").cast("decimal(18,2)").alias("revenue"),
+        F.sum("revenue_total").cast("decimal(28,2)").alias("revenue"),
         F.sum("orders_count").alias("orders"),
         F.sum("items_count").alias("items"),
         X.half_up_ratio(F.sum("on_time_deliveries"), F.sum("delivered_items"), 6).alias("on_time_rate"))
@@ -354,7 +384,7 @@ def report_daily_group_quarter(w: Warehouse) -> DataFrame:
 
 def _daily_group_sql(p: Params) -> str:
     return f"""
-SELECT d.date, CAST(sum(s.revenue_total) AS DECIMAL(18,2)) AS revenue, CAST(sum(s.orders_count) AS BIGINT) AS orders,
+SELECT d.date, CAST(sum(s.revenue_total) AS DECIMAL(28,2)) AS revenue, CAST(sum(s.orders_count) AS BIGINT) AS orders,
        CAST(sum(s.items_count) AS BIGINT) AS items,
        {O.ratio_sql('sum(s.on_time_deliveries)', 'sum(s.delivered_items)', 6)} AS on_time_rate
 FROM w_summary s JOIN w_cat_ids c ON s.sk_product_category = c.sk_product_category
@@ -370,31 +400,31 @@ def report_category_investment(w: Warehouse) -> DataFrame:
     review and the mean revenue per category: "expand" (both at or above the
     overall values), "fix" (revenue at or above the mean, review below), else
     "hold"."""
-    lines = category_tier_lines(w)
-    per = lines.groupBy("product_category").agg(
-        F.sum("revenue").cast("decimal(18,2)").alias("revenue"), margin_pct(), mean_review(),
-        F.count(F.lit(1)).alias("items"))
-    overall = lines.agg(margin_pct(), mean_review(),
-                        X.half_up_ratio(F.sum(X.cents("revenue")),
-                                        F.count_distinct("product_category") * 100, 2).alias("rev_per_cat"))
-    o_margin = overall.select("margin_pct").scalar()
-    o_review = overall.select("mean_review").scalar()
-    o_rev = overall.select("rev_per_cat").scalar()
-    action = (F.when((F.col("margin_pct") >= o_margin) & (F.col("mean_review") >= o_review), "expand")
-              .when((F.col("revenue") >= o_rev) & (F.col("mean_review") < o_review), "fix")
+    parts = _categorised(w).groupBy("product_category").agg(*line_parts())
+    # the overall values are sums over the per-category rows (one per category)
+    rows = Window.partitionBy(F.lit(0))
+    total = {c: F.sum(c).over(rows) for c in ("revenue_sum", "profit_sum", "score_sum", "reviews")}
+    cents = {c: (total[c] * 100).cast("decimal(38,0)") for c in ("revenue_sum", "profit_sum")}
+    per = parts.select(
+        "product_category", F.col("revenue_sum").alias("revenue"), margin_pct(), mean_review(), "items",
+        margin_pct(cents["profit_sum"], cents["revenue_sum"]).alias("o_margin"),
+        X.half_up_ratio(total["score_sum"], total["reviews"], 6).alias("o_review"),
+        X.half_up_ratio(cents["revenue_sum"], F.count(F.lit(1)).over(rows) * 100, 2).alias("o_rev"))
+    action = (F.when((F.col("margin_pct") >= F.col("o_margin")) & (F.col("mean_review") >= F.col("o_review")), "expand")
+              .when((F.col("revenue") >= F.col("o_rev")) & (F.col("mean_review") < F.col("o_review")), "fix")
               .otherwise("hold"))
-    return per.withColumn("action", action)
+    return per.withColumn("action", action).drop("o_margin", "o_review", "o_rev")
 
 
 CATEGORY_INVESTMENT_SQL = f"""
 , w_overall AS (
-  SELECT {O.ratio_sql('sum(CAST(gross_profit * 100 AS BIGINT)) * 100', 'sum(CAST(revenue * 100 AS BIGINT))', 6)} AS margin_pct,
+  SELECT {O.ratio_sql('CAST(sum(CAST(gross_profit * 100 AS BIGINT)) AS HUGEINT) * 100', 'sum(CAST(revenue * 100 AS BIGINT))', 6)} AS margin_pct,
          {O.ratio_sql('sum(review_score)', 'count(review_score)', 6)} AS mean_review,
          {O.ratio_sql('sum(CAST(revenue * 100 AS BIGINT))', 'count(DISTINCT product_category) * 100', 2)} AS rev_per_cat
   FROM w_lines),
 w_per_cat AS (
-  SELECT product_category, CAST(sum(revenue) AS DECIMAL(18,2)) AS revenue,
-         {O.ratio_sql('sum(CAST(gross_profit * 100 AS BIGINT)) * 100', 'sum(CAST(revenue * 100 AS BIGINT))', 6)} AS margin_pct,
+  SELECT product_category, CAST(sum(revenue) AS DECIMAL(28,2)) AS revenue,
+         {O.ratio_sql('CAST(sum(CAST(gross_profit * 100 AS BIGINT)) AS HUGEINT) * 100', 'sum(CAST(revenue * 100 AS BIGINT))', 6)} AS margin_pct,
          {O.ratio_sql('sum(review_score)', 'count(review_score)', 6)} AS mean_review,
          CAST(count(*) AS BIGINT) AS items
   FROM w_lines GROUP BY product_category)"""
@@ -402,38 +432,48 @@ w_per_cat AS (
 
 # ------------------------------------------------------------------ R15 / R16
 
-def _region_pair_lines(w: Warehouse) -> DataFrame:
-    return _join_seller(_join_customer(w.fact_order_item, w, "customer_region"), w, "seller_region")
+def _region_pairs(w: Warehouse) -> DataFrame:
+    """Freight and delivery parts per (customer region, seller region): the
+    lines meet the customers once and are reduced to (region, seller) before
+    they meet the sellers."""
+    freight = F.sum("freight_value").cast("decimal(28,2)").alias("freight")
+    per = _join_customer(w.fact_order_item, w, "customer_region").groupBy("customer_region", "sk_seller").agg(
+        F.count(F.lit(1)).alias("lines"), freight, F.count("freight_value").alias("with_freight"),
+        F.sum("delivery_days").alias("days"), F.count("delivery_days").alias("delivered_lines"))
+    return _join_seller(per, w, "seller_region").groupBy("customer_region", "seller_region").agg(
+        F.sum("lines").alias("lines"), F.sum("freight").cast("decimal(28,2)").alias("freight"),
+        F.sum("with_freight").alias("with_freight"), F.sum("days").alias("days"),
+        F.sum("delivered_lines").alias("delivered_lines"))
 
 
 def _pivot_regions(pairs: DataFrame, value: str, regions: list[str]) -> DataFrame:
     """Rows = customer region, columns = seller region.  The pivot runs on the
-    (at most regions x regions) pre-aggregated cells, with the column values
-    given so no extra distinct-values job is needed."""
+    (at most regions x regions) pre-aggregated cells; the columns are
+    ``Params.regions``, so a region that the parameter leaves out has no
+    column (the long form `report_region_pairs` always has all)."""
     return pairs.groupBy("customer_region").pivot("seller_region", regions).agg(F.first(value))
 
 
 def report_freight_matrix(w: Warehouse) -> DataFrame:
     """Mean freight per line, customer region x seller region."""
-    cells = _region_pair_lines(w).groupBy("customer_region", "seller_region").agg(
-        X.half_up_ratio(F.sum(X.cents("freight_value")), F.count("freight_value") * 100, 2).alias("v"))
+    cells = _region_pairs(w).select("customer_region", "seller_region",
+                                    X.half_up_ratio(_cents("freight"), F.col("with_freight") * 100, 2).alias("v"))
     return _pivot_regions(cells, "v", list(w.params.regions))
 
 
 def report_delivery_matrix(w: Warehouse) -> DataFrame:
     """Mean delivery days per delivered line, same shape as R15."""
-    cells = _region_pair_lines(w).groupBy("customer_region", "seller_region").agg(
-        X.half_up_ratio(F.sum("delivery_days"), F.count("delivery_days"), 6).alias("v"))
+    cells = _region_pairs(w).select("customer_region", "seller_region",
+                                    X.half_up_ratio("days", "delivered_lines", 6).alias("v"))
     return _pivot_regions(cells, "v", list(w.params.regions))
 
 
 def report_region_pairs(w: Warehouse) -> DataFrame:
     """R15 / R16 in long form: one row per (customer region, seller region)."""
-    return _region_pair_lines(w).groupBy("customer_region", "seller_region").agg(
-        F.count(F.lit(1)).alias("lines"),
-        X.half_up_ratio(F.sum(X.cents("freight_value")), F.count("freight_value") * 100, 2).alias("mean_freight"),
-        F.count("delivery_days").alias("delivered_lines"),
-        X.half_up_ratio(F.sum("delivery_days"), F.count("delivery_days"), 6).alias("mean_delivery_days"))
+    return _region_pairs(w).select(
+        "customer_region", "seller_region", "lines",
+        X.half_up_ratio(_cents("freight"), F.col("with_freight") * 100, 2).alias("mean_freight"), "delivered_lines",
+        X.half_up_ratio("days", "delivered_lines", 6).alias("mean_delivery_days"))
 
 
 REGION_PAIRS_SQL = f"""
@@ -460,20 +500,19 @@ SELECT customer_region, {cols} FROM w_cells GROUP BY customer_region"""
 def audit_cost_basis(w: Warehouse) -> DataFrame:
     """Lines with negative gross profit / sold below the product's list
     price, per category."""
-    lines = _join_product(w.fact_order_item, w, "product_category", "list_price") \
-        .withColumn("product_category", F.coalesce("product_category", F.lit("Unknown")))
+    lines = _categorised(w, "list_price")
     return lines.groupBy("product_category").agg(
         F.count(F.lit(1)).alias("items"),
         F.count_if(F.col("gross_profit") < 0).alias("negative_profit_lines"),
         F.coalesce(F.sum(F.when(F.col("gross_profit") < 0, F.col("gross_profit"))), F.lit(0))
-        .cast("decimal(18,2)").alias("negative_profit_total"),
+        .cast("decimal(28,2)").alias("negative_profit_total"),
         F.count_if(F.col("price") < F.col("list_price")).alias("below_list_lines"))
 
 
 COST_BASIS_SQL = """
 SELECT product_category, CAST(count(*) AS BIGINT) AS items,
        CAST(count(*) FILTER (WHERE gross_profit < 0) AS BIGINT) AS negative_profit_lines,
-       CAST(coalesce(sum(CASE WHEN gross_profit < 0 THEN gross_profit END), 0) AS DECIMAL(18,2)) AS negative_profit_total,
+       CAST(coalesce(sum(CASE WHEN gross_profit < 0 THEN gross_profit END), 0) AS DECIMAL(28,2)) AS negative_profit_total,
        CAST(count(*) FILTER (WHERE price < list_price) AS BIGINT) AS below_list_lines
 FROM w_lines GROUP BY product_category"""
 
@@ -484,8 +523,8 @@ def audit_tier_basis(w: Warehouse) -> DataFrame:
     sellers whose tier would change."""
     p = w.params
     per = w.fact_order_item.groupBy("sk_seller").agg(
-        F.sum("price").cast("decimal(18,2)").alias("price_sum"),
-        F.sum("revenue").cast("decimal(18,2)").alias("revenue_sum"))
+        F.sum("price").cast("decimal(28,2)").alias("price_sum"),
+        F.sum("revenue").cast("decimal(28,2)").alias("revenue_sum"))
     return (_join_seller(per, w, "seller_id", "seller_tier")
             .select("sk_seller", "seller_id", "seller_tier", "price_sum", "revenue_sum",
                     X.seller_tier("price_sum", p).alias("tier_by_price"),
@@ -498,8 +537,8 @@ def _tier_basis_sql(p: Params) -> str:
 SELECT *, tier_by_price <> tier_by_revenue AS tier_changes FROM (
   SELECT sk_seller, seller_id, seller_tier, price_sum, revenue_sum,
          {O.tier_sql('price_sum', p)} AS tier_by_price, {O.tier_sql('revenue_sum', p)} AS tier_by_revenue
-  FROM (SELECT sk_seller, seller_id, seller_tier, CAST(sum(price) AS DECIMAL(18,2)) AS price_sum,
-               CAST(sum(revenue) AS DECIMAL(18,2)) AS revenue_sum
+  FROM (SELECT sk_seller, seller_id, seller_tier, CAST(sum(price) AS DECIMAL(28,2)) AS price_sum,
+               CAST(sum(revenue) AS DECIMAL(28,2)) AS revenue_sum
         FROM w_lines GROUP BY sk_seller, seller_id, seller_tier) t) x"""
 
 
@@ -554,6 +593,14 @@ def register_all(register, warehouse) -> None:
     register("report_tier_value", O.with_warehouse(TIER_VALUE_SQL, p, lines))(wh(report_tier_value))
     register("report_sliced_tier_value", O.with_warehouse(_tier_value_sql(_slicer_sql(p)), p, lines))(
         wh(report_sliced_tier_value))
+    items = _item_slicer_sql(p)
+    register("report_item_category_matrix", O.with_warehouse(_matrix_sql(items), p, lines))(
+        wh(report_item_category_matrix))
+    register("report_item_category_tier_value", O.with_warehouse(_tier_value_sql(items), p, lines))(
+        wh(report_item_category_tier_value))
+    register("report_item_category_scatter", O.with_warehouse(
+        f"SELECT {SCATTER_COLS} FROM w_item_scatter", p, LINES_SQL + "," + _scatter_cte("w_item_scatter", items)))(
+        wh(report_item_category_scatter))
     register("report_sellers_per_tier", O.with_warehouse(SELLERS_PER_TIER_SQL, p))(wh(report_sellers_per_tier))
     register("report_seller_scatter", O.with_warehouse(f"SELECT {SCATTER_COLS} FROM w_scatter", p, scat))(
         wh(seller_scatter))

@@ -1,14 +1,15 @@
 """R2: report slicers that cascade through every report.
 
 ``slice_warehouse`` returns a view of the warehouse whose order-line fact and
-daily summary keep only the chosen purchase period and category groups; the
-dimensions are shared.  Every report function applied to the view is sliced.
+daily summary keep only the chosen purchase period, category groups and item
+categories; the dimensions are shared.  Every report function applied to the view is sliced.
 
 * the period is a range on the order-preserving YYYYMMDD key, pushed into
   the parquet scan of a stored fact (file and row-group skipping on its
   date-sorted layout);
-* the category groups become a semi-join with the product dimension (or the
-  category map for the summary), broadcast behind the row-count check.
+* groups and categories become a semi-join with the product dimension (or the
+  category map for the summary).  A product without a category is sliced as
+  "Unknown", the name the reports show.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stardw.functions import exprs as X
-from stardw.operators.joins import bounded_broadcast
 from stardw.plans.warehouse import Warehouse
 
 
@@ -36,9 +36,10 @@ class SlicedWarehouse(Warehouse):
     never builds the summary)."""
 
     def __init__(self, base: Warehouse, lo: dt.date | None, hi: dt.date | None,
-                 groups: Sequence[str] | None):
+                 groups: Sequence[str] | None, categories: Sequence[str] | None = None):
         super().__init__(base.raw, base.params)
-        self.base, self.lo, self.hi, self.groups = base, lo, hi, list(groups or [])
+        self.base, self.lo, self.hi = base, lo, hi
+        self.groups, self.categories = list(groups or []), list(categories or [])
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -65,17 +66,25 @@ class SlicedWarehouse(Warehouse):
             return None
         return date_key_range(col, self.lo or dt.date(1, 1, 1), self.hi or dt.date(9999, 12, 31))
 
+    def _chosen(self, categories: DataFrame, group: Column) -> DataFrame | None:
+        """Rows of a table of categories that the slicers let through (None: all)."""
+        if not self.groups and not self.categories:
+            return None
+        if self.groups:
+            categories = categories.where(group.isin(self.groups))
+        if self.categories:
+            categories = categories.where(F.coalesce("product_category", F.lit("Unknown")).isin(self.categories))
+        return categories
+
     @cached_property
     def fact_order_item(self) -> DataFrame:
         fact = self.base.fact_order_item
         period = self._period("sk_date_purchase")
         if period is not None:
             fact = fact.where(period)
-        if self.groups:
-            products = (self.base.dim_product.where(F.col("product_category_group").isin(self.groups))
-                        .select("sk_product"))
-            fact = fact.join(bounded_broadcast(products, bound_source=self.raw.products), "sk_product",
-                             "left_semi")
+        products = self._chosen(self.base.dim_product, F.col("product_category_group"))
+        if products is not None:
+            fact = fact.join(products.select("sk_product"), "sk_product", "left_semi")
         return fact
 
     @property
@@ -84,20 +93,24 @@ class SlicedWarehouse(Warehouse):
         period = self._period("sk_date")
         if period is not None:
             summary = summary.where(period)
-        if self.groups:
-            cats = (self.base.dim_product_category
-                    .where(X.category_group("product_category").isin(self.groups)).select("sk_product_category"))
-            summary = summary.join(bounded_broadcast(cats, bound_source=self.raw.products),
-                                   "sk_product_category", "left_semi")
+        cats = self._chosen(self.base.dim_product_category, X.category_group("product_category"))
+        if cats is not None:
+            summary = summary.join(cats.select("sk_product_category"), "sk_product_category", "left_semi")
         return summary
 
 
 def slice_warehouse(w: Warehouse, period_from: dt.date | None = None, period_to: dt.date | None = None,
-                    groups: Sequence[str] | None = None) -> Warehouse:
-    return SlicedWarehouse(w, period_from, period_to, groups)
+                    groups: Sequence[str] | None = None, categories: Sequence[str] | None = None) -> Warehouse:
+    return SlicedWarehouse(w, period_from, period_to, groups, categories)
 
 
 def sliced(w: Warehouse) -> Warehouse:
-    """The warehouse under the slicers of its ``Params``."""
+    """The warehouse under the period and group slicers of its ``Params``."""
     p = w.params
     return slice_warehouse(w, p.period_from, p.period_to, p.slicer_groups)
+
+
+def item_sliced(w: Warehouse) -> Warehouse:
+    """The warehouse under the period and item-category slicers of its ``Params``."""
+    p = w.params
+    return slice_warehouse(w, p.period_from, p.period_to, categories=p.slicer_categories)
