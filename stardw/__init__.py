@@ -13,7 +13,7 @@ functions/  fixed lookup values and Column-level expressions (no UDFs)
 sources/    raw-table readers (CSV, parquet-derived fixtures) and warehouse IO
             (write, read back, insert-ignore append, JDBC, catalog tables)
 operators/  reusable relational building blocks (dense keys, keep-first,
-            deterministic mode/first, size-checked broadcast, salted joins)
+            deterministic first, lineage cuts)
 plans/      dimension / fact / report / slicer / audit plans and the whole load
 streaming/  incremental (micro-batch) insert-ignore append into the fact
 ``python -m stardw`` runs the whole load from CSV files.

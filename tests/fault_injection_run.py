@@ -12,7 +12,6 @@ from pyspark import TaskContext  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
-from stardw.operators import keys  # noqa: E402
 from stardw.params import FIXTURE_PARAMS  # noqa: E402
 from stardw.plans.warehouse import Warehouse  # noqa: E402
 from stardw.session import build_session  # noqa: E402
@@ -33,7 +32,6 @@ def snapshot(w):
 
 def main(sf_dir):
     spark = build_session("local[4,3]", app="fault-injection", shuffle_partitions=4)
-    keys.SINGLE_TASK_MAX_ROWS = 0  # distributed dense keys: range partition + checkpoint
     raw = FX.fixture_tables(spark, sf_dir)
     clean = snapshot(Warehouse(raw, FIXTURE_PARAMS))
     flaky = dataclasses.replace(

@@ -62,10 +62,11 @@ def test_elapsed_days_floor_and_on_time(spark):
         (ts(2017, 1, 1, 10, 0), None, ts(2017, 1, 5, 0, 0)),                   # undelivered -> NULL
         (ts(2017, 1, 1, 10, 0), ts(2017, 1, 3, 10, 0), None),                  # no estimate -> NULL flag
         (ts(2017, 1, 1, 10, 0), ts(2017, 1, 3, 10, 0), ts(2017, 1, 3, 10, 0)),  # equal -> on time
+        (ts(2017, 1, 1, 10, 0), ts(2017, 1, 1, 10, 0) - dt.timedelta(microseconds=500_000), None),  # -0.5 s -> -1 day
     ]
     schema = "p timestamp_ntz, d timestamp_ntz, e timestamp_ntz"
-    assert one(spark, X.elapsed_days("p", "d"), rows, schema) == [0, -1, None, 2, 2]
-    assert one(spark, X.on_time_flag("d", "e"), rows, schema) == [0, 1, None, None, 1]
+    assert one(spark, X.elapsed_days("p", "d"), rows, schema) == [0, -1, None, 2, 2, -1]
+    assert one(spark, X.on_time_flag("d", "e"), rows, schema) == [0, 1, None, None, 1, None]
 
 
 def test_date_key(spark):
@@ -99,3 +100,11 @@ def test_simulated_attributes_ranges_and_stability(spark):
                                         F.datediff(F.lit(P.seller_epoch), X.sim_seller_join_date("k", P)).alias("join"))
                .collect())
     assert a == b
+
+
+def test_margin_of_large_sums_does_not_overflow(spark):
+    from stardw.plans.reports import margin_pct
+    top = spark.range(1).select(F.lit(Decimal("99999999.99")).cast("decimal(28,2)").alias("one"))
+    sums = top.select((F.col("one") * 10_000_000_000).cast("decimal(28,2)").alias("profit_sum"),
+                      (F.col("one") * 10_000_000_000).cast("decimal(28,2)").alias("revenue_sum"))
+    assert sums.select(margin_pct()).first()[0] == 100

@@ -46,24 +46,6 @@ def test_same_result_for_1_and_8_shuffle_partitions(spark):
     assert sum(r[5] for r in one) > Decimal(0)
 
 
-def test_distributed_dense_keys_give_the_same_dimensions(spark):
-    from stardw.operators import keys
-
-    def dims():
-        w = warehouse(spark, SF_SMALL)
-        return [sorted(tuple(r) for r in getattr(w, t).collect())
-                for t in ("dim_customer", "dim_seller", "dim_product", "dim_product_category")]
-
-    single = dims()
-    saved = keys.SINGLE_TASK_MAX_ROWS
-    keys.SINGLE_TASK_MAX_ROWS = 0   # force range partitioning + offsets + checkpoint
-    try:
-        distributed = dims()
-    finally:
-        keys.SINGLE_TASK_MAX_ROWS = saved
-    assert single == distributed
-
-
 def test_date_spine_is_gap_free_and_covers_every_fact_date(spark):
     from pyspark.sql import functions as F
     w = warehouse(spark, SF_SMALL)

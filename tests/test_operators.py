@@ -1,11 +1,10 @@
-"""Relational building blocks: keep-first, deterministic mode / first, dense keys."""
+"""Relational building blocks: keep-first, deterministic first, dense keys."""
 
 import datetime as dt
 
 from pyspark.sql import functions as F
 
-from stardw.operators.aggregates import date_bounds, deterministic_mode, first_non_null_by
-from stardw.operators.joins import bounded_broadcast, row_count_at_most
+from stardw.operators.aggregates import date_bounds, first_non_null_by
 from stardw.operators.keys import dense_key, keep_first
 
 
@@ -27,14 +26,6 @@ def test_keep_first_hot_key(spark):
     assert out.count() == 20001
 
 
-def test_deterministic_mode_ties_and_nulls(spark):
-    df = spark.createDataFrame(
-        [("s1", "b"), ("s1", "a"), ("s1", "b"), ("s1", "a"), ("s2", None), ("s2", None),
-         ("s3", "x"), ("s3", None), ("s3", None)], "s string, c string")
-    got = {r["s"]: r["m"] for r in deterministic_mode(df, ["s"], "c", "m").collect()}
-    assert got == {"s1": "a", "s3": "x"}  # tie -> smallest; all-NULL group absent
-
-
 def test_first_non_null_by(spark):
     df = spark.createDataFrame([("u", 3, "c3"), ("u", 1, None), ("u", 2, "c2"), ("v", 1, None)],
                                "u string, k int, city string")
@@ -42,14 +33,13 @@ def test_first_non_null_by(spark):
     assert got == {"u": "c2", "v": None}
 
 
-def test_dense_key_both_paths_agree(spark):
+def test_dense_key_over_many_partitions(spark):
     df = spark.range(2000).select(F.format_string("K%05d", (F.col("id") * 7919) % 2000).alias("nk"))
-    small = dense_key(df, ["nk"], "sk", bound_source=df)
-    big = dense_key(df.repartition(5), ["nk"], "sk", bound_source=df, single_task_max_rows=10)
-    a = sorted((r["nk"], r["sk"]) for r in small.collect())
-    b = sorted((r["nk"], r["sk"]) for r in big.collect())
+    a = sorted((r["nk"], r["sk"]) for r in dense_key(df, ["nk"], "sk").collect())
+    b = sorted((r["nk"], r["sk"]) for r in dense_key(df.repartition(5), ["nk"], "sk").collect())
     assert a == b
     assert [sk for _, sk in a] == list(range(1, 2001))
+    assert dense_key(df.limit(0), ["nk"], "sk").count() == 0
 
 
 def test_date_bounds_skip_nulls(spark):
@@ -58,9 +48,3 @@ def test_date_bounds_skip_nulls(spark):
     r = date_bounds(df, ["a", "b"]).first()
     assert (r["lo"], r["hi"]) == (dt.date(2016, 12, 31), dt.date(2018, 2, 1))
 
-
-def test_bounded_broadcast_checks_size(spark):
-    small = spark.range(10)
-    assert row_count_at_most(small, 10) and not row_count_at_most(small, 9)
-    assert bounded_broadcast(small, max_rows=5) is small          # over the bound: planner decides
-    assert bounded_broadcast(small, max_rows=100) is not small    # within: broadcast hint added

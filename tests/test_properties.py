@@ -11,7 +11,6 @@ from hypothesis import strategies as st
 
 from stardw.functions import exprs as X
 from stardw.functions import lookups as L
-from stardw.operators.aggregates import deterministic_mode
 from stardw.operators.keys import keep_first
 
 SETTINGS = settings(max_examples=12, deadline=None,
@@ -72,32 +71,3 @@ def test_keep_first_matches_sorted_first(spark, rows):
     for r in sorted(rows, key=lambda r: (r[2] is not None, r[2] or "", r[3])):
         first.setdefault((r[0], r[1]), r)
     assert got == sorted(first.values())
-
-
-@SETTINGS
-@given(st.lists(st.tuples(st.integers(0, 4), st.sampled_from(["x", "y", "z", "w", None])),
-                min_size=1, max_size=60))
-def test_mode_is_most_frequent_then_smallest(spark, rows):
-    df = spark.createDataFrame(rows, "g int, v string")
-    got = {r["g"]: r["m"] for r in deterministic_mode(df, ["g"], "v", "m").collect()}
-    want = {}
-    for g in {r[0] for r in rows}:
-        c = Counter(v for gg, v in rows if gg == g and v is not None)
-        if c:
-            want[g] = min(c, key=lambda v: (-c[v], v))
-    assert got == want
-
-
-@SETTINGS
-@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.integers(0, 99)), min_size=1, max_size=80),
-       st.lists(st.integers(0, 8), unique=True, max_size=8),
-       st.integers(1, 12), st.sampled_from(["left", "inner"]))
-def test_salted_join_equals_plain_join(spark, facts, dim_keys, hot_rows, how):
-    from stardw.operators.skew import hot_key_salts, salted_join
-    large = spark.createDataFrame(facts, "k int, v int")
-    small = spark.createDataFrame([(k, f"d{k}") for k in dim_keys] or [(None, None)], "k int, name string")
-    small = small.where("k IS NOT NULL")
-    want = sorted((tuple(r) for r in large.join(small, "k", how).collect()), key=str)
-    got = sorted((tuple(r) for r in salted_join(large, small, ["k"], how,
-                                                hot_key_salts(large, ["k"], hot_rows)).collect()), key=str)
-    assert got == want

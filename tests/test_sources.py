@@ -3,8 +3,11 @@ files; warehouse write / read back / insert-ignore append."""
 
 from decimal import Decimal
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from stardw.schemas import column_order
 from stardw.session import scratch_dir
 from stardw.sources.csv import read_csv_table, read_optional, read_raw_csv
 from stardw.sources.warehouse_io import append_ignore, read_table, write_table
@@ -46,20 +49,47 @@ def test_write_read_and_append_ignore(spark):
         "order_id string, order_item_id smallint, sk_date_purchase int, sk_seller int")
     cols = {c: F.lit(None) for c in ["sk_date_delivered", "sk_date_estimated_delivery", "sk_customer",
                                       "sk_product", "price", "freight_value", "revenue", "gross_profit",
-                                      "unit_cost", "delivery_days", "is_on_time", "review_score"]}
+                                      "unit_cost", "delivery_days", "is_on_time", "review_score"]}  # untyped: the sink casts
     fact = rows.withColumns(cols)
     write_table(fact, base, "fact_order_item")
     back = read_table(spark, base, "fact_order_item")
     assert back.columns[:3] == ["order_id", "order_item_id", "sk_date_purchase"] and back.count() == 3
+    assert dict(back.dtypes)["sk_customer"] == "bigint" and dict(back.dtypes)["price"] == "decimal(10,2)"
     batch = spark.createDataFrame(
         [("o1", 2, 20170101, 9), ("o3", 1, 20170103, 8), ("o3", 1, 20170103, 1)],
         "order_id string, order_item_id smallint, sk_date_purchase int, sk_seller int").withColumns(cols)
-    added = append_ignore(batch, base, "fact_order_item", ["order_id", "order_item_id"], ["sk_seller"],
-                          date_col="sk_date_purchase")
+    added = append_ignore(batch, base, "fact_order_item", ["order_id", "order_item_id"], ["sk_seller"])
     assert [(r["order_id"], r["sk_seller"]) for r in added.collect()] == [("o3", 1)]
     final = read_table(spark, base, "fact_order_item")
     assert final.count() == 4
     assert final.where("order_id = 'o1' AND order_item_id = 2").first()["sk_seller"] == 6  # existing row kept
+    # the key decides, whatever the other columns say: another date, or none
+    moved = spark.createDataFrame([("o1", 1, 20200505, 1), ("o2", 1, None, 1)],
+                                  "order_id string, order_item_id smallint, sk_date_purchase int, sk_seller int").withColumns(cols)
+    assert append_ignore(moved, base, "fact_order_item", ["order_id", "order_item_id"], ["sk_seller"]).count() == 0
+    assert read_table(spark, base, "fact_order_item").count() == 4
+
+
+def test_append_to_unreadable_table_and_null_key_are_errors(spark):
+    base = scratch_dir(spark, "wio-bad")
+    spark.createDataFrame([("o1", 1)], "order_id string, order_item_id smallint").write.parquet(f"{base}/fact_order_item")
+    row = spark.createDataFrame([("o1", 1, 1)], "order_id string, order_item_id smallint, sk_seller bigint")
+    full = row.withColumns({c: F.lit(None) for c in column_order("fact_order_item") if c not in row.columns})
+    with pytest.raises(AnalysisException):
+        append_ignore(full, base, "fact_order_item", ["order_id", "order_item_id"], ["sk_seller"])
+    with pytest.raises(Exception, match="a key column"):
+        append_ignore(full.withColumn("order_item_id", F.lit(None).cast("smallint")), scratch_dir(spark, "wio-null"),
+                      "fact_order_item", ["order_id", "order_item_id"], ["sk_seller"])
+
+
+def test_numbers_tokens_and_times_as_the_source_reads_them(spark, tmp_path):
+    (tmp_path / "reviews.csv").write_text("order_id,review_score\no1,5.0\no2,4\no3,4.5\n NA ,1\n  ,2\n")
+    got = {r["order_id"]: r["review_score"] for r in read_csv_table(spark, str(tmp_path / "reviews.csv"), "reviews").collect()}
+    assert got == {"o1": 5, "o2": 4, "o3": None, " NA ": 1, "  ": 2}
+    (tmp_path / "orders.csv").write_text(
+        "order_id,order_purchase_timestamp\na,9999-12-31 00:00:00\nb,2262-04-11 23:47:16\nc,1600-01-01\n")
+    got = {r[0]: r[2] for r in read_csv_table(spark, str(tmp_path / "orders.csv"), "orders").collect()}
+    assert got["a"] is None and got["c"] is None and got["b"] is not None
 
 
 def test_register_catalog_and_query_with_sql(spark):

@@ -150,3 +150,23 @@ def test_summary(wh):
     o2 = [r for r in s if r["sk_date"] == 20170103][0]
     assert o2["review_score_sum"] == 0 and o2["reviews_count"] == 0   # no review -> 0, not NULL
     assert o2["delivered_items"] == 0 and o2["on_time_deliveries"] == 0
+
+
+LOST = {  # a valid and an invalid copy of one key: the valid one stays, whichever sorts first
+    "line with NULL product": ("items.csv", "o2,1,NA,s2,1.00,1.00,x\n"),
+    "line with unknown product": ("items.csv", "o2,1,a0,s2,1.00,1.00,x\n"),
+    "line with unknown seller": ("items.csv", "o2,1,p3,a0,1.00,1.00,x\n"),
+    "order with NULL purchase time": ("orders.csv", "o2,c2,,,,\n"),
+    "order with NULL customer": ("orders.csv", "o2,,2017-01-03 10:00:00,,,\n"),
+    "order with unknown customer": ("orders.csv", "o2,a0,2017-01-03 10:00:00,,,\n"),
+}
+
+
+@pytest.mark.parametrize("case", sorted(LOST))
+def test_invalid_copy_never_displaces_a_valid_one(spark, tmp_path, case):
+    name, line = LOST[case]
+    for f, text in FILES.items():
+        (tmp_path / f).write_text(text + (line if f == name else ""))
+    (row,) = Warehouse(read_raw_csv(spark, str(tmp_path)), DEFAULT_PARAMS).fact_order_item.where("order_id = 'o2'").collect()
+    assert (row["price"], row["freight_value"]) == (Decimal("20.00"), Decimal("2.00"))
+    assert row["sk_date_purchase"] == 20170103

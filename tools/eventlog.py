@@ -2,8 +2,7 @@
 
 ``job_group_metrics(log_dir, group)`` reads the event log files a session
 wrote to ``log_dir`` (plain or zstd-compressed JSON lines) and sums, over the
-stages of the jobs tagged with ``group``: input bytes, shuffle bytes written,
-spilled bytes, task count, and the worst stage skew (max / median task
+stages of the jobs tagged with ``group``: shuffle bytes written, spilled bytes, task count, and the worst stage skew (max / median task
 duration, stages with at least 4 tasks).
 """
 
@@ -39,7 +38,7 @@ def _events(log_dir: str):
 def job_group_metrics(log_dir: str, group: str) -> dict:
     stages: set[int] = set()
     tasks: dict[int, list[int]] = {}
-    totals = {"input_bytes": 0, "shuffle_write_bytes": 0, "spill_bytes": 0, "tasks": 0}
+    totals = {"shuffle_write_bytes": 0, "spill_bytes": 0, "tasks": 0}
     events = list(_events(log_dir))
     for e in events:
         if e.get("Event") == "SparkListenerJobStart":
@@ -51,7 +50,6 @@ def job_group_metrics(log_dir: str, group: str) -> dict:
         m = e.get("Task Metrics") or {}
         info = e.get("Task Info") or {}
         totals["tasks"] += 1
-        totals["input_bytes"] += (m.get("Input Metrics") or {}).get("Bytes Read", 0)
         totals["shuffle_write_bytes"] += (m.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
         totals["spill_bytes"] += m.get("Disk Bytes Spilled", 0)
         tasks.setdefault(e["Stage ID"], []).append(info.get("Finish Time", 0) - info.get("Launch Time", 0))
