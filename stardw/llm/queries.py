@@ -87,6 +87,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _NORM = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
          "'abcdefghijklmnopqrstuvwxyz')")
 
+#: A word, as a pattern.
+_WORD = r"'[^ \x09-\x0D]+'"
+
 SQL: dict[str, str] = {
     "op9_exact_dedup": f"""
 WITH n AS (SELECT doc_id, {_NORM} AS norm FROM documents),
@@ -107,4 +110,31 @@ SELECT page_id, payload_bytes,
            + 2 * substr(bits, 5 * k + 4, 1)::INT + substr(bits, 5 * k + 5, 1)::INT, 1) FOR k IN range(0, 32)], '') AS payload_digest,
        CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM d""",
+    # every window as text; the words that no window seen in a smaller id covers
+    "op7_substring_dedup": f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS w FROM documents),
+v AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d) x),
+f AS (SELECT s, min(doc_id) AS first_id FROM v GROUP BY s),
+c AS (SELECT DISTINCT doc_id, p FROM (
+        SELECT v.doc_id, unnest(range(i, i + 50)) AS p FROM v JOIN f ON v.s = f.s WHERE f.first_id < v.doc_id) x),
+k AS (SELECT x.doc_id, count(*) AS n, string_agg(x.word, ' ' ORDER BY x.p) AS kept
+      FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) x
+      ANTI JOIN c ON x.doc_id = c.doc_id AND x.p = c.p GROUP BY x.doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id""",
+    # all pairs that share a shingle, then reachability
+    "op8_ngram_jaccard": f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_NORM}, {_WORD}) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, sh FROM (
+        SELECT doc_id, unnest(CASE WHEN len(w) >= 3 THEN [array_to_string(w[i:i + 2], ' ') FOR i IN range(1, len(w) - 1)]
+                                   WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS sh FROM d) x),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 90 * (x.n + y.n - k)),
+both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r(id, reached) AS (SELECT a, b FROM both_ways UNION SELECT r.id, l.b FROM r JOIN both_ways l ON r.reached = l.a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(m.low, d.doc_id)) AS component_id
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN (SELECT id, min(reached) AS low FROM r GROUP BY id) m ON d.doc_id = m.id""",
 }
