@@ -26,7 +26,7 @@ from stardw.llm.common import Words, blocks, gram_hash, mix64, power_tables, tex
 from stardw.llm.components import stored
 
 #: A minimiser found in more documents than this is split by a second one.
-HOT_DOCS = 5000
+HOT_DOCS = 1000
 _STRING = "bucket long, doc_id long, th long, start int, n int, packed string"
 
 
