@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ from stardw.llm.common import blocks, mix64, power_tables, text_buffer
 
 MIN_CHUNK, MAX_CHUNK, CHUNK_MASK = 256, 8192, np.uint32(0x3FF)
 #: Bytes of chunk text whose ids a task keeps for reuse.
-STORE_BYTES = 32 << 20
+STORE_BYTES = 16 << 20
 _GEAR = (mix64(np.arange(256, dtype=np.uint64), 7) >> np.uint64(16)).astype(np.uint32)
 
 
@@ -46,7 +46,6 @@ class Codec:
     PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
     def __init__(self, path: str):
-        import tiktoken
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         kind = spec.get("pre_tokenizer") or {}
@@ -62,8 +61,7 @@ class Codec:
         pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         if any(vocab[a + b] != 256 + k for k, (a, b) in enumerate(pairs)):
             raise ValueError("merges are not numbered in id order")
-        self.special = special
-        self.encoding = tiktoken.Encoding(path, pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        self._ranks, self._special, self._path = ranks, special, path
         by_id = {v: k for k, v in ranks.items()} | {v: k.encode() for k, v in special.items()}
         size = max(by_id) + 1
         parts = [by_id.get(k, b"") for k in range(size)]
@@ -71,6 +69,12 @@ class Codec:
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
         self.bytes = np.frombuffer(b"".join(parts), np.uint8)
 
+    @cached_property
+    def encoding(self):
+        """The merges, built where a task first encodes."""
+        import tiktoken
+        return tiktoken.Encoding(self._path, pat_str=self.PATTERN, mergeable_ranks=self._ranks, special_tokens=self._special)
+
     def encode(self, data: bytes) -> np.ndarray:
         ids = self.encoding.encode(data.decode("utf-8", "replace"), allowed_special="all")
         return np.array(ids, np.uint32)

@@ -34,7 +34,7 @@ COMMON_DOCS, LOCAL_DOCS, COMMON_MAX = 8, 3, 1 << 20
 #: becomes one candidate group unseen (verification sees all of it).
 RUN_ROWS = 4096
 #: A verification block: sets and elements at most (a larger set is alone).
-BLOCK_SETS, BLOCK_ELEMENTS = 2048, 1_500_000
+BLOCK_SETS, BLOCK_ELEMENTS = 1024, 1_500_000
 
 
 class Bands:
@@ -134,7 +134,7 @@ def _local_counts(words: int, lower: bool):
             for r, h, _, _ in shingle_sets(batch, words, lower):
                 held.append(h)
                 n += len(h)
-                if n > 2_000_000 or r == batch.num_rows - 1:
+                if n > 1_000_000 or r == batch.num_rows - 1:
                     value, count = np.unique(np.concatenate(held), return_counts=True)
                     often = count >= LOCAL_DOCS
                     if often.any():
@@ -231,7 +231,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             run = run & ~1 | parted  # the last bit: joined
             if run in seen:
                 continue
-            if len(seen) < 1_000_000:
+            if len(seen) < 200_000:  # the rest is folded by the distinct that follows
                 seen.add(run)
             runs.append(np.full(len(c), run))
             members.append(c)

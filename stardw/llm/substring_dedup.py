@@ -128,7 +128,7 @@ def _cut(k: int, m: int):
         for batch in batches:
             doc = batch.column("doc_id").to_numpy(zero_copy_only=False)
             shared, hot = (batch.column(x).to_pylist() for x in ("shared", "hot"))
-            for lo, _, w in _block_words(batch, 4 << 20):
+            for lo, _, w in _block_words(batch, 2 << 20):
                 row, at, n, value = super_kmers(w, k, m)
                 if not len(row):
                     continue
@@ -194,7 +194,7 @@ def _repeats(k: int):
             if bucket[0] != last:
                 seen = tuple(x[:0] for x in seen)
             last = bucket[-1]
-            for lo, hi in blocks(offsets, 4 << 20):
+            for lo, hi in blocks(offsets, 2 << 20):
                 w = Words(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
                 at = np.arange(max(0, len(w.hash) - k + 1))
                 at = at[at + k <= w.first[w.row[at] + 1]]
