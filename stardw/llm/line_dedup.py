@@ -18,43 +18,31 @@ from stardw.llm.components import stored
 
 TAU, MIN_CHARS = 2, 20
 #: Letters whose counts (modulo 8) are compared before a pair is verified.
-LETTERS = "etaoinsrhldu"
+LETTERS = "etaoinsr"
 _BLANK = " \\t\\r\\u000b\\u000c"
 
 
-def _segment(length: Column, i: int, tau: int) -> tuple[Column, Column]:
-    """First character (from 1) and size of segment i (from 1) of a line."""
-    base, extra = F.call_function("div", length, F.lit(tau + 1)).cast("int"), length % (tau + 1)
-    plain = tau + 1 - extra  # so many segments have the base size, the rest one more
-    start = F.lit(1) + F.lit(i - 1) * base + F.greatest(F.lit(0), F.lit(i - 1) - plain)
-    return start.cast("int"), (base + (F.lit(i) > plain).cast("int")).cast("int")
+def _keys(places: list[tuple[int, int, int]], tau: int, min_chars: int) -> Column:
+    """Keys of a line for (segment, characters shorter, shift) places: the hash
+    of the segment's number, the indexed line's length and the substring where
+    such a line's segment stands, moved by the shift (null below min_chars).
 
+    Segments are numbered from 1; the first ones have the base size, the last
+    ``length % (tau + 1)`` one character more.  One lambda over the places
+    keeps the generated code small."""
+    listed = ", ".join(f"struct({i} AS i, {shorter} AS shorter, {shift} AS shift)" for i, shorter, shift in places)
+    n = "(chars - t.shorter)"
+    base, plain = f"({n} DIV {tau + 1})", f"({tau + 1} - {n} % {tau + 1})"
+    start = f"(1 + (t.i - 1) * {base} + greatest(0, t.i - 1 - {plain}) + t.shift)"
+    size = f"({base} + IF(t.i > {plain}, 1, 0))"
+    return F.expr(f"transform(array({listed}), t -> IF({n} >= {min_chars}, xxhash64(t.i, {n}, "
+                  f"substring(line, CAST({start} AS INT), CAST({size} AS INT))), NULL))")
 
-def _index_keys(line: Column, length: Column, tau: int) -> Column:
-    keys = []
-    for i in range(1, tau + 2):
-        start, size = _segment(length, i, tau)
-        keys.append(F.xxhash64(F.lit(i), length, F.substr(line, start, size)))
-    return F.array(*keys)
 
-
-def _probe_keys(line: Column, length: Column, tau: int, min_chars: int) -> Column:
-    """A key for every place where an indexed line's segment can stand, first
-    those of lines of the same length (null where none of that length is indexed)."""
-    keys = []
-    for shorter in range(tau + 1):
-        indexed = (length - shorter).cast("int")
-        for i in range(1, tau + 2):
-            start, size = _segment(indexed, i, tau)
-            for shift in range(max(1 - i, shorter - (tau + 1 - i)), min(i - 1, shorter + tau + 1 - i) + 1):
-                key = F.xxhash64(F.lit(i), indexed, F.substr(line, start + shift, size))
-                keys.append(F.when(indexed >= min_chars, key))
-    return F.array(*keys)
-
-
-def _same_length(tau: int) -> int:
-    """So many of the probe keys are for lines of the same length."""
-    return sum(min(i - 1, tau + 1 - i) - max(1 - i, -(tau + 1 - i)) + 1 for i in range(1, tau + 2))
+def _probes(tau: int) -> list[tuple[int, int, int]]:
+    """The places that a line probes, those of lines of its own length first."""
+    return [(i, shorter, shift) for shorter in range(tau + 1) for i in range(1, tau + 2)
+            for shift in range(max(1 - i, shorter - (tau + 1 - i)), min(i - 1, shorter + tau + 1 - i) + 1)]
 
 
 def _letters(line: Column) -> Column:
@@ -106,14 +94,15 @@ def repeated_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS,
     ``min_chars`` characters or more; earlier means a smaller (id, number).
     Lines of white space only stay.  A null text has no lines, an empty one a
     single empty line.  Rows with a null id keep all lines and repeat none.
-    Rows that share an id are one document: equal lines of one number in them
-    are one place, and a number that goes is listed for each of them that has
-    such a line.  Other columns are ignored; an empty table gives no rows.
+    Rows that share an id are copies of one document: equal lines of one number
+    in them are one place, and a number that goes is listed for each of them
+    (should their texts differ, near lines are judged by any of them).  Other
+    columns are ignored; an empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     known = rows.where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("th", F.xxhash64("text"))
     # the lines of a text that count, in order, as (number, line)
-    solid = f"filter(transform(split(text, '\\n'), (x, i) -> struct(i AS line_no, x AS line)), s -> trim(BOTH '{_BLANK}' FROM s.line) <> '')"
+    solid = f"filter(transform(split(text, '\\n'), (x, i) -> struct(i AS line_no, x AS line)), s -> trim(LEADING '{_BLANK}' FROM s.line) <> '')"
     lines = (known.select("doc_id", "th", F.explode(F.expr(solid)).alias("s"))
              .select("doc_id", "th", "s.line_no", F.xxhash64("s.line").alias("h1"), F.xxhash64(F.lit("line"), "s.line").alias("h2")))
     firsts = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
@@ -129,24 +118,22 @@ def repeated_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS,
                 .select("doc_id", "s.line_no", "s.line"))
     own = (picked(placed.withColumnRenamed("is_first", "flag")).withColumn("chars", F.length("line")).where(F.col("chars") >= min_chars)
            .withColumn("letters", _letters(F.col("line"))))
-    # the arrays are columns of their own, so that what their parts share is computed once
     index = (own.select(F.col("doc_id").alias("a_doc"), F.col("line_no").alias("a_line"), F.col("letters").alias("a_letters"),
-                        _index_keys(F.col("line"), F.col("chars"), tau).alias("keys"))
+                        _keys([(i, 0, 0) for i in range(1, tau + 2)], tau, min_chars).alias("keys"))
              .select("a_doc", "a_line", "a_letters", F.explode("keys").alias("key")))
     probe = (own.select(F.col("doc_id").alias("b_doc"), F.col("line_no").alias("b_line"), F.col("letters").alias("b_letters"),
-                        _probe_keys(F.col("line"), F.col("chars"), tau, min_chars).alias("keys"))
+                        _keys(_probes(tau), tau, min_chars).alias("keys"))
              .select("b_doc", "b_line", "b_letters", F.posexplode("keys").alias("k", "key")).where("key IS NOT NULL")
-             .select("b_doc", "b_line", "b_letters", "key", (F.col("k") >= _same_length(tau)).alias("shorter")))
+             .select("b_doc", "b_line", "b_letters", "key", (F.col("k") >= sum(not x[1] for x in _probes(tau))).alias("shorter")))
     other = "(a_doc < b_doc OR (a_doc = b_doc AND a_line < b_line))"
     pairs = stored(index.join(probe, "key").where(F.expr(f"{other} OR (shorter AND NOT (a_doc = b_doc AND a_line = b_line))")
                                                   & (_letter_difference(F.col("a_letters"), F.col("b_letters")) <= 2 * tau))
                    .select("a_doc", "a_line", "b_doc", "b_line").distinct(), "lines-pairs")
     wanted = pairs.select(F.col("a_doc").alias("doc_id"), F.col("a_line").alias("line_no")).union(pairs.select("b_doc", "b_line")).distinct()
-    chosen = placed.join(wanted.withColumn("w", F.lit(True)), ["doc_id", "line_no"], "left").select(
-        "doc_id", "th", "line_no", (F.col("is_first") & F.col("w").isNotNull()).alias("flag"))
-    some = chosen.where("flag").select("doc_id", "th").distinct()
-    texts = stored(picked(chosen.join(some, ["doc_id", "th"], "left_semi")).select("doc_id", "line_no", F.split("line", "").alias("chars")),
-                   "lines-texts")
+    # few lines of few texts: those of the pairs
+    texts = stored(known.join(wanted.groupBy("doc_id").agg(F.collect_list("line_no").alias("numbers")), "doc_id")
+                   .select("doc_id", F.explode(F.expr("transform(numbers, n -> struct(n AS line_no, split(get(split(text, '\\n'), n), '') AS chars))")).alias("x"))
+                   .select("doc_id", "x.line_no", "x.chars").where("chars IS NOT NULL"), "lines-texts")
     a = texts.select(F.col("doc_id").alias("a_doc"), F.col("line_no").alias("a_line"), F.col("chars").alias("a"))
     b = texts.select(F.col("doc_id").alias("b_doc"), F.col("line_no").alias("b_line"), F.col("chars").alias("b"))
     near = pairs.join(a, ["a_doc", "a_line"]).join(b, ["b_doc", "b_line"]).where(within_edits("a", "b", tau))
