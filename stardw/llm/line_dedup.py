@@ -18,7 +18,7 @@ from stardw.llm.components import stored
 
 TAU, MIN_CHARS = 2, 20
 #: Letters whose counts (modulo 8) are compared before a pair is verified.
-LETTERS = "etaoinsr"
+LETTERS = "etaoinsrhldu"
 _BLANK = " \\t\\r\\u000b\\u000c"
 
 
@@ -103,7 +103,8 @@ def repeated_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS,
     known = rows.where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("th", F.xxhash64("text"))
     # the lines of a text that count, in order, as (number, line)
     solid = f"filter(transform(split(text, '\\n'), (x, i) -> struct(i AS line_no, x AS line)), s -> trim(LEADING '{_BLANK}' FROM s.line) <> '')"
-    lines = (known.select("doc_id", "th", F.explode(F.expr(solid)).alias("s"))
+    # explode_outer, here and below: explode would first filter by the array, computing it three times
+    lines = (known.select("doc_id", "th", F.explode_outer(F.expr(solid)).alias("s")).where("s IS NOT NULL")
              .select("doc_id", "th", "s.line_no", F.xxhash64("s.line").alias("h1"), F.xxhash64(F.lit("line"), "s.line").alias("h2")))
     firsts = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
     placed = stored(lines.join(firsts, ["h1", "h2"]).select(
@@ -114,16 +115,16 @@ def repeated_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS,
         solid lines, in order, are laid beside the lines."""
         flags = chosen.groupBy("doc_id", "th").agg(F.array_sort(F.collect_list(F.struct("line_no", "flag"))).alias("flags"))  # a text's own lines
         beside = f"filter(zip_with({solid}, flags, (s, f) -> struct(s.line_no AS line_no, s.line AS line, f.flag AS flag)), s -> s.flag)"
-        return (known.join(flags, ["doc_id", "th"]).select("doc_id", F.explode(F.expr(beside)).alias("s"))
+        return (known.join(flags, ["doc_id", "th"]).select("doc_id", F.explode_outer(F.expr(beside)).alias("s")).where("s IS NOT NULL")
                 .select("doc_id", "s.line_no", "s.line"))
     own = (picked(placed.withColumnRenamed("is_first", "flag")).withColumn("chars", F.length("line")).where(F.col("chars") >= min_chars)
            .withColumn("letters", _letters(F.col("line"))))
     index = (own.select(F.col("doc_id").alias("a_doc"), F.col("line_no").alias("a_line"), F.col("letters").alias("a_letters"),
                         _keys([(i, 0, 0) for i in range(1, tau + 2)], tau, min_chars).alias("keys"))
-             .select("a_doc", "a_line", "a_letters", F.explode("keys").alias("key")))
+             .select("a_doc", "a_line", "a_letters", F.explode_outer("keys").alias("key")))
     probe = (own.select(F.col("doc_id").alias("b_doc"), F.col("line_no").alias("b_line"), F.col("letters").alias("b_letters"),
                         _keys(_probes(tau), tau, min_chars).alias("keys"))
-             .select("b_doc", "b_line", "b_letters", F.posexplode("keys").alias("k", "key")).where("key IS NOT NULL")
+             .select("b_doc", "b_line", "b_letters", F.posexplode_outer("keys").alias("k", "key")).where("key IS NOT NULL")
              .select("b_doc", "b_line", "b_letters", "key", (F.col("k") >= sum(not x[1] for x in _probes(tau))).alias("shorter")))
     other = "(a_doc < b_doc OR (a_doc = b_doc AND a_line < b_line))"
     pairs = stored(index.join(probe, "key").where(F.expr(f"{other} OR (shorter AND NOT (a_doc = b_doc AND a_line = b_line))")
