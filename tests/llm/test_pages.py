@@ -99,6 +99,15 @@ def test_template_text_goes_where_no_main_part_is_marked(spark):
     assert {r.host for r in host_wrappers(docs).collect()} == {"h.example", "o", ""}
 
 
+def test_long_and_unlike_pages_lose_no_template_text(spark):
+    head = [page("".join(f"<div class='{'abcdefgh'[j % 8]}{chr(97 + k)}x{chr(97 + j // 8 % 26)}'><b>{k} {j}</b></div>" for j in range(1500))
+                 + f"<ul>{''.join(f'<li>Link {j}</li>' for j in range(400))}</ul><p>Story {k}</p><section>Legal text</section>") for k in range(3)]
+    got = {r.page_id: r.text.split("\n\n") for r in
+           extract_text(table(spark, [(k, f"http://long.example/{k}", t) for k, t in enumerate(head)], PAGE).repartition(3)).collect()}
+    for k in range(3):
+        assert got[k] == [*(f"{k} {j}" for j in range(1500)), f"Story {k}"]
+
+
 def test_very_long_and_malformed_pages():
     assert main_text(page("<article>" + "<p>x</p>" * 30000), None).count("x") == 30000
     assert main_text('<p a="' + "<b " * 20000, None) is not None
