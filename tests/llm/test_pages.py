@@ -108,6 +108,14 @@ def test_long_and_unlike_pages_lose_no_template_text(spark):
         assert got[k] == [*(f"{k} {j}" for j in range(1500)), f"Story {k}"]
 
 
+def test_copies_keep_their_text(spark):
+    body = page("<div>Welcome</div><p>Only story</p>")
+    rows = [(1, "http://c.example/a", body), (2, "https://c.example/a?utm_source=x", body), (3, "http://c.example/a", body.replace("var t", "var u")),
+            *((k, f"http://d.example/{k % 2}", page(f"<div>Welcome</div><p>Story {k % 2}</p>")) for k in range(4, 8))]
+    got = {r.page_id: r.text for r in extract_text(table(spark, rows, PAGE)).collect()}
+    assert got == {1: "Welcome\n\nOnly story", 2: "Welcome\n\nOnly story", 3: "Welcome\n\nOnly story", 4: "Story 0", 5: "Story 1", 6: "Story 0", 7: "Story 1"}
+
+
 def test_very_long_and_malformed_pages():
     assert main_text(page("<article>" + "<p>x</p>" * 30000), None).count("x") == 30000
     assert main_text('<p a="' + "<b " * 20000, None) is not None
