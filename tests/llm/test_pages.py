@@ -99,13 +99,11 @@ def test_template_text_goes_where_no_main_part_is_marked(spark):
     assert {r.host for r in host_wrappers(docs).collect()} == {"h.example", "o", ""}
 
 
-def test_long_and_unlike_pages_lose_no_template_text(spark):
-    head = [page("".join(f"<div class='{'abcdefgh'[j % 8]}{chr(97 + k)}x{chr(97 + j // 8 % 26)}'><b>{k} {j}</b></div>" for j in range(1500))
-                 + f"<ul>{''.join(f'<li>Link {j}</li>' for j in range(400))}</ul><p>Story {k}</p><section>Legal text</section>") for k in range(3)]
-    got = {r.page_id: r.text.split("\n\n") for r in
-           extract_text(table(spark, [(k, f"http://long.example/{k}", t) for k, t in enumerate(head)], PAGE).repartition(3)).collect()}
-    for k in range(3):
-        assert got[k] == [*(f"{k} {j}" for j in range(1500)), f"Story {k}"]
+def test_template_text_without_limits(spark):
+    head = f"<ul>{''.join(f'<li>Link {j}</li>' for j in range(400))}</ul>" + "".join(f"<br class='{chr(97 + j % 26)}{j}'>" for j in range(3100))
+    rows = [(k, f"http://long.example/{k}", page(f"{head}<p>Story {k}</p><section>Legal text</section>")) for k in range(3)]
+    got = {r.page_id: r.text for r in extract_text(table(spark, rows, PAGE).repartition(3)).collect()}
+    assert got == {k: f"Story {k}" for k in range(3)}
 
 
 def test_copies_keep_their_text(spark):
@@ -116,6 +114,21 @@ def test_copies_keep_their_text(spark):
     assert got == {1: "Welcome\n\nOnly story", 2: "Welcome\n\nOnly story", 3: "Welcome\n\nOnly story", 4: "Story 0", 5: "Story 1", 6: "Story 0", 7: "Story 1"}
 
 
+def test_template_decides_beside_and_inside_marked_parts(spark):
+    marked = [f"<p>Story {k} outside</p><article><p>Subscribe to us</p></article>" for k in range(4)]
+    within = [f"<article><h1>Title {k}</h1><p>Text of {k}, and quite a bit more of it</p><div>Share this</div></article><div>Imprint</div>" for k in range(4)]
+    main = [f"<div>Page {k} of 9</div><main><p>Main {k}</p></main>" for k in range(4)]
+    copied = [f"<article><h1>Title {k}</h1><p>A long text that two pages hold alike</p><p>and its end</p></article>" for k in range(2)]
+    rows = [(10 * n + k, f"http://h{n}.example/{k}", page(body)) for n, bodies in enumerate((marked, within, main, copied)) for k, body in enumerate(bodies)]
+    got = {r.page_id: r.text for r in extract_text(table(spark, rows, PAGE)).collect()}
+    for k in range(4):
+        assert got[k] == f"Story {k} outside"
+        assert got[10 + k] == f"Title {k}\n\nText of {k}, and quite a bit more of it"
+        assert got[20 + k] == f"Main {k}"
+    for k in range(2):  # most of the part is shared: copied, no template
+        assert got[30 + k] == f"Title {k}\n\nA long text that two pages hold alike\n\nand its end"
+
+
 def test_very_long_and_malformed_pages():
     assert main_text(page("<article>" + "<p>x</p>" * 30000), None).count("x") == 30000
     assert main_text('<p a="' + "<b " * 20000, None) is not None
