@@ -86,6 +86,16 @@ def test_wrapper_folds_repeats_and_finds_options_and_slots():
     assert Wrapper.loads(w.dumps()).items == w.items
 
 
+@pytest.mark.parametrize(("html", "want"), [
+    ("<article><h2 id='login'>Login</h2><section id='related-work'><p>work</p></section></article>", "Login\n\nwork"),
+    ("<article><div class='entry-header'><h1>Title</h1></div><table><tr class='header'><th>a</th></tr></table></article>", "Title\n\na"),
+    ("<article><p>text</p><div class='related-posts'>r</div><div id='comments'>c</div><section class='social share'>s</section></article>", "text"),
+    ("<div class='site-header'>top</div><p>text</p><div class='entry-footer'>f</div>", "text"),
+])
+def test_names_set_aside_boxes_but_no_article_text(html, want):
+    assert main_text(page(html), None) == want
+
+
 def test_template_text_goes_where_no_main_part_is_marked(spark):
     rows = [(k, "http://h.example/" + str(k), page(f"<div>Welcome to us</div><div>Story {k} here</div><div>All rights</div>")) for k in range(6)]
     rows += [(90, None, None), (91, "http://h.example/x", ""), (92, "bad", "<p>alone"), (0, *rows[0][1:]), (None, "http://o/", page("<p>lone page</p>"))]
