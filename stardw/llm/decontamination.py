@@ -11,7 +11,10 @@ order its passages stand.
 from __future__ import annotations
 
 import heapq
+import re
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,14 +27,43 @@ SEED_WORDS, THRESHOLD = 5, 0.8
 #: Characters of benchmark text that one pass over the documents looks for.
 PASS_CHARS = 8 << 20
 
+#: Scripts written without spaces (Han, kana, Thai, Lao, Myanmar, Khmer and their kin).
+_UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x3005, 0x3007), (0x3021, 0x312F), (0x31A0, 0x31FF),
+             (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA980, 0xA9DF), (0xAA60, 0xAA7F), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF)]
+_OTHER = re.compile(r"[^\w\x00-\x7f]|[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in _UNSPACED) + "]")
+#: A letter that is a word, and the marks on it.
+_MARKED = re.compile(r"\0((?:[^\w\x00-\x7f])*)")
 _SEP = np.ones(256, bool)
 _SEP[[*range(48, 58), *range(65, 91), *range(97, 123), 95, *range(128, 256)]] = False
 
 
+@lru_cache(maxsize=1 << 17)
+def _spaced(c: str) -> str:
+    """A character of a word (marks too), one that is a word or none, or no character."""
+    kind = unicodedata.category(c)
+    if kind[0] == "M":
+        return "" if "\ufe00" <= c <= "\ufe0f" or "\U000e0100" <= c <= "\U000e01ef" else c
+    if kind == "Cf":
+        return " " if c == "\u200b" else ""
+    return f" {c}\0" if kind[0] in "LN" else " "
+
+
+def fold(text: str) -> str:
+    """Case-folded text in which all beyond ASCII is words: other characters
+    there (quotes, dashes, spaces) part words, format characters and variation
+    selectors go, and letters of unspaced scripts are words, with their marks."""
+    text = text.casefold()
+    if text.isascii():
+        return text
+    text = _OTHER.sub(lambda m: _spaced(m[0]), text)
+    return _MARKED.sub(r"\1 ", text) if "\0" in text else text
+
+
 def folded_words(texts: list[str | None], limit: int = 1 << 20) -> Iterator[tuple[int, int, Words]]:
     """(first row, end row, words) of blocks of case-folded texts; a word is a
-    run of letters, digits, underscores and characters beyond ASCII."""
-    raw, offsets = text_buffer(pa.array([t.casefold() if t else "" for t in texts], pa.large_string()))
+    run of letters, marks, digits and underscores, or one letter of an unspaced
+    script."""
+    raw, offsets = text_buffer(pa.array([fold(t) if t else "" for t in texts], pa.large_string()))
     for lo, hi in blocks(offsets, limit):
         yield lo, hi, Words(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], sep=_SEP)
 

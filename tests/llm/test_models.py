@@ -119,6 +119,16 @@ def test_tiling_against_brute_force(spark):
             assert r.item_ids == sorted(k for k, c in want.items() if c >= 0.8) and r.contaminated == bool(r.item_ids)
 
 
+def test_words_beyond_ascii(spark):
+    han, thai = "今天天气很好我们去公园散步吧", "วันนี้อากาศดีมาก"
+    plain, hindi = "he said the quick brown fox jumps over it", "यह एक छोटा सा हिन्दी वाक्य है"
+    bench = table(spark, [(1, han), (2, plain), (3, thai), (4, hindi)], "item_id long, text string")
+    rows = [(1, f"前言{han}後記"), (2, "\u201che\u00a0said\u2014the\u00abquick\u00bbbrown\u2019fox\u2026jumps\u2013over\u3000it\u201d"), (3, f"x{thai}y"),
+            (4, f"({hindi}।)"), (5, "今天我们很好"), (6, "he said the quick"), (7, "he said the qu\u00adick brown fox jumps over it")]
+    got = {r.doc_id: r.item_ids for r in D.contamination(table(spark, rows), bench).collect()}
+    assert got == {1: [1], 2: [2], 3: [3], 4: [4], 5: [], 6: [], 7: [2]}
+
+
 def test_reordered_passages_and_edges(spark):
     item = "Alpha beta gamma delta epsilon zeta eta theta iota kappa"
     bench = table(spark, [(7, item), (8, None), (None, item), (9, "too short"), (7, item)], "item_id long, text string")
