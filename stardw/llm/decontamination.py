@@ -18,10 +18,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stardw.llm.common import Words, blocks, gram_hash, text_buffer
+from stardw.session import scratch_dir
 
 SEED_WORDS, THRESHOLD = 5, 0.8
 #: Characters of benchmark text that one pass over the documents looks for.
@@ -142,18 +143,54 @@ class BenchmarkIndex:
         return out
 
 
-def benchmark_passes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", seed: int = SEED_WORDS,
-                     pass_chars: int = PASS_CHARS) -> list:
-    """Broadcast indexes that together hold the whole benchmark, each of about
-    ``pass_chars`` characters (a longer item is alone)."""
+def benchmark_parts(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", pass_chars: int = PASS_CHARS) -> tuple[DataFrame, int]:
+    """The items with the number of their pass, and the number of passes, each
+    of about ``pass_chars`` characters (a longer item is alone)."""
     items = benchmark.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = int(total // pass_chars) + 1
-    sc = benchmark.sparkSession.sparkContext
-    numbered = items.withColumn("part", F.pmod(F.xxhash64("id", "text"), F.lit(parts)))
-    return [sc.broadcast(BenchmarkIndex(sorted((x.id, x.text) for x in numbered.where(F.col("part") == p).distinct().collect()), seed))
-            for p in range(parts)]
+    return items.withColumn("part", F.pmod(F.xxhash64("id", "text"), F.lit(parts))), parts
+
+
+def part_index(numbered: DataFrame, part: int, seed: int):
+    """The broadcast index of one pass; no other part is on the driver."""
+    got = numbered.where(F.col("part") == part).select("id", "text").distinct().collect()
+    return numbered.sparkSession.sparkContext.broadcast(BenchmarkIndex(sorted((x.id, x.text) for x in got), seed))
+
+
+def _text_keys(text: Column) -> tuple[Column, Column]:
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
+
+
+def passes(texts: DataFrame, numbered: DataFrame, parts: int, threshold: float, seed: int) -> DataFrame:
+    """``k1, k2`` (of the text), ``coverage, item_ids`` of the column ``text``
+    where it shares a seed.  What a pass finds is written, and its index let go,
+    before the next one is built."""
+    path = scratch_dir(texts.sparkSession, "tiles")
+    k1, k2 = _text_keys(F.col("text"))
+    rows = texts.where(F.col("text").isNotNull()).select(k1.alias("k1"), k2.alias("k2"), "text")
+    kind = "k1 long, k2 long, part int, coverage double, item_ids array<long>"
+    for part in range(parts):
+        index = part_index(numbered, part, seed)
+        rows.mapInArrow(_finder(index, part, threshold), kind).write.mode("append").parquet(path)
+        index.destroy()
+    found = texts.sparkSession.read.schema(kind).parquet(path).dropDuplicates(["k1", "k2", "part"])
+    return found.groupBy("k1", "k2").agg(F.max("coverage").alias("coverage"), F.flatten(F.collect_list("item_ids")).alias("item_ids"))
+
+
+def _finder(index, part: int, threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, w in folded_words(batch.column("text").to_pylist()):
+                found = index.value.matches(w, hi - lo)
+                at = [k for k, got in enumerate(found) if got]
+                keys = batch.select(["k1", "k2"]).slice(lo, hi - lo).take(pa.array(at, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*keys.columns, pa.array([part] * len(at), pa.int32()),
+                                                  pa.array([max(c for c, _ in found[k]) for k in at], pa.float64()),
+                                                  pa.array([[i for c, i in found[k] if c >= threshold] for k in at], pa.list_(pa.int64()))],
+                                                 ["k1", "k2", "part", "coverage", "item_ids"])
+    return run
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -170,8 +207,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     kind = docs.schema[id_col].dataType.simpleString()
     out = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.lit(0.0).alias("coverage"),
                       F.array().cast("array<long>").alias("item_ids"))
-    for index in benchmark_passes(benchmark, seed=seed, pass_chars=pass_chars):
-        out = out.mapInArrow(_adder(index, threshold), f"doc_id {kind}, text string, coverage double, item_ids array<long>")
+    numbered, parts = benchmark_parts(benchmark, pass_chars=pass_chars)
+    if parts > 1:
+        found = passes(out, numbered, parts, threshold, seed)
+        k1, k2 = _text_keys(F.col("text"))
+        out = out.select("doc_id", k1.alias("k1"), k2.alias("k2")).join(found, ["k1", "k2"], "left").select(
+            "doc_id", F.coalesce("coverage", F.lit(0.0)).alias("coverage"), F.coalesce("item_ids", F.array().cast("array<long>")).alias("item_ids"))
+    else:
+        out = out.mapInArrow(_adder(part_index(numbered, 0, seed), threshold), f"doc_id {kind}, text string, coverage double, item_ids array<long>")
     return out.select("doc_id", (F.size("item_ids") > 0).alias("contaminated"), "coverage", F.array_sort("item_ids").alias("item_ids"))
 
 
@@ -198,6 +241,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                     clean = [all(x < threshold for x, _ in got) for got in index.value.matches(w, hi - lo)]
                     yield batch.slice(lo, hi - lo).filter(pa.array(clean, pa.bool_()))
         return run
-    for index in benchmark_passes(benchmark, seed=seed, pass_chars=pass_chars):
-        docs = docs.mapInArrow(keeper(index), docs.schema)
-    return docs
+    numbered, parts = benchmark_parts(benchmark, pass_chars=pass_chars)
+    if parts == 1:
+        return docs.mapInArrow(keeper(part_index(numbered, 0, seed)), docs.schema)
+    found = passes(docs.select(F.col(text_col).alias("text")), numbered, parts, threshold, seed)
+    found = found.where(F.size("item_ids") > 0).select("k1", "k2")
+    k1, k2 = _text_keys(docs[text_col])
+    return docs.join(found, (k1 == found["k1"]) & (k2 == found["k2"]), "left_anti")

@@ -129,6 +129,23 @@ def test_words_beyond_ascii(spark):
     assert got == {1: [1], 2: [2], 3: [3], 4: [4], 5: [], 6: [], 7: [2]}
 
 
+def test_one_index_at_a_time(spark, monkeypatch):
+    from pyspark.core.broadcast import Broadcast
+    rnd, events = random.Random(6), []
+    items = [(k % 9, " ".join(rnd.choices("abcdefghij", k=8))) for k in range(12)]
+    rows = [(i % 25, rnd.choice(items)[1] + " x " + rnd.choice(items)[1]) for i in range(30)] + [(None, items[0][1]), (50, None), (51, "none of it")]
+    docs, bench = table(spark, rows), table(spark, items, "item_id long, text string")
+    want, clean = (sorted(map(str, f(docs, bench).collect())) for f in (D.contamination, D.decontaminate))
+    init, destroy = D.BenchmarkIndex.__init__, Broadcast.destroy
+    monkeypatch.setattr(D.BenchmarkIndex, "__init__", lambda self, *a: (events.append("built"), init(self, *a))[1])
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, *a: (events.append("gone"), destroy(self, *a))[1])
+    for f, known in ((D.contamination, want), (D.decontaminate, clean)):
+        events.clear()
+        got = f(docs, bench, pass_chars=40)
+        assert sorted(map(str, got.collect())) == known
+        assert len(events) > 4 and events == ["built", "gone"] * (len(events) // 2)
+
+
 def test_reordered_passages_and_edges(spark):
     item = "Alpha beta gamma delta epsilon zeta eta theta iota kappa"
     bench = table(spark, [(7, item), (8, None), (None, item), (9, "too short"), (7, item)], "item_id long, text string")
