@@ -85,6 +85,10 @@ class AdditiveModel:
     pairs: list[tuple[int, int]] = field(default_factory=list)
     pair_tables: list[np.ndarray] = field(default_factory=list)
 
+    @property
+    def fitted(self) -> bool:
+        return bool(self.edges)
+
     def bins(self, x: np.ndarray) -> np.ndarray:
         return np.column_stack([np.searchsorted(e, x[:, k]) for k, e in enumerate(self.edges)]) if self.edges else x[:, :0]
 
@@ -193,7 +197,8 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def fit_quality_model(docs: DataFrame, labels: DataFrame, learn: Column | None = None, id_col: str = "doc_id",
                       text_col: str = "text", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS) -> AdditiveModel:
     """Fits on rows of ``docs`` with a label in ``labels`` (null labels and ids
-    are left out) for which ``learn`` (over the id of ``labels``) holds."""
+    are left out) for which ``learn`` (over the id of ``labels``) holds.  With
+    no such row the model is not ``fitted`` and scores all texts 0.5."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()
                          & F.coalesce(F.lit(True) if learn is None else learn, F.lit(False)))
     known = known.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label"))
@@ -204,6 +209,8 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, learn: Column | None =
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")  # sample_rows rows
     kind = known.schema["id"].dataType.simpleString()
     got = rows.mapInArrow(_feature_rows, f"label double, id {kind}, x array<double>").collect()
+    if not got:
+        return AdditiveModel()
     got.sort(key=lambda r: (r.id, r.label, r.x))
     return fit_additive(np.array([r.x for r in got]).reshape(len(got), len(FEATURES)), np.array([r.label for r in got]))
 
@@ -229,7 +236,10 @@ def score_quality(docs: DataFrame, model: AdditiveModel, id_col: str = "doc_id",
 
 
 def keep_quality(docs: DataFrame, model: AdditiveModel, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` that score ``threshold`` or more, all columns kept."""
+    """The rows of ``docs`` that score ``threshold`` or more, all columns kept;
+    every row if the model is not ``fitted``."""
+    if not model.fitted:
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -65,6 +65,15 @@ def test_quality_edges(spark):
     assert {r.score for r in Q.score_quality(docs, empty).collect()} == {0.5}
 
 
+def test_quality_stage_without_labels_keeps_all(spark, tmp_path):
+    import corpus_pipeline
+    docs = table(spark, ODD + [(1, "Fine words here, all of them.")])
+    for k, rows in enumerate(([], [(1, None), (None, 1)], [(-77, 1)])):  # none, none usable, none of these documents
+        spark.createDataFrame(rows, "doc_id long, quality int").write.parquet(f"{tmp_path}/{k}/labels.parquet")
+        kept = corpus_pipeline.quality(spark, docs, f"{tmp_path}/{k}")
+        assert kept.columns == docs.columns and kept.count() == len(ODD) + 1
+
+
 def test_additive_model_learns_steps_and_a_pair():
     rnd = np.random.default_rng(0)
     x = rnd.random((4000, 4))
