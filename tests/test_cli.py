@@ -8,7 +8,7 @@ from stardw.session import scratch_dir
 from stardw.sources import fixtures as FX
 from stardw.sources.csv import write_csv_table
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_cli_load_from_csv(spark):

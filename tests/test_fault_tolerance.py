@@ -5,7 +5,7 @@ import os
 import subprocess
 import sys
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_retried_tasks_give_identical_tables():

@@ -7,7 +7,7 @@ from decimal import Decimal
 from stardw.catalog import warehouse
 from stardw.plans import audit
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_audits_are_clean(spark):

@@ -14,7 +14,7 @@ from check_oracle import TABLES, duck_type, rows_of  # noqa: E402
 
 from stardw import catalog  # noqa: E402
 
-from conftest import SF_SMALL  # noqa: E402
+from paths import SF_SMALL  # noqa: E402
 
 QUERIES = catalog.queries()
 ORACLE = catalog.oracle_sql()

@@ -15,7 +15,7 @@ from stardw.plans import reports
 from stardw.plans.warehouse import Warehouse
 from stardw.sources import fixtures as FX
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 SPLIT = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
          "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",

@@ -97,7 +97,7 @@ def test_register_catalog_and_query_with_sql(spark):
     from stardw.plans.load import load_warehouse
     from stardw.sources import fixtures as FX
     from stardw.sources.warehouse_io import register_catalog
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     base = scratch_dir(spark, "catalog")
     wh = load_warehouse(FX.fixture_tables(spark, SF_SMALL), FIXTURE_PARAMS, base)
     names = register_catalog(spark, base, database="stardw_test")

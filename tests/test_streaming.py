@@ -7,7 +7,7 @@ from stardw.session import scratch_dir
 from stardw.sources.warehouse_io import read_table
 from stardw.streaming.append import fact_appender
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_stream_append_is_idempotent(spark):
