@@ -15,6 +15,7 @@ from stardw.llm.html_text import extract_text
 from stardw.llm.language_id import fit_language_model, identify_language
 from stardw.llm.line_dedup import repeated_lines
 from stardw.llm.ngram_jaccard import jaccard_components
+from stardw.llm.periodic_runs import periodic_runs, run_digests
 from stardw.llm.quality import fit_quality_model, score_quality
 from stardw.llm.substring_dedup import substring_dedup
 from stardw.llm.warc import read_archives, write_archives
@@ -71,6 +72,22 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(periodic_runs(_with_periods(table(spark, sf_dir, "documents"))))
+
+
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """Input of op12: where crc32(doc_id) is divisible by ten, the text from word
+    a on repeats its words a..a+p-1 (a, p: from the crc and the word count)."""
+    words = docs.select("doc_id", "text", crc32_of_id(F.col("doc_id")).alias("h"), F.when(
+        crc32_of_id(F.col("doc_id")) % 10 == 0, F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)")).alias("words"))
+    sized = words.withColumn("n", F.size("words")).withColumn("g", F.expr("h DIV 10"))
+    placed = sized.withColumn("a", F.expr("IF(n > 0, g % n, NULL)")).withColumn("p", F.expr("1 + (n - a) DIV (3 + g % 8)"))
+    repeated = F.expr("""array_join(concat(slice(words, 1, CAST(a AS INT)), slice(flatten(array_repeat(
+        slice(words, CAST(a AS INT) + 1, CAST(p AS INT)), CAST(1 + (n - a) DIV p AS INT))), 1, CAST(n - a AS INT))), ' ')""")
+    return placed.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
@@ -82,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality": op10_quality,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 _NORM = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
