@@ -18,6 +18,7 @@ from stardw.llm.ngram_jaccard import jaccard_components
 from stardw.llm.periodic_runs import periodic_runs, run_digests
 from stardw.llm.quality import fit_quality_model, score_quality
 from stardw.llm.substring_dedup import substring_dedup
+from stardw.llm.url_filter import Rule, filter_urls
 from stardw.llm.warc import read_archives, write_archives
 from stardw.session import scratch_dir
 
@@ -76,6 +77,14 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(periodic_runs(_with_periods(table(spark, sf_dir, "documents"))))
 
 
+#: The rules that op13 judges by.
+URL_RULES = [Rule("net", "/", "block"), Rule("example.net", "/en/", "allow"), Rule("example.com", "/de/", "block"), Rule("org", "/fr/", "allow")]
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def _with_periods(docs: DataFrame) -> DataFrame:
     """Input of op12: where crc32(doc_id) is divisible by ten, the text from word
     a on repeats its words a..a+p-1 (a, p: from the crc and the word count)."""
@@ -100,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality": op10_quality,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_url_filter": op13_url_filter,
 }
 
 _NORM = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
@@ -155,4 +165,34 @@ both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
 r(id, reached) AS (SELECT a, b FROM both_ways UNION SELECT r.id, l.b FROM r JOIN both_ways l ON r.reached = l.a)
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(m.low, d.doc_id)) AS component_id
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN (SELECT id, min(reached) AS low FROM r GROUP BY id) m ON d.doc_id = m.id""",
+    # twenty rounds; the row '*' hands every host its own part in each of them
+    "op13_url_filter": r"""
+WITH RECURSIVE rules(rh, rp, rv) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+u AS (SELECT row_number() OVER () AS k, page_id, html,
+             translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+f AS (SELECT k, arg_max(struct_pack(rule := rh || rp, verdict := rv), struct_pack(a := length(rh || rp), b := rh || rp, c := rv)) AS r
+      FROM u JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY k),
+j AS (SELECT u.*, r.rule AS rule, r.verdict AS verdict FROM u LEFT JOIN f ON u.k = f.k),
+seeds AS (SELECT host, count(*) AS pages, count(*) FILTER (verdict = 'allow') AS allowed, count(*) FILTER (verdict = 'block') AS blocked
+          FROM j WHERE host <> '' GROUP BY host),
+own AS (SELECT 'trust' AS kind, host, (allowed * 1000000000 // pages) * 15 // 100 AS mass FROM seeds WHERE allowed > 0
+        UNION ALL SELECT 'distrust', host, (blocked * 1000000000 // pages) * 15 // 100 FROM seeds WHERE blocked > 0),
+links AS (SELECT src, dst, count(*) AS n FROM (
+            SELECT host AS src, translate(unnest(regexp_extract_all(html, '(?i)\bhref\s*=\s*["'']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"''\s<>]+)', 1)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst FROM u) x WHERE src <> '' AND src <> dst GROUP BY src, dst),
+edges AS (SELECT 'trust' AS kind, src AS host, dst AS dest, n, sum(n) OVER (PARTITION BY src) AS total, NULL AS fixed FROM links
+          UNION ALL SELECT 'distrust', dst, src, n, sum(n) OVER (PARTITION BY dst), NULL FROM links
+          UNION ALL SELECT kind, '*', host, NULL, NULL, mass FROM own
+          UNION ALL SELECT DISTINCT kind, '*', '*', NULL, NULL, 1 FROM own),
+state(round, kind, host, mass) AS (
+  SELECT 0, kind, host, CAST(mass AS HUGEINT) FROM own UNION ALL SELECT DISTINCT 0, kind, '*', CAST(1 AS HUGEINT) FROM own
+  UNION ALL
+  SELECT round, kind, host, CAST(sum(mass) AS HUGEINT) FROM (
+    SELECT s.round + 1 AS round, s.kind AS kind, e.dest AS host, coalesce(CAST(e.fixed AS HUGEINT), s.mass * 85 * e.n // (CAST(e.total AS HUGEINT) * 100)) AS mass
+    FROM state s JOIN edges e ON s.kind = e.kind AND s.host = e.host WHERE s.round < 20) x GROUP BY round, kind, host),
+bad AS (SELECT host FROM state WHERE round = 20 AND host <> '*' GROUP BY host
+        HAVING sum(CASE kind WHEN 'distrust' THEN mass ELSE -mass END) >= 75000000)
+SELECT page_id, j.host, path, rule, coalesce(verdict, CASE WHEN bad.host IS NULL THEN 'allow' ELSE 'block' END) AS verdict, rule IS NULL AS by_host
+FROM j LEFT JOIN bad ON j.host = bad.host""",
 }

@@ -8,7 +8,7 @@ import corpus_pipeline as P
 from stardw.llm.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
-ROWS = {"op4_warc": "pages", "op6_html_extraction": "pages"}
+ROWS = {"op4_warc": "pages", "op6_html_extraction": "pages", "op13_url_filter": "pages"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
