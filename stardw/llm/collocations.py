@@ -111,8 +111,9 @@ def _suffixes(shared, max_words: int):
                 more = linked.copy()
                 for k in range(1, max_words):
                     size += more
-                    more[:total - k] &= linked[k:]
-                    more[max(0, total - k):] = False
+                    rest = max(0, total - k)
+                    more[:rest] &= linked[k:]
+                    more[rest:] = False
                 at = np.flatnonzero(size)
                 lang = batch.column("lang")
                 yield from _totals(lang, lo, w)
