@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stardw.llm.common import blocks, mix64, power_tables, text_buffer
+from stardw.llm.common import blocks, lean, mix64, power_tables, text_buffer
 
 MIN_CHUNK, MAX_CHUNK, CHUNK_MASK = 256, 8192, np.uint32(0x3FF)
 #: Bytes of chunk text whose ids a task keeps for reuse.
@@ -216,6 +216,7 @@ def _joints(raw: np.ndarray) -> np.ndarray:
     return np.flatnonzero((raw[1:-1] == 0x20) & visible[:-2] & visible[2:]) + 1
 
 
+@lean
 def _routes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw, offsets = text_buffer(batch.column("text"))
@@ -232,6 +233,7 @@ def _routes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _encoder(path: str):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store = ChunkStore(codec(path))
         for batch in batches:
@@ -269,6 +271,7 @@ def bpe_decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
     (null ids: null); bytes that are no UTF-8 become U+FFFD."""
     path = vocabulary or default_vocabulary()
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
         for batch in batches:

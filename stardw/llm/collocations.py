@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stardw.llm.common import Words, blocks, mix64, text_buffer
+from stardw.llm.common import Words, blocks, lean, mix64, text_buffer
 from stardw.llm.components import stored
 from stardw.llm.periodic_runs import word_numbers
 
@@ -68,6 +68,7 @@ def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[int, int, Pieces]]:
         yield lo, hi, Pieces(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], lang[lo:hi])
 
 
+@lean
 def _hash_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hashes of words and pairs with their numbers in a block."""
     for batch in batches:
@@ -99,6 +100,7 @@ def marked(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 def _suffixes(shared, max_words: int):
     """Distinct suffixes of a block, cut where nothing frequent follows."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in batches:
@@ -190,6 +192,7 @@ def _counted(rows: pa.Table, least: int, max_words: int) -> pa.RecordBatch:
 def _sorted_counts(min_count: int, max_words: int, buffer: int):
     """Quicksorts rows in order of their route, whole routes at a time; parts
     of a hot lead are sorted as they come, keeping all counts."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bool, list[pa.Table]] = {False: [], True: []}
         for batch in batches:

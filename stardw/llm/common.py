@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -37,27 +39,62 @@ def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
 
 
 def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**k and BASE**-k (mod 2**64) for k < n."""
-    if len(_powers["p"]) < n:
-        size = max(n, BLOCK_BYTES + 1)
-        for key, base in (("p", _BASE), ("i", _BASE_INV)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[key] = np.multiply.accumulate(steps)
-    return _powers["p"], _powers["i"]
+    """BASE**k and BASE**-k (mod 2**64) for k < n.  The tables of a usual block
+    are kept by the worker; those of a very long text end with it."""
+    if len(_powers["p"]) >= n:
+        return _powers["p"], _powers["i"]
+    size = next((x for x in (BLOCK_BYTES + 1, 2 * BLOCK_BYTES + 1) if n <= x), n)
+    made = []
+    for base in (_BASE, _BASE_INV):
+        steps = np.full(size, base, np.uint64)
+        steps[0] = 1
+        made.append(np.multiply.accumulate(steps))
+    if size <= 2 * BLOCK_BYTES + 1:
+        _powers.update(p=made[0], i=made[1])
+    return made[0], made[1]
 
 
 def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes and row offsets of a string column; null is empty."""
+    """UTF-8 bytes and row offsets of a string column; null is empty.  The bytes
+    are the column's own unless a null has some."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
-    col = col.cast(pa.large_binary()).fill_null(b"")
-    _, offsets, data = col.buffers()
-    offs = np.frombuffer(offsets, np.int64)[col.offset:col.offset + len(col) + 1]
+    for _ in range(2):
+        _, offsets, data = col.buffers()
+        wide = pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type)
+        offs = np.frombuffer(offsets, np.int64 if wide else np.int32) if offsets is not None and offsets.size else np.zeros(1, np.int64)
+        offs = offs[col.offset:col.offset + len(col) + 1].astype(np.int64)
+        if not col.null_count or not np.diff(offs)[col.is_null().to_numpy(zero_copy_only=False)].any():
+            break
+        col = col.cast(pa.large_binary()).fill_null(b"")
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return raw[offs[0]:offs[-1]], offs - offs[0]
 
 
+def release() -> None:
+    """Hands memory that this worker has freed back to the system: workers are
+    used again, and what one stage leaves in them would count in the next."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` with `release` before each batch and at its end."""
+    @wraps(run)
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def fed():
+            for batch in batches:
+                yield batch
+                del batch
+                release()
+        yield from run(fed())
+        release()
+    return inner
+
+
 def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` bytes (one row at least)."""
     n, at = len(offsets) - 1, 0
@@ -89,9 +126,11 @@ class Words:
         #: first[r]..first[r + 1]: the words of row r
         self.first = np.searchsorted(self.start, offsets)
         p, inv = power_tables(len(raw) + 1)
-        v = (_LOWER_LUT[raw] if lower else raw).astype(np.uint64) + np.uint64(1)
+        v = (_LOWER_LUT[raw] if lower else raw).astype(np.uint64)
+        v += np.uint64(1)
+        v *= p[:len(raw)]
         total = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(v * p[:len(raw)], out=total[1:])
+        np.cumsum(v, out=total[1:])
         self._total, self._inv = total, inv
         self.hash = self.span_hash(self.start, self.end)
 

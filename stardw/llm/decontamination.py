@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stardw.llm.common import Words, blocks, gram_hash, text_buffer
+from stardw.llm.common import Words, blocks, gram_hash, lean, text_buffer
 from stardw.session import scratch_dir
 
 SEED_WORDS, THRESHOLD = 5, 0.8
@@ -180,6 +180,7 @@ def passes(texts: DataFrame, numbered: DataFrame, parts: int, threshold: float,
 
 
 def _finder(index, part: int, threshold: float):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, w in folded_words(batch.column("text").to_pylist()):
@@ -219,6 +220,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def _adder(index, threshold: float):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, w in folded_words(batch.column("text").to_pylist()):
@@ -235,6 +237,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                   seed: int = SEED_WORDS, pass_chars: int = PASS_CHARS) -> DataFrame:
     """The rows of ``docs``, all columns kept, that hold no benchmark item."""
     def keeper(index):
+        @lean
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for lo, hi, w in folded_words(batch.column(text_col).to_pylist()):

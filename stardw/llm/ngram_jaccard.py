@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stardw.llm.common import Words, blocks, gram_hash, mix64, text_buffer
+from stardw.llm.common import Words, blocks, gram_hash, lean, mix64, text_buffer
 from stardw.llm.components import connected_components, stored
 
 SEGMENT_BITS, SKETCH_WORDS = 1024, 8
@@ -117,6 +117,7 @@ def sketch(h: np.ndarray) -> np.ndarray:
 
 
 def _signatures(words: int, lower: bool):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [(len(h), c, c2, sketch(h).tobytes()) for _, h, c, c2 in shingle_sets(batch, words, lower)]
@@ -128,6 +129,7 @@ def _signatures(words: int, lower: bool):
 
 def _local_counts(words: int, lower: bool):
     """N-grams that LOCAL_DOCS documents of a part of the corpus hold."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held, n = [], 0
@@ -168,6 +170,7 @@ class Common:
 
 
 def _keys(words: int, lower: bool, percent: int, listed):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, common = Bands(percent), Common(listed.value)
 
@@ -218,6 +221,7 @@ def _runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple
         yield held, parted
 
 
+@lean
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Members of segments that several classes share; segments with the same
     members get the same run number and are folded.  Parts of a run that is
@@ -247,6 +251,7 @@ def _near(percent: int):
     them if it is part of a longer one (its rows have not all met)."""
     bands = Bands(percent)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a_out, b_out, twos = [], [], []
 
@@ -296,6 +301,7 @@ def _near(percent: int):
 
 
 def _member_sets(words: int, lower: bool):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             c, c2 = (batch.column(x).to_pylist() for x in ("c", "c2"))
@@ -369,6 +375,7 @@ def _verified(percent: int):
         moved = np.flatnonzero(group != np.arange(len(rep)))
         return rep[moved], rep[group[moved]]
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["cluster", "i", "j", "part", "rep", "elements"]
         held: list[np.ndarray] | None = None
@@ -424,6 +431,7 @@ def jaccard_components(docs: DataFrame, percent: int = 80, words: int = 5, lower
     near = (shared.join(sketches, "c").select("run", "c", "n", "sketch").repartition("run").sortWithinPartitions("run", "c")
             .mapInArrow(_near(percent), "a long, b long"))
     clusters = connected_components(near)
+    listed.unpersist()
     members = classes.join(clusters.select(F.col("node").alias("c"), F.col("component").alias("cluster")), "c")
     sizes = members.groupBy("cluster").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_SETS)), F.ceil(F.sum("n") / F.lit(BLOCK_ELEMENTS))).cast("int").alias("parts"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stardw.llm.common import Words, blocks, text_buffer
+from stardw.llm.common import Words, blocks, lean, text_buffer
 
 SAMPLE_ROWS = 8000
 BINS, PAIR_BINS, PAIRS = 32, 8, 6
@@ -185,6 +185,7 @@ def fit_additive(x: np.ndarray, y: np.ndarray) -> AdditiveModel:
     return m
 
 
+@lean
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw, offsets = text_buffer(batch.column("text"))
@@ -224,6 +225,7 @@ def score_quality(docs: DataFrame, model: AdditiveModel, id_col: str = "doc_id",
     kind = docs.schema[id_col].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few tables, whatever the corpus
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = text_buffer(batch.column("text"))
@@ -242,6 +244,7 @@ def keep_quality(docs: DataFrame, model: AdditiveModel, text_col: str = "text",
         return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = text_buffer(batch.column(text_col))
