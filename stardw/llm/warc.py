@@ -173,6 +173,10 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     return stored(linked.mapInArrow(run, "archive string, bytes long, records long"), "warc-archives")
 
 
+#: Tasks that read splits, at most; beyond it a task reads several.
+READ_TASKS = 20_000
+
+
 def read_archives(spark: SparkSession, archives: DataFrame, path: str, split_bytes: int = 16 << 20, payloads: bool = True) -> DataFrame:
     """A row per record of ``archives`` (``archive, bytes``) under ``path``:
     page_id, record_type, url, payload, payload_bytes, payload_digest,
@@ -212,4 +216,6 @@ def read_archives(spark: SparkSession, archives: DataFrame, path: str, split_byt
                             rows, held = [], 0
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-    return splits.repartition("archive", "start").mapInArrow(run, RECORD)
+    # a task for each split, up to READ_TASKS: a number that is asked for is not merged into fewer by size
+    tasks = splits.count()
+    return splits.repartition(max(1, min(tasks, READ_TASKS)), "archive", "start").mapInArrow(run, RECORD)

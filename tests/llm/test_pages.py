@@ -5,6 +5,7 @@ import random
 
 import pytest
 from helpers import table
+from pyspark.sql import functions as F
 
 from stardw.llm import warc
 from stardw.llm.html_text import Wrapper, extract_text, host_wrappers, main_text
@@ -37,6 +38,17 @@ def test_round_trip_in_ranges(spark):
     assert warc.read_archives(spark, none, path).count() == 0
 
 
+def test_splits_are_read_by_tasks_of_their_own(spark):
+    rnd = random.Random(3)
+    rows = [(k, f"http://h/{k}", "".join(chr(rnd.randrange(33, 1000)) for _ in range(2000))) for k in range(120)]
+    path = scratch_dir(spark, "warc-test")
+    archives = warc.write_archives(table(spark, rows, PAGE), path)
+    splits = sum(-(-r.bytes // 8000) for r in archives.collect())
+    read = warc.read_archives(spark, archives, path, split_bytes=8000)
+    busy = read.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert splits > 20 and busy > splits // 3 and read.count() == len(rows)
+
+
 def test_small_payloads_stay_responses(spark):
     path = scratch_dir(spark, "warc-small")
     archives = warc.write_archives(table(spark, [(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")], PAGE), path, revisit_from=3)
