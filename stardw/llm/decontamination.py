@@ -97,49 +97,59 @@ def tiles(item: np.ndarray, doc: np.ndarray, at: np.ndarray, to: np.ndarray, see
     return out
 
 
-class BenchmarkIndex:
-    """Seeds of a bounded part of the benchmark."""
-
-    def __init__(self, items: list[tuple[int, str | None]], seed: int = SEED_WORDS):
-        self.seed, self.ids, self.words = seed, [i for i, _ in items], []
-        hashes, owner, place = [], [], []
-        for lo, hi, w in folded_words([t for _, t in items]):
-            for r in range(hi - lo):
-                h = w.hash[w.first[r]:w.first[r + 1]]
-                g = gram_hash(h, seed)
-                self.words.append(h)
-                hashes.append(g)
-                owner.append(np.full(len(g), lo + r))
-                place.append(np.arange(len(g)))
-        none = np.zeros(0, np.int64)
-        h = np.concatenate(hashes) if hashes else none.astype(np.uint64)
+class Seeds:
+    """Runs of ``seed`` words of the items with their place in them; with
+    ``whole`` only those that are an item."""
+
+    def __init__(self, items: list[np.ndarray], seed: int, whole: bool):
+        self.seed = seed
+        grams = [gram_hash(h, seed) if not whole or len(h) == seed else h[:0] for h in items]
+        size = [len(g) for g in grams]
+        h = np.concatenate([np.zeros(0, np.uint64), *grams])
         order = np.argsort(h, kind="stable")
         self.hashes = h[order]
-        self.owner, self.place = ((np.concatenate(x) if x else none)[order] for x in (owner, place))
+        self.owner = np.repeat(np.arange(len(items)), size)[order]
+        self.place = (np.arange(len(h)) - np.repeat(np.cumsum(size) - size, size))[order]
         self.maybe = np.zeros(1 << 22, bool)
         self.maybe[self.hashes >> np.uint64(42)] = True
 
-    def matches(self, w: Words, rows: int) -> list[list[tuple[float, int]]]:
-        """(coverage, item id) of every item that shares a seed, for each row."""
-        out: list[list[tuple[float, int]]] = [[] for _ in range(rows)]
+    def found(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
+        """(place in the block, place in ``hashes``) of the seeds in its texts."""
         g = gram_hash(w.hash, self.seed)
         near = np.flatnonzero(self.maybe[g >> np.uint64(42)])
         near = near[near + self.seed <= w.first[w.row[near] + 1]]
         lo, hi = np.searchsorted(self.hashes, g[near]), np.searchsorted(self.hashes, g[near], "right")
         near, lo, n = near[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
-        if not len(near):
-            return out
-        at = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        pos = np.repeat(near, n)
-        row, item = w.row[pos], self.owner[at]
-        order = np.lexsort((item, row))
-        row, item, pos, at = row[order], item[order], pos[order], at[order]
-        edge = np.flatnonzero(np.append(True, (np.diff(row) != 0) | (np.diff(item) != 0)))
-        for a, b in zip(edge.tolist(), np.append(edge[1:], len(row)).tolist(), strict=True):
-            r, i = int(row[a]), int(item[a])
-            first = int(w.first[r])
-            got = tiles(self.words[i], w.hash[first:w.first[r + 1]], self.place[at[a:b]], pos[a:b] - first, self.seed)
-            out[r].append((sum(x[2] for x in got) / len(self.words[i]), self.ids[i]))
+        return np.repeat(near, n), np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+
+
+class BenchmarkIndex:
+    """Seeds of a bounded part of the benchmark: runs of ``seed`` words, and
+    shorter items as a whole."""
+
+    def __init__(self, items: list[tuple[int, str | None]], seed: int = SEED_WORDS):
+        self.ids, self.words = [i for i, _ in items], []
+        for lo, hi, w in folded_words([t for _, t in items]):
+            self.words += [w.hash[w.first[r]:w.first[r + 1]] for r in range(hi - lo)]
+        sizes = {min(seed, len(h)) for h in self.words} - {0}
+        self.seeds = [Seeds(self.words, k, k < seed) for k in sorted(sizes)]
+
+    def matches(self, w: Words, rows: int) -> list[list[tuple[float, int]]]:
+        """(coverage, item id) of every item that shares a seed, for each row."""
+        out: list[list[tuple[float, int]]] = [[] for _ in range(rows)]
+        for seeds in self.seeds:
+            pos, at = seeds.found(w)
+            if not len(pos):
+                continue
+            row, item = w.row[pos], seeds.owner[at]
+            order = np.lexsort((item, row))
+            row, item, pos, at = row[order], item[order], pos[order], at[order]
+            edge = np.flatnonzero(np.append(True, (np.diff(row) != 0) | (np.diff(item) != 0)))
+            for a, b in zip(edge.tolist(), np.append(edge[1:], len(row)).tolist(), strict=True):
+                r, i = int(row[a]), int(item[a])
+                first = int(w.first[r])
+                got = tiles(self.words[i], w.hash[first:w.first[r + 1]], seeds.place[at[a:b]], pos[a:b] - first, seeds.seed)
+                out[r].append((sum(x[2] for x in got) / len(self.words[i]), self.ids[i]))
         return out
 
 
@@ -200,10 +210,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     ``coverage`` is the largest share of an item's words that its tiles on the
     text cover, ``item_ids`` the items with ``threshold`` or more, in order.
-    Null and empty texts match nothing; items with fewer words than a seed,
-    with a null id or text are not looked for; null or repeated ids keep their
-    rows; other columns are ignored; an empty table gives no rows, an empty
-    benchmark no matches.
+    An item with fewer words than a seed is looked for as a whole.  Null and
+    empty texts match nothing, very long ones are read whole; items without a
+    word, with a null id or text are not looked for; null or repeated ids keep
+    their rows; other columns are ignored; an empty table gives no rows, an
+    empty benchmark no matches.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     out = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.lit(0.0).alias("coverage"),
