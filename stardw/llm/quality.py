@@ -199,17 +199,21 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, learn: Column | None =
                       text_col: str = "text", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS) -> AdditiveModel:
     """Fits on rows of ``docs`` with a label in ``labels`` (null labels and ids
     are left out) for which ``learn`` (over the id of ``labels``) holds.  With
-    no such row the model is not ``fitted`` and scores all texts 0.5."""
+    no such row the model is not ``fitted`` and scores all texts 0.5.  The
+    driver gets at most ``sample_rows`` labels and the features of as many
+    rows, also where an id has several rows or labels."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()
                          & F.coalesce(F.lit(True) if learn is None else learn, F.lit(False)))
     known = known.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label"))
-    sample = known.orderBy(F.xxhash64("id"), "id", "label").limit(sample_rows).collect()
+    sample = known.distinct().orderBy(F.xxhash64("id"), "id", "label").limit(sample_rows).collect()
     if not sample:
         return AdditiveModel()
     picked = docs.sparkSession.createDataFrame(sample, known.schema)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")  # sample_rows rows
     kind = known.schema["id"].dataType.simpleString()
-    got = rows.mapInArrow(_feature_rows, f"label double, id {kind}, x array<double>").collect()
+    # an id may be on many rows: the bound holds for what reaches the driver
+    got = (rows.mapInArrow(_feature_rows, f"label double, id {kind}, x array<double>")
+           .orderBy(F.xxhash64("id"), "id", "label", "x").limit(sample_rows).collect())
     if not got:
         return AdditiveModel()
     got.sort(key=lambda r: (r.id, r.label, r.x))
