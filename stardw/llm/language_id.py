@@ -150,15 +150,17 @@ def fit_language_model(docs: DataFrame, learn: Column | None = None, id_col: str
     for feature, n in rows.select("text").mapInArrow(_frequencies, "feature long, n long").groupBy("feature").agg(F.sum("n")).collect():
         df[feature + 1] = n
     idf = np.log((1 + df[0]) / (1 + df[1:])) + 1
-    by = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    picked = rows.select("id", "lang").withColumn("k", F.row_number().over(by)).where(F.col("k") <= sample_per_lang)
-    ids = picked.select("id", "lang").distinct().collect()
+    rows = rows.withColumn("th", F.xxhash64("text"))
+    by = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "th")
+    picked = rows.where("id IS NOT NULL").select("id", "lang", "th").withColumn("k", F.row_number().over(by)).where(F.col("k") <= sample_per_lang)
+    ids = picked.select("id", "lang", "th").distinct().collect()
     model = LanguageModel(idf, np.zeros((0, DIM)), [], np.zeros(0))
     if not ids:
         return model
     spark = docs.sparkSession
-    wanted = spark.createDataFrame([(x.id,) for x in ids if x.id is not None], rows.select("id").schema).distinct()
-    sample = rows.join(F.broadcast(wanted), "id").mapInArrow(  # bounded: sample_per_lang ids per language
+    wanted = spark.createDataFrame(ids, rows.select("id", "lang", "th").schema)
+    # bounded: sample_per_lang rows per language, each once however often it is repeated
+    sample = rows.join(F.broadcast(wanted), ["id", "lang", "th"]).groupBy("id", "lang", "th").agg(F.min("text").alias("text")).mapInArrow(
         _sparse_counts, f"id {rows.schema['id'].dataType.simpleString()}, lang string, at array<int>, tf array<double>").collect()
     sample.sort(key=lambda r: (r.lang, r.id, r.at, r.tf))
     langs = sorted({r.lang for r in sample})
