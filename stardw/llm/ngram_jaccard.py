@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stardw.llm.common import Words, blocks, gram_hash, lean, mix64, text_buffer
@@ -122,8 +122,8 @@ def _signatures(words: int, lower: bool):
         for batch in batches:
             rows = [(len(h), c, c2, sketch(h).tobytes()) for _, h, c, c2 in shingle_sets(batch, words, lower)]
             n, c, c2, s = zip(*rows, strict=True) if rows else ([], [], [], [])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(c, pa.int64()), pa.array(c2, pa.int64()),
-                                              pa.array(s, pa.binary())], ["doc_id", "n", "c", "c2", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array(n, pa.int64()), pa.array(c, pa.int64()),
+                                              pa.array(c2, pa.int64()), pa.array(s, pa.binary())], ["doc_id", "th", "n", "c", "c2", "sketch"])
     return run
 
 
@@ -317,8 +317,8 @@ def _member_sets(words: int, lower: bool):
                 yield _with_sets(batch, rows, sets)
 
     def _with_sets(batch, rows, sets):
-        take = [batch.column(x).take(pa.array(rows)) for x in ("cluster", "parts", "part", "rep")]
-        return pa.RecordBatch.from_arrays([*take, pa.array(sets, pa.binary())], ["cluster", "parts", "part", "rep", "elements"])
+        names = ["cluster", "parts", "part", "rep", "k"]
+        return pa.RecordBatch.from_arrays([*(batch.column(x).take(pa.array(rows)) for x in names), pa.array(sets, pa.binary())], [*names, "elements"])
     return run
 
 
@@ -367,25 +367,23 @@ def link_groups(sets: list[np.ndarray], percent: int, split: int | None = None)
 
 def _verified(percent: int):
     """Links of each unit (a pair of blocks of one candidate group), as (a, b)."""
-    def links(part, rep, elements, cross):
-        order = np.lexsort((rep, part))
-        part, rep = part[order], rep[order]
+    def links(part, rep, nth, elements, cross):
+        order = np.lexsort((nth, rep, part))
+        part, rep, nth = part[order], rep[order], nth[order]
         sets = [np.frombuffer(elements[k], np.uint64) for k in order]
         group = link_groups(sets, percent, int(np.searchsorted(part, part[-1])) if cross and part[0] != part[-1] else None)
         moved = np.flatnonzero(group != np.arange(len(rep)))
-        return rep[moved], rep[group[moved]]
+        return rep[moved], nth[moved], rep[group[moved]], nth[group[moved]]
 
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["cluster", "i", "j", "part", "rep", "elements"]
+        names = ["cluster", "i", "j", "part", "rep", "k", "elements"]
         held: list[np.ndarray] | None = None
-        a_out, b_out = [], []
+        out = []
 
         def take(cols):
             if len(cols[0]) > 1:
-                a, b = links(cols[3], cols[4], cols[5], cols[1][0] != cols[2][0])
-                a_out.append(a)
-                b_out.append(b)
+                out.append(links(*cols[3:], cols[1][0] != cols[2][0]))
         for batch in batches:
             cols = [batch.column(x).to_numpy(zero_copy_only=False) for x in names]
             if held is not None:
@@ -399,8 +397,8 @@ def _verified(percent: int):
             held = [x[edge[-1]:] for x in cols]
         if held is not None:
             take(held)
-        if a_out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a_out), pa.int64()), pa.array(np.concatenate(b_out), pa.int64())], ["a", "b"])
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*out, strict=True)], ["a", "ak", "b", "bk"])
     return run
 
 
@@ -419,10 +417,26 @@ def jaccard_components(docs: DataFrame, percent: int = 80, words: int = 5, lower
     it is the smallest of its class; other columns are ignored; an empty table
     gives no rows.  Ids are integers.
     """
+    sig, root = _classes(docs, percent, words, lower, id_col, text_col)
+    # where an id is the smallest of several classes, their components are one
+    smallest = connected_components(root.select(F.col("rep").alias("a"), F.col("root.rep").alias("b")))
+    root = root.select("c", "c2", F.col("root.rep").alias("node")).join(smallest, "node", "left").select(
+        "c", "c2", F.coalesce("component", "node").alias("root"))
+    return (sig.join(root, ["c", "c2"], "left")
+            .select("doc_id", F.col("n").alias("n_shingles"),
+                    F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n") > 0, F.col("root")), F.col("doc_id"))).alias("component_id")))
+
+
+def _classes(docs: DataFrame, percent: int, words: int, lower: bool, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, th, n, c, c2`` of every row (hashes of its text, its set's size
+    and class) and ``c, c2, rep, k, root`` of every class: its smallest id, the
+    number among the classes of that id, and the (rep, k) that leads its component."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sig = stored(rows.mapInArrow(_signatures(words, lower), "doc_id long, n long, c long, c2 long, sketch binary"), "jaccard-sig")
-    classes = stored(sig.where("n > 0 AND doc_id IS NOT NULL").groupBy("c", "c2").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n")),
-                     "jaccard-classes")
+    sig = stored(rows.withColumn("th", F.xxhash64("text")).mapInArrow(_signatures(words, lower), "doc_id long, th long, n long, c long, c2 long, sketch binary"),
+                 "jaccard-sig")
+    reps = sig.where("n > 0 AND doc_id IS NOT NULL").groupBy("c", "c2").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"))
+    # classes of one id: as many as it has texts
+    classes = stored(reps.withColumn("k", F.row_number().over(Window.partitionBy("rep").orderBy("c", "c2")).cast("long")), "jaccard-classes")
     known = rows.where("doc_id IS NOT NULL")
     listed = docs.sparkSession.sparkContext.broadcast(common_grams(known, words, lower))
     keys = known.mapInArrow(_keys(words, lower, percent, listed), "key long, c long")
@@ -436,23 +450,28 @@ def jaccard_components(docs: DataFrame, percent: int = 80, words: int = 5, lower
     sizes = members.groupBy("cluster").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_SETS)), F.ceil(F.sum("n") / F.lit(BLOCK_ELEMENTS))).cast("int").alias("parts"))
     members = members.join(sizes, "cluster").select(
-        "cluster", "parts", F.pmod(F.xxhash64("c", "c2"), F.col("parts")).cast("int").alias("part"), "c", "c2", "rep")
-    sets = (rows.join(members, rows["doc_id"] == members["rep"]).select("cluster", "parts", "part", "rep", "c", "c2", "text")
-            .mapInArrow(_member_sets(words, lower), "cluster long, parts int, part int, rep long, elements binary"))
+        "cluster", "parts", F.pmod(F.xxhash64("c", "c2"), F.col("parts")).cast("int").alias("part"), "c", "c2", "rep", "k")
+    sets = (rows.join(members, rows["doc_id"] == members["rep"]).select("cluster", "parts", "part", "rep", "k", "c", "c2", "text")
+            .mapInArrow(_member_sets(words, lower), "cluster long, parts int, part int, rep long, k long, elements binary"))
     units = (sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-             .select("cluster", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "rep", "elements"))
+             .select("cluster", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "rep", "k", "elements"))
     links = (units.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-             .mapInArrow(_verified(percent), "a long, b long"))
-    found = connected_components(links)
-    root = classes.join(found, classes["rep"] == found["node"], "left").select("c", "c2", F.coalesce("component", "rep").alias("root"))
-    return (sig.join(root, ["c", "c2"], "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n") > 0, F.col("root")), F.col("doc_id"))).alias("component_id")))
+             .mapInArrow(_verified(percent), "a long, ak long, b long, bk long"))
+    pair = lambda x: F.struct(F.col(x).alias("rep"), F.col(f"{x}k").alias("k"))
+    found = connected_components(links.select(pair("a").alias("a"), pair("b").alias("b")))
+    own = classes.select("c", "c2", "rep", "k", F.struct("rep", "k").alias("node"))
+    return sig, own.join(found, "node", "left").select("c", "c2", "rep", "k", F.coalesce("component", "node").alias("root"))
 
 
 def without_near_copies(docs: DataFrame, percent: int = 80, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component, all
-    columns kept; rows with a null id stay."""
-    gone = (jaccard_components(docs, percent, words, id_col=id_col, text_col=text_col).where("component_id <> doc_id")
-            .select(F.col("doc_id").alias(id_col)).distinct())
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that lead their component (the smallest id), all
+    columns kept.
+
+    Rows of one id with different texts are documents of their own, each
+    judged by its text; equal sets under one id lead together.  Null and empty
+    texts link with nothing and stay, very long ones count whole; rows with a
+    null id stay; an empty table gives no rows."""
+    sig, root = _classes(docs, percent, words, True, id_col, text_col)
+    gone = (sig.where("n > 0 AND doc_id IS NOT NULL").join(root, ["c", "c2"]).where("doc_id <> rep OR struct(rep, k) <> root")
+            .select(F.col("doc_id").alias("__gone_id"), F.col("th").alias("__gone_th")).distinct())
+    return docs.join(gone, (F.col(id_col).cast("long") == F.col("__gone_id")) & (F.xxhash64(F.col(text_col)) == F.col("__gone_th")), "left_anti")

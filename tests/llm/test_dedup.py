@@ -103,6 +103,15 @@ def test_jaccard_empty_table(spark):
     assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "None"]
 
 
+def test_texts_of_one_id_are_judged_by_themselves(spark):
+    t, u = " ".join(f"w{k}" for k in range(60)), " ".join(f"v{k}" for k in range(60))
+    rows = [(1, t), (2, t + " x"), (2, u), (3, u + " y"), (2, u), (4, "lone"), (4, None), (4, "")]
+    kept = ngram_jaccard.without_near_copies(table(spark, rows))
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == sorted((i, x or "") for i, x in rows if (i, x) not in [(2, t + " x"), (3, u + " y")])
+    found = {(r.doc_id, r.component_id) for r in ngram_jaccard.jaccard_components(table(spark, rows)).collect()}
+    assert found == {(1, 1), (2, 1), (3, 1), (4, 4)}
+
+
 def passages(seed):
     rnd = random.Random(seed)
     text = lambda n: [f"p{rnd.randrange(3000)}" for _ in range(n)]

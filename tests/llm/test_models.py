@@ -7,6 +7,7 @@ from helpers import table
 from pyspark.sql import functions as F
 
 from stardw.llm import decontamination as D
+from stardw.llm import language_id as L
 from stardw.llm import quality as Q
 from stardw.llm.common import text_buffer
 from stardw.llm.language_id import fit_language_model, has_letter, identify_language
@@ -164,9 +165,32 @@ def test_reordered_passages_and_edges(spark):
     got = D.contamination(table(spark, rows), bench).collect()
     assert len(got) == len(rows)
     flagged = sorted(str(r.doc_id) for r in got if r.contaminated)
-    assert flagged == ["1", "1", "2", "7", "None"] and all(r.item_ids == [7] for r in got if r.contaminated)
+    assert flagged == ["1", "1", "2", "6", "7", "None"]
+    assert all(r.item_ids == ([9] if r.doc_id == 6 else [7]) for r in got if r.contaminated)
     docs = table(spark, rows)
     clean = D.decontaminate(docs, bench)
-    assert clean.columns == docs.columns and sorted(r.doc_id for r in clean.collect()) == [3, 4, 5, 6]
+    assert clean.columns == docs.columns and sorted(r.doc_id for r in clean.collect()) == [3, 4, 5]
     assert D.contamination(docs.limit(0), bench).count() == 0
     assert D.contamination(docs, bench.limit(0)).where(F.col("contaminated")).count() == 0
+
+
+def test_fits_are_bounded_where_ids_repeat(spark, monkeypatch):
+    rows = [(1, f"text number {k}", "en") for k in range(300)] + [(2, "other text", "fr")] * 300
+    seen = []
+    monkeypatch.setattr(Q, "fit_additive", lambda x, y: seen.append(len(x)) or Q.AdditiveModel())
+    docs = table(spark, rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)] * 50 + [(1, 0)], "doc_id long, quality int")
+    Q.fit_quality_model(docs, labels, F.lit(True), sample_rows=10)
+    assert seen == [10]
+    counted = []
+    monkeypatch.setattr(L, "_cluster", lambda x, k, f=L._cluster: counted.append(len(x)) or f(x, k))
+    model = L.fit_language_model(docs, sample_per_lang=7)
+    assert counted == [7, 1] and sorted(set(model.langs)) == ["en", "fr"]
+
+
+def test_short_items_are_looked_for_whole(spark):
+    bench = table(spark, [(1, "four words only here"), (2, "two words"), (3, "好"), (4, "..."), (5, "one two three four five six")], "item_id long, text string")
+    rows = [(1, "so FOUR words, only here!"), (2, "words two words"), (3, "今天好吗"), (4, "four words only"), (5, "one two three four five"), (6, "words only here four")]
+    for chars in (D.PASS_CHARS, 10):
+        got = {r.doc_id: r.item_ids for r in D.contamination(table(spark, rows), bench, pass_chars=chars).collect()}
+        assert got == {1: [1], 2: [2], 3: [3], 4: [], 5: [5], 6: []}
