@@ -59,3 +59,12 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) ->
     return (df.groupBy(*keys).agg(packed)
             .select(*keys, *[F.col(f"__first.{c}").alias(c) for c in [*order_cols, *rest]])
             .select(*df.columns))
+
+
+def keep_known_first(df: DataFrame, key: str, order_cols: Sequence[str]) -> DataFrame:
+    """`keep_first` for the members of a dimension: rows with a NULL key are
+    refused, and of a key's rows the smallest by ``order_cols`` stays, a known
+    value before NULL."""
+    flags = {f"__no_{c}": F.col(c).isNull() for c in order_cols}
+    ordered = [x for c in order_cols for x in (f"__no_{c}", c)]
+    return keep_first(df.where(F.col(key).isNotNull()).withColumns(flags), [key], ordered).drop(*flags)

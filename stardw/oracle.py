@@ -39,12 +39,22 @@ fx_customers AS (
 fx_sellers AS (
   SELECT s_suppkey AS seller_id, lower(n_name) AS seller_city, state AS seller_state
   FROM (SELECT s_suppkey, s_nationkey FROM supplier UNION ALL
-        SELECT s_suppkey + {IDLE}, s_nationkey FROM supplier WHERE s_suppkey % 10 = 0) s
+        SELECT s_suppkey + {IDLE}, s_nationkey FROM supplier WHERE s_suppkey % 10 = 0 UNION ALL
+        SELECT s_suppkey, (s_nationkey + 5) % 25 FROM supplier WHERE s_suppkey % 9 = 4 UNION ALL
+        SELECT NULL, s_nationkey FROM supplier WHERE s_suppkey = 1) s
        LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN fx_state ON s_nationkey = nk),
+fx_one_seller AS (
+  SELECT * FROM fx_sellers WHERE seller_id IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY seller_id ORDER BY seller_city NULLS LAST, seller_state NULLS LAST) = 1),
 fx_products AS (
   SELECT p_partkey AS product_id, CASE WHEN p_size = 50 THEN NULL ELSE p_brand END AS product_category_name
   FROM (SELECT p_partkey, p_size, p_brand FROM part UNION ALL
-        SELECT p_partkey + {IDLE}, p_size, p_brand FROM part WHERE p_partkey % 20 = 0) p),
+        SELECT p_partkey + {IDLE}, p_size, p_brand FROM part WHERE p_partkey % 20 = 0 UNION ALL
+        SELECT p_partkey, p_size, 'Brand#13' FROM part WHERE p_partkey % 15 = 4 UNION ALL
+        SELECT NULL, p_size, p_brand FROM part WHERE p_partkey = 1) p),
+fx_one_product AS (
+  SELECT * FROM fx_products WHERE product_id IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY product_category_name NULLS LAST) = 1),
 fx_base_orders AS (
   SELECT o_orderkey AS order_id,
          CASE WHEN o_orderkey % 71 = 5 THEN NULL WHEN o_orderkey % 67 = 5 THEN o_custkey + {UNKNOWN} ELSE o_custkey END AS customer_id,
@@ -184,7 +194,7 @@ w_dim_customer AS (
   FROM w_cust_attr),
 w_prod_cat AS (
   SELECT p.product_id, coalesce(t.product_category_name_english, p.product_category_name) AS product_category
-  FROM fx_products p LEFT JOIN fx_translation t ON p.product_category_name = t.product_category_name),
+  FROM fx_one_product p LEFT JOIN fx_translation t ON p.product_category_name = t.product_category_name),
 w_seller_cat_n AS (
   SELECT i.seller_id, pc.product_category, count(*) AS n
   FROM fx_items i LEFT JOIN w_prod_cat pc ON i.product_id = pc.product_id
@@ -206,7 +216,7 @@ w_dim_seller AS (
               WHEN st.total_items < {p.size_medium} THEN 'Medium' ELSE 'Large' END AS seller_size_category,
          {tier_sql('st.total_revenue', p)} AS seller_tier,
          DATE '{p.seller_epoch.isoformat()}' - CAST(30 + {hash_sql('s.seller_id', p.seed, 3)} % 1066 AS INTEGER) AS seller_join_date
-  FROM fx_sellers s LEFT JOIN w_seller_stats st ON s.seller_id = st.seller_id
+  FROM fx_one_seller s LEFT JOIN w_seller_stats st ON s.seller_id = st.seller_id
        LEFT JOIN w_seller_mode m ON s.seller_id = m.seller_id),
 w_list_price AS (
   SELECT product_id,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stardw.functions import exprs as X
 from stardw.operators.aggregates import date_bounds, first_non_null_by
-from stardw.operators.keys import dense_key
+from stardw.operators.keys import dense_key, keep_known_first
 from stardw.params import Params
 
 ORDER_DATE_COLUMNS = ["order_purchase_timestamp", "order_approved_at",
@@ -108,8 +108,9 @@ def translation_lookup(translation: DataFrame) -> DataFrame:
 
 
 def product_categories(products: DataFrame, translation: DataFrame) -> DataFrame:
-    """product_id -> English category (untranslated names pass through)."""
-    return (products.select("product_id", "product_category_name")
+    """product_id -> English category (untranslated names pass through); of
+    rows that share an id the smallest name stays, NULL ids are refused (S5)."""
+    return (keep_known_first(products.select("product_id", "product_category_name"), "product_id", ["product_category_name"])
             .join(translation_lookup(translation), "product_category_name", "left")
             .select("product_id",
                     F.coalesce("product_category_name_english", "product_category_name")
@@ -147,9 +148,12 @@ def seller_stats(items: DataFrame, products: DataFrame, translation: DataFrame)
 
 def build_dim_seller(sellers: DataFrame, items: DataFrame, products: DataFrame,
                      translation: DataFrame, p: Params) -> DataFrame:
-    """Seller dimension.  A seller without items keeps a NULL main category."""
+    """Seller dimension.  A seller without items keeps a NULL main category.
+    Of rows that share an id the smallest (city, state) stays, a known value
+    before NULL; NULL ids are refused (S5)."""
     stats = seller_stats(items, products, translation)
-    s = sellers.select("seller_id", "seller_city", "seller_state").join(stats, "seller_id", "left")
+    one = keep_known_first(sellers.select("seller_id", "seller_city", "seller_state"), "seller_id", ["seller_city", "seller_state"])
+    s = one.join(stats, "seller_id", "left")
     attrs = s.select(
         "seller_id",
         F.col("seller_city").cast("string"),
@@ -187,9 +191,9 @@ def build_dim_product(products: DataFrame, items: DataFrame, translation: DataFr
         "product_id",
         F.col("product_category").cast("string"),
         X.category_group("product_category").alias("product_category_group"),
-        lp.cast("decimal(10,2)").alias("list_price"),
+        lp.try_cast("decimal(10,2)").alias("list_price"),
         X.price_band(lp, p).alias("price_band"),
-        F.round(lp * X._dec(p.cost_ratio), 2).cast("decimal(10,2)").alias("unit_cost"),
+        F.round(lp * X._dec(p.cost_ratio), 2).try_cast("decimal(10,2)").alias("unit_cost"),
         X.is_premium(lp, p).alias("is_premium"),
     )
     keyed = dense_key(attrs, ["product_id"], "sk_product")

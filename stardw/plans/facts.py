@@ -65,6 +65,9 @@ def build_fact_order_item(orders: DataFrame, items: DataFrame, customers: DataFr
     """One row per (order_id, order_item_id) with date / customer / seller /
     product keys and measures.
 
+    A value wider than its column (an item number of 40,000) is NULL there and
+    counted by ``constraint_audit``; it does not end the load.
+
     P4 before S5: lines with an unknown or missing key go first, then of the
     lines of one key the first by LINE_ORDER stays (insert-ignore)."""
     lines = (items.select(*LINE_KEYS, *LINE_ORDER).where("order_id IS NOT NULL AND order_item_id IS NOT NULL")
@@ -80,21 +83,21 @@ def build_fact_order_item(orders: DataFrame, items: DataFrame, customers: DataFr
     estimated = F.col("order_estimated_delivery_date")
     return f.select(
         F.col("order_id"),
-        F.col("order_item_id").cast("smallint").alias("order_item_id"),
+        F.col("order_item_id").try_cast("smallint").alias("order_item_id"),
         X.date_key(purchase).alias("sk_date_purchase"),
         X.date_key(delivered).alias("sk_date_delivered"),
         X.date_key(estimated).alias("sk_date_estimated_delivery"),
         "sk_customer",
         "sk_seller",
         "sk_product",
-        F.col("price").cast("decimal(10,2)"),
-        F.col("freight_value").cast("decimal(10,2)"),
-        (F.col("price") + F.col("freight_value")).cast("decimal(10,2)").alias("revenue"),
-        (F.col("price") - F.coalesce(F.col("unit_cost"), F.lit(0))).cast("decimal(10,2)").alias("gross_profit"),
-        F.col("unit_cost").cast("decimal(10,2)"),
-        X.elapsed_days(purchase, delivered).cast("smallint").alias("delivery_days"),
+        F.col("price").try_cast("decimal(10,2)").alias("price"),
+        F.col("freight_value").try_cast("decimal(10,2)").alias("freight_value"),
+        (F.col("price") + F.col("freight_value")).try_cast("decimal(10,2)").alias("revenue"),
+        (F.col("price") - F.coalesce(F.col("unit_cost"), F.lit(0))).try_cast("decimal(10,2)").alias("gross_profit"),
+        F.col("unit_cost").try_cast("decimal(10,2)").alias("unit_cost"),
+        X.elapsed_days(purchase, delivered).try_cast("smallint").alias("delivery_days"),
         X.on_time_flag(delivered, estimated).alias("is_on_time"),
-        F.col("review_score").cast("smallint"),
+        F.col("review_score").try_cast("smallint").alias("review_score"),
     )
 
 

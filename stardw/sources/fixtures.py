@@ -80,20 +80,26 @@ def fixture_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixture_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every tenth supplier has a twin without sales."""
+    """Every tenth supplier has a twin without sales; some suppliers appear
+    again under the same id in another nation, one without an id."""
     s = read_base(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
-    s = s.unionByName(s.where(k % 10 == 0).withColumn("s_suppkey", k + IDLE))
+    moved = s.where(k % 9 == 4).withColumn("s_nationkey", (F.col("s_nationkey") + 5) % 25)
+    lost = s.where(k == 1).withColumn("s_suppkey", F.lit(None).cast("long"))
+    s = s.unionByName(s.where(k % 10 == 0).withColumn("s_suppkey", k + IDLE)).unionByName(moved).unionByName(lost)
     return (s.join(_nation_names(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"), "left")
             .select(k.alias("seller_id"), F.lower("n_name").alias("seller_city"),
                     _state_of("s_nationkey").alias("seller_state")))
 
 
 def fixture_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every twentieth part has an unsold twin."""
+    """Every twentieth part has an unsold twin; some parts appear again under
+    the same id with another brand, one without an id."""
     p = read_base(spark, sf_dir, "part")
     k = F.col("p_partkey")
-    p = p.unionByName(p.where(k % 20 == 0).withColumn("p_partkey", k + IDLE))
+    other = p.where(k % 15 == 4).withColumn("p_brand", F.lit("Brand#13"))
+    lost = p.where(k == 1).withColumn("p_partkey", F.lit(None).cast("long"))
+    p = p.unionByName(p.where(k % 20 == 0).withColumn("p_partkey", k + IDLE)).unionByName(other).unionByName(lost)
     return p.select(k.alias("product_id"),
                     F.when(F.col("p_size") == 50, F.lit(None)).otherwise(F.col("p_brand"))
                     .alias("product_category_name"))

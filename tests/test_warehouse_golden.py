@@ -170,3 +170,28 @@ def test_invalid_copy_never_displaces_a_valid_one(spark, tmp_path, case):
     (row,) = Warehouse(read_raw_csv(spark, str(tmp_path)), DEFAULT_PARAMS).fact_order_item.where("order_id = 'o2'").collect()
     assert (row["price"], row["freight_value"]) == (Decimal("20.00"), Decimal("2.00"))
     assert row["sk_date_purchase"] == 20170103
+
+
+def test_repeated_ids_null_ids_and_wide_values(spark):
+    """One row per natural id, the smallest known attributes first; values
+    wider than their column are audited, not fatal."""
+    from stardw.plans.audit import constraint_audit, key_audit
+    from stardw.plans.warehouse import Warehouse
+    from stardw.sources.raw import RAW_SCHEMAS, RawTables
+    ts = dt.datetime(2017, 5, 1, 10)
+    rows = {
+        "customers": [("c1", "u1", "x", "SP")],
+        "orders": [("o1", "c1", ts, ts, ts, ts)],
+        "items": [("o1", 40000, "p1", "s1", Decimal("10.00"), Decimal("1.00")), ("o1", 2, "p1", "s1", Decimal("99999999.99"), Decimal("5.00"))],
+        "products": [("p1", "toys"), ("p1", "auto"), ("p1", None), (None, "toys"), ("p2", None), ("p2", None)],
+        "sellers": [("s1", None, "AC"), ("s1", "b", "SP"), ("s1", "a", None), ("s1", "a", "RJ"), (None, "a", "SP"), ("s2", None, None)],
+        "reviews": [("o1", 70000)], "translation": [],
+    }
+    w = Warehouse(RawTables(**{k: spark.createDataFrame(v, RAW_SCHEMAS[k]) for k, v in rows.items()}), DEFAULT_PARAMS)
+    assert sorted((r.seller_id, r.seller_city, r.seller_state) for r in w.dim_seller.collect()) == [("s1", "a", "RJ"), ("s2", None, None)]
+    assert sorted((r.product_id, r.product_category) for r in w.dim_product.collect()) == [("p1", "auto"), ("p2", None)]
+    fact = sorted((r.order_item_id or 0, r.revenue, r.review_score) for r in w.fact_order_item.collect())
+    assert fact == [(0, Decimal("11.00"), None), (2, None, None)]
+    found = {(r.table_name, r.column_name): r.violations for r in constraint_audit(w).collect() if r.violations}
+    assert found[("fact_order_item", "order_item_id")] == 1 and found[("fact_order_item", "revenue")] == 1
+    assert {r.table_name for r in key_audit(w).collect() if r.duplicates} == set()
