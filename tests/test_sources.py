@@ -1,6 +1,7 @@
 """CSV source: selection by name, null tokens, try_cast, missing columns and
 files; warehouse write / read back / insert-ignore append."""
 
+import random
 from decimal import Decimal
 
 import pytest
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 
 from stardw.schemas import column_order
 from stardw.session import scratch_dir
-from stardw.sources.csv import read_csv_table, read_optional, read_raw_csv
+from stardw.sources.csv import CSV_OPTIONS, _fields, csv_files, files_by_header, read_csv_table, read_optional, read_raw_csv
+from stardw.sources.quoted import numbered_lines, quoted_records
 from stardw.sources.warehouse_io import append_ignore, read_table, write_table
 
 
@@ -92,6 +94,51 @@ def test_numbers_tokens_and_times_as_the_source_reads_them(spark, tmp_path):
     assert got["a"] is None and got["c"] is None and got["b"] is not None
 
 
+def test_each_file_is_read_by_its_own_header(spark, tmp_path):
+    folder = tmp_path / "sellers.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("seller_id,seller_city,seller_state\ns1,c1,SP\n")
+    (folder / "b.csv").write_text("\ufeffseller_state,seller_id,extra,seller_city\nRJ,s2,x,c2\n")
+    (folder / "c d%.csv").write_text("seller_city,seller_id\nc3,s3\n")
+    (folder / "empty.csv").write_text("")
+    (folder / "header.csv").write_text("seller_id,seller_city,seller_state\n")
+    rows = {r.seller_id: tuple(r) for r in read_csv_table(spark, str(folder), "sellers").collect()}
+    assert rows == {"s1": ("s1", "c1", "SP"), "s2": ("s2", "c2", "RJ"), "s3": ("s3", "c3", None)}
+
+
+def test_quoted_breaks_are_read_by_many_tasks(spark, tmp_path):
+    """Rows equal Spark's own reader with one task a file, whatever the splits."""
+    rnd = random.Random(1)
+
+    def field():
+        text = "".join(rnd.choices(["a", "b", " ", ",", '"', "\n", "\r\n", "é", "x y", "NA", "\x01"], k=rnd.randrange(12)))
+        return '"' + text.replace('"', '""') + '"' if set(text) & set(',"\n\r') or rnd.random() < 0.2 else text
+    folder = tmp_path / "reviews.csv"
+    folder.mkdir()
+    for n, end in enumerate(("\n", "\r\n", "\n")):
+        with open(folder / f"p{n}.csv", "w", newline="") as f:
+            f.write(f'review_id,"order_id",review_comment,review_score{end}')
+            f.writelines(f"{k},o{n}-{k},{field()},{rnd.randint(1, 5)}{end}" for k in range(1500))
+    whole = spark.read.options(**CSV_OPTIONS).option("header", True).option("multiLine", True).csv(str(folder))
+    want = sorted((r.order_id, int(r.review_score)) for r in whole.collect())
+    plain = lambda t: str(t).replace("\r\n", "\n")  # noqa: E731  (Spark's reader turns them in files that end lines so)
+    texts = sorted(plain(r.review_comment) for r in whole.collect())
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("8k", "1k", old):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            got = read_csv_table(spark, str(folder), "reviews")
+            assert sorted(map(tuple, got.collect())) == want
+            files = csv_files(spark, str(folder))
+            lines = numbered_lines(spark, files)
+            assert lines.rdd.getNumPartitions() > 8 or size == old
+            records = quoted_records(spark, files)
+            assert records.groupBy("file").agg(F.max("record").alias("n"), F.count("*").alias("k")).where("n <> 1501 OR k <> 1501").count() == 0
+            assert size == "1k" or texts == sorted(plain(r.c2) for (h, fs) in files_by_header(spark, files).items() for r in _fields(spark, h, fs, True).collect())
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_register_catalog_and_query_with_sql(spark):
     from stardw.params import FIXTURE_PARAMS
     from stardw.plans.load import load_warehouse
