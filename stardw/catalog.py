@@ -225,6 +225,24 @@ def q_warehouse_roundtrip(spark, sf_dir):
     return stored.fact_order_item
 
 
+@register("dim_seller_two_loads", O.with_warehouse("""
+SELECT d.* REPLACE (CAST(CASE WHEN seller_id % 3 <> 0 THEN row_number() OVER (PARTITION BY seller_id % 3 <> 0 ORDER BY seller_id)
+                         ELSE (SELECT count(*) FROM w_dim_seller WHERE seller_id % 3 <> 0)
+                              + row_number() OVER (PARTITION BY seller_id % 3 <> 0 ORDER BY seller_id) END AS BIGINT) AS sk_seller)
+FROM w_dim_seller d"""))
+def q_dim_seller_two_loads(spark, sf_dir):
+    """S5 for a dimension against stored rows: a first load without every third
+    seller, then all of them twice; stored members keep their keys, the others
+    are numbered on."""
+    from stardw.plans.dims import build_dim_seller
+    from stardw.session import scratch_dir
+    from stardw.sources.warehouse_io import extend_dimension, read_table
+    raw, base = FX.fixture_tables(spark, sf_dir), scratch_dir(spark, "two-loads")
+    for sellers in (raw.sellers.where("seller_id % 3 <> 0"), raw.sellers, raw.sellers):
+        extend_dimension(build_dim_seller(sellers, raw.items, raw.products, raw.translation, FIXTURE_PARAMS), base, "dim_seller", "seller_id", "sk_seller")
+    return read_table(spark, base, "dim_seller")
+
+
 @register("fact_stream_append", O.with_warehouse("SELECT * FROM w_fact"))
 def q_fact_stream_append(spark, sf_dir):
     """S5 over a stream: the fact rows are staged twice; the streaming

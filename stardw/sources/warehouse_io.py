@@ -6,7 +6,10 @@
   and no single day (however hot) funnels into one writer task.
 * ``append_ignore`` — insert-ignore append: rows whose key already exists
   (in the batch or in the table) are dropped, the first by a stated order is
-  kept.  The existing-key probe reads the key columns only.
+  kept.  What is stored is looked up in an index of the keys by buckets
+  (``key_index.py``), not in the table.
+* ``extend_dimension`` — members that a dimension does not hold yet, numbered
+  on from its greatest key; what is stored keeps its keys and attributes.
 * ``read_table`` — read back (natural key -> surrogate key lookups).
 Writes go through Spark's file commit protocol: a lost executor's task is
 re-run and its partial output discarded.
@@ -21,8 +24,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stardw import schemas as S
-from stardw.operators.keys import keep_first
+from stardw.operators.keys import dense_key, keep_first
 from stardw.operators.lineage import materialize
+from stardw.sources import key_index
 
 # Range keys are the table's full unique key (leading with the date), so a
 # hot day — or a hot seller on a hot day — still splits over many tasks.
@@ -49,6 +53,8 @@ def _layout(df: DataFrame, table: str) -> DataFrame:
 
 def write_table(df: DataFrame, base: str, table: str, mode: str = "overwrite") -> str:
     path = table_path(base, table)
+    if mode == "overwrite":
+        key_index.drop_index(df.sparkSession, path)
     _layout(df, table).write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
     return path
 
@@ -82,11 +88,35 @@ def append_ignore(batch: DataFrame, base: str, table: str, keys: Sequence[str],
     checked = batch.withColumn(keys[0], F.when(complete, F.col(keys[0])).otherwise(
         F.raise_error(F.lit(f"{table}: a key column of {list(keys)} is NULL")).cast(batch.schema[keys[0]].dataType)))
     fresh = keep_first(checked, list(keys), list(order_cols))
-    if existing is not None:
-        fresh = fresh.join(existing.select(*keys), list(keys), "left_anti")
+    path = table_path(base, table)
     fresh = materialize(fresh)
-    (_layout(fresh, table).write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-     .parquet(table_path(base, table)))
+    if existing is None:
+        key_index.drop_index(spark, path)
+    else:
+        index = key_index.open_index(existing, keys, path)
+        fresh = materialize(fresh.join(key_index.keys_met(index, keys, fresh), list(keys), "left_anti"))
+    key_index.begin_append(spark, path)
+    _layout(fresh, table).write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
+    if existing is not None:
+        key_index.end_append(fresh, keys, index, path)
+    return fresh
+
+
+def extend_dimension(members: DataFrame, base: str, table: str, natural: str, surrogate: str) -> DataFrame:
+    """Appends the ``members`` (a dimension's columns; the surrogate key is not
+    read) whose natural key the stored dimension lacks, and returns them.
+
+    Their keys go on from the greatest stored one, dense and in the order of
+    the natural key.  Stored members change neither key nor attributes, and a
+    repeated load adds nothing (S5)."""
+    stored = _existing(members.sparkSession, base, table)
+    attrs = members.select(*[c for c in S.column_order(table) if c != surrogate])
+    top = 0
+    if stored is not None:
+        attrs = attrs.join(stored.select(natural), natural, "left_anti")
+        top = stored.agg(F.max(surrogate)).first()[0] or 0
+    fresh = materialize(dense_key(attrs, [natural], surrogate).withColumn(surrogate, F.col(surrogate) + F.lit(top)))
+    write_table(fresh, base, table, mode="append")
     return fresh
 
 

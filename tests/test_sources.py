@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stardw.schemas import column_order
 from stardw.session import scratch_dir
+from stardw.sources import key_index
 from stardw.sources.csv import CSV_OPTIONS, _fields, csv_files, files_by_header, read_csv_table, read_optional, read_raw_csv
 from stardw.sources.quoted import numbered_lines, quoted_records
 from stardw.sources.warehouse_io import append_ignore, read_table, write_table
@@ -72,6 +73,35 @@ def test_write_read_and_append_ignore(spark):
     assert read_table(spark, base, "fact_order_item").count() == 4
 
 
+def _fact(spark, rows):
+    names = ["order_id", "order_item_id", "sk_date_purchase", "sk_seller"]
+    df = spark.createDataFrame(rows, "order_id string, order_item_id smallint, sk_date_purchase int, sk_seller int")
+    return df.withColumns({c: F.lit(None) for c in column_order("fact_order_item") if c not in names})
+
+
+def test_an_append_reads_its_own_buckets_only(spark):
+    base, keys = scratch_dir(spark, "wio-index"), ["order_id", "order_item_id"]
+    path = f"{base}/fact_order_item"
+    write_table(_fact(spark, [(f"o{k}", 1, 20170101, k) for k in range(3000)]), base, "fact_order_item")
+    assert append_ignore(_fact(spark, [("o7", 1, 1, 1), ("new", 1, 1, 1)]), base, "fact_order_item", keys, ["sk_seller"]).count() == 1
+    stored = read_table(spark, base, "fact_order_item")
+    index = key_index.open_index(stored, keys, path)
+    assert index.count() == 3001 and len(index.inputFiles()) >= 250
+    batch = _fact(spark, [("new", 1, 2, 2), ("o8", 1, 2, 2), ("newer", 1, 2, 2)])
+    met = key_index.keys_met(index, keys, batch)
+    assert 0 < met.count() < 100 and "fact_order_item/" not in met._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in met._jdf.queryExecution().toString() or "PartitionFilters: [bucket" in met._jdf.queryExecution().toString()
+    assert [r.order_id for r in append_ignore(batch, base, "fact_order_item", keys, ["sk_seller"]).collect()] == ["newer"]
+    # an append that was cut off after the rows were written: the index is built anew
+    key_index.begin_append(spark, path)
+    _fact(spark, [("lost", 1, 3, 3)]).select(*stored.columns).select(*[F.col(c).cast(t) for c, t in stored.dtypes]).write.mode("append").parquet(path)
+    assert append_ignore(_fact(spark, [("lost", 1, 3, 3), ("last", 1, 3, 3)]), base, "fact_order_item", keys, ["sk_seller"]).count() == 1
+    assert read_table(spark, base, "fact_order_item").count() == 3004
+    # a table written anew has no old keys
+    write_table(_fact(spark, [("o1", 1, 1, 1)]), base, "fact_order_item")
+    assert append_ignore(_fact(spark, [("o1", 1, 1, 1), ("o2", 1, 1, 1)]), base, "fact_order_item", keys, ["sk_seller"]).count() == 1
+
+
 def test_append_to_unreadable_table_and_null_key_are_errors(spark):
     base = scratch_dir(spark, "wio-bad")
     spark.createDataFrame([("o1", 1)], "order_id string, order_item_id smallint").write.parquet(f"{base}/fact_order_item")
