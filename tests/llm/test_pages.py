@@ -88,6 +88,16 @@ def test_main_text_of_one_page(html, want):
         assert main_text(text, Wrapper.of_page(text)) == main_text(text, None) == want or "open" in html
 
 
+@pytest.mark.parametrize(("attrs", "shown"), [
+    ('style="overflow:hidden"', True), ('title="hidden gems"', True), ('data-role="banner"', True), ('data-hidden="false"', True), ('data-id="sidebar"', True),
+    ('aria-hidden="false"', True), ('title=" class=sidebar id=menu"', True), ("data-x='role=banner' lang=en", True), ("hidden", False), ('HIDDEN=""', False),
+    ('aria-hidden="true"', False), ('class=sidebar class=text', False), ("role = 'banner'", False), ('x=1/ id="menu"', False)])
+def test_attributes_are_whole_names_and_values(attrs, shown):
+    for html, want in ((f"<article><div {attrs}><p>Real text.</p></div><p>More.</p></article>", "Real text.\n\nMore."),
+                       (f"<div {attrs}><p>Real text.</p></div><p>More.</p>", "Real text.\n\nMore.")):
+        assert main_text(page(html), None) == (want if shown else "More.")
+
+
 def test_wrapper_folds_repeats_and_finds_options_and_slots():
     pages = [page(f"<ul>{'<li><a>n</a></li>' * n}</ul><p>{t}</p>{extra}", t) for n, t, extra in ((2, "a", ""), (5, "b", "<i>o</i>"))]
     w = Wrapper.of_page(pages[0]).merge(Wrapper.of_page(pages[1]))
