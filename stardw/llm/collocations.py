@@ -31,9 +31,9 @@ MAX_WORDS, MIN_COUNT, TOP = 5, 100, 2000
 #: Bits of the filter of frequent words and pairs (8 MB, whatever the corpus).
 FILTER_BITS = 1 << 26
 #: A leading pair with more distinct suffixes than this is dealt to all tasks.
-HOT_SUFFIXES = 200_000
+HOT_SUFFIXES = 50_000
 #: Suffixes that one quicksort works on.
-BUFFER = 400_000
+BUFFER = 100_000
 _SPLIT = np.zeros(256, bool)
 _SPLIT[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _SEP = _SPLIT.copy()
