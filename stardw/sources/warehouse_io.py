@@ -137,11 +137,17 @@ TABLES = ["dim_date", "dim_customer", "dim_seller", "dim_product", "fact_order_i
 def register_catalog(spark: SparkSession, base: str, database: str = "stardw") -> list[str]:
     """Expose the stored warehouse as external parquet tables of a
     catalog database (``CREATE TABLE ... USING parquet LOCATION``), so the
-    star schema can be queried with plain Spark SQL."""
+    star schema can be queried with plain Spark SQL.  A table that is
+    registered already then reads ``base`` (its files elsewhere stay); one that
+    is no external table is an error."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     names = []
     for t in TABLES:
         name = f"{database}.{t}"
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{table_path(base, t)}'")
+        if spark.catalog.tableExists(name):
+            if spark.catalog.getTable(name).tableType != "EXTERNAL":
+                raise ValueError(f"{name} is no external table")
+            spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{table_path(base, t)}'")
         names.append(name)
     return names

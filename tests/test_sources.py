@@ -13,7 +13,7 @@ from stardw.session import scratch_dir
 from stardw.sources import key_index
 from stardw.sources.csv import CSV_OPTIONS, _fields, csv_files, files_by_header, read_csv_table, read_optional, read_raw_csv
 from stardw.sources.quoted import numbered_lines, quoted_records
-from stardw.sources.warehouse_io import append_ignore, read_table, write_table
+from stardw.sources.warehouse_io import TABLES, append_ignore, read_table, write_table
 
 
 def test_columns_by_name_tokens_and_bad_values(spark, tmp_path):
@@ -184,3 +184,14 @@ def test_register_catalog_and_query_with_sql(spark):
         FROM stardw_test.fact_order_item f JOIN stardw_test.dim_seller s ON f.sk_seller = s.sk_seller
         GROUP BY s.seller_tier""").collect()
     assert sum(r["items"] for r in by_tier) == wh.fact_order_item.count()
+    # another warehouse under the same names is really read, and the first one's files stay
+    second = scratch_dir(spark, "catalog-2")
+    for t in TABLES:
+        write_table(read_table(spark, base, t).limit(2), second, t)
+    assert register_catalog(spark, second, database="stardw_test") == names
+    assert spark.table("stardw_test.fact_order_item").count() == 2
+    assert read_table(spark, base, "fact_order_item").count() == wh.fact_order_item.count() > 2
+    spark.sql("DROP TABLE stardw_test.dim_date")
+    spark.sql("CREATE TABLE stardw_test.dim_date (x INT) USING parquet")
+    with pytest.raises(ValueError, match="no external table"):
+        register_catalog(spark, base, database="stardw_test")
