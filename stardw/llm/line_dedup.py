@@ -7,6 +7,11 @@ substrings at the positions where such a segment can stand.  Letter counts,
 which an edit changes by two at most, thin the matches inside the join; what is
 left is verified by a banded edit distance whose band is one bit vector per
 number of edits, advanced a character at a time.
+
+A segment that many lines have (a date stamp, a byline) is not compared line by
+line.  It is taken out of the lines that have it, and what is left of them, which
+is still within ``tau`` edits for every pair that this segment stands for, is cut
+into segments of its own, and so on.
 """
 
 from __future__ import annotations
@@ -19,24 +24,38 @@ from stardw.llm.components import stored
 TAU, MIN_CHARS = 2, 20
 #: Letters whose counts (modulo 8) are compared before a pair is verified.
 LETTERS = "etaoinsrhldu"
+#: A segment of more indexed lines is taken out and the rest cut again.
+HOT_LINES = 256
+#: Times that lines are cut; what is hot in the last one is compared as it is.
+ROUNDS = 6
 _BLANK = " \\t\\r\\u000b\\u000c"
 
 
-def _keys(places: list[tuple[int, int, int]], tau: int, min_chars: int) -> Column:
-    """Keys of a line for (segment, characters shorter, shift) places: the hash
-    of the segment's number, the indexed line's length and the substring where
-    such a line's segment stands, moved by the shift (null below min_chars).
+def _listed(places: list[tuple[int, int, int]]) -> str:
+    return "array(" + ", ".join(f"struct({i} AS i, {shorter} AS shorter, {shift} AS shift)" for i, shorter, shift in places) + ")"
+
+
+def _span(text: str, t: str, tau: int) -> tuple[str, str]:
+    """Start and size, in ``text``, of the place ``t``: where the segment of a
+    line that is ``shorter`` stands, moved by the shift.
 
     Segments are numbered from 1; the first ones have the base size, the last
-    ``length % (tau + 1)`` one character more.  One lambda over the places
-    keeps the generated code small."""
-    listed = ", ".join(f"struct({i} AS i, {shorter} AS shorter, {shift} AS shift)" for i, shorter, shift in places)
-    n = "(chars - t.shorter)"
+    ``length % (tau + 1)`` one character more."""
+    n = f"(length({text}) - {t}.shorter)"
     base, plain = f"({n} DIV {tau + 1})", f"({tau + 1} - {n} % {tau + 1})"
-    start = f"(1 + (t.i - 1) * {base} + greatest(0, t.i - 1 - {plain}) + t.shift)"
-    size = f"({base} + IF(t.i > {plain}, 1, 0))"
-    return F.expr(f"transform(array({listed}), t -> IF({n} >= {min_chars}, xxhash64(t.i, {n}, "
-                  f"substring(line, CAST({start} AS INT), CAST({size} AS INT))), NULL))")
+    return (f"CAST(1 + ({t}.i - 1) * {base} + greatest(0, {t}.i - 1 - {plain}) + {t}.shift AS INT)",
+            f"CAST({base} + IF({t}.i > {plain}, 1, 0) AS INT)")
+
+
+def _keys(places: list[tuple[int, int, int]], tau: int, least: int) -> Column:
+    """Keys of ``rest`` for these places: the hash of ``seed``, the segment's
+    number, the indexed text's length (null below ``least``, or if ``shorter`` is
+    known and another) and the substring there.  One lambda over the places keeps
+    the generated code small."""
+    start, size = _span("rest", "t", tau)
+    n = "(length(rest) - t.shorter)"
+    return F.expr(f"transform({_listed(places)}, t -> IF({n} >= {least} AND (shorter IS NULL OR t.shorter = shorter), "
+                  f"xxhash64(seed, t.i, {n}, substring(rest, {start}, {size})), NULL))")
 
 
 def _probes(tau: int) -> list[tuple[int, int, int]]:
@@ -84,6 +103,54 @@ def within_edits(a: str, b: str, tau: int) -> Column:
                   f"(shiftright({last}, CAST(size({b}) - size({a}) + {tau} AS INT)) & 1L) = 1L")
 
 
+def _candidates(own: DataFrame, tau: int, min_chars: int) -> DataFrame:
+    """Pairs ``a_doc, a_line, b_doc, b_line`` of the lines ``doc_id, line_no,
+    line, letters`` that share a segment: all pairs within ``tau`` edits.
+
+    Each round counts the lines indexed under a key.  Probes meet the lines of
+    the usual keys, and one marker of a hot key: those lines go on without the
+    segment, named by the places taken out so far (``path``).  No loss: of a
+    pair's edits none falls in the segment at its place, so all fall in the rest.
+    """
+    places = _probes(tau)
+    index_places = [(i, 0, 0) for i in range(1, tau + 2)]
+    at = f"get({_listed(places)}, k)"
+    start, size = _span("x", at, tau)
+    without = (f"aggregate(path, line, (x, k) -> concat(substring(x, 1, {start} - 1), substring(x, {start} + {size}, length(x))))")
+    other = "(a_doc < b_doc OR (a_doc = b_doc AND a_line < b_line))"
+    work = own.select("doc_id", "line_no", "letters", F.col("line").alias("rest"), F.lit(0).cast("long").alias("seed"),
+                      F.lit(None).cast("int").alias("shorter"), F.lit(True).alias("indexed"), F.array().cast("array<int>").alias("path"))
+    found = None
+    for turn in range(ROUNDS):
+        least = 0 if turn else min_chars
+        index = (work.where("indexed").select(F.col("doc_id").alias("a_doc"), F.col("line_no").alias("a_line"), F.col("letters").alias("a_letters"),
+                                              F.explode_outer(_keys(index_places, tau, least)).alias("key")).where("key IS NOT NULL"))
+        probe = (work.select(F.col("doc_id").alias("b_doc"), F.col("line_no").alias("b_line"), F.col("letters").alias("b_letters"), "indexed", "path",
+                             F.posexplode_outer(_keys(places, tau, least)).alias("k", "key")).where("key IS NOT NULL"))
+        last = turn == ROUNDS - 1
+        met_with = index.withColumn("hot", F.lit(False))
+        if not last:
+            hot = stored(index.groupBy("key").count().where(F.col("count") > HOT_LINES).select("key"), "lines-hot")
+            mark = hot.select(*(F.lit(None).cast(index.schema[c].dataType).alias(c) for c in ("a_doc", "a_line", "a_letters")), "key", F.lit(True).alias("hot"))
+            met_with = met_with.join(hot, "key", "left_anti").unionByName(mark)
+        met = probe.withColumn("shorter", F.expr(f"{at}.shorter")).join(met_with, "key").where(F.col("hot") | (
+            F.expr(f"{other} OR (shorter > 0 AND NOT (a_doc = b_doc AND a_line = b_line))")
+            & (_letter_difference(F.col("a_letters"), F.col("b_letters")) <= 2 * tau)))
+        met = stored(met.select("a_doc", "a_line", "b_doc", "b_line", "hot", *(
+            F.when(F.col("hot"), F.col(c)).alias(c) for c in ("key", "k", "indexed", "path", "shorter"))), "lines-met")
+        pairs = met.where("NOT hot").select("a_doc", "a_line", "b_doc", "b_line")
+        found = pairs if found is None else found.union(pairs)
+        if last or hot.isEmpty():
+            break
+        work = (met.where("hot").select(F.col("b_doc").alias("doc_id"), F.col("b_line").alias("line_no"), F.col("key").alias("seed"), "shorter",
+                                        F.expr(f"indexed AND {at}.shift = 0 AND {at}.shorter = 0").alias("indexed"),
+                                        F.concat("path", F.array("k")).alias("path"))
+                .join(own.select("doc_id", "line_no", "line", "letters"), ["doc_id", "line_no"])
+                .select("doc_id", "line_no", "letters", F.expr(without).alias("rest"), "seed", "shorter", "indexed", "path").distinct())
+        work = stored(work, "lines-rest")
+    return found.distinct()
+
+
 def repeated_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_lines, n_removed, removed`` for every row of ``docs``;
     ``removed`` lists the numbers (from 0) of the lines that go, in order.
@@ -104,8 +171,8 @@ def repeated_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS,
     # the lines of a text that count, in order, as (number, line)
     solid = f"filter(transform(split(text, '\\n'), (x, i) -> struct(i AS line_no, x AS line)), s -> trim(LEADING '{_BLANK}' FROM s.line) <> '')"
     # explode_outer, here and below: explode would first filter by the array, computing it three times
-    lines = (known.select("doc_id", "th", F.explode_outer(F.expr(solid)).alias("s")).where("s IS NOT NULL")
-             .select("doc_id", "th", "s.line_no", F.xxhash64("s.line").alias("h1"), F.xxhash64(F.lit("line"), "s.line").alias("h2")))
+    lines = stored(known.select("doc_id", "th", F.explode_outer(F.expr(solid)).alias("s")).where("s IS NOT NULL")
+             .select("doc_id", "th", "s.line_no", F.xxhash64("s.line").alias("h1"), F.xxhash64(F.lit("line"), "s.line").alias("h2")), "lines-cut")
     firsts = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
     placed = stored(lines.join(firsts, ["h1", "h2"]).select(
         "doc_id", "th", "line_no", (F.struct("doc_id", "line_no") == F.col("first")).alias("is_first")).distinct(), "lines-placed")
@@ -117,26 +184,14 @@ def repeated_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS,
         beside = f"filter(zip_with({solid}, flags, (s, f) -> struct(s.line_no AS line_no, s.line AS line, f.flag AS flag)), s -> s.flag)"
         return (known.join(flags, ["doc_id", "th"]).select("doc_id", F.explode_outer(F.expr(beside)).alias("s")).where("s IS NOT NULL")
                 .select("doc_id", "s.line_no", "s.line"))
-    own = (picked(placed.withColumnRenamed("is_first", "flag")).withColumn("chars", F.length("line")).where(F.col("chars") >= min_chars)
-           .withColumn("letters", _letters(F.col("line"))))
-    index = (own.select(F.col("doc_id").alias("a_doc"), F.col("line_no").alias("a_line"), F.col("letters").alias("a_letters"),
-                        _keys([(i, 0, 0) for i in range(1, tau + 2)], tau, min_chars).alias("keys"))
-             .select("a_doc", "a_line", "a_letters", F.explode_outer("keys").alias("key")))
-    probe = (own.select(F.col("doc_id").alias("b_doc"), F.col("line_no").alias("b_line"), F.col("letters").alias("b_letters"),
-                        _keys(_probes(tau), tau, min_chars).alias("keys"))
-             .select("b_doc", "b_line", "b_letters", F.posexplode_outer("keys").alias("k", "key")).where("key IS NOT NULL")
-             .select("b_doc", "b_line", "b_letters", "key", (F.col("k") >= sum(not x[1] for x in _probes(tau))).alias("shorter")))
-    other = "(a_doc < b_doc OR (a_doc = b_doc AND a_line < b_line))"
-    pairs = stored(index.join(probe, "key").where(F.expr(f"{other} OR (shorter AND NOT (a_doc = b_doc AND a_line = b_line))")
-                                                  & (_letter_difference(F.col("a_letters"), F.col("b_letters")) <= 2 * tau))
-                   .select("a_doc", "a_line", "b_doc", "b_line").distinct(), "lines-pairs")
+    own = stored(picked(placed.withColumnRenamed("is_first", "flag")).where(F.length("line") >= min_chars)
+                 .withColumn("letters", _letters(F.col("line"))), "lines-own")
+    pairs = stored(_candidates(own, tau, min_chars), "lines-pairs")
     wanted = pairs.select(F.col("a_doc").alias("doc_id"), F.col("a_line").alias("line_no")).union(pairs.select("b_doc", "b_line")).distinct()
-    # few lines of few texts: those of the pairs
-    texts = stored(known.join(wanted.groupBy("doc_id").agg(F.collect_list("line_no").alias("numbers")), "doc_id")
-                   .select("doc_id", F.explode(F.expr("transform(numbers, n -> struct(n AS line_no, split(get(split(text, '\\n'), n), '') AS chars))")).alias("x"))
-                   .select("doc_id", "x.line_no", "x.chars").where("chars IS NOT NULL"), "lines-texts")
+    texts = stored(own.join(wanted, ["doc_id", "line_no"], "left_semi").select("doc_id", "line_no", F.split("line", "").alias("chars")), "lines-texts")
     a = texts.select(F.col("doc_id").alias("a_doc"), F.col("line_no").alias("a_line"), F.col("chars").alias("a"))
     b = texts.select(F.col("doc_id").alias("b_doc"), F.col("line_no").alias("b_line"), F.col("chars").alias("b"))
+    other = "(a_doc < b_doc OR (a_doc = b_doc AND a_line < b_line))"
     near = pairs.join(a, ["a_doc", "a_line"]).join(b, ["b_doc", "b_line"]).where(within_edits("a", "b", tau))
     later = near.select(F.expr(f"CASE WHEN {other} THEN struct(b_doc AS doc_id, b_line AS line_no) ELSE struct(a_doc AS doc_id, a_line AS line_no) END").alias("x"))
     dropped = placed.where("is_first").join(later.select("x.doc_id", "x.line_no").distinct(), ["doc_id", "line_no"], "left_semi")

@@ -179,6 +179,44 @@ def test_line_dedup(spark, tau, min_chars):
     assert line_dedup.repeated_lines(table(spark, rows).limit(0)).count() == 0
 
 
+def stamped(seed, n=260):
+    """Lines that share a start, an end or both, some within a few edits of
+    another; stamps of one letter match at several shifts."""
+    rnd = random.Random(seed)
+    ends = ["".join(rnd.choices("abcdefgh", k=rnd.randint(12, 24))) for _ in range(n // 3)]
+    out = []
+    for i in range(n):
+        x = list(rnd.choice(["Posted in: ", "Posted in: ", "aaaaaaaaaaaa", ""]) + rnd.choice(ends) + rnd.choice(["", " by the editor"]))
+        for _ in range(rnd.choice([0, 1, 2, 3])):
+            k = rnd.randrange(len(x) + 1)
+            x[k:k + rnd.randint(0, 1)] = rnd.choices("abcdefgh:é", k=rnd.randint(0, 1))
+        out.append((i, "".join(x)))
+    return out
+
+
+@pytest.mark.parametrize(("tau", "hot", "rounds"), [(2, 3, 6), (2, 0, 3), (1, 2, 4), (3, 3, 6)])
+def test_line_dedup_of_hot_segments(spark, monkeypatch, tau, hot, rounds):
+    """The same rows whatever is hot: here nearly every segment is."""
+    monkeypatch.setattr(line_dedup, "HOT_LINES", hot)
+    monkeypatch.setattr(line_dedup, "ROUNDS", rounds)
+    rows = stamped(tau + hot)
+    got = {r.doc_id: r.removed for r in line_dedup.repeated_lines(table(spark, rows), tau, 20).collect()}
+    assert got == removed_lines(rows, tau, 20)
+    assert 20 < sum(map(len, got.values())) < len(rows)
+
+
+def test_line_dedup_compares_no_all_pairs_of_a_shared_start(spark):
+    """What is compared follows the lines, not their square."""
+    rnd = random.Random(7)
+    rows = [(i, "Posted in: " + "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=22)) + ("" if i % 2 else "zz")) for i in range(3000)]
+    rows += [(3000 + i, rows[i][1][:20] + "#" + rows[i][1][21:]) for i in range(50)]
+    own = spark.createDataFrame(rows, "doc_id long, line string").select(
+        "doc_id", F.lit(0).alias("line_no"), "line", line_dedup._letters(F.col("line")).alias("letters"))
+    pairs = {(r.a_doc, r.b_doc) for r in line_dedup._candidates(own, 2, 20).collect()}
+    assert {(i, 3000 + i) for i in range(50)} <= pairs
+    assert len(pairs) < 10 * len(rows)
+
+
 def test_within_edits_is_the_edit_distance(spark):
     from helpers import edits
     rnd = random.Random(1)
