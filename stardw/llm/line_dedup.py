@@ -4,9 +4,9 @@ Equal lines meet by a 128-bit hash.  Of the first occurrences, lines within
 ``tau`` edits of each other share one of ``tau + 1`` segments: each line is
 indexed by its segments and probes, for each length up to ``tau`` shorter, the
 substrings at the positions where such a segment can stand.  Letter counts,
-which an edit changes by two at most, thin the pairs; what is left is verified by
-a banded edit distance whose band is one bit vector per number of edits, advanced
-a character at a time.
+which an edit changes by two at most, thin the matches inside the join; what is
+left is verified by a banded edit distance whose band is one bit vector per
+number of edits, advanced a character at a time.
 
 A segment that many lines have (a date stamp, a byline) is not compared line by
 line.  It is taken out of the lines that have it, and what is left of them, which
@@ -25,7 +25,7 @@ TAU, MIN_CHARS = 2, 20
 #: Letters whose counts (modulo 8) are compared before a pair is verified.
 LETTERS = "etaoinsrhldu"
 #: A segment of more indexed lines is taken out and the rest cut again.
-HOT_LINES = 64
+HOT_LINES = 256
 #: Times that lines are cut; what is hot in the last one is compared as it is.
 ROUNDS = 6
 _BLANK = " \\t\\r\\u000b\\u000c"
@@ -106,7 +106,7 @@ def within_edits(a: str, b: str, tau: int) -> Column:
 
 def _candidates(own: DataFrame, tau: int, min_chars: int) -> DataFrame:
     """Pairs ``a_doc, a_line, b_doc, b_line`` of the lines ``doc_id, line_no,
-    line`` that share a segment: all pairs within ``tau`` edits.
+    line, letters`` that share a segment: all pairs within ``tau`` edits.
 
     Each round counts the lines indexed under a key.  Probes meet the lines of
     the usual keys, and one marker of a hot key: those lines go on without the
@@ -119,23 +119,25 @@ def _candidates(own: DataFrame, tau: int, min_chars: int) -> DataFrame:
     start, size = _span("length(x)", at, tau)
     without = (f"aggregate(path, line, (x, k) -> concat(substring(x, 1, {start} - 1), substring(x, {start} + {size}, length(x))))")
     other = "(a_doc < b_doc OR (a_doc = b_doc AND a_line < b_line))"
-    work = own.select("doc_id", "line_no", F.col("line").alias("rest"), F.lit(0).cast("long").alias("seed"),
+    work = own.select("doc_id", "line_no", "letters", F.col("line").alias("rest"), F.lit(0).cast("long").alias("seed"),
                       F.lit(None).cast("int").alias("shorter"), F.lit(True).alias("indexed"), F.array().cast("array<int>").alias("path"))
     found = None
     for turn in range(ROUNDS):
         least = 0 if turn else min_chars
         index = _keyed(work.where("indexed"), index_places, tau, least).select(
-            F.col("doc_id").alias("a_doc"), F.col("line_no").alias("a_line"), "key")
+            F.col("doc_id").alias("a_doc"), F.col("line_no").alias("a_line"), F.col("letters").alias("a_letters"), "key")
         probe = _keyed(work, places, tau, least).select(
-            F.col("doc_id").alias("b_doc"), F.col("line_no").alias("b_line"), "indexed", "path", "k", "key",
-            F.col("t.shorter").alias("shorter"))
+            F.col("doc_id").alias("b_doc"), F.col("line_no").alias("b_line"), F.col("letters").alias("b_letters"), "indexed", "path",
+            "k", "key", F.col("t.shorter").alias("shorter"))
         last = turn == ROUNDS - 1
         met_with = index.withColumn("hot", F.lit(False))
         if not last:
             hot = stored(index.groupBy("key").count().where(F.col("count") > HOT_LINES).select("key"), "lines-hot")
-            mark = hot.select(*(F.lit(None).cast(index.schema[c].dataType).alias(c) for c in ("a_doc", "a_line")), "key", F.lit(True).alias("hot"))
+            mark = hot.select(*(F.lit(None).cast(index.schema[c].dataType).alias(c) for c in ("a_doc", "a_line", "a_letters")), "key", F.lit(True).alias("hot"))
             met_with = met_with.join(hot, "key", "left_anti").unionByName(mark)
-        met = probe.join(met_with, "key").where(f"hot OR {other} OR (shorter > 0 AND NOT (a_doc = b_doc AND a_line = b_line))")
+        met = probe.join(met_with, "key").where(F.col("hot") | (
+            F.expr(f"{other} OR (shorter > 0 AND NOT (a_doc = b_doc AND a_line = b_line))")
+            & (_letter_difference(F.col("a_letters"), F.col("b_letters")) <= 2 * tau)))
         met = stored(met.select("a_doc", "a_line", "b_doc", "b_line", "hot", *(
             F.when(F.col("hot"), F.col(c)).alias(c) for c in ("key", "k", "indexed", "path", "shorter"))), "lines-met")
         pairs = met.where("NOT hot").select("a_doc", "a_line", "b_doc", "b_line")
@@ -145,8 +147,8 @@ def _candidates(own: DataFrame, tau: int, min_chars: int) -> DataFrame:
         work = (met.where("hot").select(F.col("b_doc").alias("doc_id"), F.col("b_line").alias("line_no"), F.col("key").alias("seed"), "shorter",
                                         F.expr(f"indexed AND {at}.shift = 0 AND {at}.shorter = 0").alias("indexed"),
                                         F.concat("path", F.array("k")).alias("path"))
-                .join(own.select("doc_id", "line_no", "line"), ["doc_id", "line_no"])
-                .select("doc_id", "line_no", F.expr(without).alias("rest"), "seed", "shorter", "indexed", "path").distinct())
+                .join(own.select("doc_id", "line_no", "line", "letters"), ["doc_id", "line_no"])
+                .select("doc_id", "line_no", "letters", F.expr(without).alias("rest"), "seed", "shorter", "indexed", "path").distinct())
         work = stored(work, "lines-rest")
     return found.distinct()
 
@@ -184,16 +186,15 @@ def repeated_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS,
         beside = f"filter(zip_with({solid}, flags, (s, f) -> struct(s.line_no AS line_no, s.line AS line, f.flag AS flag)), s -> s.flag)"
         return (known.join(flags, ["doc_id", "th"]).select("doc_id", F.explode_outer(F.expr(beside)).alias("s")).where("s IS NOT NULL")
                 .select("doc_id", "s.line_no", "s.line"))
-    own = stored(picked(placed.withColumnRenamed("is_first", "flag")).where(F.length("line") >= min_chars), "lines-own")
+    own = stored(picked(placed.withColumnRenamed("is_first", "flag")).where(F.length("line") >= min_chars)
+                 .withColumn("letters", _letters(F.col("line"))), "lines-own")
     pairs = stored(_candidates(own, tau, min_chars), "lines-pairs")
     wanted = pairs.select(F.col("a_doc").alias("doc_id"), F.col("a_line").alias("line_no")).union(pairs.select("b_doc", "b_line")).distinct()
-    texts = stored(own.join(wanted, ["doc_id", "line_no"], "left_semi")
-                   .select("doc_id", "line_no", F.split("line", "").alias("chars"), _letters(F.col("line")).alias("letters")), "lines-texts")
-    a = texts.select(F.col("doc_id").alias("a_doc"), F.col("line_no").alias("a_line"), F.col("chars").alias("a"), F.col("letters").alias("a_letters"))
-    b = texts.select(F.col("doc_id").alias("b_doc"), F.col("line_no").alias("b_line"), F.col("chars").alias("b"), F.col("letters").alias("b_letters"))
+    texts = stored(own.join(wanted, ["doc_id", "line_no"], "left_semi").select("doc_id", "line_no", F.split("line", "").alias("chars")), "lines-texts")
+    a = texts.select(F.col("doc_id").alias("a_doc"), F.col("line_no").alias("a_line"), F.col("chars").alias("a"))
+    b = texts.select(F.col("doc_id").alias("b_doc"), F.col("line_no").alias("b_line"), F.col("chars").alias("b"))
     other = "(a_doc < b_doc OR (a_doc = b_doc AND a_line < b_line))"
-    near = pairs.join(a, ["a_doc", "a_line"]).join(b, ["b_doc", "b_line"]).where(
-        (_letter_difference(F.col("a_letters"), F.col("b_letters")) <= 2 * tau) & within_edits("a", "b", tau))
+    near = pairs.join(a, ["a_doc", "a_line"]).join(b, ["b_doc", "b_line"]).where(within_edits("a", "b", tau))
     later = near.select(F.expr(f"CASE WHEN {other} THEN struct(b_doc AS doc_id, b_line AS line_no) ELSE struct(a_doc AS doc_id, a_line AS line_no) END").alias("x"))
     dropped = placed.where("is_first").join(later.select("x.doc_id", "x.line_no").distinct(), ["doc_id", "line_no"], "left_semi")
     gone = (placed.where("NOT is_first").select("doc_id", "th", "line_no").union(dropped.select("doc_id", "th", "line_no")).distinct()
