@@ -174,20 +174,17 @@ def repeated_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS,
     solid = f"filter(transform(split(text, '\\n'), (x, i) -> struct(i AS line_no, x AS line)), s -> trim(LEADING '{_BLANK}' FROM s.line) <> '')"
     # explode_outer, here and below: explode would first filter by the array, computing it three times
     lines = stored(known.select("doc_id", "th", F.explode_outer(F.expr(solid)).alias("s")).where("s IS NOT NULL")
-             .select("doc_id", "th", "s.line_no", F.xxhash64("s.line").alias("h1"), F.xxhash64(F.lit("line"), "s.line").alias("h2")), "lines-cut")
+             .select("doc_id", "th", "s.line_no", F.xxhash64("s.line").alias("h1"), F.xxhash64(F.lit("line"), "s.line").alias("h2"),
+                     (F.length("s.line") >= min_chars).alias("long")), "lines-cut")
     firsts = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
     placed = stored(lines.join(firsts, ["h1", "h2"]).select(
-        "doc_id", "th", "line_no", (F.struct("doc_id", "line_no") == F.col("first")).alias("is_first")).distinct(), "lines-placed")
-
-    def picked(chosen: DataFrame) -> DataFrame:
-        """(doc_id, line_no, line) of the flagged lines: the flags of a text's
-        solid lines, in order, are laid beside the lines."""
-        flags = chosen.groupBy("doc_id", "th").agg(F.array_sort(F.collect_list(F.struct("line_no", "flag"))).alias("flags"))  # a text's own lines
-        beside = f"filter(zip_with({solid}, flags, (s, f) -> struct(s.line_no AS line_no, s.line AS line, f.flag AS flag)), s -> s.flag)"
-        return (known.join(flags, ["doc_id", "th"]).select("doc_id", F.explode_outer(F.expr(beside)).alias("s")).where("s IS NOT NULL")
-                .select("doc_id", "s.line_no", "s.line"))
-    own = stored(picked(placed.withColumnRenamed("is_first", "flag")).where(F.length("line") >= min_chars)
-                 .withColumn("letters", _letters(F.col("line"))), "lines-own")
+        "doc_id", "th", "line_no", "long", (F.struct("doc_id", "line_no") == F.col("first")).alias("is_first")).distinct(), "lines-placed")
+
+    # the numbers of a text's long first lines are laid beside the text, which is split once; a text's own lines only
+    numbers = placed.where("is_first AND long").groupBy("doc_id", "th").agg(F.collect_list("line_no").alias("numbers"))
+    beside = r"get(transform(array(split(text, '\n')), parts -> transform(numbers, i -> struct(i AS line_no, get(parts, i) AS line))), 0)"
+    own = stored(known.join(numbers, ["doc_id", "th"]).select("doc_id", F.explode_outer(F.expr(beside)).alias("s")).where("s IS NOT NULL")
+                 .select("doc_id", "s.line_no", "s.line").withColumn("letters", _letters(F.col("line"))), "lines-own")
     pairs = stored(_candidates(own, tau, min_chars), "lines-pairs")
     wanted = pairs.select(F.col("a_doc").alias("doc_id"), F.col("a_line").alias("line_no")).union(pairs.select("b_doc", "b_line")).distinct()
     texts = stored(own.join(wanted, ["doc_id", "line_no"], "left_semi").select("doc_id", "line_no", F.split("line", "").alias("chars")), "lines-texts")
