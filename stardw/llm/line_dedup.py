@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from stardw.llm.components import stored
 
 TAU, MIN_CHARS = 2, 20
-#: Letters whose counts (modulo 8) are compared before a pair is verified.
-LETTERS = "etaoinsrhldu"
+#: Letters whose counts (modulo 16) are compared before a pair is verified.
+LETTERS = "etaoinsr"
 #: A segment of more indexed lines is taken out and the rest cut again.
 HOT_LINES = 256
 #: Times that lines are cut; what is hot in the last one is compared as it is.
@@ -66,11 +66,11 @@ def _probes(tau: int) -> list[tuple[int, int, int]]:
 
 
 def _letters(line: Column) -> Column:
-    """Counts of LETTERS, modulo 8, three bits each."""
+    """Counts of LETTERS, modulo 16, four bits each."""
     out = F.lit(0).cast("long")
     for k, ch in enumerate(LETTERS):
         count = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(ch)))
-        out = out.bitwiseOR(F.shiftleft((count % 8).cast("long"), 3 * k))
+        out = out.bitwiseOR(F.shiftleft((count % 16).cast("long"), 4 * k))
     return out
 
 
@@ -78,8 +78,8 @@ def _letter_difference(a: Column, b: Column) -> Column:
     """At most the sum of the counts' differences."""
     total = F.lit(0).cast("long")
     for k in range(len(LETTERS)):
-        d = F.abs(F.shiftright(a, 3 * k).bitwiseAND(F.lit(7)) - F.shiftright(b, 3 * k).bitwiseAND(F.lit(7)))
-        total = total + F.least(d, F.lit(8) - d)
+        d = F.abs(F.shiftright(a, 4 * k).bitwiseAND(F.lit(15)) - F.shiftright(b, 4 * k).bitwiseAND(F.lit(15)))
+        total = total + F.least(d, F.lit(16) - d)
     return total
 
 
@@ -114,6 +114,7 @@ def _candidates(own: DataFrame, tau: int, min_chars: int) -> DataFrame:
     pair's edits none falls in the segment at its place, so all fall in the rest.
     """
     places = _probes(tau)
+    of_own_length = sum(shorter == 0 for _, shorter, _ in places)
     index_places = [(i, 0, 0) for i in range(1, tau + 2)]
     at = f"get({_listed(places)}, k)"
     start, size = _span("length(x)", at, tau)
@@ -124,11 +125,11 @@ def _candidates(own: DataFrame, tau: int, min_chars: int) -> DataFrame:
     found = None
     for turn in range(ROUNDS):
         least = 0 if turn else min_chars
+        known = ["indexed", "path"] if turn else []  # at first the same for all lines, so not sent
         index = _keyed(work.where("indexed"), index_places, tau, least).select(
             F.col("doc_id").alias("a_doc"), F.col("line_no").alias("a_line"), F.col("letters").alias("a_letters"), "key")
         probe = _keyed(work, places, tau, least).select(
-            F.col("doc_id").alias("b_doc"), F.col("line_no").alias("b_line"), F.col("letters").alias("b_letters"), "indexed", "path",
-            "k", "key", F.col("t.shorter").alias("shorter"))
+            F.col("doc_id").alias("b_doc"), F.col("line_no").alias("b_line"), F.col("letters").alias("b_letters"), "k", "key", *known)
         last = turn == ROUNDS - 1
         met_with = index.withColumn("hot", F.lit(False))
         if not last:
@@ -136,15 +137,18 @@ def _candidates(own: DataFrame, tau: int, min_chars: int) -> DataFrame:
             mark = hot.select(*(F.lit(None).cast(index.schema[c].dataType).alias(c) for c in ("a_doc", "a_line", "a_letters")), "key", F.lit(True).alias("hot"))
             met_with = met_with.join(hot, "key", "left_anti").unionByName(mark)
         met = probe.join(met_with, "key").where(F.col("hot") | (
-            F.expr(f"{other} OR (shorter > 0 AND NOT (a_doc = b_doc AND a_line = b_line))")
+            F.expr(f"{other} OR (k >= {of_own_length} AND NOT (a_doc = b_doc AND a_line = b_line))")
             & (_letter_difference(F.col("a_letters"), F.col("b_letters")) <= 2 * tau)))
         met = stored(met.select("a_doc", "a_line", "b_doc", "b_line", "hot", *(
-            F.when(F.col("hot"), F.col(c)).alias(c) for c in ("key", "k", "indexed", "path", "shorter"))), "lines-met")
+            F.when(F.col("hot"), F.col(c)).alias(c) for c in ("key", "k", *known))), "lines-met")
         pairs = met.where("NOT hot").select("a_doc", "a_line", "b_doc", "b_line")
         found = pairs if found is None else found.union(pairs)
         if last or hot.isEmpty():
             break
-        work = (met.where("hot").select(F.col("b_doc").alias("doc_id"), F.col("b_line").alias("line_no"), F.col("key").alias("seed"), "shorter",
+        if not known:
+            met = met.withColumns({"indexed": F.lit(True), "path": F.array().cast("array<int>")})
+        work = (met.where("hot").select(F.col("b_doc").alias("doc_id"), F.col("b_line").alias("line_no"), F.col("key").alias("seed"),
+                                        F.expr(f"{at}.shorter AS shorter"),
                                         F.expr(f"indexed AND {at}.shift = 0 AND {at}.shorter = 0").alias("indexed"),
                                         F.concat("path", F.array("k")).alias("path"))
                 .join(own.select("doc_id", "line_no", "line", "letters"), ["doc_id", "line_no"])
