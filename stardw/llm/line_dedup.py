@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from stardw.llm.components import stored
 
 TAU, MIN_CHARS = 2, 20
-#: Letters whose counts (modulo 16) are compared before a pair is verified.
-LETTERS = "etaoinsr"
+#: Letters whose counts (modulo 8) are compared before a pair is verified.
+LETTERS = "etaoinsrhldu"
 #: A segment of more indexed lines is taken out and the rest cut again.
 HOT_LINES = 256
 #: Times that lines are cut; what is hot in the last one is compared as it is.
@@ -66,11 +66,11 @@ def _probes(tau: int) -> list[tuple[int, int, int]]:
 
 
 def _letters(line: Column) -> Column:
-    """Counts of LETTERS, modulo 16, four bits each."""
+    """Counts of LETTERS, modulo 8, three bits each."""
     out = F.lit(0).cast("long")
     for k, ch in enumerate(LETTERS):
         count = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(ch)))
-        out = out.bitwiseOR(F.shiftleft((count % 16).cast("long"), 4 * k))
+        out = out.bitwiseOR(F.shiftleft((count % 8).cast("long"), 3 * k))
     return out
 
 
@@ -78,8 +78,8 @@ def _letter_difference(a: Column, b: Column) -> Column:
     """At most the sum of the counts' differences."""
     total = F.lit(0).cast("long")
     for k in range(len(LETTERS)):
-        d = F.abs(F.shiftright(a, 4 * k).bitwiseAND(F.lit(15)) - F.shiftright(b, 4 * k).bitwiseAND(F.lit(15)))
-        total = total + F.least(d, F.lit(16) - d)
+        d = F.abs(F.shiftright(a, 3 * k).bitwiseAND(F.lit(7)) - F.shiftright(b, 3 * k).bitwiseAND(F.lit(7)))
+        total = total + F.least(d, F.lit(8) - d)
     return total
 
 
@@ -126,8 +126,8 @@ def _candidates(own: DataFrame, tau: int, min_chars: int) -> DataFrame:
     for turn in range(ROUNDS):
         least = 0 if turn else min_chars
         known = ["indexed", "path"] if turn else []  # at first the same for all lines, so not sent
-        index = _keyed(work.where("indexed"), index_places, tau, least).select(
-            F.col("doc_id").alias("a_doc"), F.col("line_no").alias("a_line"), F.col("letters").alias("a_letters"), "key")
+        index = stored(_keyed(work.where("indexed"), index_places, tau, least).select(  # read twice, cut once
+            F.col("doc_id").alias("a_doc"), F.col("line_no").alias("a_line"), F.col("letters").alias("a_letters"), "key"), "lines-index")
         probe = _keyed(work, places, tau, least).select(
             F.col("doc_id").alias("b_doc"), F.col("line_no").alias("b_line"), F.col("letters").alias("b_letters"), "k", "key", *known)
         last = turn == ROUNDS - 1
@@ -198,7 +198,7 @@ def repeated_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS,
     near = pairs.join(a, ["a_doc", "a_line"]).join(b, ["b_doc", "b_line"]).where(within_edits("a", "b", tau))
     later = near.select(F.expr(f"CASE WHEN {other} THEN struct(b_doc AS doc_id, b_line AS line_no) ELSE struct(a_doc AS doc_id, a_line AS line_no) END").alias("x"))
     dropped = placed.where("is_first").join(later.select("x.doc_id", "x.line_no").distinct(), ["doc_id", "line_no"], "left_semi")
-    gone = (placed.where("NOT is_first").select("doc_id", "th", "line_no").union(dropped.select("doc_id", "th", "line_no")).distinct()
+    gone = (placed.where("NOT is_first").select("doc_id", "th", "line_no").union(dropped.select("doc_id", "th", "line_no"))  # no place twice
             .groupBy("doc_id", "th").agg(F.array_sort(F.collect_list("line_no")).alias("removed")))
     counted = rows.select("doc_id", F.xxhash64("text").alias("th"),
                           F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).alias("n_lines"))
