@@ -365,25 +365,49 @@ def host_wrappers(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     return some.repartition("host").sortWithinPartitions("host", "wrapper").mapInArrow(_merge, kind)
 
 
-def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each item of a page (text: null) and each text at it, with a
-    digest of the texts of the page."""
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each page a digest of its texts, its items with the texts at them
+    (an entry with a null text for each item itself), and the keys of which
+    `main_text` asks whether they are told."""
+    longs = pa.list_(pa.int64())
     for batch in batches:
         for lo in range(0, batch.num_rows, 512):
-            part, rows = batch.slice(lo, 512), []  # item, text, page
+            part = batch.slice(lo, 512)
+            uids, of, item, text, own = part.column("uid"), [], [], [], []
             for host, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True):
-                _, texts, items = page_items(page or "", host)
-                pairs = {x for at in items for x in at}
-                of = _key(*(_hash(raw).encode() for (_, raw), at in zip(texts, items, strict=True) if at))
-                rows += [(i, None, of) for i in {i for i, _ in pairs}] + [(*x, of) for x in pairs]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], ["item", "text", "page"])
+                tokens, texts, items = page_items(page or "", host)
+                pairs = list({x for at in items for x in at})
+                only = list({i for i, _ in pairs})
+                of.append(_key(*(_hash(raw).encode() for (_, raw), at in zip(texts, items, strict=True) if at)))
+                item.append(only + [i for i, _ in pairs])
+                text.append([None] * len(only) + [t for _, t in pairs])
+                asked = {t for _, t in pairs}
+                if "#m" in tokens:  # else no slot is asked for
+                    asked |= {i for (k, _), at in zip(texts, items, strict=True) if tokens[k] == "#p" for i, _ in at}
+                own.append(list(asked))
+            yield pa.RecordBatch.from_arrays([uids, pa.array(of, pa.int64()), *(pa.array(x, longs) for x in (item, text, own))],
+                                             ["uid", "page", "item", "text", "own"])
+
+
+def _identified(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    return _hosted(pages, id_col, url_col, html_col).withColumn("uid", F.xxhash64("host", "html"))
+
+
+def page_keys(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """`_keys` of every page: what counting and telling need of its parse."""
+    return (_identified(pages, id_col, url_col, html_col).select("uid", "host", "html")
+            .mapInArrow(_keys, "uid long, page long, item array<long>, text array<long>, own array<long>"))
 
 
 def host_template(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``key``: of the items that two different pages have or more, and of the
     texts that all pages with such an item share (copies raise both counts
     alike)."""
-    rows = _hosted(pages, id_col, url_col, html_col).select("host", "html").mapInArrow(_items, "item long, text long, page long")
+    return _template(page_keys(pages, id_col, url_col, html_col))
+
+
+def _template(keys: DataFrame) -> DataFrame:
+    rows = keys.select("page", F.explode(F.arrays_zip("item", "text")).alias("at")).select("at.item", "at.text", "page")
     counts = rows.groupBy("item", "text").agg(F.count(F.lit(1)).alias("n"), (F.min("page") < F.max("page")).alias("differ"))
     counts = stored(counts.where(F.col("text").isNull() | F.col("differ")), "html-items")
     items = counts.where(F.col("text").isNull()).select("item", F.col("n").alias("pages"), F.col("differ").alias("slot"))
@@ -391,20 +415,6 @@ def host_template(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     return stored(shared.select(F.col("text").alias("key")).unionByName(items.where("slot").select(F.col("item").alias("key"))), "html-template")
 
 
-def _page_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for lo in range(0, batch.num_rows, 512):
-            part, uids, keys = batch.slice(lo, 512), [], []
-            for uid, host, page in zip(*(part.column(x).to_pylist() for x in ("uid", "host", "html")), strict=True):
-                tokens, texts, items = page_items(page or "", host)
-                own = {t for at in items for _, t in at}
-                if "#m" in tokens:  # else no slot is asked for
-                    own |= {i for (k, _), at in zip(texts, items, strict=True) if tokens[k] == "#p" for i, _ in at}
-                uids += [uid] * len(own)
-                keys += own
-            yield pa.RecordBatch.from_arrays([pa.array(uids, pa.int64()), pa.array(keys, pa.int64())], ["uid", "key"])
-
-
 def extract_text(pages: DataFrame, template: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url",
                  html_col: str = "html") -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages``.
@@ -414,10 +424,13 @@ def extract_text(pages: DataFrame, template: DataFrame | None = None, id_col: st
     without main text, give "".  Null or repeated ids and urls keep their
     rows; other columns are ignored; an empty table gives no rows.
     """
-    template = host_template(pages, id_col, url_col, html_col) if template is None else template
-    rows = _hosted(pages, id_col, url_col, html_col).withColumn("uid", F.xxhash64("host", "html"))
+    rows = _identified(pages, id_col, url_col, html_col)
     kind = rows.schema["page_id"].dataType.simpleString()
-    told = rows.select("uid", "host", "html").mapInArrow(_page_keys, "uid long, key long").join(template, "key", "left_semi")
+    keys = page_keys(pages, id_col, url_col, html_col)
+    if template is None:  # both read the keys of one parse
+        keys = stored(keys, "html-keys")
+        template = _template(keys)
+    told = keys.select("uid", F.explode("own").alias("key")).join(template, "key", "left_semi")
     told = stored(told.groupBy("uid").agg(F.collect_set("key").alias("told")), "html-told")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
