@@ -165,3 +165,16 @@ def test_very_long_and_malformed_pages():
     assert main_text(page("<article>" + "<p>x</p>" * 30000), None).count("x") == 30000
     assert main_text('<p a="' + "<b " * 20000, None) is not None
     assert main_text("<p>" + "<div>" * 5000 + "deep", None) == "deep"
+
+
+def test_pages_are_parsed_once_for_their_keys(spark, monkeypatch):
+    """Counting and telling read stored keys; a template given from outside tells alike."""
+    from stardw.llm import html_text
+    names, real = [], html_text.stored
+    monkeypatch.setattr(html_text, "stored", lambda df, name: (names.append(name), real(df, name))[1])
+    page = "<body><div><p>{}</p><p>shared line</p></div></body>"
+    rows = [(k, "http://a.example/x", page.format(f"own {k}")) for k in range(3)] + [(3, None, None), (4, "http://b.example/", "<p>only</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract_text(pages).collect()}
+    assert got == {0: "own 0", 1: "own 1", 2: "own 2", 3: "", 4: "only"} and names.count("html-keys") == 1
+    assert got == {r.page_id: r.text for r in html_text.extract_text(pages, html_text.host_template(pages)).collect()}
