@@ -1,16 +1,14 @@
 """HTML extraction with wrappers inferred as union-free regular expressions.
 
-What a host's pages share is found on the tree form of the expression: an item
-is a host with a path of elements, equal siblings being one repeated item, and
-an item that some pages lack an optional one.  The pages of every item and of
-every text at it are counted in Spark, so no page, item or text is left out and
-the result does not depend on the order of pages: a text on all pages that have
-its item, two different ones at least, is template, other texts fill a slot.
-Copies (pages whose texts that are not set aside are equal) are one page here.
-
-`Wrapper` is the stream form, for reading: pages as streams of tags and text
-slots, runs of equal groups folded into one repeated group, streams of a host
-aligned one after the other.
+A page is a stream of tags and text slots, runs of equal groups folded into one
+repeated group.  The distinct streams of a host are aligned one after the other
+into the host's expression (items that some pages lack are optional), and every
+stream is then aligned with the finished expression: each text of a page stands
+at an item of its host's expression.  Items and texts are counted in Spark over
+all pages: a text on all pages that have its item, two different ones at least,
+is template, other texts fill a slot.  Streams are merged in the order of their
+digests, so the result does not depend on the order of pages.  Copies (pages
+whose texts that are not set aside are equal) are one page here.
 """
 
 from __future__ import annotations
@@ -18,13 +16,14 @@ from __future__ import annotations
 import html
 import json
 import re
-from collections.abc import Collection, Iterator
+from collections.abc import Collection, Iterator, Sequence
 from difflib import SequenceMatcher
 from functools import lru_cache
 from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stardw.llm.components import stored
@@ -93,17 +92,13 @@ def _digest(data: bytes) -> bytes:
     return blake2b(data, digest_size=8).digest()
 
 
-def page_tokens(text: str, items: list[tuple[bytes, ...]] | None = None) -> tuple[list[str], list[tuple[int, str]]]:
+def page_tokens(text: str) -> tuple[list[str], list[tuple[int, str]]]:
     """The tag stream of a page, ``#m``/``#p``/``#x`` for a text in the main
     part, elsewhere, or in what is set aside; and the texts as (place in the
-    stream, raw text).  ``items`` gets for each text the items it stands at:
-    the path of element names; if they have labels the innermost two elements;
-    outside the main part the path of labelled elements with the numbers of
-    their runs among their siblings."""
+    stream, raw text)."""
     tokens: list[str] = []
     texts: list[tuple[int, str]] = []
-    stack: list[tuple] = []  # element, set aside, main, and for items: label, paths by name and by run, [last child, its run]
-    root = ("", False, False, "", b"", b"", [None, 0])
+    stack: list[tuple[str, bool, bool]] = []  # element, set aside, main
     at, lower = 0, None
     out, main = False, False
 
@@ -111,14 +106,6 @@ def page_tokens(text: str, items: list[tuple[bytes, ...]] | None = None) -> tupl
         if raw and not raw.isspace():
             texts.append((len(tokens), raw))
             tokens.append("#x" if out else "#m" if main else "#p")
-            if items is not None:
-                parent, top = ([root, root] + stack)[-2:] if len(stack) < 2 else stack[-2:]
-                at_all = [b"n" + top[4]]
-                if " " in parent[3] + top[3]:
-                    at_all.append(b"l" + f"{parent[3]}\n{top[3]}".encode("utf-8", "replace"))
-                if not main:
-                    at_all.append(b"r" + top[5])
-                items.append(() if out else tuple(_digest(tokens[-1].encode() + x) for x in at_all))
     for m in _TOKEN.finditer(text):
         if m.start() < at:  # inside a raw element
             continue
@@ -154,15 +141,7 @@ def page_tokens(text: str, items: list[tuple[bytes, ...]] | None = None) -> tupl
                  or names.get("aria-hidden", "").lower() == "true"
                  or name not in ("html", "body", "article", "main") and _named_aside(name, names, main))
         out, main = out or aside, main or name in ("article", "main") or role in ("main", "article")
-        if items is None:
-            stack.append((name, out, main))
-        else:
-            up = stack[-1] if stack else root
-            kind = _DIGITS.sub("0", tokens[-1][1:-1]) if name not in ("html", "body") else name  # numbers in labels are the page's own
-            if up[6][0] != kind:
-                up[6][:] = kind, up[6][1] + 1
-            stack.append((name, out, main, kind, _digest(up[4] + name.encode("utf-8", "replace")),
-                          _digest(up[5] + f"{up[6][1]} {kind}".encode("utf-8", "replace")), [None, 0]))
+        stack.append((name, out, main))
         if name in RAW:
             lower = text.lower() if lower is None else lower
             if len(lower) != len(text):  # lower-casing changed a length: look in the text itself
@@ -175,6 +154,27 @@ def page_tokens(text: str, items: list[tuple[bytes, ...]] | None = None) -> tupl
     return tokens, texts
 
 
+@lru_cache(maxsize=65536)
+def _kind(token: str) -> str:
+    """A token as it is aligned: elements of a page's own names (ids, numbers in
+    labels, labels of the whole page) meet those of other pages."""
+    name, _, label = token[1:-1].partition(" ")
+    if token[0] != "<" or not label:
+        return token
+    if name in ("html", "body"):
+        return f"<{name}>"
+    label = " ".join(x for x in re.split(r" (?=(?:class|id|role|hidden|aria-hidden)=)", label) if not x.startswith("id="))
+    return _DIGITS.sub("0", f"<{name} {label}>" if label else f"<{name}>")
+
+
+def _repeats(seq: list[str], size: int) -> bool:
+    """Whether any group of ``size`` tokens stands twice in a row."""
+    ids: dict[str, int] = {}
+    a = np.fromiter((ids.setdefault(t, len(ids)) for t in seq), np.int64, len(seq))
+    same = np.concatenate(([0], np.cumsum(a[:-size] == a[size:])))
+    return len(same) > size and bool((same[size:] - same[:-size] == size).any())
+
+
 @lru_cache(maxsize=4096)
 def folded(tokens: tuple[str, ...]) -> tuple[tuple[str, ...], tuple[bool, ...], tuple[int, ...]]:
     """The stream with runs of equal groups as one, whether each token is in
@@ -182,6 +182,8 @@ def folded(tokens: tuple[str, ...]) -> tuple[tuple[str, ...], tuple[bool, ...],
     seq, rep = list(tokens), [False] * len(tokens)
     place = [[k] for k in range(len(tokens))]
     for size in range(1, LONGEST_GROUP + 1):
+        if not _repeats(seq, size):
+            continue
         i = 0
         out, orep, oplace = [], [], []
         n = len(seq)
@@ -210,13 +212,27 @@ def folded(tokens: tuple[str, ...]) -> tuple[tuple[str, ...], tuple[bool, ...],
     return tuple(seq), tuple(rep), tuple(where)
 
 
-@lru_cache(maxsize=16384)
+def shape(tokens: list[str]) -> tuple[tuple[str, ...], tuple[bool, ...], tuple[int, ...]]:
+    """`folded` of a page's stream as it is aligned."""
+    return folded(tuple(map(_kind, tokens)))
+
+
+@lru_cache(maxsize=1024)
 def _aligned(a: tuple[str, ...], b: tuple[str, ...]) -> tuple[tuple[int, int, int], ...]:
-    return tuple(SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks())
+    """Blocks (place in a, place in b, length) of equal tokens; what both start
+    and end with first, for most streams of a host differ little."""
+    n, lo, hi = min(len(a), len(b)), 0, 0
+    while lo < n and a[lo] == b[lo]:
+        lo += 1
+    while hi < n - lo and a[-1 - hi] == b[-1 - hi]:
+        hi += 1
+    middle = SequenceMatcher(None, a[lo:len(a) - hi], b[lo:len(b) - hi], autojunk=False).get_matching_blocks()[:-1]
+    blocks = [(0, 0, lo), *((i + lo, j + lo, k) for i, j, k in middle), (len(a) - hi, len(b) - hi, hi)]
+    return (*(x for x in blocks if x[2]), (len(a), len(b), 0))
 
 
 def _hash(text: str) -> str:
-    return blake2b(_SPACE.sub(" ", text).strip().encode("utf-8", "replace"), digest_size=8).hexdigest()
+    return _digest(_SPACE.sub(" ", text).strip().encode("utf-8", "replace")).hex()
 
 
 class Wrapper:
@@ -230,13 +246,25 @@ class Wrapper:
     @classmethod
     def of_page(cls, text: str) -> Wrapper:
         tokens, texts = page_tokens(text)
-        seq, rep, where = folded(tuple(tokens))
+        seq, rep, where = shape(tokens)
         shared: dict[int, set[str]] = {}
         for k, raw in texts:
             shared.setdefault(where[k], set()).add(_hash(raw))
         items = [[t, False, r, sorted(shared.get(k, ())), 1] for k, (t, r) in enumerate(zip(seq, rep, strict=True))]
         return cls(items, 1)
 
+    @classmethod
+    def of_stream(cls, seq: Sequence[str], rep: Sequence[bool]) -> Wrapper:
+        """Of the pages with one folded stream, whose texts are counted elsewhere."""
+        return cls([[t, False, r, [], 1] for t, r in zip(seq, rep, strict=True)], 1)
+
+    def places(self, seq: Sequence[str]) -> list[int | None]:
+        """For each token of a folded stream the item it stands at."""
+        at: list[int | None] = [None] * len(seq)
+        for a, b, n in _aligned(self.tokens, tuple(seq)):
+            at[b:b + n] = range(a, a + n)
+        return at
+
     def merge(self, other: Wrapper) -> Wrapper:
         """The wrapper of the pages of both."""
         out, i, j = [], 0, 0
@@ -273,33 +301,25 @@ def _key(*parts: bytes) -> int:
     return int.from_bytes(_digest(b"".join(parts)), "big", signed=True)
 
 
-def page_items(page: str, host: str | None) -> tuple[list[str], list[tuple[int, str]], list[list[tuple[int, int]]]]:
-    """`page_tokens`, and for each text that is not set aside (key of the item,
-    key of the text there) for every item of the host it stands at."""
-    items: list[tuple[bytes, ...]] = []
-    tokens, texts = page_tokens(page, items)
-    of = _digest((host or "").encode("utf-8", "replace"))
-    return tokens, texts, [[(_key(of, x), _key(of, x, b"=", _hash(raw).encode())) for x in at] for (_, raw), at in zip(texts, items, strict=True)]
-
-
-def main_text(page: str, wrapper: Wrapper | None = None, told: Collection[int] = (), host: str | None = None) -> str:
+def main_text(page: str, wrapper: Wrapper | None = None, told: Collection[int] = ()) -> str:
     """The main text of a page: what is neither set aside nor template of its
-    host (texts whose keys are ``told``, or that the pages of ``wrapper``
-    share).  The marks check that: beside a ``main`` element nothing is main
-    text, beside an ``article`` what fills a slot of the host (its item's key is
-    ``told``); and if most of the marked part would go as template while
-    nothing beside it stays, it is a copied text, and stays."""
-    tokens, texts, items = page_items(page, host) if told else (*page_tokens(page), [])
-    template = {k for (k, _), at in zip(texts, items) if any(t in told for _, t in at)}
+    host (texts that are ``told`` by their number k on the page, or that the
+    pages of ``wrapper`` share).  The marks check that: beside a ``main``
+    element nothing is main text, beside an ``article`` what fills a slot of the
+    host is (-1 - k is told); and if most of the marked part would go as
+    template while nothing beside it stays, it is a copied text, and stays."""
+    tokens, texts = page_tokens(page)
+    template = {k for n, (k, _) in enumerate(texts) if n in told}
     if wrapper is not None and wrapper.pages > 1:
-        seq, _, where = folded(tuple(tokens))
-        item = {y: x for a, b, n in _aligned(wrapper.tokens, seq) for x, y in zip(range(a, a + n), range(b, b + n), strict=True)}
+        seq, _, where = shape(tokens)
+        item = wrapper.places(seq)
         for k, raw in texts:
-            _, _, _, shared, pages = wrapper.items[item[where[k]]] if where[k] in item else (None, None, None, (), 0)
+            at = item[where[k]]
+            _, _, _, shared, pages = wrapper.items[at] if at is not None else (None, None, None, (), 0)
             if pages > 1 and _hash(raw) in shared:
                 template.add(k)
     marked = {k: len(raw.strip()) for k, raw in texts if tokens[k] == "#m"}
-    slots = {k for (k, _), at in zip(texts, items) if any(i in told for i, _ in at)}
+    slots = {k for n, (k, _) in enumerate(texts) if -1 - n in told}
     only = marked and any(_MAIN.match(t) for t in tokens)
     keep = {k for k, _ in texts if tokens[k] == "#p" and k not in template and (not marked or not only and k in slots)}
     lost = sum(n for k, n in marked.items() if k in template)
@@ -354,60 +374,121 @@ def _hosted(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataF
                         F.coalesce(host, F.lit("")).alias("host"))
 
 
-def host_wrappers(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``host, wrapper`` (`Wrapper.loads` reads it) of all pages of each host,
-    for reading (it depends on the order of merging; `extract_text` goes by
-    `host_template`); pages whose url is null or names none share the host ""."""
+def _merged(parts: DataFrame) -> DataFrame:
+    """One wrapper per host of the ``host, wrapper`` of its parts."""
     kind = "host string, wrapper string"
-    parts = _hosted(pages, id_col, url_col, html_col).select("host", "html").mapInArrow(_infer, kind)
     parts = parts.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)))
     some = parts.repartition("host", "salt").sortWithinPartitions("host", "salt", "wrapper").select("host", "wrapper").mapInArrow(_merge, kind)
     return some.repartition("host").sortWithinPartitions("host", "wrapper").mapInArrow(_merge, kind)
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each page a digest of its texts, its items with the texts at them
-    (an entry with a null text for each item itself), and the keys of which
-    `main_text` asks whether they are told."""
-    longs = pa.list_(pa.int64())
+def host_wrappers(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``host, wrapper`` (`Wrapper.loads` reads it) of all pages of each host
+    with the texts they share, for reading; pages whose url is null or names
+    none share the host "".  `extract_text` merges distinct streams alone."""
+    return _merged(_hosted(pages, id_col, url_col, html_col).select("host", "html").mapInArrow(_infer, "host string, wrapper string"))
+
+
+_PARSED = ("uid long, host string, page long, shape long, stream string, place array<int>, text array<long>, "
+           "own_place array<int>, own_text array<long>, own array<int>")
+
+
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each page a digest of its texts and of its stream; the places in the
+    folded stream with the texts at them (null: the place itself); and what
+    `main_text` asks of them (`told`).  The stream comes once per batch."""
+    longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
     for batch in batches:
         for lo in range(0, batch.num_rows, 512):
-            part = batch.slice(lo, 512)
-            uids, of, item, text, own = part.column("uid"), [], [], [], []
+            part, cols = batch.slice(lo, 512), [[] for _ in range(8)]
+            seen = set()
             for host, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True):
-                tokens, texts, items = page_items(page or "", host)
-                pairs = list({x for at in items for x in at})
-                only = list({i for i, _ in pairs})
-                of.append(_key(*(_hash(raw).encode() for (_, raw), at in zip(texts, items, strict=True) if at)))
-                item.append(only + [i for i, _ in pairs])
-                text.append([None] * len(only) + [t for _, t in pairs])
-                asked = {t for _, t in pairs}
+                tokens, texts = page_tokens(page or "")
+                seq, rep, where = shape(tokens)
+                stream = json.dumps([seq, rep], separators=(",", ":"))
+                digest = _key(stream.encode())
+                at = [(n, where[k], int.from_bytes(bytes.fromhex(_hash(raw)), "big", signed=True), tokens[k])
+                      for n, (k, raw) in enumerate(texts) if tokens[k] != "#x"]
+                pairs = list(dict.fromkeys((p, t) for _, p, t, _ in at))
+                places = list(dict.fromkeys(p for p, _ in pairs))
+                asked = [(p, t, n) for n, p, t, _ in at]
                 if "#m" in tokens:  # else no slot is asked for
-                    asked |= {i for (k, _), at in zip(texts, items, strict=True) if tokens[k] == "#p" for i, _ in at}
-                own.append(list(asked))
-            yield pa.RecordBatch.from_arrays([uids, pa.array(of, pa.int64()), *(pa.array(x, longs) for x in (item, text, own))],
-                                             ["uid", "page", "item", "text", "own"])
+                    asked += [(p, None, -1 - n) for n, p, _, token in at if token == "#p"]
+                row = (_key(*(t.to_bytes(8, "big", signed=True) for _, _, t, _ in at)), digest, None if (host, digest) in seen else stream,
+                       places + [p for p, _ in pairs], [None] * len(places) + [t for _, t in pairs],
+                       [p for p, _, _ in asked], [t for _, t, _ in asked], [n for _, _, n in asked])
+                seen.add((host, digest))
+                for col, x in zip(cols, row, strict=True):
+                    col.append(x)
+            kinds = (pa.int64(), pa.int64(), pa.string(), ints, longs, ints, longs, ints)
+            yield pa.RecordBatch.from_arrays([part.column("uid"), part.column("host"), *map(pa.array, cols, kinds)],
+                                             [x.split()[0] for x in _PARSED.split(", ")])
+
+
+def _of_streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        made = [Wrapper.of_stream(*json.loads(x)).dumps() for x in batch.column("stream").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(made, pa.string())], ["host", "wrapper"])
+
+
+def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The item at each place of a host's streams, which follow its wrapper; a
+    token that meets none is an item of its stream alone."""
+    wrapper = None
+    for batch in batches:
+        hosts, shapes, items = [], [], []
+        for host, text, key, stream in zip(*(batch.column(x).to_pylist() for x in ("host", "wrapper", "shape", "stream")), strict=True):
+            if text is not None:
+                wrapper = Wrapper.loads(text)
+                continue
+            of = host.encode("utf-8", "replace")
+            hosts.append(host)
+            shapes.append(key)
+            items.append([_key(of, b"\n%d" % at) if at is not None else _key(of, b"\n%d %d" % (key, k))
+                          for k, at in enumerate(wrapper.places(json.loads(stream)[0]))])
+        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(shapes, pa.int64()), pa.array(items, pa.list_(pa.int64()))],
+                                         ["host", "shape", "items"])
 
 
 def _identified(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
     return _hosted(pages, id_col, url_col, html_col).withColumn("uid", F.xxhash64("host", "html"))
 
 
+def _aligned_streams(parsed: DataFrame) -> DataFrame:
+    """``host, shape, items`` of the distinct streams of every host."""
+    streams = parsed.where(F.col("stream").isNotNull()).groupBy("host", "shape").agg(F.max("stream").alias("stream"))
+    streams = stored(streams.withColumn("salt", F.pmod("shape", F.lit(SALTS))), "html-streams")
+    wrappers = _merged(streams.select("host", "stream").mapInArrow(_of_streams, "host string, wrapper string"))
+    none = F.lit(None)
+    first = (wrappers.join(streams.select("host", "salt").distinct(), "host")
+             .select("host", "salt", "wrapper", none.cast("long").alias("shape"), none.cast("string").alias("stream")))
+    rows = first.unionByName(streams.withColumn("wrapper", none.cast("string"))).repartition("host", "salt")
+    rows = rows.sortWithinPartitions("host", "salt", F.asc_nulls_first("shape"))
+    return stored(rows.mapInArrow(_align, "host string, shape long, items array<long>"), "html-aligned")
+
+
 def page_keys(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """`_keys` of every page: what counting and telling need of its parse."""
-    return (_identified(pages, id_col, url_col, html_col).select("uid", "host", "html")
-            .mapInArrow(_keys, "uid long, page long, item array<long>, text array<long>, own array<long>"))
+    """Of every page the keys that counting and telling need, from one parse:
+    its items with the texts at them (null: the item itself), and the keys of
+    which `main_text` asks, with what it is told of them."""
+    parsed = stored(_identified(pages, id_col, url_col, html_col).select("uid", "host", "html").mapInArrow(_parse, _PARSED), "html-keys")
+
+    def keys(place: str, text: str) -> Column:
+        item = F.transform(F.col(place), lambda p: F.get("items", p))
+        return F.zip_with(item, F.col(text), lambda i, t: F.struct(i.alias("item"), F.when(t.isNotNull(), F.xxhash64(i, t)).alias("text")))
+    own = F.zip_with(keys("own_place", "own_text"), F.col("own"), lambda x, n: F.struct(F.coalesce(x["text"], x["item"]).alias("key"), n.alias("told")))
+    return parsed.join(_aligned_streams(parsed), ["host", "shape"]).select("uid", "page", keys("place", "text").alias("at"), own.alias("own"))
 
 
 def host_template(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``key``: of the items that two different pages have or more, and of the
     texts that all pages with such an item share (copies raise both counts
-    alike)."""
+    alike).  Keys go by the expressions of these pages."""
     return _template(page_keys(pages, id_col, url_col, html_col))
 
 
 def _template(keys: DataFrame) -> DataFrame:
-    rows = keys.select("page", F.explode(F.arrays_zip("item", "text")).alias("at")).select("at.item", "at.text", "page")
+    rows = keys.select("page", F.explode("at").alias("at")).select("at.item", "at.text", "page")
     counts = rows.groupBy("item", "text").agg(F.count(F.lit(1)).alias("n"), (F.min("page") < F.max("page")).alias("differ"))
     counts = stored(counts.where(F.col("text").isNull() | F.col("differ")), "html-items")
     items = counts.where(F.col("text").isNull()).select("item", F.col("n").alias("pages"), F.col("differ").alias("slot"))
@@ -428,17 +509,16 @@ def extract_text(pages: DataFrame, template: DataFrame | None = None, id_col: st
     kind = rows.schema["page_id"].dataType.simpleString()
     keys = page_keys(pages, id_col, url_col, html_col)
     if template is None:  # both read the keys of one parse
-        keys = stored(keys, "html-keys")
         template = _template(keys)
-    told = keys.select("uid", F.explode("own").alias("key")).join(template, "key", "left_semi")
-    told = stored(told.groupBy("uid").agg(F.collect_set("key").alias("told")), "html-told")
+    told = keys.select("uid", F.explode("own").alias("own")).select("uid", "own.key", "own.told").join(template, "key", "left_semi")
+    told = stored(told.groupBy("uid").agg(F.collect_set("told").alias("told")), "html-told")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                texts = [main_text(t, None, frozenset(k or ()), h) if t else "" for t, k, h in
-                         zip(*(part.column(x).to_pylist() for x in ("html", "told", "host")), strict=True)]
+                texts = [main_text(t, None, frozenset(k or ())) if t else "" for t, k in
+                         zip(*(part.column(x).to_pylist() for x in ("html", "told")), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
-    return (rows.join(told, "uid", "left").select("page_id", "url", "html", "host", "told")
+    return (rows.join(told, "uid", "left").select("page_id", "url", "html", "told")
             .mapInArrow(run, f"page_id {kind}, url string, text string").withColumn("n_chars", F.length("text").cast("long")))

@@ -178,3 +178,46 @@ def test_pages_are_parsed_once_for_their_keys(spark, monkeypatch):
     got = {r.page_id: r.text for r in html_text.extract_text(pages).collect()}
     assert got == {0: "own 0", 1: "own 1", 2: "own 2", 3: "", 4: "only"} and names.count("html-keys") == 1
     assert got == {r.page_id: r.text for r in html_text.extract_text(pages, html_text.host_template(pages)).collect()}
+
+
+def test_aligned_streams_decide_what_is_template(spark):
+    """A box that only some pages have shifts what follows it; aligned, its text
+    stands at an optional item of its own, which all pages with the box share."""
+    box = "<ul><li>Link {0}</li></ul><div>Sponsored links</div>"
+    rows = [(k, f"http://a.example/{k}", page((box.format(k) if k % 2 else "") + f"<p>Note {k}</p><div>Story {k}</div>")) for k in range(6)]
+    got = {r.page_id: r.text for r in extract_text(table(spark, rows, PAGE).repartition(3)).collect()}
+    assert got == {k: f"Link {k}\n\n" * (k % 2) + f"Note {k}\n\nStory {k}" for k in range(6)}
+
+
+def test_template_equals_plain_counting_at_the_items_of_the_expression(spark):
+    """Every stream of a host goes in order through the host's expression, and
+    what extract_text drops is what a plain count over the items says."""
+    from stardw.llm import html_text as H
+    rnd = random.Random(5)
+    parts = ["<ul>{}</ul>", "<div>{}</div>", "<p>{}</p>", "<section><h2>Head</h2><p>{}</p></section>", "<hr><div>Legal</div>", "<span>More</span>"]
+    rows = []
+    for k in range(60):
+        body = "".join(x.format("".join(f"<b>w{rnd.randrange(4)}</b>" for _ in range(rnd.randint(1, 3)))) for x in parts if rnd.random() < .8)
+        rows.append((k, f"http://h{k % 4}.example/{k}", page(body)))
+    pages = table(spark, rows, PAGE).repartition(5)
+    hosts, want = {}, {}
+    parsed = H._identified(pages, "page_id", "url", "html").select("uid", "host", "html").mapInArrow(H._parse, H._PARSED)
+    items = {(r.host, r.shape): r["items"] for r in H._aligned_streams(parsed).collect()}
+    for k, url, html in rows:
+        tokens, texts = H.page_tokens(html)
+        seq, rep, where = H.shape(tokens)
+        at = items[url.split("/")[2], H._key(H.json.dumps([seq, rep], separators=(",", ":")).encode())]
+        assert len(at) == len(seq) == len(set(at))
+        hosts.setdefault(url.split("/")[2], []).append((k, html, [(n, at[where[p]], raw.strip()) for n, (p, raw) in enumerate(texts) if tokens[p] != "#x"]))
+    for of in hosts.values():
+        for k, html, texts in of:
+            told = []
+            for n, item, raw in texts:
+                having = [x for _, _, x in of if any(i == item for _, i, _ in x)]
+                if all((item, raw) in [y[1:] for y in x] for x in having) and len({tuple(y[2] for y in x) for x in having}) > 1:
+                    told.append(n)
+            want[k] = main_text(html, None, told)
+    got = {r.page_id: r.text for r in extract_text(pages).collect()}
+    assert got == want and any(got[k] != main_text(html) for k, _, html in rows)
+    again = {r.page_id: r.text for r in extract_text(table(spark, rows[::-1], PAGE).repartition(2)).collect()}
+    assert again == got
