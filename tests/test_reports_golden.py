@@ -7,12 +7,15 @@ Fact lines (price, freight, revenue, gross profit, review, on-time):
   o4/1 p1 s3  10  1  11  -14 - 1
 """
 
+import dataclasses
 import datetime as dt
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 from stardw import DEFAULT_PARAMS
+from stardw.plans import facts
 from stardw.plans import reports as R
 from stardw.plans.warehouse import Warehouse
 from stardw.sources.csv import read_raw_csv
@@ -94,3 +97,30 @@ def test_daily_summary_report(wh):
     assert set(got) == {dt.date(2017, 1, 1), dt.date(2017, 3, 1)}
     assert got[dt.date(2017, 1, 1)]["revenue"] == D("110.00") and got[dt.date(2017, 1, 1)]["on_time_rate"] == D("0.000000")
     assert got[dt.date(2017, 3, 1)]["on_time_rate"] == D("1.000000")
+
+
+def test_daily_summary_report_builds_the_days_of_its_quarter(wh, monkeypatch):
+    """The report's summary holds its quarter alone; which copy of an order
+    stays is settled first, also where the copies lie in different quarters."""
+    moved = wh.raw.orders.withColumn("order_purchase_timestamp", F.expr("order_purchase_timestamp - INTERVAL 40 DAYS"))
+    raw = dataclasses.replace(wh.raw, orders=wh.raw.orders.unionByName(moved))
+    held, real = {}, facts.staged
+
+    def staged(df, name):
+        out = real(df, name)
+        held[name] = out[0]
+        return out
+    monkeypatch.setattr(facts, "staged", staged)
+    found = 0
+    for year, quarter in ((2016, 4), (2017, 1)):
+        p = DEFAULT_PARAMS.with_(focus_group="Electronics", focus_year=year, focus_quarter=quarter)
+        whole = Warehouse(raw, p)
+        assert whole.fact_daily_seller_category.count() > 0
+        want = R.report_daily_group_quarter(whole).collect()
+        held.clear()
+        got = R.report_daily_group_quarter(Warehouse(raw, p)).collect()
+        assert sorted(got) == sorted(want)
+        keys = [r["sk_date_purchase"] for r in held["summary-by-name"].collect()]
+        assert all(k // 10000 == year and (k // 100 % 100 + 2) // 3 == quarter for k in keys)
+        found += len(got)
+    assert found > 0
