@@ -8,8 +8,10 @@ spare`` sketch segments at least ``spare + 1`` hold the same elements.  A set
 need not index the segments that say little - with less than ``low`` n-grams
 that are not common - if they number at most ``spare``: whatever the list of
 common n-grams, a pair keeps a shared segment.  Segments meet in an equi-join; within one, pairs whose whole
-sketches differ in more than ``d`` bits go.  What is left connected forms
-candidate groups, and there every pair is verified on the exact sets, group by
+sketches differ in more than ``d`` bits go.  A whole sketch is wide enough for
+its set: in one that is full, all pairs differ in half of the bits, and long
+texts that share a line would be one candidate group that grows with the
+corpus.  What is left connected forms candidate groups, and there every pair is verified on the exact sets, group by
 group and in blocks of bounded size.  Only spanning links leave a task.
 """
 
@@ -25,7 +27,9 @@ from pyspark.sql import functions as F
 from stardw.llm.common import Words, blocks, gram_hash, lean, mix64, text_buffer
 from stardw.llm.components import connected_components, stored
 
-SEGMENT_BITS, SKETCH_WORDS = 1024, 8
+#: 64-bit words of a whole sketch at least, and the share of its bits that a pair
+#: which links may differ in at most (one of unlike sets differs in half of them).
+SEGMENT_BITS, SKETCH_WORDS, SKETCH_FAR = 1024, 8, 0.35
 #: An n-gram is common if so many documents hold it, counted where a part of
 #: the corpus holds it LOCAL_DOCS times; the list keeps the most common ones
 #: (it steers what is indexed, never what links).
@@ -68,6 +72,14 @@ class Bands:
         """The largest symmetric difference of sets of these sizes that link."""
         return (100 - self.percent) * (a + b) // (100 + self.percent)
 
+    def sketch_words(self, n: int) -> int:
+        """Words (a power of two) of the whole sketch of a set of n elements,
+        whose largest partner has n * 100 / percent."""
+        words = SKETCH_WORDS
+        while (100 - self.percent) * n > SKETCH_FAR * 64 * words * self.percent:
+            words *= 2
+        return words
+
 
 def shingle_sets(batch: pa.RecordBatch, words: int, lower: bool) -> Iterator[tuple[int, np.ndarray, int, int]]:
     """(row, sorted element hashes, class hash, second hash) of each text."""
@@ -109,18 +121,30 @@ def segment_keys(h: np.ndarray, bands: Bands, rare: np.ndarray | None = None) ->
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def sketch(h: np.ndarray) -> np.ndarray:
+def sketch(h: np.ndarray, words: int = SKETCH_WORDS) -> np.ndarray:
     """Parity sketch of the whole set."""
-    x = mix64(h, 5) & np.uint64(64 * SKETCH_WORDS - 1)
-    bits = (np.bincount(x.astype(np.int64), minlength=64 * SKETCH_WORDS) & 1).astype(np.uint8)
+    x = mix64(h, 5) & np.uint64(64 * words - 1)
+    bits = (np.bincount(x.astype(np.int64), minlength=64 * words) & 1).astype(np.uint8)
     return np.packbits(bits, bitorder="little")
 
 
-def _signatures(words: int, lower: bool):
+def folded(sketches: np.ndarray, words: int) -> np.ndarray:
+    """Sketches of ``words`` words or more as if they had been made that wide."""
+    size = np.array([len(x) for x in sketches])
+    out = np.empty((len(sketches), words), np.uint64)
+    for k in np.unique(size):
+        at = np.flatnonzero(size == k)
+        out[at] = np.bitwise_xor.reduce(np.frombuffer(b"".join(sketches[at]), np.uint64).reshape(len(at), -1, words), axis=1)
+    return out
+
+
+def _signatures(words: int, lower: bool, percent: int):
+    bands = Bands(percent)
+
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(len(h), c, c2, sketch(h).tobytes()) for _, h, c, c2 in shingle_sets(batch, words, lower)]
+            rows = [(len(h), c, c2, sketch(h, bands.sketch_words(len(h))).tobytes()) for _, h, c, c2 in shingle_sets(batch, words, lower)]
             n, c, c2, s = zip(*rows, strict=True) if rows else ([], [], [], [])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array(n, pa.int64()), pa.array(c, pa.int64()),
                                               pa.array(c2, pa.int64()), pa.array(s, pa.binary())], ["doc_id", "th", "n", "c", "c2", "sketch"])
@@ -258,9 +282,15 @@ def _near(percent: int):
         def compared(pairs):
             """The pairs (n, c and sketch of two rows each) that are near."""
             n, c, s = (np.concatenate([x[k] for x in pairs]).reshape(-1, 2) for k in (0, 1, 2))
-            bits = np.frombuffer(b"".join(s.ravel()), np.uint64).reshape(len(n), 2, SKETCH_WORDS)
-            far = np.bitwise_count(bits[:, 0] ^ bits[:, 1]).sum(axis=1, dtype=np.int64)
-            ok = (n.min(axis=1) * 100 >= percent * n.max(axis=1)) & (far <= bands.most(n[:, 0], n[:, 1]))
+            ok = n.min(axis=1) * 100 >= percent * n.max(axis=1)
+            n, c, s = n[ok], c[ok], s[ok]
+            wide = np.array([min(len(x), len(y)) // 8 for x, y in s])
+            far = np.zeros(len(n), np.int64)
+            for w in np.unique(wide):
+                at = np.flatnonzero(wide == w)
+                bits = folded(s[at].ravel(), int(w)).reshape(len(at), 2, -1)
+                far[at] = np.bitwise_count(bits[:, 0] ^ bits[:, 1]).sum(axis=1, dtype=np.int64)
+            ok = far <= bands.most(n[:, 0], n[:, 1])
             return c[ok, 1], c[ok, 0]
         for (key, c, n, s), parted in _runs(batches, ["run", "c", "n", "sketch"]):
             if len(c) == 2 and not parted and not key[0] & 1:
@@ -274,16 +304,21 @@ def _near(percent: int):
                 a_out.append(c[1:])
                 b_out.append(np.full(len(c) - 1, c[0]))
                 continue
-            bits = np.frombuffer(b"".join(s), np.uint64).reshape(len(c), SKETCH_WORDS)
+            order = np.argsort(n, kind="stable")
+            c, n, s = c[order], n[order], s[order]
+            wide = np.array([len(x) // 8 for x in s])
+            end = np.searchsorted(n, n * 100 // percent, "right")  # of the sizes that may link
             group = np.arange(len(c))
-            for i in range(len(c) - 1):
-                far = np.bitwise_count(bits[i + 1:] ^ bits[i]).sum(axis=1, dtype=np.int64)
-                size = np.minimum(n[i + 1:], n[i]) * 100 >= percent * np.maximum(n[i + 1:], n[i])
-                hit = np.append(False, size & (far <= bands.most(n[i + 1:], n[i]))).nonzero()[0] + i
-                if len(hit):
-                    old = np.unique(group[np.append(hit, i)])
-                    if len(old) > 1:
-                        group[np.isin(group, old)] = old[0]
+            for w in np.unique(wide):
+                lo, hi = np.searchsorted(wide, w), np.searchsorted(wide, w, "right")
+                bits = folded(s[lo:end[hi - 1]], int(w))
+                for i in range(lo, hi):
+                    far = np.bitwise_count(bits[i + 1 - lo:end[i] - lo] ^ bits[i - lo]).sum(axis=1, dtype=np.int64)
+                    hit = np.flatnonzero(far <= bands.most(n[i + 1:end[i]], n[i])) + i + 1
+                    if len(hit):
+                        old = np.unique(group[np.append(hit, i)])
+                        if len(old) > 1:
+                            group[np.isin(group, old)] = old[0]
             moved = np.flatnonzero(group != np.arange(len(c)))
             if len(moved):
                 a_out.append(c[moved])
@@ -432,7 +467,7 @@ def _classes(docs: DataFrame, percent: int, words: int, lower: bool, id_col: str
     and class) and ``c, c2, rep, k, root`` of every class: its smallest id, the
     number among the classes of that id, and the (rep, k) that leads its component."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sig = stored(rows.withColumn("th", F.xxhash64("text")).mapInArrow(_signatures(words, lower), "doc_id long, th long, n long, c long, c2 long, sketch binary"),
+    sig = stored(rows.withColumn("th", F.xxhash64("text")).mapInArrow(_signatures(words, lower, percent), "doc_id long, th long, n long, c long, c2 long, sketch binary"),
                  "jaccard-sig")
     reps = sig.where("n > 0 AND doc_id IS NOT NULL").groupBy("c", "c2").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"))
     # classes of one id: as many as it has texts

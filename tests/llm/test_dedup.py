@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from helpers import jaccard_components as brute_components
 from helpers import kept_words, removed_lines, table
@@ -85,6 +86,43 @@ def test_jaccard_of_long_runs_and_blocks(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
 
 
+def test_long_texts_with_shared_lines_are_no_candidates(spark, monkeypatch):
+    """Sets larger than a narrow sketch: unlike texts that share lines were one
+    candidate group, compared pair by pair."""
+    rnd = random.Random(5)
+    lines = [" ".join(f"l{rnd.randrange(10**6)}" for _ in range(9)) for _ in range(30)]
+    rows = []
+    for i in range(24):
+        w = [f"w{rnd.randrange(10**7)}" for _ in range(rnd.randint(1800, 2400))]
+        for line in rnd.sample(lines, 15):
+            w.insert(rnd.randrange(len(w)), line)
+        rows.append((i, " ".join(w)))
+    cut = rows[3][1].split()
+    rows += [(90, " ".join(cut[:-60])), (91, " ".join(cut[200:]) + " x"), (92, rows[7][1] + " y"), (93, " ".join(["a b c d e f g", *cut[:700]]))]
+    groups, real = [], ngram_jaccard.connected_components
+    monkeypatch.setattr(ngram_jaccard, "connected_components", lambda edges: groups.append(real(edges)) or groups[-1])
+    got = {r.doc_id: r.component_id for r in ngram_jaccard.jaccard_components(table(spark, rows), 80, 5).collect()}
+    assert got == {i: x[1] for i, x in brute_components(rows, 80, 5).items()}
+    assert got[92] == 7 and got[90] == got[91] == 3 and got[93] == 93
+    assert sorted(r["count"] for r in groups[0].groupBy("component").count().collect()) == [2, 3]
+
+
+@pytest.mark.parametrize("percent", [80, 50])
+def test_sketches_fold_and_keep_what_links(percent):
+    rnd = np.random.default_rng(percent)
+    bands = ngram_jaccard.Bands(percent)
+    for n in (5, 600, 717, 1500, 9000):
+        a = rnd.integers(0, 1 << 63, n, np.uint64)
+        b = np.concatenate([a[bands.most(n, n) // 2:], rnd.integers(0, 1 << 63, n // 4, np.uint64)])
+        x, y = (ngram_jaccard.sketch(h, bands.sketch_words(len(h))).tobytes() for h in (a, b))
+        w = min(len(x), len(y)) // 8
+        both = ngram_jaccard.folded(np.array([x, y], object), w)
+        assert [r.tobytes() for r in both] == [ngram_jaccard.sketch(h, w).tobytes() for h in (a, b)]
+        assert np.bitwise_count(both[0] ^ both[1]).sum() <= len(np.setxor1d(a, b))
+        other = ngram_jaccard.sketch(rnd.integers(0, 1 << 63, n * 100 // percent, np.uint64), w).view(np.uint64)
+        assert n < 100 or np.bitwise_count(both[0] ^ other).sum() > bands.most(n, n * 100 // percent)
+
+
 def test_runs_come_in_parts_led_by_their_first_row(monkeypatch):
     import pyarrow as pa
     monkeypatch.setattr(ngram_jaccard, "RUN_ROWS", 3)
