@@ -195,3 +195,39 @@ def test_repeated_ids_null_ids_and_wide_values(spark):
     found = {(r.table_name, r.column_name): r.violations for r in constraint_audit(w).collect() if r.violations}
     assert found[("fact_order_item", "order_item_id")] == 1 and found[("fact_order_item", "revenue")] == 1
     assert {r.table_name for r in key_audit(w).collect() if r.duplicates} == set()
+
+
+def test_load_in_parts_is_the_whole_load(spark, wh, tmp_path, monkeypatch):
+    """The fact by parts of the orders, layout and summary by ranges of days:
+    the rows of the tables built at once, in files of one range each, and no
+    staged table of the load is left."""
+    import os
+
+    from stardw.plans import load
+    from stardw.session import ensure_checkpoint_dir
+    scratch = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(scratch))
+    monkeypatch.setattr(load, "PART_BYTES", 1)
+    built, real = [], load.facts.fact_rows
+    monkeypatch.setattr(load.facts, "fact_rows", lambda items, keyed, *a: built.append(keyed.count()) or real(items, keyed, *a))
+    stored = load.load_warehouse(wh.raw, DEFAULT_PARAMS, str(tmp_path))
+    assert len(built) == load.PARTS and sum(built) == 8 and max(built) < 8
+    left = {x.rsplit("-", 1)[0] for x in set(os.listdir(scratch)) - before}
+    assert not left & {"load-lines", "keyed-orders", "fact-parts", "summary-by-name"}
+    for name, whole in wh.tables().items():
+        got = stored.tables()[name].select(*whole.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect())), name
+    days = stored.fact_order_item.selectExpr("input_file_name() f", "sk_date_purchase d").groupBy("f").agg({"d": "min"}).collect()
+    assert len(days) > 1
+
+
+def test_ranges_take_every_row_once(spark):
+    from stardw.operators.keys import in_ranges, range_tops
+    days = [None, None, *[1] * 50, 2, 3, *[4] * 9, *range(10, 40)]
+    df = spark.createDataFrame([(d,) for d in days], "day int")
+    for parts in (1, 2, 3, 8, 500):
+        tops = range_tops(df, "day", parts)
+        assert tops == sorted(set(tops)) and len(tops) < max(parts, 2) and (tops or parts == 1)
+        got = [x.day for of in in_ranges("day", tops) for x in df.where(of).collect()]
+        assert sorted(map(str, got)) == sorted(map(str, days))
+    assert range_tops(df.limit(0), "day", 8) == []
